@@ -1,6 +1,6 @@
 """Column functions: string similarity, agreement levels, Fellegi-Sunter factors."""
 
-from .levels import factor_expr, level_expr, odds_expr, probability_expr
+from .levels import factor_expr, level_expr, match_probability_expr, odds_expr, probability_expr
 from .similarity import as_unit, jaro_winkler, jaro_winkler_udf
 
 __all__ = [
@@ -9,6 +9,7 @@ __all__ = [
     "jaro_winkler",
     "jaro_winkler_udf",
     "level_expr",
+    "match_probability_expr",
     "odds_expr",
     "probability_expr",
 ]

@@ -1,7 +1,15 @@
-"""Agreement levels and Fellegi-Sunter factors as native Spark column expressions."""
+"""Agreement levels and Fellegi-Sunter probabilities as native Spark column expressions.
+
+Every expression here reads each of its inputs once (lookups in constant arrays instead of
+CASE chains). Catalyst pushes the link filter into the join condition and inlines the
+level expressions there; single references keep that inlined code small and each string
+distance computed once.
+"""
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,32 +17,49 @@ from ..constants import JW_ROUND_DIGITS, NULL_LEVEL
 from ..model import Comparison, Model
 from .similarity import as_unit, jaro_winkler_udf
 
+# Largest number of level patterns for which probabilities are tabulated.
+MAX_PATTERN_TABLE = 4096
+
+
+def _const_array(values: list, dtype: str) -> Column:
+    return F.array(*[F.lit(v).cast(dtype) for v in values])
+
+
+def edit_band_table(comp: Comparison) -> tuple[int, list[int]]:
+    """Bound of the distance and level by bounded distance -1 (beyond the bound), 0, 1, ..., bound."""
+    bound = int(max(comp.thresholds)) if comp.thresholds else 0
+    table = []
+    for d in range(-1, bound + 1):
+        level = 0
+        if d >= 0:
+            for threshold, lvl in comp.band_levels():
+                if d <= threshold:
+                    level = lvl
+                    break
+        table.append(level)
+    return bound, table
+
 
 def level_expr(comp: Comparison, left: Column, right: Column, unit: str = "byte") -> Column:
     """Agreement level of one comparison: -1 NULL, exact = n-1, fuzzy bands, 0 otherwise.
 
     Exact equality is decided before any similarity is computed; Levenshtein is bounded by
-    the widest band so long strings stop early.
+    the widest band, so long strings stop early.
     """
     expr = F.when(left.isNull() | right.isNull(), F.lit(NULL_LEVEL)).when(left == right, F.lit(comp.exact_level))
     if comp.kind == "name":
         jw = F.round(jaro_winkler_udf(left, right, unit), JW_ROUND_DIGITS)
         for threshold, level in comp.band_levels():
             expr = expr.when(jw >= F.lit(float(threshold)), F.lit(level))
-    else:
-        bound = int(max(comp.thresholds)) if comp.thresholds else 0
-        dist = F.levenshtein(as_unit(left, unit), as_unit(right, unit), bound)
-        for threshold, level in comp.band_levels():
-            expr = expr.when((dist >= 0) & (dist <= F.lit(int(threshold))), F.lit(level))
-    return expr.otherwise(F.lit(0)).cast("int")
+        return expr.otherwise(F.lit(0)).cast("int")
+    bound, table = edit_band_table(comp)
+    dist = F.levenshtein(as_unit(left, unit), as_unit(right, unit), bound)
+    return expr.otherwise(F.element_at(_const_array(table, "int"), dist + F.lit(2))).cast("int")
 
 
 def factor_expr(comp: Comparison, level: Column) -> Column:
     """Bayes factor m/u of a level column; 1.0 for the NULL level."""
-    expr = F.when(level == F.lit(NULL_LEVEL), F.lit(1.0))
-    for lvl, f in enumerate(comp.factors):
-        expr = expr.when(level == F.lit(lvl), F.lit(float(f)))
-    return expr
+    return F.element_at(_const_array([1.0, *comp.factors], "double"), level + F.lit(2))
 
 
 def odds_expr(model: Model, levels: list[Column]) -> Column:
@@ -47,3 +72,40 @@ def odds_expr(model: Model, levels: list[Column]) -> Column:
 
 def probability_expr(odds: Column) -> Column:
     return odds / (F.lit(1.0) + odds)
+
+
+def pattern_count(model: Model) -> int:
+    n = 1
+    for c in model.comparisons:
+        n *= c.n_levels + 1
+    return n
+
+
+def pattern_probabilities(model: Model) -> list[float]:
+    """Probability of every level pattern, same arithmetic as the column expressions.
+
+    Index = mixed radix over (level + 1), first column most significant.
+    """
+    choices = [[NULL_LEVEL, *range(c.n_levels)] for c in model.comparisons]
+    out = []
+    for pattern in itertools.product(*choices):
+        odds = float(model.prior_odds)
+        for comp, lvl in zip(model.comparisons, pattern):
+            odds = odds * (1.0 if lvl == NULL_LEVEL else comp.factors[lvl])
+        out.append(odds / (1.0 + odds))
+    return out
+
+
+def pattern_index(model: Model, levels: list[Column]) -> Column:
+    idx = F.lit(0)
+    for comp, lvl in zip(model.comparisons, levels):
+        idx = idx * F.lit(comp.n_levels + 1) + (lvl + F.lit(1))
+    return idx
+
+
+def match_probability_expr(model: Model, levels: list[Column]) -> Column:
+    """Pair probability from its level columns; reads every level once."""
+    if pattern_count(model) <= MAX_PATTERN_TABLE:
+        table = _const_array(pattern_probabilities(model), "double")
+        return F.element_at(table, pattern_index(model, levels) + F.lit(1))
+    return probability_expr(odds_expr(model, levels))

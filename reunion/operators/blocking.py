@@ -20,6 +20,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import traced
+
 # Records per salt bucket of a hot block (largest block handled by one task unsalted).
 DEFAULT_BLOCK_SPLIT = 5000
 # Hot-key lists up to this many rows are broadcast; longer ones are shuffle-joined.
@@ -48,7 +50,8 @@ def block_maxima(slim: DataFrame, rules: Sequence[Sequence[str]]) -> list[int]:
             .agg(F.max("count").alias("largest"))
             .select(F.lit(i).alias("rule"), "largest")
         )
-    rows = reduce(DataFrame.unionByName, parts).collect()
+    with traced("block-maxima"):
+        rows = reduce(DataFrame.unionByName, parts).collect()
     out = [0] * len(rules)
     for r in rows:
         out[r["rule"]] = int(r["largest"] or 0)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import PROB_COL
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the record number in the low 33 bits
 
@@ -35,8 +35,8 @@ def dense_ids(keys: DataFrame, col: str, out: str = "cluster_id", *, num_partiti
         .repartitionByRange(n, col)
         .sortWithinPartitions(col)
         .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
     )
+    ranged = materialize(ranged, "ids")
     pid = F.shiftright(F.col("_mid"), _ROW_BITS)
     counts = ranged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n")).collect()
     offsets, acc = [], 0

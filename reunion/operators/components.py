@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize, traced
 
 MAX_ROUNDS = 64
 
@@ -61,13 +61,16 @@ def connected_components(
         edges.select(F.least(src, dst).alias("b"), F.greatest(src, dst).alias("a"))
         .where(F.col("a") != F.col("b"))
         .distinct()
-        .checkpoint(eager=True)
     )
     rounds = 0
-    while not _is_star_forest(e):
+    while True:
+        with traced(f"cc-check{rounds}"):
+            done = _is_star_forest(e)
+        if done:
+            break
         if rounds >= max_rounds:
             raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
-        e = _small_star(_large_star(e)).checkpoint(eager=True)
+        e = materialize(_small_star(_large_star(e)), f"cc-round{rounds}")
         rounds += 1
     return e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()

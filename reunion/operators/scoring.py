@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import PROB_COL
-from ..functions.levels import level_expr, odds_expr, probability_expr
+from ..functions.levels import level_expr, match_probability_expr
 from ..model import Model
 
 
@@ -27,8 +27,7 @@ def compare_pairs(pairs: DataFrame, model: Model, *, unit: str = "byte", keep_va
 
 def score_pairs(levels: DataFrame, model: Model) -> DataFrame:
     """Add ``match_probability`` from the level columns (prior odds times factors, in column order)."""
-    odds = odds_expr(model, [F.col(level_col(c)) for c in model.columns])
-    return levels.withColumn(PROB_COL, probability_expr(odds))
+    return levels.withColumn(PROB_COL, match_probability_expr(model, [F.col(level_col(c)) for c in model.columns]))
 
 
 def link_pairs(scored: DataFrame, threshold: float) -> DataFrame:

@@ -32,14 +32,14 @@ from ..constants import (
     RESERVED_COLUMNS,
 )
 from ..errors import MatchError
-from ..functions.levels import odds_expr, probability_expr
+from ..functions.levels import match_probability_expr
 from ..functions.similarity import check_unit
 from ..model import Model
 from ..operators.blocking import DEFAULT_BLOCK_SPLIT, candidate_pairs
 from ..operators.clusters import best_match_probability, dense_ids
 from ..operators.components import connected_components
 from ..operators.scoring import compare_pairs, link_pairs, score_pairs
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize, traced
 
 UID = "__reunion_uid"
 
@@ -102,21 +102,19 @@ def with_uid(df: DataFrame, id_col: str | None, *, check_ids: bool = True) -> tu
         if id_col not in df.columns:
             raise MatchError(f"id column not found in input relation: {id_col}")
         if check_ids:
-            dup = df.where(F.col(id_col).isNull()).limit(1).count() + (
-                df.groupBy(id_col).count().where(F.col("count") > 1).limit(1).count()
-            )
-            if dup:
+            bad = df.groupBy(id_col).count().where(F.col(id_col).isNull() | (F.col("count") > 1))
+            if bad.limit(1).count():
                 raise MatchError(f"id column {id_col} must be unique and not NULL")
         return df, id_col
     ensure_checkpoint_dir(df.sparkSession)
     name = _free_name(df, UID)
-    return df.withColumn(name, F.monotonically_increasing_id()).checkpoint(eager=True), name
+    return materialize(df.withColumn(name, F.monotonically_increasing_id()), "rows"), name
 
 
-def self_pair_odds(model: Model) -> Column:
-    """Odds of a pair of identical records: exact level where the value is set, NULL level elsewhere."""
+def self_pair_probability(model: Model) -> Column:
+    """Probability of a pair of identical records: exact level where the value is set, NULL level elsewhere."""
     levels = [F.when(F.col(c.column).isNull(), F.lit(-1)).otherwise(F.lit(c.exact_level)) for c in model.comparisons]
-    return odds_expr(model, levels)
+    return match_probability_expr(model, levels)
 
 
 def _all_set(cols: Sequence[str]) -> Column:
@@ -149,11 +147,11 @@ def resolve_labels(
     )
     pairs = candidate_pairs(profiles, cols, id_col="pid", within=within, block_split=block_split)
     scored = score_pairs(compare_pairs(pairs, model, unit=unit), model)
-    links = link_pairs(scored, t).select("uid_l", "uid_r", PROB_COL).checkpoint(eager=True)
+    links = materialize(link_pairs(scored, t).select("uid_l", "uid_r", PROB_COL), "links")
 
     comps = connected_components(links)
     best_inter = best_match_probability(links)
-    p_self = probability_expr(self_pair_odds(model))
+    p_self = self_pair_probability(model)
     self_linked = (F.col("n") >= 2) & _any_set(cols) & _all_set(within) & (p_self >= F.lit(t))
     prof = (
         profiles.select("pid", *keys, self_linked.alias("self_linked"), p_self.alias("p_self"))
@@ -208,13 +206,15 @@ def resolve(
     if not cols and model is not None:
         cols = model.columns
     check_unit(unit)
-    check_inputs(df, cols, threshold)
+    with traced("checks"):
+        check_inputs(df, cols, threshold)
     if model is not None:
         require_columns(df, model.columns)
     within = list(within)
     require_columns(df, within) if within else None
 
-    rows, uid = with_uid(df, id_col, check_ids=check_ids)
+    with traced("ids-check"):
+        rows, uid = with_uid(df, id_col, check_ids=check_ids)
     if model is None:
         model = Model.default(cols, prior)
         if train:
@@ -227,8 +227,10 @@ def resolve(
         *[F.col(c).cast("string").alias(c) for c in used],
         *[F.col(c) for c in within if c not in used],
     )
+    slim = slim.persist(StorageLevel.MEMORY_AND_DISK)
     labels = resolve_labels(slim, model, threshold, uid="uid", within=within, unit=unit, block_split=block_split)
-    labels = labels.checkpoint(eager=True)
+    labels = materialize(labels, "labels")
+    slim.unpersist()
     ids = dense_ids(labels, "root", CLUSTER_COL)
     per_row = labels.join(ids, "root").select(
         F.col("uid").alias(uid),

@@ -33,6 +33,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -45,3 +46,48 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
+
+
+def materialize(df, label: str = "stage"):
+    """Write ``df`` as parquet into the shared checkpoint folder and read it back.
+
+    One pass (an eager RDD checkpoint computes its plan twice unless cached), the lineage
+    is cut, the files survive lost executors, and AQE plans the readers from real sizes.
+    """
+    import time
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/reunion-{label}-{uuid.uuid4().hex}"
+    t0 = time.time()
+    df.write.mode("error").parquet(path)
+    out = spark.read.parquet(path)
+    _trace(label, t0)
+    return out
+
+
+class traced:
+    """Context manager printing the time of a step when REUNION_TRACE is set."""
+
+    def __init__(self, label: str):
+        self.label = label
+
+    def __enter__(self):
+        import time
+
+        self.t0 = time.time()
+        return self
+
+    def __exit__(self, *exc):
+        _trace(self.label, self.t0)
+        return False
+
+
+def _trace(label: str, t0: float) -> None:
+    import os
+    import sys
+    import time
+
+    if os.environ.get("REUNION_TRACE"):
+        print(f"[reunion] {label}: {time.time() - t0:.2f}s", file=sys.stderr)
