@@ -21,8 +21,15 @@ from .similarity import as_unit, jaro_winkler_udf
 MAX_PATTERN_TABLE = 4096
 
 
+def sql_double(x: float) -> str:
+    """Spark SQL literal that parses to exactly ``x`` (Java's parser rounds correctly)."""
+    return f"{float(x)!r}D"
+
+
 def _const_array(values: list, dtype: str) -> Column:
-    return F.array(*[F.lit(v).cast(dtype) for v in values])
+    """A constant array as one SQL expression (one JVM call instead of one per element)."""
+    items = [sql_double(v) if dtype == "double" else str(int(v)) for v in values]
+    return F.expr(f"array({', '.join(items)})")
 
 
 def edit_band_table(comp: Comparison) -> tuple[int, list[int]]:

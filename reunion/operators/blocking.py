@@ -39,19 +39,20 @@ def _exclusion(earlier: Sequence[str]) -> Column | None:
 
 
 def block_maxima(slim: DataFrame, rules: Sequence[Sequence[str]]) -> list[int]:
-    """Largest block (records sharing all key values of a rule) for every rule, in one job."""
-    parts = []
+    """Largest block (records sharing all key values of a rule) for every rule.
+
+    All rules are stacked into one (rule, key) column and counted by one aggregate with
+    map-side partial counts, so the whole check is a single small job.
+    """
+    keyed = []
     for i, keys in enumerate(rules):
         nonnull = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        parts.append(
-            slim.where(nonnull)
-            .groupBy(*keys)
-            .count()
-            .agg(F.max("count").alias("largest"))
-            .select(F.lit(i).alias("rule"), "largest")
-        )
+        key = F.to_json(F.struct(*[F.col(k) for k in keys])) if len(keys) > 1 else F.col(keys[0]).cast("string")
+        keyed.append(F.when(nonnull, F.struct(F.lit(i).alias("rule"), key.alias("key"))))
+    stacked = slim.select(F.explode(F.array(*keyed)).alias("rk")).where(F.col("rk").isNotNull())
+    sizes = stacked.groupBy("rk").count()
     with traced("block-maxima"):
-        rows = reduce(DataFrame.unionByName, parts).collect()
+        rows = sizes.groupBy(F.col("rk.rule").alias("rule")).agg(F.max("count").alias("largest")).collect()
     out = [0] * len(rules)
     for r in rows:
         out[r["rule"]] = int(r["largest"] or 0)

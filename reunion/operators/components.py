@@ -37,10 +37,15 @@ def _small_star(e: DataFrame) -> DataFrame:
 
 
 def _is_star_forest(e: DataFrame) -> bool:
-    """True when every child has one parent and no parent is itself a child (one small job)."""
-    kids = e.groupBy("a").agg(F.countDistinct("b").alias("np"))
-    parent_is_child = e.select(F.col("b").alias("a")).distinct().join(kids.select("a"), "a", "left_semi")
-    bad = kids.where(F.col("np") > 1).select("a").unionByName(parent_is_child)
+    """True when every child has one parent and no parent is itself a child (one aggregate)."""
+    roles = e.select(F.col("a").alias("node"), F.col("b").alias("parent")).unionByName(
+        e.select(F.col("b").alias("node"), F.lit(None).cast(e.schema["b"].dataType).alias("parent"))
+    )
+    per_node = roles.groupBy("node").agg(
+        F.countDistinct("parent").alias("parents"),
+        F.max(F.col("parent").isNull().cast("int")).alias("is_parent"),
+    )
+    bad = per_node.where((F.col("parents") > 1) | ((F.col("parents") == 1) & (F.col("is_parent") == 1)))
     return bad.limit(1).count() == 0
 
 

@@ -229,8 +229,8 @@ def resolve(
     )
     slim = slim.persist(StorageLevel.MEMORY_AND_DISK)
     labels = resolve_labels(slim, model, threshold, uid="uid", within=within, unit=unit, block_split=block_split)
-    labels = materialize(labels, "labels")
-    slim.unpersist()
+    # Deterministic from written or persisted inputs: persisting is enough (recomputed if lost).
+    labels = labels.persist(StorageLevel.MEMORY_AND_DISK)
     ids = dense_ids(labels, "root", CLUSTER_COL)
     per_row = labels.join(ids, "root").select(
         F.col("uid").alias(uid),
