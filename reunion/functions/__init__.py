@@ -1,15 +1,16 @@
-"""Column functions: string similarity, agreement levels, Fellegi-Sunter factors."""
+"""Column functions: string similarity, agreement levels, Fellegi-Sunter probabilities."""
 
-from .levels import factor_expr, level_expr, match_probability_expr, odds_expr, probability_expr
-from .similarity import as_unit, jaro_winkler, jaro_winkler_udf
+from .levels import level_expr, level_sql, match_probability_expr, match_probability_sql, odds_sql
+from .similarity import as_unit, jaro_winkler, jaro_winkler_udf, register_jaro_winkler
 
 __all__ = [
     "as_unit",
-    "factor_expr",
     "jaro_winkler",
     "jaro_winkler_udf",
     "level_expr",
+    "level_sql",
     "match_probability_expr",
-    "odds_expr",
-    "probability_expr",
+    "match_probability_sql",
+    "odds_sql",
+    "register_jaro_winkler",
 ]

@@ -1,35 +1,47 @@
-"""Agreement levels and Fellegi-Sunter probabilities as native Spark column expressions.
+"""Agreement levels and Fellegi-Sunter probabilities as native Spark SQL expressions.
 
-Every expression here reads each of its inputs once (lookups in constant arrays instead of
-CASE chains). Catalyst pushes the link filter into the join condition and inlines the
-level expressions there; single references keep that inlined code small and each string
-distance computed once.
+Expressions are generated as SQL text (one ``selectExpr`` per projection rather than one
+JVM call per operator), and each reads its inputs once: distances and levels are mapped
+through constant-array lookups instead of CASE chains. Catalyst pushes the link filter
+into the join condition and inlines the level expressions there; single references keep
+that inlined code small and every string distance computed once per pair.
 """
 
 from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import JW_ROUND_DIGITS, NULL_LEVEL
 from ..model import Comparison, Model
-from .similarity import as_unit, jaro_winkler_udf
+from .similarity import check_unit, register_jaro_winkler
 
 # Largest number of level patterns for which probabilities are tabulated.
 MAX_PATTERN_TABLE = 4096
 
 
+def q(name: str) -> str:
+    """Backtick-quoted Spark SQL identifier (qualifier.name is quoted per part)."""
+    return ".".join("`" + p.replace("`", "``") + "`" for p in name.split("."))
+
+
 def sql_double(x: float) -> str:
     """Spark SQL literal that parses to exactly ``x`` (Java's parser rounds correctly)."""
     return f"{float(x)!r}D"
 
 
-def _const_array(values: list, dtype: str) -> Column:
-    """A constant array as one SQL expression (one JVM call instead of one per element)."""
+def sql_array(values: list, dtype: str) -> str:
     items = [sql_double(v) if dtype == "double" else str(int(v)) for v in values]
-    return F.expr(f"array({', '.join(items)})")
+    return f"array({', '.join(items)})"
+
+
+def unit_sql(expr: str, unit: str) -> str:
+    """Make Spark's character-based string functions see one character per UTF-8 byte."""
+    if check_unit(unit) == "byte":
+        return f"decode(encode({expr}, 'UTF-8'), 'ISO-8859-1')"
+    return expr
 
 
 def edit_band_table(comp: Comparison) -> tuple[int, list[int]]:
@@ -47,40 +59,43 @@ def edit_band_table(comp: Comparison) -> tuple[int, list[int]]:
     return bound, table
 
 
-def level_expr(comp: Comparison, left: Column, right: Column, unit: str = "byte") -> Column:
-    """Agreement level of one comparison: -1 NULL, exact = n-1, fuzzy bands, 0 otherwise.
+def level_sql(comp: Comparison, left: str, right: str, unit: str = "byte", jw_function: str | None = None) -> str:
+    """Agreement level: -1 NULL, exact = n-1, fuzzy bands, 0 otherwise (SQL text).
 
-    Exact equality is decided before any similarity is computed; Levenshtein is bounded by
-    the widest band, so long strings stop early.
+    ``left``/``right`` are SQL expressions. Equality is decided before any similarity is
+    computed; Levenshtein is bounded by the widest band, so long strings stop early.
     """
-    expr = F.when(left.isNull() | right.isNull(), F.lit(NULL_LEVEL)).when(left == right, F.lit(comp.exact_level))
+    head = f"CASE WHEN {left} IS NULL OR {right} IS NULL THEN {NULL_LEVEL} WHEN {left} = {right} THEN {comp.exact_level}"
     if comp.kind == "name":
-        jw = F.round(jaro_winkler_udf(left, right, unit), JW_ROUND_DIGITS)
-        for threshold, level in comp.band_levels():
-            expr = expr.when(jw >= F.lit(float(threshold)), F.lit(level))
-        return expr.otherwise(F.lit(0)).cast("int")
+        if jw_function is None:
+            raise ValueError("a name comparison needs the registered Jaro-Winkler function")
+        jw = f"round({jw_function}({left}, {right}), {JW_ROUND_DIGITS})"
+        bands = " ".join(f"WHEN {jw} >= {sql_double(t)} THEN {lvl}" for t, lvl in comp.band_levels())
+        return f"CAST({head} {bands} ELSE 0 END AS INT)"
     bound, table = edit_band_table(comp)
-    dist = F.levenshtein(as_unit(left, unit), as_unit(right, unit), bound)
-    return expr.otherwise(F.element_at(_const_array(table, "int"), dist + F.lit(2))).cast("int")
+    dist = f"levenshtein({unit_sql(left, unit)}, {unit_sql(right, unit)}, {bound})"
+    return f"CAST({head} ELSE element_at({sql_array(table, 'int')}, {dist} + 2) END AS INT)"
 
 
-def factor_expr(comp: Comparison, level: Column) -> Column:
-    """Bayes factor m/u of a level column; 1.0 for the NULL level."""
-    return F.element_at(_const_array([1.0, *comp.factors], "double"), level + F.lit(2))
+def level_expr(comp: Comparison, left: str, right: str, unit: str = "byte", spark: SparkSession | None = None) -> Column:
+    """Level of two columns (given by name) as a Column."""
+    jw = register_jaro_winkler(spark or SparkSession.getActiveSession(), unit) if comp.kind == "name" else None
+    return F.expr(level_sql(comp, q(left), q(right), unit, jw))
 
 
-def odds_expr(model: Model, levels: list[Column]) -> Column:
+def factor_sql(comp: Comparison, level: str) -> str:
+    """Bayes factor m/u of a level (SQL); 1.0 for the NULL level."""
+    return f"element_at({sql_array([1.0, *comp.factors], 'double')}, {level} + 2)"
+
+
+def odds_sql(model: Model, levels: list[str]) -> str:
     """Posterior odds: prior odds times every column's factor, multiplied in column order."""
-    odds = F.lit(float(model.prior_odds))
+    odds = sql_double(model.prior_odds)
     for comp, lvl in zip(model.comparisons, levels):
-        odds = odds * factor_expr(comp, lvl)
+        odds = f"({odds} * {factor_sql(comp, lvl)})"
     return odds
 
 
-def probability_expr(odds: Column) -> Column:
-    return odds / (F.lit(1.0) + odds)
-
-
 def pattern_count(model: Model) -> int:
     n = 1
     for c in model.comparisons:
@@ -89,7 +104,7 @@ def pattern_count(model: Model) -> int:
 
 
 def pattern_probabilities(model: Model) -> list[float]:
-    """Probability of every level pattern, same arithmetic as the column expressions.
+    """Probability of every level pattern, with the arithmetic of :func:`odds_sql`.
 
     Index = mixed radix over (level + 1), first column most significant.
     """
@@ -103,16 +118,21 @@ def pattern_probabilities(model: Model) -> list[float]:
     return out
 
 
-def pattern_index(model: Model, levels: list[Column]) -> Column:
-    idx = F.lit(0)
-    for comp, lvl in zip(model.comparisons, levels):
-        idx = idx * F.lit(comp.n_levels + 1) + (lvl + F.lit(1))
-    return idx
-
+def match_probability_sql(model: Model, levels: list[str]) -> str:
+    """Pair probability from level expressions; reads every level once.
 
-def match_probability_expr(model: Model, levels: list[Column]) -> Column:
-    """Pair probability from its level columns; reads every level once."""
+    Small models look the probability up in a table of all level patterns; larger ones
+    compute ``odds / (1 + odds)``.
+    """
     if pattern_count(model) <= MAX_PATTERN_TABLE:
-        table = _const_array(pattern_probabilities(model), "double")
-        return F.element_at(table, pattern_index(model, levels) + F.lit(1))
-    return probability_expr(odds_expr(model, levels))
+        idx = "0"
+        for comp, lvl in zip(model.comparisons, levels):
+            idx = f"({idx} * {comp.n_levels + 1} + ({lvl} + 1))"
+        return f"element_at({sql_array(pattern_probabilities(model), 'double')}, {idx} + 1)"
+    odds = odds_sql(model, levels)
+    return f"({odds} / (1.0D + {odds}))"
+
+
+def match_probability_expr(model: Model, levels: list[str]) -> Column:
+    """Pair probability of level columns (given by name) as a Column."""
+    return F.expr(match_probability_sql(model, [q(c) for c in levels]))

@@ -111,3 +111,17 @@ def _jw_chars(left: pd.Series, right: pd.Series) -> pd.Series:
 def jaro_winkler_udf(left: Column, right: Column, unit: str = "byte") -> Column:
     """Jaro-Winkler of two string columns; NULL if either side is NULL."""
     return (_jw_bytes if check_unit(unit) == "byte" else _jw_chars)(left, right)
+
+
+JW_FUNCTIONS = {"byte": "reunion_jaro_winkler", "char": "reunion_jaro_winkler_chars"}
+_registered: set[tuple[str, str]] = set()
+
+
+def register_jaro_winkler(spark, unit: str = "byte") -> str:
+    """Register the Jaro-Winkler UDF as a SQL function of this session; returns its name."""
+    name = JW_FUNCTIONS[check_unit(unit)]
+    key = (str(spark._jsparkSession.sessionUUID()), name)
+    if key not in _registered:
+        spark.udf.register(name, _jw_bytes if unit == "byte" else _jw_chars)
+        _registered.add(key)
+    return name

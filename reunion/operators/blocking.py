@@ -1,14 +1,16 @@
 """Blocking: candidate pairs that agree on at least one comparison column.
 
-One equi self-join per column (rule k). Rule k keeps only pairs that do *not* agree on
-any earlier column, so every pair comes out exactly once without a dedup shuffle, and an
-``OR`` of equalities (which Catalyst would plan as a nested-loop join) never appears.
-NULL never blocks. ``within`` columns add an equality to every rule.
+Every record is stacked once per blocking rule as ``(rule, key)`` (NULL keys dropped) and
+the stack is joined with itself on ``(rule, key)``: one equi-join for all rules, whose two
+sides are the same plan, so Spark shuffles the stack once and reuses the exchange. Rule k
+keeps only pairs that do *not* agree on any earlier column, so every pair comes out exactly
+once without a dedup shuffle, and no ``OR`` of equalities (which Catalyst would plan as a
+nested-loop join) appears. ``within`` columns are part of every rule's key.
 
 Hot blocks: a block of n records makes n(n-1)/2 pairs. Blocks above ``block_split``
 records are salted: each record gets a bucket in ``[0, s)``, is copied once per bucket
-pair it takes part in, and the join key becomes (value, low bucket, high bucket). A hot
-block is then spread over s(s+1)/2 tasks instead of one, and each pair still comes out
+pair it takes part in, and the join key becomes (rule, key, low bucket, high bucket). A
+hot block is then spread over s(s+1)/2 tasks instead of one, and each pair still comes out
 once.
 """
 
@@ -20,6 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.levels import q
 from ..session import traced
 
 # Records per salt bucket of a hot block (largest block handled by one task unsalted).
@@ -28,56 +31,56 @@ DEFAULT_BLOCK_SPLIT = 5000
 HOT_KEY_BROADCAST_ROWS = 200_000
 
 
-def _side(slim: DataFrame, id_col: str, cols: Sequence[str], suffix: str) -> DataFrame:
-    return slim.select(F.col(id_col).alias(f"uid{suffix}"), *[F.col(c).alias(f"{c}{suffix}") for c in cols])
+def _and(conds: list[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
 
 
-def _exclusion(earlier: Sequence[str]) -> Column | None:
-    """True when the pair does not agree (non-NULL equal) on any earlier rule column."""
-    conds = [~F.coalesce(F.col(f"{c}_l") == F.col(f"{c}_r"), F.lit(False)) for c in earlier]
-    return reduce(lambda a, b: a & b, conds) if conds else None
-
+def stack_rules(
+    slim: DataFrame, columns: Sequence[str], *, id_col: str, within: Sequence[str] = (), carry: Sequence[str] = ()
+) -> DataFrame:
+    """``(uid, <carry...>, rule, key)``: one row per record and rule whose key is not NULL."""
+    entries = []
+    for k, c in enumerate(columns):
+        parts = [c, *within]
+        if within:
+            key = "to_json(named_struct(" + ", ".join(f"'{i}', {q(x)}" for i, x in enumerate(parts)) + "))"
+        else:
+            key = f"CAST({q(c)} AS STRING)"
+        nonnull = " AND ".join(f"{q(x)} IS NOT NULL" for x in parts)
+        entries.append(f"CASE WHEN {nonnull} THEN named_struct('rule', {k}, 'key', {key}) END")
+    return (
+        slim.selectExpr(f"{q(id_col)} AS uid", *[q(c) for c in carry], f"explode(array({', '.join(entries)})) AS _rk")
+        .where("_rk IS NOT NULL")
+        .selectExpr("uid", *[q(c) for c in carry], "_rk.rule AS rule", "_rk.key AS key")
+    )
 
-def block_maxima(slim: DataFrame, rules: Sequence[Sequence[str]]) -> list[int]:
-    """Largest block (records sharing all key values of a rule) for every rule.
 
-    All rules are stacked into one (rule, key) column and counted by one aggregate with
-    map-side partial counts, so the whole check is a single small job.
-    """
-    keyed = []
-    for i, keys in enumerate(rules):
-        nonnull = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        key = F.to_json(F.struct(*[F.col(k) for k in keys])) if len(keys) > 1 else F.col(keys[0]).cast("string")
-        keyed.append(F.when(nonnull, F.struct(F.lit(i).alias("rule"), key.alias("key"))))
-    stacked = slim.select(F.explode(F.array(*keyed)).alias("rk")).where(F.col("rk").isNotNull())
-    sizes = stacked.groupBy("rk").count()
+def block_maxima(stacked: DataFrame, n_rules: int) -> list[int]:
+    """Largest block of every rule, from one aggregate with map-side partial counts."""
+    sizes = stacked.groupBy("rule", "key").count()
     with traced("block-maxima"):
-        rows = sizes.groupBy(F.col("rk.rule").alias("rule")).agg(F.max("count").alias("largest")).collect()
-    out = [0] * len(rules)
+        rows = sizes.groupBy("rule").agg(F.max("count").alias("largest")).collect()
+    out = [0] * n_rules
     for r in rows:
         out[r["rule"]] = int(r["largest"] or 0)
     return out
 
 
-def _salted(slim: DataFrame, id_col: str, keys: Sequence[str], split: int) -> DataFrame:
-    """Tag every record with (_b bucket, _lo, _hi) copies; only hot blocks get more than one."""
-    nonnull = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+def _salt(stacked: DataFrame, split: int) -> DataFrame:
+    """Add ``_b`` (bucket) and one row per bucket pair ``(_lo, _hi)``; cold blocks keep one copy."""
     hot = (
-        slim.where(nonnull)
-        .groupBy(*keys)
+        stacked.groupBy("rule", "key")
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > F.lit(split))
-        .select(*keys, F.ceil(F.col("_n") / F.lit(split)).cast("int").alias("_s"))
+        .select("rule", "key", F.ceil(F.col("_n") / F.lit(split)).cast("int").alias("_s"))
     )
     n_hot = hot.count()
     if n_hot <= HOT_KEY_BROADCAST_ROWS:
         hot = F.broadcast(hot)
-    tagged = slim.join(hot, list(keys), "left").withColumn("_s", F.coalesce(F.col("_s"), F.lit(1)))
-    tagged = tagged.withColumn("_b", F.pmod(F.xxhash64(F.col(id_col)), F.col("_s")).cast("int"))
+    tagged = stacked.join(hot, ["rule", "key"], "left").withColumn("_s", F.coalesce(F.col("_s"), F.lit(1)))
+    tagged = tagged.withColumn("_b", F.pmod(F.xxhash64(F.col("uid")), F.col("_s")).cast("int"))
     tagged = tagged.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_s") - F.lit(1))))
-    return tagged.select(
-        "*", F.least("_b", "_j").alias("_lo"), F.greatest("_b", "_j").alias("_hi")
-    ).drop("_j", "_s")
+    return tagged.select("*", F.least("_b", "_j").alias("_lo"), F.greatest("_b", "_j").alias("_hi")).drop("_j", "_s")
 
 
 def candidate_pairs(
@@ -97,32 +100,25 @@ def candidate_pairs(
     columns = list(columns)
     within = list(within)
     carry = list(columns if carry is None else carry)
-    needed = list(dict.fromkeys([*columns, *within, *carry]))
-    rules = [[c, *within] for c in columns]
-    maxima = block_maxima(slim, rules) if block_split else [0] * len(rules)
-    out_cols = ["uid_l", "uid_r", "rule", *[f"{c}{s}" for c in carry for s in ("_l", "_r")]]
-
-    parts = []
-    for k, col in enumerate(columns):
-        keys = rules[k]
-        excl = _exclusion(columns[:k])
-        if block_split and maxima[k] > block_split:
-            tagged = _salted(slim.select(id_col, *needed), id_col, keys, block_split)
-            extra = ["_b", "_lo", "_hi"]
-            left = _side(tagged, id_col, [*needed, *extra], "_l")
-            right = _side(tagged, id_col, [*needed, *extra], "_r")
-            cond = [F.col(f"{c}_l") == F.col(f"{c}_r") for c in [*keys, "_lo", "_hi"]]
-            cond.append((F.col("_lo_l") == F.col("_hi_l")) | (F.col("_b_l") != F.col("_b_r")))
-        else:
-            left = _side(slim, id_col, needed, "_l")
-            right = _side(slim, id_col, needed, "_r")
-            cond = [F.col(f"{c}_l") == F.col(f"{c}_r") for c in keys]
-        cond.append(F.col("uid_l") < F.col("uid_r"))
-        if excl is not None:
-            cond.append(excl)
-        joined = left.join(right, reduce(lambda a, b: a & b, cond), "inner")
-        parts.append(joined.select(*[F.lit(k).alias("rule") if c == "rule" else F.col(c) for c in out_cols]))
-    return reduce(DataFrame.unionByName, parts)
+    needed = list(dict.fromkeys([*columns, *carry]))
+    stacked = stack_rules(slim, columns, id_col=id_col, within=within, carry=needed)
+    keys = ["rule", "key"]
+    cond = []
+    if block_split and max(block_maxima(stacked, len(columns))) > block_split:
+        stacked = _salt(stacked, block_split)
+        keys += ["_lo", "_hi"]
+        cond.append("(l._lo = l._hi OR l._b <> r._b)")
+    cond = [f"l.{k} = r.{k}" for k in keys] + ["l.uid < r.uid"] + cond
+    for j, c in enumerate(columns[:-1]):
+        # rule k drops pairs that agree on an earlier column j < k
+        cond.append(f"NOT (l.rule > {j} AND coalesce(l.{q(c)} = r.{q(c)}, false))")
+    joined = stacked.alias("l").join(stacked.alias("r"), F.expr(" AND ".join(cond)), "inner")
+    return joined.selectExpr(
+        "l.uid AS uid_l",
+        "r.uid AS uid_r",
+        "l.rule AS rule",
+        *[f"{side}.{q(c)} AS {q(c + '_' + side)}" for c in carry for side in ("l", "r")],
+    )
 
 
 def block_stats(slim: DataFrame, columns: Sequence[str], *, within: Sequence[str] = ()) -> DataFrame:

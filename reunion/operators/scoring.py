@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import PROB_COL
-from ..functions.levels import level_expr, match_probability_expr
+from ..functions.levels import level_sql, match_probability_sql, q
+from ..functions.similarity import register_jaro_winkler
 from ..model import Model
 
 
@@ -16,18 +17,22 @@ def level_col(column: str) -> str:
 
 def compare_pairs(pairs: DataFrame, model: Model, *, unit: str = "byte", keep_values: bool = False) -> DataFrame:
     """Add ``<c>_level`` for every comparison of ``model`` to a pair table with ``<c>_l``/``<c>_r``."""
+    jw = None
+    if any(c.kind == "name" for c in model.comparisons):
+        jw = register_jaro_winkler(pairs.sparkSession, unit)
     levels = [
-        level_expr(comp, F.col(f"{comp.column}_l"), F.col(f"{comp.column}_r"), unit).alias(level_col(comp.column))
+        f"{level_sql(comp, q(comp.column + '_l'), q(comp.column + '_r'), unit, jw)} AS {q(level_col(comp.column))}"
         for comp in model.comparisons
     ]
     value_cols = {f"{c}{s}" for c in model.columns for s in ("_l", "_r")}
-    keep = [c for c in pairs.columns if keep_values or c not in value_cols]
-    return pairs.select(*keep, *levels)
+    keep = [q(c) for c in pairs.columns if keep_values or c not in value_cols]
+    return pairs.selectExpr(*keep, *levels)
 
 
 def score_pairs(levels: DataFrame, model: Model) -> DataFrame:
     """Add ``match_probability`` from the level columns (prior odds times factors, in column order)."""
-    return levels.withColumn(PROB_COL, match_probability_expr(model, [F.col(level_col(c)) for c in model.columns]))
+    prob = match_probability_sql(model, [q(level_col(c)) for c in model.columns])
+    return levels.selectExpr("*", f"{prob} AS {PROB_COL}")
 
 
 def link_pairs(scored: DataFrame, threshold: float) -> DataFrame:

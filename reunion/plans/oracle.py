@@ -9,7 +9,7 @@ formulation of the same semantics.
 from __future__ import annotations
 
 from ..constants import JW_ROUND_DIGITS, PROB_COL, RESULT_ROUND_DIGITS
-from ..functions.levels import edit_band_table
+from ..functions.levels import edit_band_table  # same band table as the Spark plan
 from ..model import Comparison, Model
 
 

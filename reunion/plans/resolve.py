@@ -32,7 +32,7 @@ from ..constants import (
     RESERVED_COLUMNS,
 )
 from ..errors import MatchError
-from ..functions.levels import match_probability_expr
+from ..functions.levels import match_probability_sql, q
 from ..functions.similarity import check_unit
 from ..model import Model
 from ..operators.blocking import DEFAULT_BLOCK_SPLIT, candidate_pairs
@@ -113,8 +113,8 @@ def with_uid(df: DataFrame, id_col: str | None, *, check_ids: bool = True) -> tu
 
 def self_pair_probability(model: Model) -> Column:
     """Probability of a pair of identical records: exact level where the value is set, NULL level elsewhere."""
-    levels = [F.when(F.col(c.column).isNull(), F.lit(-1)).otherwise(F.lit(c.exact_level)) for c in model.comparisons]
-    return match_probability_expr(model, levels)
+    levels = [f"(CASE WHEN {q(c.column)} IS NULL THEN -1 ELSE {c.exact_level} END)" for c in model.comparisons]
+    return F.expr(match_probability_sql(model, levels))
 
 
 def _all_set(cols: Sequence[str]) -> Column:

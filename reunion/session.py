@@ -34,6 +34,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -60,10 +61,9 @@ def materialize(df, label: str = "stage"):
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/reunion-{label}-{uuid.uuid4().hex}"
-    t0 = time.time()
-    df.write.mode("error").parquet(path)
-    out = spark.read.parquet(path)
-    _trace(label, t0)
+    with traced(label):
+        df.write.mode("error").parquet(path)
+        out = spark.read.parquet(path)
     return out
 
 
@@ -76,10 +76,17 @@ class traced:
     def __enter__(self):
         import time
 
+        from pyspark import SparkContext
+
+        self.sc = SparkContext._active_spark_context
+        if self.sc is not None:
+            self.sc.setLocalProperty("spark.job.description", f"reunion:{self.label}")
         self.t0 = time.time()
         return self
 
     def __exit__(self, *exc):
+        if self.sc is not None:
+            self.sc.setLocalProperty("spark.job.description", None)
         _trace(self.label, self.t0)
         return False
 

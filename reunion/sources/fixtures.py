@@ -72,36 +72,20 @@ def planted_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     first name; k % 7 == 0 adds a copy with a longer surname and a shortened (k % 14 == 0:
     missing) email. Surnames repeat every 997 customers.
     """
-    c = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("bigint").alias("k"), "c_mktsegment")
-    md5 = lambda prefix, x: F.md5(F.concat(F.lit(prefix), x.cast("string")))
-    b = c.select(
-        "k",
-        F.substring(md5("f", F.col("k")), 1, 6).alias("f"),
-        F.substring(md5("l", F.col("k") % 997), 1, 7).alias("l"),
-        F.concat(
-            F.substring(md5("e", F.col("k")), 1, 8), F.lit("@"), F.lower("c_mktsegment"), F.lit(".example")
-        ).alias("e"),
+    b = read_table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS BIGINT) AS k",
+        "substr(md5(concat('f', CAST(c_custkey AS STRING))), 1, 6) AS f",
+        "substr(md5(concat('l', CAST(c_custkey % 997 AS STRING))), 1, 7) AS l",
+        "concat(substr(md5(concat('e', CAST(c_custkey AS STRING))), 1, 8), '@', lower(c_mktsegment), '.example') AS e",
     )
-    base = b.select(
-        (F.col("k") * 3).alias("record_id"),
-        F.col("f").alias("first_name"),
-        F.col("l").alias("last_name"),
-        F.col("e").alias("email"),
-        F.col("k").alias("expected_entity"),
+    base = b.selectExpr("k * 3 AS record_id", "f AS first_name", "l AS last_name", "e AS email", "k AS expected_entity")
+    typo = b.where("k % 5 = 0").selectExpr(
+        "k * 3 + 1 AS record_id", "concat(substr(f, 1, 5), 'z') AS first_name", "l AS last_name", "e AS email",
+        "k AS expected_entity",
     )
-    typo = b.where(F.col("k") % 5 == 0).select(
-        (F.col("k") * 3 + 1).alias("record_id"),
-        F.concat(F.substring("f", 1, 5), F.lit("z")).alias("first_name"),
-        F.col("l").alias("last_name"),
-        F.col("e").alias("email"),
-        F.col("k").alias("expected_entity"),
-    )
-    moved = b.where(F.col("k") % 7 == 0).select(
-        (F.col("k") * 3 + 2).alias("record_id"),
-        F.col("f").alias("first_name"),
-        F.concat(F.col("l"), F.lit("q")).alias("last_name"),
-        F.when(F.col("k") % 14 == 0, F.lit(None).cast("string")).otherwise(F.expr("substr(e, 2)")).alias("email"),
-        F.col("k").alias("expected_entity"),
+    moved = b.where("k % 7 = 0").selectExpr(
+        "k * 3 + 2 AS record_id", "f AS first_name", "concat(l, 'q') AS last_name",
+        "CASE WHEN k % 14 = 0 THEN CAST(NULL AS STRING) ELSE substr(e, 2) END AS email", "k AS expected_entity",
     )
     return base.unionByName(typo).unionByName(moved)
 
@@ -124,12 +108,11 @@ UNION ALL SELECT k*3+2, f, concat(l, 'q'), CASE WHEN k % 14 = 0 THEN NULL ELSE s
 
 def document_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Head and tail (40 characters each) and size of every document: near copies, non-ASCII text."""
-    d = read_table(spark, sf_dir, "documents")
-    return d.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.expr("substr(text, 1, 40)").alias("head"),
-        F.expr("substr(text, greatest(length(text) - 39, 1))").alias("tail"),
-        F.col("n_chars").cast("string").alias("size"),
+    return read_table(spark, sf_dir, "documents").selectExpr(
+        "CAST(doc_id AS BIGINT) AS doc_id",
+        "substr(text, 1, 40) AS head",
+        "substr(text, greatest(length(text) - 39, 1)) AS tail",
+        "CAST(n_chars AS STRING) AS size",
     )
 
 
@@ -145,8 +128,9 @@ FROM documents
 
 def part_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts on name, brand and type: low-cardinality columns that chain into one entity."""
-    p = read_table(spark, sf_dir, "part")
-    return p.select(F.col("p_partkey").cast("bigint").alias("p_partkey"), F.col("p_name").alias("name"), "p_brand", "p_type")
+    return read_table(spark, sf_dir, "part").selectExpr(
+        "CAST(p_partkey AS BIGINT) AS p_partkey", "p_name AS name", "p_brand", "p_type"
+    )
 
 
 PART_ATTRIBUTES_SQL = """

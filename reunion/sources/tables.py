@@ -16,9 +16,20 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+_cache: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of ``sf_dir`` as a lazy DataFrame (column pruning and filters reach the scan)."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    """A table of ``sf_dir`` as a lazy DataFrame (column pruning and filters reach the scan).
+
+    The DataFrame (its file listing and schema) is reused within a session.
+    """
+    path = table_path(sf_dir, name)
+    key = (str(spark._jsparkSession.sessionUUID()), path)
+    df = _cache.get(key)
+    if df is None:
+        df = _cache[key] = spark.read.parquet(path)
+    return df
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
