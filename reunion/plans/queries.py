@@ -345,3 +345,157 @@ QUERIES: dict[str, Query] = {
         ),
     ),
 }
+
+
+# --- training ---------------------------------------------------------------------
+
+from ..constants import TRAIN_PRIOR_RECALL, TRAIN_U_MAX_PAIRS, TRAIN_U_SEED  # noqa: E402
+from ..operators import training as T  # noqa: E402
+
+
+def q_train_prior(spark, sf_dir):
+    w = PLANTED
+    got = T.estimate_prior(T._slim(w.rows(spark, sf_dir), w.columns, w.id_col), w.columns)
+    rows = [] if got is None else [(got[1], float(got[0]))]
+    return spark.createDataFrame(rows, "column string, prior double").selectExpr(
+        "column", f"round(prior, 15) AS prior"
+    )
+
+
+def _prior_sql(w: Workload) -> str:
+    per_rule = "\n UNION ALL ".join(
+        f"SELECT {k} AS rule, '{c}' AS col, (SELECT coalesce(sum(n * (n - 1)) // 2, 0) FROM "
+        f"(SELECT count(*) AS n FROM slim WHERE {qi(c)} IS NOT NULL GROUP BY {qi(c)})) AS pairs"
+        for k, c in enumerate(w.columns)
+    )
+    return w.sql(
+        f"""SELECT col AS "column", round(CAST(pairs AS DOUBLE) / {TRAIN_PRIOR_RECALL} / (n * (n - 1) / 2.0), 15) AS prior
+        FROM (SELECT *, (SELECT count(*) FROM slim) AS n FROM ({per_rule}))
+        WHERE pairs > 0 ORDER BY rule LIMIT 1"""
+    )
+
+
+def q_train_u(spark, sf_dir):
+    w = PLANTED
+    slim = T._slim(w.rows(spark, sf_dir), w.columns, w.id_col)
+    pairs = T.u_sample_pairs(slim, T.u_buckets(slim.count()))
+    freq = T.level_frequencies(compare_pairs(pairs, w.model), w.model)
+    return freq.selectExpr(
+        "column", "level", f"round(n / sum(n) OVER (PARTITION BY column), {RESULT_ROUND_DIGITS}) AS u"
+    )
+
+
+def _u_sql(w: Workload) -> str:
+    n = "(SELECT count(*) FROM slim)"
+    buckets = f"greatest(1, CAST(ceil({n} * ({n} - 1) / 2.0 / {TRAIN_U_MAX_PAIRS}) AS BIGINT))"
+    bucket = f"('0x' || substr(md5(concat('{TRAIN_U_SEED}:', CAST(uid AS VARCHAR))), 1, 15))::BIGINT % {buckets}"
+    carry = ", ".join(f"l.{qi(c)} AS {qi(c + '_l')}, r.{qi(c)} AS {qi(c + '_r')}" for c in w.columns)
+    from .oracle import level_sql
+
+    levels = "\n UNION ALL ".join(
+        f"SELECT '{c.column}' AS col, {level_sql(c, qi(c.column + '_l'), qi(c.column + '_r'))} AS level FROM upairs"
+        for c in w.model.comparisons
+    )
+    extra = f"""tagged AS (SELECT *, {bucket} AS bucket FROM slim),
+upairs AS (SELECT {carry} FROM tagged l JOIN tagged r ON l.bucket = r.bucket AND l.uid < r.uid),
+ulev AS ({levels}),
+ucount AS (SELECT col, level, count(*) AS n FROM ulev WHERE level <> -1 GROUP BY col, level)"""
+    return w.sql(
+        f"""SELECT col AS "column", level, round(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY col), {RESULT_ROUND_DIGITS}) AS u
+        FROM ucount""",
+        extra_ctes=extra,
+    )
+
+
+def q_train_em_patterns(spark, sf_dir):
+    w = PLANTED
+    slim = T._slim(w.rows(spark, sf_dir), w.columns, w.id_col)
+    parts = []
+    for c in w.columns:
+        pat = T.em_patterns(slim, w.model, c)
+        parts.append(
+            pat.selectExpr(
+                f"'{c}' AS blocked",
+                *[("CAST(NULL AS INT)" if o == c else q_level(o)) + f" AS {q_level(o)}" for o in w.columns],
+                "n",
+            )
+        )
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_level(c: str) -> str:
+    from ..functions.levels import q as quote
+
+    return quote(c + "_level")
+
+
+def _em_patterns_sql(w: Workload) -> str:
+    from .oracle import level_sql
+
+    parts = []
+    for c in w.columns:
+        others = [x for x in w.model.comparisons if x.column != c]
+        carry = ", ".join(f"l.{qi(o.column)} AS {qi(o.column + '_l')}, r.{qi(o.column)} AS {qi(o.column + '_r')}" for o in others)
+        lv = {o.column: level_sql(o, qi(o.column + "_l"), qi(o.column + "_r")) for o in others}
+        cols = ", ".join(f"{lv[x] if x in lv else 'CAST(NULL AS INTEGER)'} AS {qi(x + '_level')}" for x in w.columns)
+        parts.append(
+            f"SELECT '{c}' AS blocked, {cols} FROM (SELECT {carry} FROM slim l JOIN slim r "
+            f"ON l.{qi(c)} = r.{qi(c)} AND l.uid < r.uid)"
+        )
+    group = ", ".join(["blocked", *[qi(x + "_level") for x in w.columns]])
+    return w.sql(f"SELECT {group}, count(*) AS n FROM ({' UNION ALL '.join(parts)}) GROUP BY {group}")
+
+
+def q_train_m(spark, sf_dir):
+    """m after EM (rounded); iterative, so no SQL twin."""
+    w = PLANTED
+    model = T.train_model(w.rows(spark, sf_dir), w.model, id_col=w.id_col)
+    rows = [(c.column, lv, float(c.m[lv]), float(c.u[lv])) for c in model.comparisons for lv in range(c.n_levels)]
+    return spark.createDataFrame(rows, "column string, level int, m double, u double").selectExpr(
+        "column", "level", f"round(m, {RESULT_ROUND_DIGITS}) AS m", f"round(u, {RESULT_ROUND_DIGITS}) AS u"
+    )
+
+
+def q_resolve_trained(spark, sf_dir):
+    w = PLANTED
+    out = resolve(w.rows(spark, sf_dir), w.columns, id_col=w.id_col, threshold=w.threshold, train=True)
+    return _round_p(out)
+
+
+# A supplied model (M4): used as-is, no training. Fixed values of this example model.
+SUPPLIED_MODEL_JSON = (
+    '{"prior": 0.02, "comparisons": ['
+    '{"column": "first_name", "kind": "name", "thresholds": [0.92, 0.88, 0.7], '
+    '"m": [0.05, 0.05, 0.1, 0.2, 0.6], "u": [0.9, 0.05, 0.03, 0.015, 0.005]}, '
+    '{"column": "last_name", "kind": "name", "thresholds": [0.92, 0.88, 0.7], '
+    '"m": [0.05, 0.05, 0.05, 0.15, 0.7], "u": [0.95, 0.02, 0.015, 0.01, 0.005]}, '
+    '{"column": "email", "kind": "edit", "thresholds": [1, 2], '
+    '"m": [0.1, 0.05, 0.15, 0.7], "u": [0.98, 0.01, 0.009, 0.001]}]}'
+)
+
+
+def q_resolve_with_model(spark, sf_dir):
+    w = PLANTED
+    out = resolve(w.rows(spark, sf_dir), w.columns, id_col=w.id_col, threshold=w.threshold, model=SUPPLIED_MODEL_JSON)
+    return _round_p(out)
+
+
+def _with_model_sql(w: Workload) -> str:
+    model = Model.from_json(SUPPLIED_MODEL_JSON)
+    body = f"SELECT * REPLACE ({rnd(PROB_COL)} AS {PROB_COL}) FROM resolved"
+    return with_pipeline(w.source_sql, w.id_col, model, w.threshold, body)
+
+
+QUERIES.update(
+    {
+        "train_prior": Query(q_train_prior, _prior_sql(PLANTED)),
+        "train_u": Query(q_train_u, _u_sql(PLANTED)),
+        "train_em_patterns": Query(q_train_em_patterns, _em_patterns_sql(PLANTED)),
+        "train_m": Query(q_train_m, None),
+        "resolve_trained": Query(q_resolve_trained, None),
+        "resolve_with_model": Query(q_resolve_with_model, _with_model_sql(PLANTED)),
+    }
+)
