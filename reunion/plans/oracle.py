@@ -99,3 +99,35 @@ def with_pipeline(
 ) -> str:
     extra = f", {extra_ctes}" if extra_ctes else ""
     return f"WITH RECURSIVE {pipeline_ctes(source_sql, id_col, model, threshold, within)}{extra} {body}"
+
+
+def score_sql(new_sql: str, known_sql: str, new_id: str, known_id: str, model: Model, threshold: float, body: str) -> str:
+    """CTEs newsrc, known, pairs, levels, scored, links, best, matched for scoring new against known records."""
+    cols = model.columns
+
+    def stack(src: str, idc: str) -> str:
+        vals = ", ".join(f"CAST({qi(c)} AS VARCHAR) AS {qi(c)}" for c in cols)
+        return " UNION ALL ".join(
+            f"SELECT {qi(idc)} AS uid, {k} AS rule, CAST({qi(c)} AS VARCHAR) AS key, {vals} FROM {src} WHERE {qi(c)} IS NOT NULL"
+            for k, c in enumerate(cols)
+        )
+
+    carry = ", ".join(f"l.{qi(c)} AS {qi(c + '_l')}, r.{qi(c)} AS {qi(c + '_r')}" for c in cols)
+    excl = "".join(f" AND NOT (l.rule > {j} AND coalesce(l.{qi(c)} = r.{qi(c)}, false))" for j, c in enumerate(cols[:-1]))
+    level_cols = ", ".join(
+        f"{level_sql(comp, qi(comp.column + '_l'), qi(comp.column + '_r'))} AS {qi(comp.column + '_level')}"
+        for comp in model.comparisons
+    )
+    prob = probability_sql(model, [qi(c + "_level") for c in cols])
+    return f"""WITH newsrc AS ({new_sql}),
+known AS ({known_sql}),
+ns AS ({stack('newsrc', new_id)}),
+ks AS ({stack('known', known_id)}),
+pairs AS (SELECT l.uid AS uid_l, r.uid AS uid_r, l.rule, {carry} FROM ns l JOIN ks r ON l.rule = r.rule AND l.key = r.key{excl}),
+levels AS (SELECT uid_l, uid_r, {level_cols} FROM pairs),
+scored AS (SELECT *, {prob} AS {PROB_COL} FROM levels),
+links AS (SELECT uid_l, uid_r, {PROB_COL} FROM scored WHERE {PROB_COL} >= {dbl(threshold)}),
+best AS (SELECT uid_l, uid_r AS match_id, {PROB_COL} FROM (
+  SELECT *, row_number() OVER (PARTITION BY uid_l ORDER BY {PROB_COL} DESC, uid_r) AS rn FROM links) WHERE rn = 1),
+matched AS (SELECT newsrc.*, best.match_id, best.{PROB_COL} FROM newsrc LEFT JOIN best ON newsrc.{qi(new_id)} = best.uid_l)
+{body}"""

@@ -18,6 +18,7 @@ from ..operators.blocking import block_stats, candidate_pairs
 from ..operators.clusters import best_match_probability
 from ..operators.components import connected_components
 from ..operators.scoring import compare_pairs, link_pairs, score_pairs
+from ..sources.fixtures import PLANTED_CUSTOMERS_SQL as PLANTED_SOURCE_SQL
 from ..sources.fixtures import WORKLOADS
 from .oracle import qi, rnd, with_pipeline
 from .resolve import resolve
@@ -499,3 +500,26 @@ QUERIES.update(
         "resolve_with_model": Query(q_resolve_with_model, _with_model_sql(PLANTED)),
     }
 )
+
+
+# --- scoring new records against known ones (X1) ----------------------------------
+
+from ..sources.fixtures import NEW_CUSTOMERS_SQL, new_customers  # noqa: E402
+from .oracle import score_sql  # noqa: E402
+from .score import score_records  # noqa: E402
+
+
+def q_score_new_records(spark, sf_dir):
+    """Best planted customer for every new customer record (default model, threshold 0.5)."""
+    w = PLANTED
+    out = score_records(new_customers(spark, sf_dir), w.rows(spark, sf_dir), w.model, new_id="new_id", known_id=w.id_col)
+    return _round_p(out)
+
+
+QUERIES["score_new_records"] = Query(
+    q_score_new_records,
+    score_sql(
+        NEW_CUSTOMERS_SQL, PLANTED_SOURCE_SQL, "new_id", PLANTED.id_col, PLANTED.model, PLANTED.threshold,
+        f"SELECT * REPLACE ({rnd(PROB_COL)} AS {PROB_COL}) FROM matched",
+    ),
+)

@@ -137,6 +137,29 @@ PART_ATTRIBUTES_SQL = """
 SELECT CAST(p_partkey AS BIGINT) AS p_partkey, p_name AS name, p_brand, p_type FROM part
 """
 
+# --- new customer records (from customer), to score against planted customers ----
+
+
+def new_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One new record per customer with a changed last letter of the first name (true entity kept)."""
+    return read_table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS BIGINT) AS new_id",
+        "concat(substr(md5(concat('f', CAST(c_custkey AS STRING))), 1, 5), 'y') AS first_name",
+        "substr(md5(concat('l', CAST(c_custkey % 997 AS STRING))), 1, 7) AS last_name",
+        "concat(substr(md5(concat('e', CAST(c_custkey AS STRING))), 1, 8), '@', lower(c_mktsegment), '.example') AS email",
+        "CAST(c_custkey AS BIGINT) AS expected_entity",
+    )
+
+
+NEW_CUSTOMERS_SQL = """
+SELECT CAST(c_custkey AS BIGINT) AS new_id,
+       concat(substr(md5(concat('f', CAST(c_custkey AS VARCHAR))), 1, 5), 'y') AS first_name,
+       substr(md5(concat('l', CAST(c_custkey % 997 AS VARCHAR))), 1, 7) AS last_name,
+       concat(substr(md5(concat('e', CAST(c_custkey AS VARCHAR))), 1, 8), '@', lower(c_mktsegment), '.example') AS email,
+       CAST(c_custkey AS BIGINT) AS expected_entity
+FROM customer
+"""
+
 # Workloads: name -> (builder, duckdb sql, id column, comparison columns, extra columns)
 WORKLOADS = {
     "planted": (planted_customers, PLANTED_CUSTOMERS_SQL, "record_id", ["first_name", "last_name", "email"]),

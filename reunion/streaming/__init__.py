@@ -1,0 +1,5 @@
+"""Structured Streaming entry points."""
+
+from .score import score_stream
+
+__all__ = ["score_stream"]
