@@ -55,15 +55,26 @@ def stack_rules(
     )
 
 
-def block_maxima(stacked: DataFrame, n_rules: int) -> list[int]:
-    """Largest block of every rule, from one aggregate with map-side partial counts."""
+def block_maxima(stacked: DataFrame, n_rules: int, extra: DataFrame | None = None) -> list[int]:
+    """Largest block of every rule, from one aggregate with map-side partial counts.
+
+    ``extra`` rows ``(rule, largest)`` with negative rules ride along in the same job and
+    are returned after the rules.
+    """
     sizes = stacked.groupBy("rule", "key").count()
+    maxima = sizes.groupBy("rule").agg(F.max("count").cast("bigint").alias("largest"))
+    if extra is not None:
+        maxima = maxima.unionByName(extra)
     with traced("block-maxima"):
-        rows = sizes.groupBy("rule").agg(F.max("count").alias("largest")).collect()
+        rows = maxima.collect()
     out = [0] * n_rules
+    tail: dict[int, int] = {}
     for r in rows:
-        out[r["rule"]] = int(r["largest"] or 0)
-    return out
+        if r["rule"] >= 0:
+            out[r["rule"]] = int(r["largest"] or 0)
+        else:
+            tail[r["rule"]] = int(r["largest"] or 0)
+    return out + [tail[k] for k in sorted(tail, reverse=True)]
 
 
 def _salt(stacked: DataFrame, split: int) -> DataFrame:
@@ -91,6 +102,7 @@ def candidate_pairs(
     within: Sequence[str] = (),
     carry: Sequence[str] | None = None,
     block_split: int | None = DEFAULT_BLOCK_SPLIT,
+    maxima: Sequence[int] | None = None,
 ) -> DataFrame:
     """All pairs ``uid_l < uid_r`` that agree on at least one of ``columns``.
 
@@ -104,7 +116,9 @@ def candidate_pairs(
     stacked = stack_rules(slim, columns, id_col=id_col, within=within, carry=needed)
     keys = ["rule", "key"]
     cond = []
-    if block_split and max(block_maxima(stacked, len(columns))) > block_split:
+    if block_split and maxima is None:
+        maxima = block_maxima(stacked, len(columns))
+    if block_split and max(maxima or [0]) > block_split:
         stacked = _salt(stacked, block_split)
         keys += ["_lo", "_hi"]
         cond.append("(l._lo = l._hi OR l._b <> r._b)")

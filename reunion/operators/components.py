@@ -11,6 +11,8 @@ of stars centred on each component's smallest node; only that yes/no reaches the
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,35 +20,40 @@ from ..session import ensure_checkpoint_dir, materialize, traced
 
 MAX_ROUNDS = 64
 
+# One round: large-star then small-star, as one SQL statement over the edge view {e}.
+_ROUND_SQL = """
+WITH both AS (SELECT a AS u, b AS v FROM {e} UNION ALL SELECT b AS u, a AS v FROM {e}),
+     low AS (SELECT u, least(u, min(v)) AS m FROM both GROUP BY u),
+     large AS (SELECT both.v AS a, low.m AS b FROM both JOIN low ON both.u = low.u WHERE both.v > both.u),
+     oriented AS (SELECT greatest(a, b) AS u, least(a, b) AS v FROM large),
+     low2 AS (SELECT u, min(v) AS m FROM oriented GROUP BY u)
+SELECT DISTINCT a, b FROM (
+  SELECT oriented.v AS a, low2.m AS b FROM oriented JOIN low2 ON oriented.u = low2.u WHERE oriented.v <> low2.m
+  UNION ALL
+  SELECT u AS a, m AS b FROM low2)
+"""
+
+# Star forest: every child has one parent and no parent is itself a child (one aggregate).
+_STAR_CHECK_SQL = """
+SELECT coalesce(max(CASE WHEN parents > 1 OR (parents = 1 AND is_parent = 1) THEN 1 ELSE 0 END), 0) AS bad
+FROM (SELECT node, count(DISTINCT parent) AS parents, max(CASE WHEN parent IS NULL THEN 1 ELSE 0 END) AS is_parent
+      FROM (SELECT a AS node, b AS parent FROM {e} UNION ALL SELECT b AS node, NULL AS parent FROM {e})
+      GROUP BY node)
+"""
 
-def _large_star(e: DataFrame) -> DataFrame:
-    """Link every neighbour larger than u to the smallest node of u's closed neighbourhood."""
-    both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
-        e.select(F.col("b").alias("u"), F.col("a").alias("v"))
-    )
-    low = both.groupBy("u").agg(F.min("v").alias("mv")).select("u", F.least("u", "mv").alias("m"))
-    return both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
 
+def _view(df: DataFrame, tag: str) -> str:
+    name = f"reunion_{tag}_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(name)
+    return name
 
-def _small_star(e: DataFrame) -> DataFrame:
-    """Link u and its smaller neighbours to the smallest of them."""
-    oriented = e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    low = oriented.groupBy("u").agg(F.min("v").alias("m"))
-    spokes = oriented.join(low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("a"), F.col("m").alias("b"))
-    return spokes.unionByName(low.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
+
+def _large_small_star(e: DataFrame) -> DataFrame:
+    return e.sparkSession.sql(_ROUND_SQL.format(e=_view(e, "edges")))
 
 
 def _is_star_forest(e: DataFrame) -> bool:
-    """True when every child has one parent and no parent is itself a child (one aggregate)."""
-    roles = e.select(F.col("a").alias("node"), F.col("b").alias("parent")).unionByName(
-        e.select(F.col("b").alias("node"), F.lit(None).cast(e.schema["b"].dataType).alias("parent"))
-    )
-    per_node = roles.groupBy("node").agg(
-        F.countDistinct("parent").alias("parents"),
-        F.max(F.col("parent").isNull().cast("int")).alias("is_parent"),
-    )
-    bad = per_node.where((F.col("parents") > 1) | ((F.col("parents") == 1) & (F.col("is_parent") == 1)))
-    return bad.limit(1).count() == 0
+    return e.sparkSession.sql(_STAR_CHECK_SQL.format(e=_view(e, "edges"))).collect()[0]["bad"] == 0
 
 
 def connected_components(
@@ -62,21 +69,17 @@ def connected_components(
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
-    e = (
-        edges.select(F.least(src, dst).alias("b"), F.greatest(src, dst).alias("a"))
-        .where(F.col("a") != F.col("b"))
-        .distinct()
-    )
+    e = edges.selectExpr(f"least({src}, {dst}) AS b", f"greatest({src}, {dst}) AS a").where("a <> b")
     rounds = 0
+    # Links of duplicate records nearly always hold triangles, so the loop starts with a
+    # round; an input that is already a star forest comes out of it unchanged.
     while True:
-        with traced(f"cc-check{rounds}"):
-            done = _is_star_forest(e)
-        if done:
-            break
         if rounds >= max_rounds:
             raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
-        e = materialize(_small_star(_large_star(e)), f"cc-round{rounds}")
+        e = materialize(_large_small_star(e), f"cc-round{rounds}")
         rounds += 1
-    return e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
-        e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    )
+        with traced(f"cc-check{rounds}"):
+            if _is_star_forest(e):
+                break
+    view = _view(e, "stars")
+    return spark.sql(f"SELECT a AS node, b AS root FROM {view} UNION ALL SELECT DISTINCT b AS node, b AS root FROM {view}")

@@ -35,7 +35,7 @@ from ..errors import MatchError
 from ..functions.levels import match_probability_sql, q
 from ..functions.similarity import check_unit
 from ..model import Model
-from ..operators.blocking import DEFAULT_BLOCK_SPLIT, candidate_pairs
+from ..operators.blocking import DEFAULT_BLOCK_SPLIT, block_maxima, candidate_pairs, stack_rules
 from ..operators.clusters import best_match_probability, dense_ids
 from ..operators.components import connected_components
 from ..operators.scoring import compare_pairs, link_pairs, score_pairs
@@ -71,16 +71,35 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
         )
 
 
-def check_inputs(df: DataFrame, columns: Sequence[str], threshold: float) -> None:
-    """The checks in their fixed order: empty input, threshold, then columns."""
+def check_inputs(df: DataFrame, columns: Sequence[str], threshold: float, id_col: str | None = None,
+                 check_ids: bool = True) -> None:
+    """The checks in their fixed order: empty input, threshold, columns, then ids.
+
+    With an id column the emptiness and the id checks share one aggregate job.
+    """
     if df.isStreaming:
         raise MatchError("resolve needs a batch DataFrame; score a stream with reunion.streaming.score_stream")
-    if df.isEmpty():
+    ids_ok = True
+    if id_col is not None and check_ids and id_col in df.columns:
+        per_id = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
+        stats = per_id.agg(
+            F.count(F.lit(1)).alias("ids"),
+            F.max(((F.col("n") > 1) | F.col(id_col).isNull()).cast("int")).alias("bad"),
+        ).collect()[0]
+        empty = stats["ids"] == 0
+        ids_ok = not stats["bad"]
+    else:
+        empty = df.isEmpty()
+    if empty:
         raise MatchError("match_resolve requires a non-empty input relation")
     t = float(threshold)
     if not 0.0 <= t <= 1.0:
         raise MatchError(f"threshold must be in [0, 1], got {threshold}")
     require_columns(df, columns)
+    if id_col is not None and id_col not in df.columns:
+        raise MatchError(f"id column not found in input relation: {id_col}")
+    if not ids_ok:
+        raise MatchError(f"id column {id_col} must be unique and not NULL")
 
 
 def _free_name(df: DataFrame, base: str) -> str:
@@ -91,20 +110,16 @@ def _free_name(df: DataFrame, base: str) -> str:
     return name
 
 
-def with_uid(df: DataFrame, id_col: str | None, *, check_ids: bool = True) -> tuple[DataFrame, str]:
+def with_uid(df: DataFrame, id_col: str | None) -> tuple[DataFrame, str]:
     """Give every row a unique, orderable id that stays fixed for the whole job.
 
-    With ``id_col`` the caller's column is used (and checked unique). Without it a
+    With ``id_col`` the caller's column is used (checked unique by :func:`check_inputs`). Without it a
     generated id follows input order; it is checkpointed so that recomputation after a
     lost executor cannot renumber rows.
     """
     if id_col is not None:
         if id_col not in df.columns:
             raise MatchError(f"id column not found in input relation: {id_col}")
-        if check_ids:
-            bad = df.groupBy(id_col).count().where(F.col(id_col).isNull() | (F.col("count") > 1))
-            if bad.limit(1).count():
-                raise MatchError(f"id column {id_col} must be unique and not NULL")
         return df, id_col
     ensure_checkpoint_dir(df.sparkSession)
     name = _free_name(df, UID)
@@ -145,7 +160,10 @@ def resolve_labels(
         .agg(F.min(uid).alias("pid"), F.count(F.lit(1)).alias("n"))
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    pairs = candidate_pairs(profiles, cols, id_col="pid", within=within, block_split=block_split)
+    stacked = stack_rules(profiles, cols, id_col="pid", within=within)
+    copies = profiles.agg(F.lit(-1).alias("rule"), F.max("n").cast("bigint").alias("largest"))
+    *maxima, largest_profile = block_maxima(stacked, len(cols), copies)
+    pairs = candidate_pairs(profiles, cols, id_col="pid", within=within, block_split=block_split, maxima=maxima)
     scored = score_pairs(compare_pairs(pairs, model, unit=unit), model)
     links = materialize(link_pairs(scored, t).select("uid_l", "uid_r", PROB_COL), "links")
 
@@ -165,6 +183,11 @@ def resolve_labels(
             F.greatest(F.col("best"), F.when(F.col("self_linked"), F.col("p_self"))).alias("pbest"),
         )
     )
+    if largest_profile <= 1:
+        # no exact copies: every profile is one record and pid is its uid
+        return prof.select(
+            F.col("pid").alias("uid"), F.col("proot").alias("root"), F.coalesce(F.col("pbest"), F.lit(1.0)).alias("best")
+        )
     member = slim.alias("s").join(
         prof.alias("p"), reduce(lambda a, b: a & b, [F.col(f"s.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys])
     )
@@ -207,14 +230,13 @@ def resolve(
         cols = model.columns
     check_unit(unit)
     with traced("checks"):
-        check_inputs(df, cols, threshold)
+        check_inputs(df, cols, threshold, id_col, check_ids)
     if model is not None:
         require_columns(df, model.columns)
     within = list(within)
     require_columns(df, within) if within else None
 
-    with traced("ids-check"):
-        rows, uid = with_uid(df, id_col, check_ids=check_ids)
+    rows, uid = with_uid(df, id_col)
     if model is None:
         model = Model.default(cols, prior)
         if train:
@@ -238,7 +260,8 @@ def resolve(
         F.col("best").alias(PROB_COL, metadata={"comment": PROB_COMMENT}),
     )
     keep = [c for c in rows.columns if c not in RESERVED_COLUMNS and (id_col is not None or c != uid)]
-    out = rows.join(per_row, uid, "left").select(*keep, CLUSTER_COL, PROB_COL)
+    passthrough = rows.select(*dict.fromkeys([*keep, uid]))
+    out = passthrough.join(per_row, uid, "left").select(*keep, CLUSTER_COL, PROB_COL)
     return out
 
 
