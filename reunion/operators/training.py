@@ -192,7 +192,8 @@ def estimate_m(slim: DataFrame, model: Model, *, unit: str = "byte") -> tuple[di
             rows = em_patterns(slim, model, comp.column, unit=unit).collect()
         if not rows:
             continue
-        patterns = [(tuple(int(r[level_col(c.column)]) for c in others), int(r["n"])) for r in rows]
+        # sorted, so the floating-point sums do not depend on the order rows arrive in
+        patterns = sorted((tuple(int(r[level_col(c.column)]) for c in others), int(r["n"])) for r in rows)
         odds = model.prior_odds * comp.factors[comp.exact_level]
         m, _, _ = run_em(patterns, others, odds / (1.0 + odds))
         for c, mm in zip(others, m):

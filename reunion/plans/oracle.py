@@ -39,10 +39,12 @@ def factor_sql(comp: Comparison, level: str) -> str:
     return f"(CASE {level} WHEN -1 THEN {dbl(1.0)} {whens} END)"
 
 
-def probability_sql(model: Model, levels: list[str]) -> str:
-    odds = dbl(model.prior_odds)
-    for comp, lvl in zip(model.comparisons, levels):
-        odds = f"({odds} * {factor_sql(comp, lvl)})"
+def probability_sql(model: Model, levels: list[str], factors_from: str | None = None) -> str:
+    """Pair probability; with ``factors_from`` the prior odds and factor lists come from that relation's columns."""
+    odds = f"{factors_from}.prior_odds" if factors_from else dbl(model.prior_odds)
+    for k, (comp, lvl) in enumerate(zip(model.comparisons, levels)):
+        f = f"{factors_from}.f{k}[{lvl} + 2]" if factors_from else factor_sql(comp, lvl)
+        odds = f"({odds} * {f})"
     return f"({odds} / ({dbl(1.0)} + {odds}))"
 
 
@@ -50,7 +52,9 @@ def rnd(expr: str) -> str:
     return f"round({expr}, {RESULT_ROUND_DIGITS})"
 
 
-def pipeline_ctes(source_sql: str, id_col: str, model: Model, threshold: float, within: list[str] = ()) -> str:
+def pipeline_ctes(
+    source_sql: str, id_col: str, model: Model, threshold: float, within: list[str] = (), trained_ctes: str = ""
+) -> str:
     """CTE list (without WITH) defining src, slim, pairs, levels, scored, links, comp, best, labels, ids, resolved."""
     cols = model.columns
     within = list(within)
@@ -69,13 +73,27 @@ def pipeline_ctes(source_sql: str, id_col: str, model: Model, threshold: float,
         f"{level_sql(comp, qi(comp.column + '_l'), qi(comp.column + '_r'))} AS {qi(comp.column + '_level')}"
         for comp in model.comparisons
     )
-    prob = probability_sql(model, [qi(c + "_level") for c in cols])
+    if trained_ctes:
+        # model trained in SQL: prior odds and [1.0, m/u per level] lists from tprior/tmodel
+        facs = ", ".join(
+            f"(SELECT list_prepend(1.0, list_transform(range(len(m)), lambda i: m[i + 1] / u[i + 1])) FROM tmodel "
+            f"WHERE col = '{c}') AS f{k}"
+            for k, c in enumerate(cols)
+        )
+        fac_cte = f"{trained_ctes},\ntfac AS (SELECT (SELECT prior / (1.0 - prior) FROM tprior) AS prior_odds, {facs}),"
+        prob = probability_sql(model, [qi(c + "_level") for c in cols], "tfac")
+        scored = f"scored AS (SELECT levels.*, {prob} AS {PROB_COL} FROM levels, tfac),"
+    else:
+        fac_cte = ""
+        prob = probability_sql(model, [qi(c + "_level") for c in cols])
+        scored = f"scored AS (SELECT *, {prob} AS {PROB_COL} FROM levels),"
     return f"""
 src AS ({source_sql}),
 slim AS (SELECT {qi(id_col)} AS uid, {slim_cols}{slim_within} FROM src),
+{fac_cte}
 pairs AS ({' UNION ALL '.join(rules)}),
 levels AS (SELECT uid_l, uid_r, rule, {level_cols} FROM pairs),
-scored AS (SELECT *, {prob} AS {PROB_COL} FROM levels),
+{scored}
 links AS (SELECT uid_l, uid_r, {PROB_COL} FROM scored WHERE {PROB_COL} >= {dbl(threshold)}),
 edges AS (SELECT uid_l AS a, uid_r AS b FROM links UNION ALL SELECT uid_r AS a, uid_l AS b FROM links),
 reach(node, root) AS (
@@ -95,10 +113,11 @@ resolved AS (SELECT src.*, ids.cluster_id, labels.best AS {PROB_COL}
 
 
 def with_pipeline(
-    source_sql: str, id_col: str, model: Model, threshold: float, body: str, within=(), extra_ctes: str = ""
+    source_sql: str, id_col: str, model: Model, threshold: float, body: str, within=(), extra_ctes: str = "",
+    trained_ctes: str = "",
 ) -> str:
     extra = f", {extra_ctes}" if extra_ctes else ""
-    return f"WITH RECURSIVE {pipeline_ctes(source_sql, id_col, model, threshold, within)}{extra} {body}"
+    return f"WITH RECURSIVE {pipeline_ctes(source_sql, id_col, model, threshold, within, trained_ctes)}{extra} {body}"
 
 
 def score_sql(new_sql: str, known_sql: str, new_id: str, known_id: str, model: Model, threshold: float, body: str) -> str:

@@ -523,3 +523,26 @@ QUERIES["score_new_records"] = Query(
         f"SELECT * REPLACE ({rnd(PROB_COL)} AS {PROB_COL}) FROM matched",
     ),
 )
+
+
+# --- SQL twins of trained results -------------------------------------------------
+
+from .oracle_training import training_ctes  # noqa: E402
+
+
+def _train_m_sql(w: Workload) -> str:
+    body = f"""SELECT col AS "column", CAST(level AS INTEGER) AS level,
+               round(m[level + 1], {RESULT_ROUND_DIGITS}) AS m, round(u[level + 1], {RESULT_ROUND_DIGITS}) AS u
+        FROM tmodel, range(0, len(m)) AS t(level)"""
+    return w.sql(body, extra_ctes=training_ctes(w.model))
+
+
+QUERIES["train_m"] = Query(q_train_m, _train_m_sql(PLANTED))
+
+
+def _resolve_trained_sql(w: Workload) -> str:
+    body = f"SELECT * REPLACE ({rnd(PROB_COL)} AS {PROB_COL}) FROM resolved"
+    return with_pipeline(w.source_sql, w.id_col, w.model, w.threshold, body, trained_ctes=training_ctes(w.model))
+
+
+QUERIES["resolve_trained"] = Query(q_resolve_trained, _resolve_trained_sql(PLANTED))
