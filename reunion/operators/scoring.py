@@ -15,13 +15,20 @@ def level_col(column: str) -> str:
     return f"{column}_level"
 
 
-def compare_pairs(pairs: DataFrame, model: Model, *, unit: str = "byte", keep_values: bool = False) -> DataFrame:
-    """Add ``<c>_level`` for every comparison of ``model`` to a pair table with ``<c>_l``/``<c>_r``."""
+def compare_pairs(
+    pairs: DataFrame, model: Model, *, unit: str = "byte", keep_values: bool = False, edit_unit: str | None = None
+) -> DataFrame:
+    """Add ``<c>_level`` for every comparison of ``model`` to a pair table with ``<c>_l``/``<c>_r``.
+
+    ``edit_unit`` overrides the unit of the edit-distance comparisons, e.g. ``"char"`` when
+    their values were already mapped to one character per byte (see ``byte_chars``).
+    """
     jw = None
     if any(c.kind == "name" for c in model.comparisons):
         jw = register_jaro_winkler(pairs.sparkSession, unit)
     levels = [
-        f"{level_sql(comp, q(comp.column + '_l'), q(comp.column + '_r'), unit, jw)} AS {q(level_col(comp.column))}"
+        f"{level_sql(comp, q(comp.column + '_l'), q(comp.column + '_r'), unit if comp.kind == 'name' else (edit_unit or unit), jw)}"
+        f" AS {q(level_col(comp.column))}"
         for comp in model.comparisons
     ]
     value_cols = {f"{c}{s}" for c in model.columns for s in ("_l", "_r")}

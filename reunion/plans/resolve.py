@@ -149,6 +149,7 @@ def resolve_labels(
     within: Sequence[str] = (),
     unit: str = "byte",
     block_split: int | None = DEFAULT_BLOCK_SPLIT,
+    edit_unit: str | None = None,
 ) -> DataFrame:
     """``(uid, root, best)`` for every record of ``slim`` (uid + comparison/within columns)."""
     cols = model.columns
@@ -164,7 +165,7 @@ def resolve_labels(
     copies = profiles.agg(F.lit(-1).alias("rule"), F.max("n").cast("bigint").alias("largest"))
     *maxima, largest_profile = block_maxima(stacked, len(cols), copies)
     pairs = candidate_pairs(profiles, cols, id_col="pid", within=within, block_split=block_split, maxima=maxima)
-    scored = score_pairs(compare_pairs(pairs, model, unit=unit), model)
+    scored = score_pairs(compare_pairs(pairs, model, unit=unit, edit_unit=edit_unit), model)
     links = materialize(link_pairs(scored, t).select("uid_l", "uid_r", PROB_COL), "links")
 
     comps = connected_components(links)
@@ -244,13 +245,21 @@ def resolve(
 
             model = train_model(rows, model, id_col=uid, unit=unit)
     used = model.columns
-    slim = rows.select(
-        F.col(uid).alias("uid"),
-        *[F.col(c).cast("string").alias(c) for c in used],
-        *[F.col(c) for c in within if c not in used],
-    )
+    # Edit-distance columns are mapped to one character per UTF-8 byte here, once per record,
+    # instead of once per pair; equality and blocking are unchanged by the mapping.
+    edit_bytes = unit == "byte"
+    values = [
+        f"decode(encode(CAST({q(c.column)} AS STRING), 'UTF-8'), 'ISO-8859-1') AS {q(c.column)}"
+        if edit_bytes and c.kind == "edit"
+        else f"CAST({q(c.column)} AS STRING) AS {q(c.column)}"
+        for c in model.comparisons
+    ]
+    slim = rows.selectExpr(f"{q(uid)} AS uid", *values, *[q(c) for c in within if c not in used])
     slim = slim.persist(StorageLevel.MEMORY_AND_DISK)
-    labels = resolve_labels(slim, model, threshold, uid="uid", within=within, unit=unit, block_split=block_split)
+    labels = resolve_labels(
+        slim, model, threshold, uid="uid", within=within, unit=unit, block_split=block_split,
+        edit_unit="char" if edit_bytes else None,
+    )
     # Deterministic from written or persisted inputs: persisting is enough (recomputed if lost).
     labels = labels.persist(StorageLevel.MEMORY_AND_DISK)
     ids = dense_ids(labels, "root", CLUSTER_COL)

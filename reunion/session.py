@@ -98,3 +98,4 @@ def _trace(label: str, t0: float) -> None:
 
     if os.environ.get("REUNION_TRACE"):
         print(f"[reunion] {label}: {time.time() - t0:.2f}s", file=sys.stderr)
+
