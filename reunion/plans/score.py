@@ -17,7 +17,7 @@ from ..constants import DEFAULT_THRESHOLD, PROB_COL
 from ..errors import MatchError
 from ..functions.levels import q
 from ..model import Model
-from ..operators.blocking import DEFAULT_BLOCK_SPLIT, block_maxima, stack_rules
+from ..operators.blocking import DEFAULT_BLOCK_SPLIT, HOT_KEY_BROADCAST_ROWS, block_maxima, stack_rules
 from ..operators.scoring import compare_pairs, link_pairs, score_pairs
 
 MATCH_ID = "match_id"
@@ -30,26 +30,43 @@ def _stack(df: DataFrame, model: Model, id_col: str, within: Sequence[str]) -> D
     return stack_rules(slim, model.columns, id_col="uid", within=within, carry=model.columns)
 
 
-def salt_known(known_stack: DataFrame, split: int | None, n_rules: int) -> tuple[DataFrame, int]:
-    """Spread the known side over buckets when a block is hot: (stack with ``_b``, buckets).
+def salt_known(known_stack: DataFrame, split: int | None, n_rules: int) -> tuple[DataFrame, DataFrame | None]:
+    """Spread hot blocks of the known side over buckets: (stack with ``_b``, hot keys with ``_s``).
 
-    The new side is then copied once per bucket, so a hot block is joined by many tasks.
+    A known block above ``split`` records gets ``_s`` buckets; new records of that block are
+    copied once per bucket, so the block is joined by ``_s`` tasks. Cold blocks use bucket 0
+    and are not copied. The hot-key list is broadcast only up to a checked length.
     """
-    if not split:
-        return known_stack.withColumn("_b", F.lit(0)), 1
-    largest = max(block_maxima(known_stack, n_rules) or [0])
-    buckets = max(1, -(-largest // split))
-    if buckets == 1:
-        return known_stack.withColumn("_b", F.lit(0)), 1
-    return known_stack.withColumn("_b", F.expr(f"CAST(pmod(xxhash64(uid), {buckets}) AS INT)")), buckets
+    if not split or max(block_maxima(known_stack, n_rules) or [0]) <= split:
+        return known_stack.withColumn("_b", F.lit(0)), None
+    hot = (
+        known_stack.groupBy("rule", "key")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > F.lit(split))
+        .select("rule", "key", F.ceil(F.col("_n") / F.lit(split)).cast("int").alias("_s"))
+    )
+    if hot.count() <= HOT_KEY_BROADCAST_ROWS:
+        hot = F.broadcast(hot)
+    tagged = (
+        known_stack.join(hot, ["rule", "key"], "left")
+        .withColumn("_b", F.expr("CAST(pmod(xxhash64(uid), coalesce(_s, 1)) AS INT)"))
+        .drop("_s")
+    )
+    return tagged, hot
 
 
-def score_pairs_between(new_stack: DataFrame, known_stack: DataFrame, model: Model, buckets: int = 1) -> DataFrame:
+def score_pairs_between(
+    new_stack: DataFrame, known_stack: DataFrame, model: Model, hot: DataFrame | None = None
+) -> DataFrame:
     """Candidate pairs (new, known) agreeing on some column, each pair once (first agreeing rule)."""
-    if buckets > 1:
-        new_stack = new_stack.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    else:
+    if hot is None:
         new_stack = new_stack.withColumn("_b", F.lit(0))
+    else:
+        new_stack = (
+            new_stack.join(hot, ["rule", "key"], "left")
+            .withColumn("_b", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_s"), F.lit(1)) - F.lit(1))))
+            .drop("_s")
+        )
     cond = ["l.rule = r.rule", "l.key = r.key", "l._b = r._b"]
     for j, c in enumerate(model.columns[:-1]):
         cond.append(f"NOT (l.rule > {j} AND coalesce(l.{q(c)} = r.{q(c)}, false))")
@@ -78,7 +95,7 @@ def score_records(
     within: Sequence[str] = (),
     block_split: int | None = DEFAULT_BLOCK_SPLIT,
     known_stack: DataFrame | None = None,
-    buckets: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Every new row plus ``match_id`` (best known id, NULL if none) and ``match_probability``."""
     if isinstance(model, str):
@@ -88,8 +105,8 @@ def score_records(
         if missing:
             raise MatchError(f"comparison column(s) not found in {name} relation: {', '.join(missing)}")
     if known_stack is None:
-        known_stack, buckets = salt_known(_stack(known_df, model, known_id, within), block_split, len(model.columns))
-    pairs = score_pairs_between(_stack(new_df, model, new_id, within), known_stack, model, buckets or 1)
+        known_stack, hot = salt_known(_stack(known_df, model, known_id, within), block_split, len(model.columns))
+    pairs = score_pairs_between(_stack(new_df, model, new_id, within), known_stack, model, hot)
     links = link_pairs(score_pairs(compare_pairs(pairs, model, unit=unit), model), threshold)
     best = best_matches(links)
     keep = [c for c in new_df.columns if c not in (MATCH_ID, PROB_COL)]

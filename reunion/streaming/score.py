@@ -40,13 +40,15 @@ def score_stream(
         raise ValueError("score_stream needs a streaming DataFrame; use score_records for a batch")
     if isinstance(model, str):
         model = Model.from_json(model)
-    known_stack, buckets = salt_known(_stack(known_df, model, known_id, within), block_split, len(model.columns))
+    known_stack, hot = salt_known(_stack(known_df, model, known_id, within), block_split, len(model.columns))
     known_stack = known_stack.persist(StorageLevel.MEMORY_AND_DISK)
+    if hot is not None:
+        hot = hot.persist(StorageLevel.MEMORY_AND_DISK)
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
         scored = score_records(
             batch, known_df, model, new_id=new_id, known_id=known_id, threshold=threshold, unit=unit,
-            within=within, known_stack=known_stack, buckets=buckets,
+            within=within, known_stack=known_stack, hot=hot,
         )
         sink(scored, epoch_id)
 

@@ -43,3 +43,19 @@ def test_resolve_rejects_stream(spark):
     stream = spark.readStream.schema(new_customers(spark, SF001).schema).parquet(src)
     with pytest.raises(MatchError, match="batch"):
         resolve(stream, ["first_name"])
+
+
+def test_salted_scoring_is_exact(spark):
+    from reunion.model import Model
+
+    known = spark.createDataFrame(
+        [(i, "smith" if i % 3 else "jones", f"e{i % 7}") for i in range(90)], "kid bigint, last_name string, email string"
+    )
+    new = spark.createDataFrame(
+        [(100 + i, "smith" if i % 2 else "jonez", f"e{i % 5}") for i in range(20)], "nid bigint, last_name string, email string"
+    )
+    m = Model.default(["last_name", "email"])
+    plain = sorted(tuple(r) for r in score_records(new, known, m, new_id="nid", known_id="kid", block_split=None).collect())
+    salted = sorted(tuple(r) for r in score_records(new, known, m, new_id="nid", known_id="kid", block_split=7).collect())
+    assert plain == salted
+    assert any(r[-2] is not None for r in plain)
