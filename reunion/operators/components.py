@@ -42,18 +42,34 @@ FROM (SELECT node, count(DISTINCT parent) AS parents, max(CASE WHEN parent IS NU
 """
 
 
-def _view(df: DataFrame, tag: str) -> str:
-    name = f"reunion_{tag}_{uuid.uuid4().hex}"
-    df.createOrReplaceTempView(name)
-    return name
+class _view:
+    """A uniquely named temp view for one SQL statement, dropped afterwards.
+
+    ``spark.sql`` resolves the view while analysing, so the returned DataFrame keeps working
+    after the name is gone.
+    """
+
+    def __init__(self, df: DataFrame, tag: str):
+        self.df = df
+        self.name = f"reunion_{tag}_{uuid.uuid4().hex}"
+
+    def __enter__(self) -> str:
+        self.df.createOrReplaceTempView(self.name)
+        return self.name
+
+    def __exit__(self, *exc):
+        self.df.sparkSession.catalog.dropTempView(self.name)
+        return False
 
 
 def _large_small_star(e: DataFrame) -> DataFrame:
-    return e.sparkSession.sql(_ROUND_SQL.format(e=_view(e, "edges")))
+    with _view(e, "edges") as name:
+        return e.sparkSession.sql(_ROUND_SQL.format(e=name))
 
 
 def _is_star_forest(e: DataFrame) -> bool:
-    return e.sparkSession.sql(_STAR_CHECK_SQL.format(e=_view(e, "edges"))).collect()[0]["bad"] == 0
+    with _view(e, "edges") as name:
+        return e.sparkSession.sql(_STAR_CHECK_SQL.format(e=name)).collect()[0]["bad"] == 0
 
 
 def connected_components(
@@ -81,5 +97,7 @@ def connected_components(
         with traced(f"cc-check{rounds}"):
             if _is_star_forest(e):
                 break
-    view = _view(e, "stars")
-    return spark.sql(f"SELECT a AS node, b AS root FROM {view} UNION ALL SELECT DISTINCT b AS node, b AS root FROM {view}")
+    with _view(e, "stars") as view:
+        return spark.sql(
+            f"SELECT a AS node, b AS root FROM {view} UNION ALL SELECT DISTINCT b AS node, b AS root FROM {view}"
+        )
