@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import PROB_COL
-from ..functions.levels import level_sql, match_probability_sql, q
+from ..functions.levels import level_sql, match_probability_sql, q, sql_double
 from ..functions.similarity import register_jaro_winkler
 from ..model import Model
 
@@ -45,3 +45,34 @@ def score_pairs(levels: DataFrame, model: Model) -> DataFrame:
 def link_pairs(scored: DataFrame, threshold: float) -> DataFrame:
     """Pairs at or above the threshold: the edges of the match graph."""
     return scored.where(F.col(PROB_COL) >= F.lit(float(threshold)))
+
+
+# Margin below the threshold kept by the bound, so floating-point rounding can never drop a link.
+PRUNE_MARGIN = 1e-12
+
+
+def prune_unreachable(
+    pairs: DataFrame, model: Model, threshold: float, *, unit: str = "byte", edit_unit: str | None = None
+) -> DataFrame:
+    """Drop pairs that cannot reach ``threshold`` before any Jaro-Winkler is computed.
+
+    Edit-distance levels are computed exactly (JVM side); every name column that is set and
+    differs is assumed to reach its best non-exact band. The probability of that pattern
+    bounds the true one from above, so only pairs below the threshold are removed and the
+    links are unchanged. Without a name comparison there is nothing to save.
+    """
+    if threshold <= 0.0 or not any(c.kind == "name" for c in model.comparisons):
+        return pairs
+    levels = []
+    for comp in model.comparisons:
+        left, right = q(comp.column + "_l"), q(comp.column + "_r")
+        if comp.kind == "name":
+            best = max(range(comp.exact_level), key=lambda lv: comp.factors[lv])
+            levels.append(
+                f"(CASE WHEN {left} IS NULL OR {right} IS NULL THEN -1 WHEN {left} = {right} "
+                f"THEN {comp.exact_level} ELSE {best} END)"
+            )
+        else:
+            levels.append(f"({level_sql(comp, left, right, edit_unit or unit)})")
+    bound = match_probability_sql(model, levels)
+    return pairs.where(f"{bound} >= {sql_double(float(threshold) - PRUNE_MARGIN)}")

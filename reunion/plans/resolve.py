@@ -38,7 +38,7 @@ from ..model import Model
 from ..operators.blocking import DEFAULT_BLOCK_SPLIT, block_maxima, candidate_pairs, stack_rules
 from ..operators.clusters import best_match_probability, dense_ids
 from ..operators.components import connected_components
-from ..operators.scoring import compare_pairs, link_pairs, score_pairs
+from ..operators.scoring import compare_pairs, link_pairs, prune_unreachable, score_pairs
 from ..session import ensure_checkpoint_dir, materialize, traced
 
 UID = "__reunion_uid"
@@ -165,6 +165,7 @@ def resolve_labels(
     copies = profiles.agg(F.lit(-1).alias("rule"), F.max("n").cast("bigint").alias("largest"))
     *maxima, largest_profile = block_maxima(stacked, len(cols), copies)
     pairs = candidate_pairs(profiles, cols, id_col="pid", within=within, block_split=block_split, maxima=maxima)
+    pairs = prune_unreachable(pairs, model, t, unit=unit, edit_unit=edit_unit)
     scored = score_pairs(compare_pairs(pairs, model, unit=unit, edit_unit=edit_unit), model)
     links = materialize(link_pairs(scored, t).select("uid_l", "uid_r", PROB_COL), "links")
 

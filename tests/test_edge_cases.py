@@ -133,3 +133,14 @@ def test_within_restricts_blocking(spark):
     out = resolve(df, ["first_name", "last_name", "email"], id_col="id", within=["region"])
     got = {r["id"]: r["cluster_id"] for r in out.collect()}
     assert got[1] == got[3] != got[2]
+
+
+@pytest.mark.parametrize("threshold", [0.9, 0.99, 0.999])
+def test_bound_pruning_keeps_every_link(spark, threshold):
+    rng = random.Random(int(threshold * 1000))
+    firsts = ["jon", "john", "johnny", "jan", "jane", "janet", "al", "alan"]
+    rows = [
+        (i, rng.choice(firsts), rng.choice(["smith", "smyth", "doe"]), rng.choice(["a@x", "a@y", "b@x", None]))
+        for i in range(80)
+    ]
+    _check(spark, rows, SCHEMA, ["first_name", "last_name", "email"], threshold=threshold)
