@@ -8,7 +8,10 @@ value pair once. Both measure UTF-8 bytes by default (``unit="byte"``), or chara
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +21,10 @@ from ..constants import JW_BOOST_THRESHOLD, JW_PREFIX_MAX, JW_PREFIX_SCALE
 
 UNITS = ("byte", "char")
 
+# The UDFs below run in executor Python workers, which need not have this package installed:
+# ship this module's code with the pickled functions instead of a reference to it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def check_unit(unit: str) -> str:
     if unit not in UNITS:

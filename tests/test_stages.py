@@ -126,3 +126,28 @@ def test_dense_ids_are_ranks(spark):
     df = spark.createDataFrame([(v,) for v in vals], "root bigint")
     got = {r["root"]: r["cluster_id"] for r in dense_ids(df, "root", num_partitions=3).collect()}
     assert got == {1: "0", 5: "1", 7: "2", 9: "3", 100: "4"}
+
+
+def test_udf_runs_where_workers_cannot_import_the_package():
+    """Executors need not have the package installed: the UDF ships its own code."""
+    import os
+    import subprocess
+    import sys
+    import tempfile
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+from reunion.functions.similarity import jaro_winkler_udf
+df = spark.createDataFrame([("martha", "marhta")], "a string, b string")
+print("JW", round(df.select(jaro_winkler_udf(df.a, df.b)).collect()[0][0], 6))
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run(
+        [sys.executable, "-c", script], cwd=tempfile.mkdtemp(prefix="reunion-cwd-", dir="/tmp"), env=env,
+        capture_output=True, text=True, timeout=300,
+    )
+    assert "JW 0.961111" in out.stdout, out.stderr[-2000:]
