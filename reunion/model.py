@@ -144,6 +144,16 @@ class Model:
             tuple(d.get("trained", ())),
         )
 
+    @classmethod
+    def from_file(cls, path: str) -> Model:
+        """A model saved with :meth:`save` (JSON text in a file)."""
+        with open(path, encoding="utf-8") as f:
+            return cls.from_json(f.read())
+
+    def save(self, path: str) -> None:
+        with open(path, "w", encoding="utf-8") as f:
+            f.write(self.to_json())
+
     TABLE_SCHEMA = T.StructType(
         [
             T.StructField("position", T.IntegerType(), False),

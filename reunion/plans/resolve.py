@@ -214,6 +214,7 @@ def resolve(
     within: Sequence[str] = (),
     block_split: int | None = DEFAULT_BLOCK_SPLIT,
     check_ids: bool = True,
+    ordered: bool = False,
 ) -> DataFrame:
     """Resolve entities of a whole relation.
 
@@ -222,11 +223,12 @@ def resolve(
     row) and ``match_probability`` (strongest kept pair touching the row; 1.0 for a
     singleton). "First" means smallest ``id_col``, or input order when no id is given.
 
-    ``model`` (a :class:`Model` or its JSON) is used as-is and wins over ``train``.
+    ``model`` (a :class:`Model`, its JSON, or a path to a JSON file) is used as-is and wins
+    over ``train``. ``ordered=True`` sorts the result into input order (a global sort).
     ``within`` restricts every blocking rule to records equal on those columns.
     """
     if isinstance(model, str):
-        model = Model.from_json(model)
+        model = Model.from_file(model) if not model.lstrip().startswith("{") else Model.from_json(model)
     cols = parse_columns(columns)
     if not cols and model is not None:
         cols = model.columns
@@ -271,8 +273,11 @@ def resolve(
     )
     keep = [c for c in rows.columns if c not in RESERVED_COLUMNS and (id_col is not None or c != uid)]
     passthrough = rows.select(*dict.fromkeys([*keep, uid]))
-    out = passthrough.join(per_row, uid, "left").select(*keep, CLUSTER_COL, PROB_COL)
-    return out
+    out = passthrough.join(per_row, uid, "left")
+    if ordered:
+        # input order: by id_col, or by the generated id that follows the input
+        out = out.orderBy(uid)
+    return out.select(*keep, CLUSTER_COL, PROB_COL)
 
 
 def resolved_view(

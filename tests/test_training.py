@@ -86,3 +86,17 @@ def test_resolved_view_and_demo_relation(spark):
     ).collect()
     assert all(r["c"] == 1 for r in rows) and len(rows) == 4
     assert spark.sql("SELECT count(DISTINCT cluster_id) FROM resolved_demo").collect()[0][0] == 4
+
+
+def test_model_file_and_ordered_output(spark):
+    import os
+    import tempfile
+
+    df = customers(spark)
+    path = os.path.join(tempfile.mkdtemp(prefix="reunion-model-", dir="/tmp"), "model.json")
+    m = Model.default(["first_name", "last_name", "email"], prior=0.2)
+    m.save(path)
+    a = resolve(df, model=path, id_col="row_id", ordered=True)
+    assert [r["row_id"] for r in a.collect()] == list(range(7))
+    b = resolve(df, model=m, id_col="row_id").orderBy("row_id")
+    assert a.collect() == b.collect()
