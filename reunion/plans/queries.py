@@ -209,7 +209,8 @@ def q_truth_counts(spark, sf_dir):
 
 def q_sample_browse(spark, sf_dir):
     rows = PLANTED.rows(spark, sf_dir)
-    first = rows.orderBy("record_id").select("last_name").limit(1)
+    first_id = rows.agg(F.min("record_id").alias("record_id"))
+    first = rows.join(first_id, "record_id").select("last_name")
     return rows.join(first, "last_name", "left_semi").agg(F.count(F.lit(1)).alias("n"))
 
 
