@@ -150,8 +150,14 @@ def resolve_labels(
     unit: str = "byte",
     block_split: int | None = DEFAULT_BLOCK_SPLIT,
     edit_unit: str | None = None,
+    extra_stats: DataFrame | None = None,
+    on_stats=None,
 ) -> DataFrame:
-    """``(uid, root, best)`` for every record of ``slim`` (uid + comparison/within columns)."""
+    """``(uid, root, best)`` for every record of ``slim`` (uid + comparison/within columns).
+
+    ``extra_stats`` rows ``(rule < -1, largest)`` ride along in the block-maxima job and are
+    handed to ``on_stats`` (in descending rule order) before any further work.
+    """
     cols = model.columns
     keys = list(dict.fromkeys([*cols, *within]))
     t = float(threshold)
@@ -163,7 +169,12 @@ def resolve_labels(
     )
     stacked = stack_rules(profiles, cols, id_col="pid", within=within)
     copies = profiles.agg(F.lit(-1).alias("rule"), F.max("n").cast("bigint").alias("largest"))
-    *maxima, largest_profile = block_maxima(stacked, len(cols), copies)
+    if extra_stats is not None:
+        copies = copies.unionByName(extra_stats)
+    found = block_maxima(stacked, len(cols), copies)
+    maxima, largest_profile, stats = found[: len(cols)], found[len(cols)], found[len(cols) + 1 :]
+    if on_stats is not None:
+        on_stats(stats)
     pairs = candidate_pairs(profiles, cols, id_col="pid", within=within, block_split=block_split, maxima=maxima)
     pairs = prune_unreachable(pairs, model, t, unit=unit, edit_unit=edit_unit)
     scored = score_pairs(compare_pairs(pairs, model, unit=unit, edit_unit=edit_unit), model)
@@ -233,12 +244,40 @@ def resolve(
     if not cols and model is not None:
         cols = model.columns
     check_unit(unit)
-    with traced("checks"):
-        check_inputs(df, cols, threshold, id_col, check_ids)
-    if model is not None:
-        require_columns(df, model.columns)
     within = list(within)
-    require_columns(df, within) if within else None
+    needed = [*cols, *(model.columns if model is not None else []), *within]
+    try:
+        t_ok = 0.0 <= float(threshold) <= 1.0
+    except (TypeError, ValueError):
+        t_ok = False
+    # Happy path: the emptiness and id checks run inside the block-maxima job (one action less).
+    fused = (
+        t_ok and bool(cols) and not df.isStreaming and id_col is not None and id_col in df.columns
+        and check_ids and not train and all(c in df.columns for c in needed)
+    )
+    extra_stats = on_stats = None
+    if fused:
+        per_id = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
+        extra_stats = per_id.agg(
+            F.count(F.lit(1)).cast("bigint").alias("ids"),
+            F.coalesce(F.max(((F.col("n") > 1) | F.col(id_col).isNull()).cast("bigint")), F.lit(0)).alias("bad"),
+        ).selectExpr(
+            "inline(array(named_struct('rule', -2, 'largest', ids), named_struct('rule', -3, 'largest', bad)))"
+        )
+
+        def on_stats(stats: list[int]) -> None:
+            ids, bad = stats
+            if ids == 0:
+                raise MatchError("match_resolve requires a non-empty input relation")
+            if bad:
+                raise MatchError(f"id column {id_col} must be unique and not NULL")
+
+    else:
+        with traced("checks"):
+            check_inputs(df, cols, threshold, id_col, check_ids)
+        if model is not None:
+            require_columns(df, model.columns)
+        require_columns(df, within) if within else None
 
     rows, uid = with_uid(df, id_col)
     if model is None:
@@ -261,7 +300,7 @@ def resolve(
     slim = slim.persist(StorageLevel.MEMORY_AND_DISK)
     labels = resolve_labels(
         slim, model, threshold, uid="uid", within=within, unit=unit, block_split=block_split,
-        edit_unit="char" if edit_bytes else None,
+        edit_unit="char" if edit_bytes else None, extra_stats=extra_stats, on_stats=on_stats,
     )
     # Deterministic from written or persisted inputs: persisting is enough (recomputed if lost).
     labels = labels.persist(StorageLevel.MEMORY_AND_DISK)

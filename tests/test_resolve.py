@@ -125,3 +125,8 @@ def test_duplicate_ids_rejected(spark):
     df = customers(spark).withColumn("row_id", F.lit(1))
     with pytest.raises(MatchError, match="unique"):
         resolve(df, COMPARISON_COLUMNS, id_col="row_id")
+
+
+def test_empty_input_with_id_col_raises(spark):
+    with pytest.raises(MatchError, match="non-empty"):
+        resolve(customers(spark).limit(0), COMPARISON_COLUMNS, id_col="row_id")
