@@ -152,6 +152,7 @@ def resolve_labels(
     edit_unit: str | None = None,
     extra_stats: DataFrame | None = None,
     on_stats=None,
+    persisted: list | None = None,
 ) -> DataFrame:
     """``(uid, root, best)`` for every record of ``slim`` (uid + comparison/within columns).
 
@@ -167,6 +168,8 @@ def resolve_labels(
         .agg(F.min(uid).alias("pid"), F.count(F.lit(1)).alias("n"))
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    if persisted is not None:
+        persisted.append(profiles)
     stacked = stack_rules(profiles, cols, id_col="pid", within=within)
     copies = profiles.agg(F.lit(-1).alias("rule"), F.max("n").cast("bigint").alias("largest"))
     if extra_stats is not None:
@@ -298,13 +301,18 @@ def resolve(
     ]
     slim = rows.selectExpr(f"{q(uid)} AS uid", *values, *[q(c) for c in within if c not in used])
     slim = slim.persist(StorageLevel.MEMORY_AND_DISK)
+    persisted = [slim]
     labels = resolve_labels(
         slim, model, threshold, uid="uid", within=within, unit=unit, block_split=block_split,
         edit_unit="char" if edit_bytes else None, extra_stats=extra_stats, on_stats=on_stats,
+        persisted=persisted,
     )
     # Deterministic from written or persisted inputs: persisting is enough (recomputed if lost).
     labels = labels.persist(StorageLevel.MEMORY_AND_DISK)
     ids = dense_ids(labels, "root", CLUSTER_COL)
+    # labels is cached now (dense_ids ran over it); the inputs it came from can go
+    for df_ in persisted:
+        df_.unpersist()
     per_row = labels.join(ids, "root").select(
         F.col("uid").alias(uid),
         F.col(CLUSTER_COL).alias(CLUSTER_COL, metadata={"comment": CLUSTER_COMMENT}),
