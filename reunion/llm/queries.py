@@ -46,4 +46,20 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and robust outliers of all ``documents``."""
+    from .rules import quality_rules
+
+    return quality_rules(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash classes of all ``documents``: 4-word shingles, links at 4 or fewer differing bits."""
+    from .simhash import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 ORACLE_SQL: dict[str, str] = oracle.SQL
