@@ -62,4 +62,14 @@ def op6_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` encoded by byte-level BPE, and decoded again."""
+    import public_tokenizers
+
+    from .bpe import round_trip
+
+    return round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 ORACLE_SQL: dict[str, str] = oracle.SQL
