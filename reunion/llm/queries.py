@@ -72,4 +72,12 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query
+def op8_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probabilities of all ``documents`` under a suffix tree, and their unigram base."""
+    from .pst import lm_scores
+
+    return lm_scores(read_table(spark, sf_dir, "documents"))
+
+
 ORACLE_SQL: dict[str, str] = oracle.SQL
