@@ -80,4 +80,12 @@ def op8_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance resampling of all ``documents`` towards those that ``labels`` call good."""
+    from .dsir import quality_classes
+
+    return quality_classes(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 ORACLE_SQL: dict[str, str] = oracle.SQL
