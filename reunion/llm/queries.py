@@ -88,4 +88,12 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classes(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` with passages cut out that another document (or the text before) holds."""
+    from .chunks import substring_report
+
+    return substring_report(read_table(spark, sf_dir, "documents"))
+
+
 ORACLE_SQL: dict[str, str] = oracle.SQL
