@@ -46,6 +46,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text of ``documents``."""
+    from .pii import personal_data
+
+    return personal_data(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and robust outliers of all ``documents``."""
