@@ -92,9 +92,8 @@ def log_ratio(counts: np.ndarray) -> np.ndarray:
     return np.log(p[1] / p[1].sum()) - np.log(p[0] / p[0].sum())
 
 
-def weigh(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """``(id, text hash, weight)``; ``ratio`` has a fixed size."""
-    schema = T.StructType([T.StructField("id", docs.schema["id"].dataType), T.StructField("h", T.LongType()), T.StructField("weight", T.DoubleType())])
+def weigh(docs: DataFrame, ratio: np.ndarray, text_at: int) -> DataFrame:
+    """``docs`` with a column ``_weight``; ``ratio`` has a fixed size, ``text_at`` is the text's place."""
     sent = cloudpickle.dumps(ratio)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,12 +102,12 @@ def weigh(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
             if len(memory) > MEMORY:
                 memory.clear()
             out = []
-            for t in utf8(b.column("text")):
+            for t in utf8(b.column(text_at)):
                 f = features(t, memory)
                 out.append(float(own[f].mean()) * SHARPNESS if len(f) else 0.0)
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("h"), pa.array(out, pa.float64())], ["id", "h", "weight"])
+            yield b.append_column("_weight", pa.array(out, pa.float64()))
 
-    return map_batches(docs.select("id", F.xxhash64("text").alias("h"), "text"), run, schema)
+    return map_batches(docs, run, T.StructType([*docs.schema.fields, T.StructField("_weight", T.DoubleType())]))
 
 
 def gumbel(*parts: Column) -> Column:
@@ -139,25 +138,45 @@ def kth_largest(rows: DataFrame, bits: str, k: int) -> int | None:
     return prefix
 
 
-def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", quality_col: str = "quality", toxic_col: str = "toxic") -> DataFrame:
-    """``(id, h, weight, key, kept)`` per row; h is a hash of the text."""
-    scratch = Scratch(docs.sparkSession)
-    d = picked(docs, id=id_col, text=text_col)
-    lab = picked(labels, label_id=label_id_col, quality=quality_col, toxic=toxic_col).where("label_id is not null and quality is not null and toxic is not null")
-    lab = scratch.write(lab.groupBy("label_id").agg((F.min(F.when(F.expr("quality = 1 and toxic = 0"), 1).otherwise(0)) == 1).alias("target"), (F.min(F.when(F.expr("quality = 1"), 1).otherwise(0)) == 1).alias("good")), "labels")
-    marked = d.join(lab, d["id"] == lab["label_id"], "left").select("id", "text", F.coalesce("target", F.lit(False)).alias("target"), "good")
-    share = marked.where("good is not null").agg(F.avg(F.col("good").cast("double"))).collect()[0][0]
-    ratio = log_ratio(count_models(marked.select("text", "target")))
-    weights = weigh(d, ratio).withColumn("key", F.col("weight") + gumbel(F.lit(1), F.col("id").cast("string"), "h"))
-    keyed = scratch.write(weights, "keys")
-    n = keyed.count()
-    k = n if share is None or not ratio.any() else int(np.ceil(share * n))
-    if not n or not k:
-        return keyed.withColumn("kept", F.lit(False))
-    # doubles as longs of the same order: IEEE bits, with the others flipped for negative values
-    raw = keyed.withColumn("order", _ordered("key"))
-    least = kth_largest(raw, "order", k)
-    return raw.withColumn("kept", F.col("order") >= F.lit(least)).drop("order")
+class Resampler:
+    """The fitted ratio and the key that the last document kept has."""
+
+    def __init__(self, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", quality_col: str = "quality", toxic_col: str = "toxic"):
+        self.scratch = Scratch(docs.sparkSession)
+        self.id_col, self.text_col = id_col, text_col
+        d = picked(docs, id=id_col, text=text_col)
+        lab = picked(labels, label_id=label_id_col, quality=quality_col, toxic=toxic_col).where("label_id is not null and quality is not null and toxic is not null")
+        of_all = lambda cond: F.min(F.when(F.expr(cond), 1).otherwise(0)) == 1
+        lab = self.scratch.write(lab.groupBy("label_id").agg(of_all("quality = 1 and toxic = 0").alias("target"), of_all("quality = 1").alias("good")), "labels")
+        marked = d.join(lab, d["id"] == lab["label_id"], "left").select("id", "text", F.coalesce("target", F.lit(False)).alias("target"), "good")
+        share = marked.where("good is not null").agg(F.avg(F.col("good").cast("double"))).collect()[0][0]
+        self.ratio = log_ratio(count_models(marked.select("text", "target")))
+        self.keys = self.scratch.write(self._keyed(docs).select(F.col("_id").alias("id"), F.col("_weight").alias("weight"), F.col("_key").alias("key")), "keys")
+        n = self.keys.count()
+        k = n if share is None or not self.ratio.any() else int(np.ceil(share * n))
+        self.least = kth_largest(self.keys.select(_ordered("key").alias("order")), "order", k) if k else None
+
+    def _keyed(self, docs: DataFrame) -> DataFrame:
+        """``docs`` with its columns numbered ``_c0..``, and ``_id``, ``_weight``, ``_key``."""
+        cols = list(docs.columns)
+        if cols.count(self.id_col) != 1 or cols.count(self.text_col) != 1:
+            raise ValueError(f"columns {self.id_col!r} and {self.text_col!r} must be there once: {cols}")
+        at_id, at_text = cols.index(self.id_col), cols.index(self.text_col)
+        d = weigh(docs.toDF(*[f"_c{i}" for i in range(len(cols))]), self.ratio, at_text)
+        noise = gumbel(F.lit(1), F.col(f"_c{at_id}").cast("string"), F.col(f"_c{at_text}"))
+        return d.withColumn("_id", F.col(f"_c{at_id}")).withColumn("_key", F.col("_weight") + noise)
+
+    def _keeps(self, key: str) -> Column:
+        return F.lit(False) if self.least is None else _ordered(key) >= F.lit(self.least)
+
+    def verdicts(self) -> DataFrame:
+        """Per row: id, log importance ``weight``, Gumbel ``key`` and ``kept``."""
+        return self.keys.select(F.col("id").alias(self.id_col), "weight", "key", self._keeps("key").alias("kept"))
+
+    def kept(self, docs: DataFrame) -> DataFrame:
+        """The rows of ``docs`` that are kept, with their columns as they were."""
+        cols = list(docs.columns)
+        return self._keyed(docs).where(self._keeps("_key")).select(*[f"_c{i}" for i in range(len(cols))]).toDF(*cols)
 
 
 def _ordered(col: str) -> Column:
@@ -167,4 +186,4 @@ def _ordered(col: str) -> Column:
 
 def quality_classes(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, log importance ``weight``, Gumbel ``key`` and ``kept``."""
-    return resample(docs, labels, id_col, text_col).select(F.col("id").alias(id_col), "weight", "key", "kept")
+    return Resampler(docs, labels, id_col, text_col).verdicts()

@@ -264,22 +264,42 @@ def links(fps: DataFrame, n: int, max_bits: int = MAX_BITS, blocks: int = BLOCKS
     return dealt.groupBy("block", "shard").applyInArrow(search, "a long, b long")
 
 
-def near_duplicates(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle: int = SHINGLE,
-    max_bits: int = MAX_BITS,
-    blocks: int = BLOCKS,
-) -> DataFrame:
-    """Per row: id, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id of its class."""
-    scratch = Scratch(docs.sparkSession)
+def classes(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, shingle: int, max_bits: int, blocks: int) -> tuple[DataFrame, DataFrame]:
+    """``(id, fp)`` per row of ``docs``, and ``(fp, class, name)``: the class of each distinct fingerprint and its smallest id."""
     fps = scratch.write(fingerprints(docs, id_col, text_col, shingle), "fps")
     nodes = scratch.write(fps.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
     edges = scratch.write(links(nodes, nodes.count(), max_bits, blocks), "links")
     roots = connected_components(edges, "a", "b")
-    named = roots.join(nodes, roots["node"] == nodes["fp"]).groupBy("root").agg(F.min("least").alias("name"))
-    linked = roots.join(named, "root").select("node", "name")
-    classes = scratch.write(nodes.join(linked, nodes["fp"] == linked["node"], "left").select("fp", F.when(F.col("node").isNotNull(), F.col("name")).otherwise(F.col("least")).alias("name")), "classes")
-    out = fps.join(classes.withColumnRenamed("fp", "fp_"), F.col("fp") == F.col("fp_"))
+    placed = scratch.write(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("class")), "roots")
+    names = placed.groupBy("class").agg(F.min("least").alias("name"))
+    return fps, scratch.write(placed.join(names, "class").select("fp", "class", "name"), "classes")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
+    """Per row: id, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id of its class."""
+    fps, named = classes(docs, Scratch(docs.sparkSession), id_col, text_col, shingle, max_bits, blocks)
+    out = fps.join(named.withColumnRenamed("fp", "fp_"), F.col("fp") == F.col("fp_"))
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("name").alias("component_id"))
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
+    """One row of ``docs`` for each class: that of the smallest id (null ids last); columns stay as they are.
+
+    Of rows that repeat an id and a fingerprint one is kept.
+    """
+    scratch = Scratch(docs.sparkSession)
+    cols = list(docs.columns)
+    d = docs.toDF(*[f"_c{i}" for i in range(len(cols))])
+    key, text = f"_c{cols.index(id_col)}", f"_c{cols.index(text_col)}"
+    d = d.withColumn("_h", F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.length(F.coalesce(F.col(text), F.lit("")))))
+    # the fingerprint is found again by id and text hash
+    rows = picked(d, id=key, text=text, h="_h")
+    fps, named = classes(rows.withColumn("id", F.struct("id", "h")), scratch, "id", "text", shingle, max_bits, blocks)
+    # min of (null?, id, h): the least struct has a null id first, so nulls are put last explicitly
+    flat = fps.select(F.col("id.id").alias("id"), F.col("id.h").alias("h"), "fp").join(named.select(F.col("fp").alias("fp_"), "class"), F.col("fp") == F.col("fp_"))
+    first = flat.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("w")).select(F.col("w.id").alias("_id"), F.col("w.h").alias("_wh"))
+    first = scratch.write(first, "kept")
+    kept = d.join(first, d[key].eqNullSafe(first["_id"]) & (d["_h"] == first["_wh"]), "left_semi")
+    if not flat.groupBy("id", "h").count().where("count > 1").isEmpty():  # repeated rows
+        kept = kept.dropDuplicates([key, "_h"])
+    return kept.select(*[f"_c{i}" for i in range(len(cols))]).toDF(*cols)
