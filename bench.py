@@ -47,10 +47,9 @@ def main() -> None:
     workloads = {
         "resolve_planted": resolved_summary(PLANTED),
         "resolve_documents": resolved_summary(DOCUMENTS),
+        "resolve_parts": resolved_summary(PARTS),
     }
     sf = _sf_of(sf_dir)
-    if sf is not None and sf <= 0.01:
-        workloads["resolve_parts"] = resolved_summary(PARTS)
 
     times: dict[str, float] = {}
     info: dict[str, dict] = {}

@@ -14,17 +14,17 @@ import itertools
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import JW_ROUND_DIGITS, NULL_LEVEL
+from ..constants import JW_BOOST_THRESHOLD, JW_PREFIX_MAX, JW_PREFIX_SCALE, JW_ROUND_DIGITS, NULL_LEVEL
 from ..model import Comparison, Model
 from .similarity import check_unit, register_jaro_winkler
 
-# Largest number of level patterns for which probabilities are tabulated.
-MAX_PATTERN_TABLE = 4096
+# Entries of a tabulated product of factors; longer products are looked up in several tables.
+TABLE_ENTRIES = 4096
 
 
 def q(name: str) -> str:
-    """Backtick-quoted Spark SQL identifier (qualifier.name is quoted per part)."""
-    return ".".join("`" + p.replace("`", "``") + "`" for p in name.split("."))
+    """A whole column name as a quoted Spark SQL identifier (dots and back-ticks are part of the name)."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def sql_double(x: float) -> str:
@@ -69,7 +69,8 @@ def level_sql(comp: Comparison, left: str, right: str, unit: str = "byte", jw_fu
     if comp.kind == "name":
         if jw_function is None:
             raise ValueError("a name comparison needs the registered Jaro-Winkler function")
-        jw = f"round({jw_function}({left}, {right}), {JW_ROUND_DIGITS})"
+        # equal pairs go in as NULL, so the UDF scores differing values only
+        jw = f"round({jw_function}(nullif({left}, {right}), {right}), {JW_ROUND_DIGITS})"
         bands = " ".join(f"WHEN {jw} >= {sql_double(t)} THEN {lvl}" for t, lvl in comp.band_levels())
         return f"CAST({head} {bands} ELSE 0 END AS INT)"
     bound, table = edit_band_table(comp)
@@ -77,6 +78,22 @@ def level_sql(comp: Comparison, left: str, right: str, unit: str = "byte", jw_fu
     return f"CAST({head} ELSE element_at({sql_array(table, 'int')}, {dist} + 2) END AS INT)"
 
 
+def jw_bound_sql(left: str, right: str) -> str:
+    """An upper bound of the Jaro-Winkler similarity of two differing, set values (SQL text), without any matching.
+
+    Matched symbols occur on both sides, so their number is at most that of either side's
+    symbols found on the other; no transposition and the actual common prefix bound the rest.
+    """
+    shared = f"least(length({left}) - length(translate({left}, {right}, '')), length({right}) - length(translate({right}, {left}, '')))"
+    jaro = f"(CASE WHEN m = 0 THEN 0D ELSE (m / length({left}) + m / length({right}) + 1D) / 3D END)"
+    prefix = "0"
+    for k in range(JW_PREFIX_MAX, 0, -1):
+        here = f"length({left}) >= {k} AND substr({left}, {k}, 1) = substr({right}, {k}, 1)"
+        prefix = f"CASE WHEN {here} THEN 1 + ({prefix}) ELSE 0 END"
+    boosted = f"transform(transform(array({shared}), m -> {jaro}), j -> CASE WHEN j > {JW_BOOST_THRESHOLD - 1e-9}D THEN j + ({prefix}) * {JW_PREFIX_SCALE}D * (1D - j) ELSE j END)"
+    return f"element_at({boosted}, 1)"
+
+
 def level_expr(comp: Comparison, left: str, right: str, unit: str = "byte", spark: SparkSession | None = None) -> Column:
     """Level of two columns (given by name) as a Column."""
     jw = register_jaro_winkler(spark or SparkSession.getActiveSession(), unit) if comp.kind == "name" else None
@@ -96,41 +113,54 @@ def odds_sql(model: Model, levels: list[str]) -> str:
     return odds
 
 
-def pattern_count(model: Model) -> int:
-    n = 1
+def _tables(model: Model) -> list[list[Comparison]]:
+    """The comparisons in order, cut into runs whose level patterns fit one table each."""
+    runs: list[list[Comparison]] = []
+    size = 0
     for c in model.comparisons:
-        n *= c.n_levels + 1
-    return n
+        if runs and size * (c.n_levels + 1) <= TABLE_ENTRIES:
+            runs[-1].append(c)
+            size *= c.n_levels + 1
+        else:
+            runs.append([c])
+            size = c.n_levels + 1
+    return runs
 
 
-def pattern_probabilities(model: Model) -> list[float]:
-    """Probability of every level pattern, with the arithmetic of :func:`odds_sql`.
+def _products(comps: list[Comparison], start: float) -> list[float]:
+    """Product of the factors of every level pattern, multiplied in column order from ``start``.
 
     Index = mixed radix over (level + 1), first column most significant.
     """
-    choices = [[NULL_LEVEL, *range(c.n_levels)] for c in model.comparisons]
     out = []
-    for pattern in itertools.product(*choices):
-        odds = float(model.prior_odds)
-        for comp, lvl in zip(model.comparisons, pattern):
+    for pattern in itertools.product(*[[NULL_LEVEL, *range(c.n_levels)] for c in comps]):
+        odds = start
+        for comp, lvl in zip(comps, pattern):
             odds = odds * (1.0 if lvl == NULL_LEVEL else comp.factors[lvl])
-        out.append(odds / (1.0 + odds))
+        out.append(odds)
     return out
 
 
 def match_probability_sql(model: Model, levels: list[str]) -> str:
     """Pair probability from level expressions; reads every level once.
 
-    Small models look the probability up in a table of all level patterns; larger ones
-    compute ``odds / (1 + odds)``.
+    The first table holds prior odds times factors, further ones products of factors. With one
+    table it holds the probabilities themselves; with several, odds / (1 + odds) is written as
+    1 - 1 / (1 + odds) over a one-element array, so the odds are computed once.
     """
-    if pattern_count(model) <= MAX_PATTERN_TABLE:
+    runs, at, parts = _tables(model), 0, []
+    for k, comps in enumerate(runs):
         idx = "0"
-        for comp, lvl in zip(model.comparisons, levels):
+        for comp, lvl in zip(comps, levels[at : at + len(comps)]):
             idx = f"({idx} * {comp.n_levels + 1} + ({lvl} + 1))"
-        return f"element_at({sql_array(pattern_probabilities(model), 'double')}, {idx} + 1)"
-    odds = odds_sql(model, levels)
-    return f"({odds} / (1.0D + {odds}))"
+        at += len(comps)
+        values = _products(comps, float(model.prior_odds) if k == 0 else 1.0)
+        if len(runs) == 1:
+            values = [o / (1.0 + o) for o in values]
+        parts.append(f"element_at({sql_array(values, 'double')}, {idx} + 1)")
+    if len(parts) == 1:
+        return parts[0]
+    return f"element_at(transform(array({' * '.join(parts)}), o -> o / (1.0D + o)), 1)"
 
 
 def match_probability_expr(model: Model, levels: list[str]) -> Column:

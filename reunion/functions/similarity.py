@@ -1,15 +1,16 @@
 """String similarity used by the comparisons.
 
 Levenshtein is Spark's built-in ``levenshtein`` (JVM side, codegen). Spark has no
-Jaro-Winkler, so it is an Arrow-batched pandas UDF; every batch scores each distinct
-value pair once. Both measure UTF-8 bytes by default (``unit="byte"``), or characters
-(``unit="char"``).
+Jaro-Winkler, so it is an Arrow-batched pandas UDF that scores all pairs of a batch together,
+position by position, in numpy matrices bucketed by length; pairs with a NULL side take no part.
+Both measure UTF-8 bytes by default (``unit="byte"``), or characters (``unit="char"``).
 """
 
 from __future__ import annotations
 
 import sys
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
@@ -85,24 +86,78 @@ def jaro_winkler(a: str | bytes, b: str | bytes) -> float:
     return sim
 
 
+# Cells of one matrix of the batch scorer, which bounds its memory.
+_CELLS = 1 << 22
+
+
+def _codes(values: list, encode: bool) -> tuple[np.ndarray, np.ndarray]:
+    """All symbols one after the other, and the length of each value."""
+    if encode:
+        raw = [v.encode("utf-8") for v in values]
+        return np.frombuffer(b"".join(raw), np.uint8), np.fromiter(map(len, raw), np.int64, len(raw))
+    joined = "".join(values).encode("utf-32-le", "surrogatepass")
+    return np.frombuffer(joined, np.uint32), np.fromiter(map(len, values), np.int64, len(values))
+
+
+def _padded(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, fill: int) -> np.ndarray:
+    width = max(int(sizes.max()), 1)
+    out = np.full((len(sizes), width), fill, np.int64)
+    inside = np.arange(width) < sizes[:, None]
+    out[inside] = flat[np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))]
+    return out
+
+
+def _scores(a: np.ndarray, la: np.ndarray, b: np.ndarray, lb: np.ndarray) -> np.ndarray:
+    """:func:`jaro_winkler` of the rows of two padded matrices (the paddings differ)."""
+    n, width = b.shape
+    rows, cols = np.arange(n), np.arange(width)
+    window = np.maximum(np.maximum(la, lb) // 2 - 1, 0)[:, None]
+    used = np.zeros((n, width), bool)
+    hit = np.zeros(a.shape, bool)
+    for i in range(a.shape[1]):
+        can = (b == a[:, i, None]) & ~used & (np.abs(cols - i) <= window)
+        j = can.argmax(axis=1)  # the first that is free
+        found = can[rows, j]
+        used[rows[found], j[found]] = True
+        hit[found, i] = True
+    m = hit.sum(axis=1)
+    # the matched symbols of both sides in order; the k-th of one meets the k-th of the other
+    ra, ca = np.nonzero(hit)
+    rb, cb = np.nonzero(used)
+    half = np.bincount(ra, weights=a[ra, ca] != b[rb, cb], minlength=n).astype(np.int64)
+    with np.errstate(all="ignore"):
+        sim = (m / la + m / lb + (m - half // 2) / m) / 3.0
+    sim = np.where(m > 0, sim, 0.0)
+    k = min(JW_PREFIX_MAX, a.shape[1], width)
+    prefix = np.cumprod(a[:, :k] == b[:, :k], axis=1).sum(axis=1) if k else np.zeros(n, np.int64)
+    return np.where(sim > JW_BOOST_THRESHOLD, sim + prefix * JW_PREFIX_SCALE * (1.0 - sim), sim)
+
+
+def batch_jaro_winkler(left: list, right: list, encode: bool) -> np.ndarray:
+    """Jaro-Winkler of two lists of strings, NaN where a side is None."""
+    out = np.full(len(left), np.nan)
+    at = np.array([i for i, (x, y) in enumerate(zip(left, right)) if x is not None and y is not None], np.int64)
+    if not len(at):
+        return out
+    (fa, la), (fb, lb) = (_codes([side[i] for i in at], encode) for side in (left, right))
+    sa, sb = np.cumsum(la) - la, np.cumsum(lb) - lb
+    longest = np.maximum(la, lb)
+    order = np.argsort(longest, kind="stable")
+    s = 0
+    while s < len(order):
+        # as many pairs as fit the cells, and none over twice as long as the shortest taken
+        limit = max(2 * int(longest[order[s]]), 8)
+        e = min(int(np.searchsorted(longest[order], limit, "right")), s + max(1, _CELLS // max(limit, 1)))
+        e = max(e, s + 1)
+        p = order[s:e]
+        out[at[p]] = _scores(_padded(fa, sa[p], la[p], -1), la[p], _padded(fb, sb[p], lb[p], -2), lb[p])
+        s = e
+    return out
+
+
 def _batch_scores(left: pd.Series, right: pd.Series, encode: bool) -> pd.Series:
-    cache: dict[tuple[str, str], float] = {}
-    out = []
-    append = out.append
-    for a, b in zip(left.tolist(), right.tolist()):
-        if a is None or b is None:
-            append(None)
-            continue
-        if a == b:
-            append(1.0 if a else 0.0)
-            continue
-        key = (a, b)
-        v = cache.get(key)
-        if v is None:
-            v = jaro_winkler(a.encode("utf-8"), b.encode("utf-8")) if encode else jaro_winkler(a, b)
-            cache[key] = v
-        append(v)
-    return pd.Series(out, dtype="float64")
+    out = batch_jaro_winkler(left.tolist(), right.tolist(), encode)
+    return pd.Series([None if np.isnan(x) else x for x in out.tolist()], dtype="float64")
 
 
 @pandas_udf(T.DoubleType())

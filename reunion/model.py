@@ -95,8 +95,14 @@ class Model:
     prior: float
     comparisons: tuple[Comparison, ...]
     trained: tuple[str, ...] = field(default=())
+    #: Blocking rules: pairs that agree on all columns of one of them are compared. Empty: each compared column.
+    blocking: tuple[tuple[str, ...], ...] = field(default=())
 
     def __post_init__(self) -> None:
+        rules = tuple((r,) if isinstance(r, str) else tuple(r) for r in self.blocking)
+        if any(not r for r in rules):
+            raise ValueError("a blocking rule needs at least one column")
+        object.__setattr__(self, "blocking", rules)
         if not 0.0 < self.prior < 1.0:
             raise ValueError(f"prior must be in (0, 1), got {self.prior}")
         names = [c.column for c in self.comparisons]
@@ -107,6 +113,24 @@ class Model:
     def columns(self) -> list[str]:
         return [c.column for c in self.comparisons]
 
+    @property
+    def rules(self) -> list[tuple[str, ...]]:
+        """The blocking rules in use."""
+        return list(self.blocking) or [(c,) for c in self.columns]
+
+    @property
+    def all_columns(self) -> list[str]:
+        """Compared columns, then further columns of the blocking rules."""
+        return list(dict.fromkeys([*self.columns, *[c for r in self.rules for c in r]]))
+
+    def renamed(self, names: dict[str, str]) -> Model:
+        """The same model over other column names."""
+        return replace(
+            self,
+            comparisons=tuple(replace(c, column=names[c.column]) for c in self.comparisons),
+            blocking=tuple(tuple(names[c] for c in r) for r in self.rules),
+        )
+
     @property
     def prior_odds(self) -> float:
         return self.prior / (1.0 - self.prior)
@@ -131,7 +155,8 @@ class Model:
 
     def to_json(self) -> str:
         return json.dumps(
-            {"prior": self.prior, "comparisons": [c.to_dict() for c in self.comparisons], "trained": list(self.trained)},
+            {"prior": self.prior, "comparisons": [c.to_dict() for c in self.comparisons], "trained": list(self.trained),
+             "blocking": [list(r) for r in self.blocking]},
             sort_keys=True,
         )
 
@@ -142,17 +167,19 @@ class Model:
             float(d["prior"]),
             tuple(Comparison.from_dict(c) for c in d["comparisons"]),
             tuple(d.get("trained", ())),
+            tuple(tuple(r) for r in d.get("blocking", ())),
         )
 
     @classmethod
-    def from_file(cls, path: str) -> Model:
-        """A model saved with :meth:`save` (JSON text in a file)."""
-        with open(path, encoding="utf-8") as f:
-            return cls.from_json(f.read())
+    def from_file(cls, path: str, spark: SparkSession | None = None) -> Model:
+        """A model saved with :meth:`save`: JSON text in a file or folder that Spark can read (shared storage included)."""
+        spark = spark or SparkSession.builder.getOrCreate()
+        return cls.from_json("".join(r["value"] for r in spark.read.text(path, wholetext=True).collect()))
 
-    def save(self, path: str) -> None:
-        with open(path, "w", encoding="utf-8") as f:
-            f.write(self.to_json())
+    def save(self, path: str, spark: SparkSession | None = None) -> None:
+        """Write the model's JSON as a text table (a folder of one file) that every executor can reach."""
+        spark = spark or SparkSession.builder.getOrCreate()
+        spark.createDataFrame([(self.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
     TABLE_SCHEMA = T.StructType(
         [
@@ -168,12 +195,14 @@ class Model:
     )
 
     def to_dataframe(self, spark: SparkSession) -> DataFrame:
-        """One row per (column, level), plus a row at position -1 carrying the prior."""
+        """One row per (column, level), one at position -1 with the prior, and one per column of blocking rule k at position -2 - k."""
         rows = [(-1, None, None, None, None, None, None, self.prior)]
         for pos, c in enumerate(self.comparisons):
             bands = dict((lvl, t) for t, lvl in c.band_levels())
             for lvl in range(c.n_levels):
                 rows.append((pos, c.column, c.kind, lvl, bands.get(lvl), c.m[lvl], c.u[lvl], None))
+        for k, rule in enumerate(self.blocking):
+            rows += [(-2 - k, c, "block", i, None, None, None, None) for i, c in enumerate(rule)]
         return spark.createDataFrame(rows, self.TABLE_SCHEMA)
 
     @classmethod
@@ -195,4 +224,6 @@ class Model:
                     tuple(r["u"] for r in levels),
                 )
             )
-        return cls(prior, tuple(comps))
+        blocks = sorted({r["position"] for r in rows if r["position"] <= -2}, reverse=True)
+        rules = tuple(tuple(r["column"] for r in rows if r["position"] == p) for p in blocks)
+        return cls(prior, tuple(comps), blocking=rules)

@@ -1,11 +1,13 @@
-"""Blocking: candidate pairs that agree on at least one comparison column.
+"""Blocking: candidate pairs that agree on all columns of at least one rule.
 
-Every record is stacked once per blocking rule as ``(rule, key)`` (NULL keys dropped) and
-the stack is joined with itself on ``(rule, key)``: one equi-join for all rules, whose two
-sides are the same plan, so Spark shuffles the stack once and reuses the exchange. Rule k
-keeps only pairs that do *not* agree on any earlier column, so every pair comes out exactly
-once without a dedup shuffle, and no ``OR`` of equalities (which Catalyst would plan as a
-nested-loop join) appears. ``within`` columns are part of every rule's key.
+A rule is a tuple of columns (by default each comparison column is a rule). Every record is
+stacked once per rule as ``(rule, key)``, the key being a 64-bit hash of the rule's values (records
+with a NULL among them are left out), and the stack is joined with itself on ``(rule, key)``: one
+equi-join for all rules, whose two sides are the same plan, so Spark shuffles the stack once
+and reuses the exchange. The values are compared again in the join, so a hash collision makes
+no pair. Rule k keeps only pairs that do *not* agree on any earlier rule, so every pair comes
+out exactly once without a dedup shuffle, and no ``OR`` of equalities (which Catalyst would plan as
+a nested-loop join) appears. ``within`` columns are part of every rule.
 
 Hot blocks: a block of n records makes n(n-1)/2 pairs. Blocks above ``block_split``
 records are salted: each record gets a bucket in ``[0, s)``, is copied once per bucket
@@ -19,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.levels import q
@@ -27,25 +29,29 @@ from ..session import traced
 
 # Records per salt bucket of a hot block (largest block handled by one task unsalted).
 DEFAULT_BLOCK_SPLIT = 5000
-# Hot-key lists up to this many rows are broadcast; longer ones are shuffle-joined.
-HOT_KEY_BROADCAST_ROWS = 200_000
 
 
-def _and(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
+Rules = Sequence[str | Sequence[str]]
+
+
+def as_rules(rules: Rules) -> list[tuple[str, ...]]:
+    """Rules as column tuples; a plain name is a rule of one column."""
+    return [(r,) if isinstance(r, str) else tuple(r) for r in rules]
+
+
+def rule_columns(rules: Rules, within: Sequence[str] = ()) -> list[str]:
+    return list(dict.fromkeys([*[c for r in as_rules(rules) for c in r], *within]))
 
 
 def stack_rules(
-    slim: DataFrame, columns: Sequence[str], *, id_col: str, within: Sequence[str] = (), carry: Sequence[str] = ()
+    slim: DataFrame, rules: Rules, *, id_col: str, within: Sequence[str] = (), carry: Sequence[str] = ()
 ) -> DataFrame:
-    """``(uid, <carry...>, rule, key)``: one row per record and rule whose key is not NULL."""
+    """``(uid, <carry...>, rule, key)``: one row per record and rule whose values are not NULL."""
     entries = []
-    for k, c in enumerate(columns):
-        parts = [c, *within]
-        if within:
-            key = "to_json(named_struct(" + ", ".join(f"'{i}', {q(x)}" for i, x in enumerate(parts)) + "))"
-        else:
-            key = f"CAST({q(c)} AS STRING)"
+    for k, rule in enumerate(as_rules(rules)):
+        parts = list(dict.fromkeys([*rule, *within]))
+        # NULLs are excluded, so the hash of the values one after the other identifies them but for collisions
+        key = f"xxhash64({k}, {', '.join(f'CAST({q(x)} AS STRING)' for x in parts)})"
         nonnull = " AND ".join(f"{q(x)} IS NOT NULL" for x in parts)
         entries.append(f"CASE WHEN {nonnull} THEN named_struct('rule', {k}, 'key', {key}) END")
     return (
@@ -55,6 +61,18 @@ def stack_rules(
     )
 
 
+def agree_sql(rules: Rules, within: Sequence[str] = (), left: str = "l", right: str = "r") -> list[str]:
+    """Join conditions beside the equal key: the rule's values are equal, and no earlier rule agrees."""
+    rules = as_rules(rules)
+
+    def same(rule: Sequence[str]) -> str:
+        return " AND ".join(f"{left}.{q(c)} = {right}.{q(c)}" for c in dict.fromkeys([*rule, *within]))
+
+    cond = [f"({left}.rule <> {k} OR ({same(r)}))" for k, r in enumerate(rules)]
+    cond += [f"NOT ({left}.rule > {j} AND coalesce({same(r)}, false))" for j, r in enumerate(rules[:-1])]
+    return cond
+
+
 def block_maxima(stacked: DataFrame, n_rules: int, extra: DataFrame | None = None) -> list[int]:
     """Largest block of every rule, from one aggregate with map-side partial counts.
 
@@ -85,9 +103,7 @@ def _salt(stacked: DataFrame, split: int) -> DataFrame:
         .where(F.col("_n") > F.lit(split))
         .select("rule", "key", F.ceil(F.col("_n") / F.lit(split)).cast("int").alias("_s"))
     )
-    n_hot = hot.count()
-    if n_hot <= HOT_KEY_BROADCAST_ROWS:
-        hot = F.broadcast(hot)
+    # broadcast or shuffled as its size in bytes decides (AQE)
     tagged = stacked.join(hot, ["rule", "key"], "left").withColumn("_s", F.coalesce(F.col("_s"), F.lit(1)))
     tagged = tagged.withColumn("_b", F.pmod(F.xxhash64(F.col("uid")), F.col("_s")).cast("int"))
     tagged = tagged.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_s") - F.lit(1))))
@@ -96,7 +112,7 @@ def _salt(stacked: DataFrame, split: int) -> DataFrame:
 
 def candidate_pairs(
     slim: DataFrame,
-    columns: Sequence[str],
+    rules: Rules,
     *,
     id_col: str = "uid",
     within: Sequence[str] = (),
@@ -104,28 +120,24 @@ def candidate_pairs(
     block_split: int | None = DEFAULT_BLOCK_SPLIT,
     maxima: Sequence[int] | None = None,
 ) -> DataFrame:
-    """All pairs ``uid_l < uid_r`` that agree on at least one of ``columns``.
+    """All pairs ``uid_l < uid_r`` that agree on all columns of at least one of ``rules``.
 
-    Output: ``uid_l, uid_r, rule`` (index of the first agreeing column) and, for every
-    column in ``carry`` (default: ``columns``), ``<c>_l`` and ``<c>_r``.
+    Output: ``uid_l, uid_r, rule`` (index of the first agreeing rule) and, for every
+    column in ``carry`` (default: the rules' columns), ``<c>_l`` and ``<c>_r``.
     """
-    columns = list(columns)
-    within = list(within)
-    carry = list(columns if carry is None else carry)
-    needed = list(dict.fromkeys([*columns, *carry]))
-    stacked = stack_rules(slim, columns, id_col=id_col, within=within, carry=needed)
+    rules, within = as_rules(rules), list(within)
+    carry = list(rule_columns(rules) if carry is None else carry)
+    needed = list(dict.fromkeys([*rule_columns(rules, within), *carry]))
+    stacked = stack_rules(slim, rules, id_col=id_col, within=within, carry=needed)
     keys = ["rule", "key"]
     cond = []
     if block_split and maxima is None:
-        maxima = block_maxima(stacked, len(columns))
+        maxima = block_maxima(stacked, len(rules))
     if block_split and max(maxima or [0]) > block_split:
         stacked = _salt(stacked, block_split)
         keys += ["_lo", "_hi"]
         cond.append("(l._lo = l._hi OR l._b <> r._b)")
-    cond = [f"l.{k} = r.{k}" for k in keys] + ["l.uid < r.uid"] + cond
-    for j, c in enumerate(columns[:-1]):
-        # rule k drops pairs that agree on an earlier column j < k
-        cond.append(f"NOT (l.rule > {j} AND coalesce(l.{q(c)} = r.{q(c)}, false))")
+    cond = [f"l.{k} = r.{k}" for k in keys] + ["l.uid < r.uid"] + cond + agree_sql(rules, within)
     joined = stacked.alias("l").join(stacked.alias("r"), F.expr(" AND ".join(cond)), "inner")
     return joined.selectExpr(
         "l.uid AS uid_l",
@@ -135,23 +147,23 @@ def candidate_pairs(
     )
 
 
-def block_stats(slim: DataFrame, columns: Sequence[str], *, within: Sequence[str] = ()) -> DataFrame:
+def block_stats(slim: DataFrame, rules: Rules, *, within: Sequence[str] = ()) -> DataFrame:
     """Per blocking rule: records with a key, blocks, largest block and pairs inside blocks.
 
     ``pairs`` counts every pair of a block (before the exclusion of earlier rules): the
     work a rule alone would cause. Run it before a resolve to spot hot blocks.
     """
     parts = []
-    for i, col in enumerate(columns):
-        keys = [col, *within]
-        nonnull = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        sizes = slim.where(nonnull).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    for i, rule in enumerate(as_rules(rules)):
+        keys = list(dict.fromkeys([*rule, *within]))
+        nonnull = reduce(lambda a, b: a & b, [F.col(q(k)).isNotNull() for k in keys])
+        sizes = slim.where(nonnull).groupBy(*[q(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
         parts.append(
             sizes.agg(
                 F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("records"),
                 F.count(F.lit(1)).cast("bigint").alias("blocks"),
                 F.coalesce(F.max("n"), F.lit(0)).cast("bigint").alias("largest_block"),
                 F.coalesce(F.expr("sum(n * (n - 1)) div 2"), F.lit(0)).cast("bigint").alias("pairs"),
-            ).select(F.lit(i).alias("rule"), F.lit(col).alias("column"), "*")
+            ).select(F.lit(i).alias("rule"), F.lit(",".join(rule)).alias("column"), "*")
         )
     return reduce(DataFrame.unionByName, parts)

@@ -1,103 +1,136 @@
 """Connected components of the match graph, as DataFrame rounds.
 
 Alternating large-star and small-star (Kiveris, Lattanzi, Mirrokni, Rastogi, Vassilvitskii:
-"Connected Components in MapReduce and Beyond", SoCC 2014). Every round is a few
-aggregates and joins keyed by node; no node's neighbourhood is gathered into one row,
-so a hub of any degree stays a streaming join (AQE splits its skewed partition). The
-edge set of each round is checkpointed to the session's shared checkpoint folder, which
-cuts the lineage and survives lost executors. The loop stops when the graph is a forest
-of stars centred on each component's smallest node; only that yes/no reaches the driver.
+"Connected Components in MapReduce and Beyond", SoCC 2014), with a contraction before each round:
+the edges are dealt into partitions of bounded size by a hash of both ends, and each
+partition replaces its edges by the stars of their components. Edges that fit one partition are
+done with that.
+
+A round writes its two tables of least neighbours (one row per node) and joins the edges with them.
+Both sides of these joins are plain shuffles of written tables, so AQE splits the partition of a
+hub node (an aggregate between shuffle and join would prevent that); the aggregates combine
+map-side. The loop ends by itself: when a round leaves the edge set as it was (compared by count and
+checksum, observed while it is written), the edges are stars centred on each component's
+smallest node. Superseded tables are deleted.
 """
 
 from __future__ import annotations
 
-import uuid
+import sys
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, materialize, traced
-
-MAX_ROUNDS = 64
-
-# One round: large-star then small-star, as one SQL statement over the edge view {e}.
-_ROUND_SQL = """
-WITH both AS (SELECT a AS u, b AS v FROM {e} UNION ALL SELECT b AS u, a AS v FROM {e}),
-     low AS (SELECT u, least(u, min(v)) AS m FROM both GROUP BY u),
-     large AS (SELECT both.v AS a, low.m AS b FROM both JOIN low ON both.u = low.u WHERE both.v > both.u),
-     oriented AS (SELECT greatest(a, b) AS u, least(a, b) AS v FROM large),
-     low2 AS (SELECT u, min(v) AS m FROM oriented GROUP BY u)
-SELECT DISTINCT a, b FROM (
-  SELECT oriented.v AS a, low2.m AS b FROM oriented JOIN low2 ON oriented.u = low2.u WHERE oriented.v <> low2.m
-  UNION ALL
-  SELECT u AS a, m AS b FROM low2)
-"""
+from ..session import release, write_table
 
-# Star forest: every child has one parent and no parent is itself a child (one aggregate).
-_STAR_CHECK_SQL = """
-SELECT coalesce(max(CASE WHEN parents > 1 OR (parents = 1 AND is_parent = 1) THEN 1 ELSE 0 END), 0) AS bad
-FROM (SELECT node, count(DISTINCT parent) AS parents, max(CASE WHEN parent IS NULL THEN 1 ELSE 0 END) AS is_parent
-      FROM (SELECT a AS node, b AS parent FROM {e} UNION ALL SELECT b AS node, NULL AS parent FROM {e})
-      GROUP BY node)
-"""
+# The contraction runs in Python workers, which need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Edges that one partition contracts.
+PARTITION_EDGES = 2_000_000
 
-class _view:
-    """A uniquely named temp view for one SQL statement, dropped afterwards.
 
-    ``spark.sql`` resolves the view while analysing, so the returned DataFrame keeps working
-    after the name is gone.
-    """
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(node, root)`` of the nodes of the edges that are not their component's smallest."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    parent = np.arange(len(nodes))
+    while len(x):
+        rx, ry = parent[x], parent[y]
+        open_ = rx != ry
+        x, y, rx, ry = x[open_], y[open_], rx[open_], ry[open_]
+        np.minimum.at(parent, np.maximum(rx, ry), np.minimum(rx, ry))
+        while not np.array_equal(up := parent[parent], parent):
+            parent = up
+    child = np.flatnonzero(parent != np.arange(len(nodes)))
+    return nodes[child], nodes[parent[child]]
+
+
+def contracted(edges: DataFrame, count: int, partition_edges: int = PARTITION_EDGES) -> DataFrame:
+    """Edges ``(a, b)`` with a > b (long): each partition's edges replaced by the stars of their components."""
+
+    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = [], []
+        for batch in batches:
+            a.append(batch.column(0).to_numpy(zero_copy_only=False))
+            b.append(batch.column(1).to_numpy(zero_copy_only=False))
+        if a:
+            x, y = _stars(np.concatenate(a), np.concatenate(b))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
+
+    n = max(1, -(-count // partition_edges))
+    return edges.select("a", "b").repartition(n, "a", "b").mapInArrow(contract, "a long, b long")
+
 
-    def __init__(self, df: DataFrame, tag: str):
-        self.df = df
-        self.name = f"reunion_{tag}_{uuid.uuid4().hex}"
+def _neighbours(e: DataFrame) -> DataFrame:
+    return e.selectExpr("a AS u", "b AS v").unionByName(e.selectExpr("b AS u", "a AS v"))
 
-    def __enter__(self) -> str:
-        self.df.createOrReplaceTempView(self.name)
-        return self.name
 
-    def __exit__(self, *exc):
-        self.df.sparkSession.catalog.dropTempView(self.name)
-        return False
+def large_star(e: DataFrame, low: DataFrame) -> DataFrame:
+    """Every larger neighbour of a node is linked to the node's least neighbour (or itself); ``low`` is ``(n, m)``."""
+    return _neighbours(e).join(low, F.col("u") == F.col("n")).where("v > u").selectExpr("v AS a", "m AS b")
 
 
-def _large_small_star(e: DataFrame) -> DataFrame:
-    with _view(e, "edges") as name:
-        return e.sparkSession.sql(_ROUND_SQL.format(e=name))
+def small_star(e: DataFrame, low: DataFrame) -> DataFrame:
+    """Every smaller neighbour of a node, and the node, are linked to the least of them; ``low`` is ``(n, m)``."""
+    moved = e.join(low, F.col("a") == F.col("n")).where("b <> m").selectExpr("b AS a", "m AS b")
+    return moved.unionByName(low.selectExpr("n AS a", "m AS b")).distinct()
 
 
-def _is_star_forest(e: DataFrame) -> bool:
-    with _view(e, "edges") as name:
-        return e.sparkSession.sql(_STAR_CHECK_SQL.format(e=name)).collect()[0]["bad"] == 0
+def star_round(e: DataFrame) -> tuple[DataFrame, list[str]]:
+    """One large-star and one small-star over written tables; returns the edges and the folders they read."""
+    low, f1 = write_table(_neighbours(e).groupBy("u").agg(F.min("v").alias("m")).selectExpr("u AS n", "least(u, m) AS m"), "cc-low")
+    large, f2 = write_table(large_star(e, low).distinct(), "cc-large")
+    low2, f3 = write_table(large.groupBy("a").agg(F.min("b").alias("m")).selectExpr("a AS n", "m"), "cc-low")
+    return small_star(large, low2), [f1, f2, f3]
 
 
-def connected_components(
-    edges: DataFrame,
-    src: str = "uid_l",
-    dst: str = "uid_r",
-    *,
-    max_rounds: int = MAX_ROUNDS,
-) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "uid_l", dst: str = "uid_r", *, partition_edges: int = PARTITION_EDGES) -> DataFrame:
     """``(node, root)`` for every node on an edge; root = the smallest node of its component.
 
     Nodes that are on no edge are not listed: they are their own component.
     """
-    spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
-    e = edges.selectExpr(f"least({src}, {dst}) AS b", f"greatest({src}, {dst}) AS a").where("a <> b")
-    rounds = 0
-    # Links of duplicate records nearly always hold triangles, so the loop starts with a
-    # round; an input that is already a star forest comes out of it unchanged.
+    ends = edges.select(F.least(src, dst).alias("b"), F.greatest(src, dst).alias("a")).where("a <> b")
+    if dict(ends.dtypes)["a"] in ("tinyint", "smallint", "int", "bigint"):
+        kind = dict(ends.dtypes)["a"]
+        names, folder = None, None
+        e = ends.selectExpr("CAST(a AS BIGINT) AS a", "CAST(b AS BIGINT) AS b")
+    else:
+        # other orderable ids: number the nodes in their order first
+        from .clusters import dense_ids
+
+        raw, folder = write_table(ends, "cc-ends")
+        names = dense_ids(raw.selectExpr("a AS k").unionByName(raw.selectExpr("b AS k")), "k", "i").selectExpr("k", "CAST(i AS BIGINT) AS i")
+        e = raw.join(names.selectExpr("k AS a", "i AS ia"), "a").join(names.selectExpr("k AS b", "i AS ib"), "b").selectExpr("ia AS a", "ib AS b")
+    stars = _star_forest(e, partition_edges)
+    found = stars.selectExpr("a AS node", "b AS root").unionByName(stars.selectExpr("b AS node", "b AS root").distinct())
+    if names is not None:
+        by = names.selectExpr("k AS kn", "i AS node"), names.selectExpr("k AS kr", "i AS root")
+        return found.join(by[0], "node").join(by[1], "root").selectExpr("kn AS node", "kr AS root")
+    return found.selectExpr(f"CAST(node AS {kind}) AS node", f"CAST(root AS {kind}) AS root")
+
+
+def _star_forest(e: DataFrame, partition_edges: int) -> DataFrame:
+    seen = Observation()
+    start, folder = write_table(e.observe(seen, F.count(F.lit(1)).alias("n")), "cc-edges")
+    count, state = int(seen.get["n"]), None
+    e, folders = start, []
     while True:
-        if rounds >= max_rounds:
-            raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
-        e = materialize(_large_small_star(e), f"cc-round{rounds}")
-        rounds += 1
-        with traced(f"cc-check{rounds}"):
-            if _is_star_forest(e):
-                break
-    with _view(e, "stars") as view:
-        return spark.sql(
-            f"SELECT a AS node, b AS root FROM {view} UNION ALL SELECT DISTINCT b AS node, b AS root FROM {view}"
-        )
+        # n and sum identify the edge set from round to round
+        seen = Observation()
+        single = count <= partition_edges
+        nxt = contracted(e, count, partition_edges).distinct()
+        nxt, new = write_table(nxt.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.expr("cast(xxhash64(a, b) AS decimal(38, 0))")).alias("h")), "cc-edges")
+        release(e.sparkSession, [folder, *folders])
+        e, folder, folders = nxt, new, []
+        now = (int(seen.get["n"]), seen.get["h"])
+        if single or now == state:
+            return e
+        count, state = now[0], now
+        e, folders = star_round(e)
+        folders.append(folder)
+        folder = folders.pop(0)

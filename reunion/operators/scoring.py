@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import PROB_COL
-from ..functions.levels import level_sql, match_probability_sql, q, sql_double
+from ..functions.levels import jw_bound_sql, level_sql, match_probability_sql, q, sql_double
 from ..functions.similarity import register_jaro_winkler
 from ..model import Model
 
@@ -56,10 +56,11 @@ def prune_unreachable(
 ) -> DataFrame:
     """Drop pairs that cannot reach ``threshold`` before any Jaro-Winkler is computed.
 
-    Edit-distance levels are computed exactly (JVM side); every name column that is set and
-    differs is assumed to reach its best non-exact band. The probability of that pattern
-    bounds the true one from above, so only pairs below the threshold are removed and the
-    links are unchanged. Without a name comparison there is nothing to save.
+    Edit-distance levels are computed exactly (JVM side); a name column that is set and differs gets
+    the most favourable level that a native bound of its Jaro-Winkler similarity (shared symbols and common
+    prefix) still allows. The probability of that pattern bounds the true one from above, so only
+    pairs below the threshold are removed and the links are unchanged. Without a name
+    comparison there is nothing to save.
     """
     if threshold <= 0.0 or not any(c.kind == "name" for c in model.comparisons):
         return pairs
@@ -67,10 +68,13 @@ def prune_unreachable(
     for comp in model.comparisons:
         left, right = q(comp.column + "_l"), q(comp.column + "_r")
         if comp.kind == "name":
-            best = max(range(comp.exact_level), key=lambda lv: comp.factors[lv])
+            # best[k]: the level of the largest factor among levels 0..k
+            best = [max(range(k + 1), key=lambda lv: comp.factors[lv]) for k in range(comp.exact_level)]
+            bound = jw_bound_sql(left, right)
+            bands = " ".join(f"WHEN b >= {sql_double(t - 1e-6)} THEN {best[lvl]}" for t, lvl in comp.band_levels())
+            reach = f"element_at(transform(array({bound}), b -> CASE {bands} ELSE {best[0]} END), 1)"
             levels.append(
-                f"(CASE WHEN {left} IS NULL OR {right} IS NULL THEN -1 WHEN {left} = {right} "
-                f"THEN {comp.exact_level} ELSE {best} END)"
+                f"(CASE WHEN {left} IS NULL OR {right} IS NULL THEN -1 WHEN {left} = {right} THEN {comp.exact_level} ELSE {reach} END)"
             )
         else:
             levels.append(f"({level_sql(comp, left, right, edit_unit or unit)})")

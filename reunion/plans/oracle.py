@@ -9,7 +9,6 @@ formulation of the same semantics.
 from __future__ import annotations
 
 from ..constants import JW_ROUND_DIGITS, PROB_COL, RESULT_ROUND_DIGITS
-from ..functions.levels import edit_band_table  # same band table as the Spark plan
 from ..model import Comparison, Model
 
 
@@ -28,9 +27,10 @@ def level_sql(comp: Comparison, left: str, right: str) -> str:
         jw = f"round(jaro_winkler_similarity({left}, {right}), {JW_ROUND_DIGITS})"
         bands = " ".join(f"WHEN {jw} >= {dbl(t)} THEN {lvl}" for t, lvl in comp.band_levels())
     else:
-        bound, table = edit_band_table(comp)
-        dist = f"levenshtein({left}, {right})"
-        bands = " ".join(f"WHEN {dist} <= {d} THEN {table[d + 1]}" for d in range(bound + 1))
+        # strings whose lengths differ by more than the widest band can't reach it
+        widest = int(max(comp.thresholds))
+        dist = f"(CASE WHEN abs(strlen({left}) - strlen({right})) > {widest} THEN {widest + 1} ELSE levenshtein({left}, {right}) END)"
+        bands = " ".join(f"WHEN {dist} <= {int(t)} THEN {len(comp.thresholds) - i}" for i, t in enumerate(comp.thresholds))
     return f"{head} {bands} ELSE 0 END"
 
 
@@ -58,14 +58,14 @@ def pipeline_ctes(
     """CTE list (without WITH) defining src, slim, pairs, levels, scored, links, comp, best, labels, ids, resolved."""
     cols = model.columns
     within = list(within)
-    slim_cols = ", ".join(f"CAST({qi(c)} AS VARCHAR) AS {qi(c)}" for c in cols)
-    slim_within = "".join(f", {qi(w)}" for w in within if w not in cols)
+    slim_cols = ", ".join(f"CAST({qi(c)} AS VARCHAR) AS {qi(c)}" for c in model.all_columns)
+    slim_within = "".join(f", {qi(w)}" for w in within if w not in model.all_columns)
     carry = ", ".join(f"l.{qi(c)} AS {qi(c + '_l')}, r.{qi(c)} AS {qi(c + '_r')}" for c in cols)
     rules = []
-    for k, c in enumerate(cols):
-        conds = [f"l.{qi(c)} = r.{qi(c)}", "l.uid < r.uid"]
+    for k, rule in enumerate(model.rules):
+        conds = [f"l.{qi(c)} = r.{qi(c)}" for c in rule] + ["l.uid < r.uid"]
         conds += [f"l.{qi(w)} = r.{qi(w)}" for w in within]
-        conds += [f"NOT coalesce(l.{qi(e)} = r.{qi(e)}, false)" for e in cols[:k]]
+        conds += [f"NOT coalesce({' AND '.join(f'l.{qi(e)} = r.{qi(e)}' for e in early)}, false)" for early in model.rules[:k]]
         rules.append(
             f"SELECT l.uid AS uid_l, r.uid AS uid_r, {k} AS rule, {carry} FROM slim l JOIN slim r ON {' AND '.join(conds)}"
         )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..constants import CLUSTER_COL, PROB_COL, RESULT_ROUND_DIGITS
@@ -42,12 +42,12 @@ class Workload:
         return WORKLOADS[self.name][2]
 
     @property
-    def columns(self) -> list[str]:
-        return list(WORKLOADS[self.name][3])
+    def model(self) -> Model:
+        return WORKLOADS[self.name][3]
 
     @property
-    def model(self) -> Model:
-        return Model.default(self.columns)
+    def columns(self) -> list[str]:
+        return self.model.columns
 
     def rows(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         return self.builder(spark, sf_dir)
@@ -59,7 +59,10 @@ class Workload:
 
     def resolved(self, spark: SparkSession, sf_dir: str, threshold: float | None = None) -> DataFrame:
         t = self.threshold if threshold is None else threshold
-        return resolve(self.rows(spark, sf_dir), self.columns, threshold=t, id_col=self.id_col)
+        return resolve(self.rows(spark, sf_dir), model=self.model, threshold=t, id_col=self.id_col)
+
+    def pairs(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        return candidate_pairs(self.slim(spark, sf_dir), self.model.rules, carry=self.columns)
 
     def sql(self, body: str, threshold: float | None = None, extra_ctes: str = "") -> str:
         t = self.threshold if threshold is None else threshold
@@ -109,7 +112,7 @@ FROM (SELECT {qi(c)}, count(*) AS n FROM slim WHERE {qi(c)} IS NOT NULL GROUP BY
 
 
 def _levels(w: Workload, spark, sf_dir) -> DataFrame:
-    return compare_pairs(candidate_pairs(w.slim(spark, sf_dir), w.columns), w.model)
+    return compare_pairs(w.pairs(spark, sf_dir), w.model)
 
 
 def q_name_levels(spark, sf_dir):
@@ -117,7 +120,7 @@ def q_name_levels(spark, sf_dir):
 
 
 def q_edit_levels(spark, sf_dir):
-    return _levels(DOCUMENTS, spark, sf_dir).select("uid_l", "uid_r", "head_level", "tail_level", "size_level")
+    return _levels(DOCUMENTS, spark, sf_dir).select("uid_l", "uid_r", *[f"{c}_level" for c in DOCUMENTS.columns])
 
 
 def q_scored_pairs(spark, sf_dir):
@@ -180,18 +183,13 @@ def q_ordered_rows(spark, sf_dir):
 
 
 def q_clusters_differ(spark, sf_dir):
+    """Whether the first record and the first one of another true entity than the least are in different clusters."""
     r = PLANTED.resolved(spark, sf_dir)
-    r.createOrReplaceTempView("reunion_resolved_planted")
-    return spark.sql(
-        """
-        SELECT (SELECT cluster_id FROM reunion_resolved_planted
-                WHERE record_id = (SELECT min(record_id) FROM reunion_resolved_planted))
-            <> (SELECT cluster_id FROM reunion_resolved_planted
-                WHERE record_id = (SELECT min(record_id) FROM reunion_resolved_planted
-                                   WHERE expected_entity <> (SELECT min(expected_entity) FROM reunion_resolved_planted)))
-            AS clusters_differ
-        """
-    )
+    least = r.agg(F.min("expected_entity").alias("least"))
+    first = F.min_by(CLUSTER_COL, "record_id")
+    # the one-row aggregate is a scalar
+    both = r.crossJoin(F.broadcast(least)).agg(first.alias("a"), F.min_by(F.when(F.col("expected_entity") != F.col("least"), F.col(CLUSTER_COL)), F.when(F.col("expected_entity") != F.col("least"), F.col("record_id"))).alias("b"))
+    return both.select((F.col("a") != F.col("b")).alias("clusters_differ"))
 
 
 SQL_CLUSTERS_DIFFER = """
@@ -291,7 +289,7 @@ QUERIES: dict[str, Query] = {
         q_name_levels, _planted_sql("SELECT uid_l, uid_r, first_name_level, last_name_level FROM levels")
     ),
     "edit_levels": Query(
-        q_edit_levels, DOCUMENTS.sql("SELECT uid_l, uid_r, head_level, tail_level, size_level FROM levels")
+        q_edit_levels, DOCUMENTS.sql("SELECT uid_l, uid_r, text_level, lang_level, source_level, n_chars_level FROM levels")
     ),
     "scored_pairs": Query(q_scored_pairs, _planted_sql(f"SELECT uid_l, uid_r, {rnd(PROB_COL)} AS {PROB_COL} FROM scored")),
     "linked_pairs": Query(q_linked_pairs, DOCUMENTS.sql(f"SELECT uid_l, uid_r, {rnd(PROB_COL)} AS {PROB_COL} FROM links")),
@@ -547,3 +545,103 @@ def _resolve_trained_sql(w: Workload) -> str:
 
 
 QUERIES["resolve_trained"] = Query(q_resolve_trained, _resolve_trained_sql(PLANTED))
+
+
+# --- further paths of resolve, each over planted customers unless said otherwise ------
+
+
+def _region(spark, sf_dir) -> DataFrame:
+    return PLANTED.rows(spark, sf_dir).withColumn("region", F.col("expected_entity") % 3)
+
+
+REGION_SQL = f"SELECT *, expected_entity % 3 AS region FROM ({PLANTED_SOURCE_SQL})"
+RESOLVED_ROUNDED = f"SELECT * REPLACE ({rnd(PROB_COL)} AS {PROB_COL}) FROM resolved"
+
+
+def q_resolve_within(spark, sf_dir):
+    w = PLANTED
+    return _round_p(resolve(_region(spark, sf_dir), w.columns, id_col=w.id_col, within=["region"]))
+
+
+COMPOSITE = Model.default(["first_name", "last_name", "email"])
+COMPOSITE = Model(COMPOSITE.prior, COMPOSITE.comparisons, blocking=(("last_name", "first_name"), ("email",), ("first_name", "region")))
+
+
+def q_resolve_with_blocking(spark, sf_dir):
+    """Composite blocking rules, one of them over a column that is not compared; the model given as a dict."""
+    import json
+
+    return _round_p(resolve(_region(spark, sf_dir), model=json.loads(COMPOSITE.to_json()), id_col=PLANTED.id_col))
+
+
+# columns named like our own, and with a dot, beside a payload that has a reserved name in another case
+ODD_NAMES = {"first_name": "key", "last_name": "rule", "email": "a.b"}
+
+
+def q_resolve_odd_names(spark, sf_dir):
+    rows = PLANTED.rows(spark, sf_dir).withColumnsRenamed(ODD_NAMES).withColumn("Cluster_ID", F.lit("old")).withColumn("uid", F.lit(1))
+    kinds = Model.default(PLANTED.columns).renamed({**ODD_NAMES})
+    out = _round_p(resolve(rows, model=Model(kinds.prior, kinds.comparisons), id_col=PLANTED.id_col))
+    return out.withColumnRenamed("a.b", "a_b")
+
+
+ODD_NAMES_SQL = PLANTED.sql(
+    f"SELECT record_id, first_name AS key, last_name AS rule, email AS a_b, expected_entity, 1 AS uid, cluster_id, {rnd(PROB_COL)} AS {PROB_COL} FROM resolved"
+)
+
+
+def q_resolve_salted(spark, sf_dir):
+    """Blocks of over 3 records are spread over several tasks; the result is the same."""
+    w = PLANTED
+    return _round_p(resolve(w.rows(spark, sf_dir), w.columns, id_col=w.id_col, block_split=3))
+
+
+def q_resolve_char_unit(spark, sf_dir):
+    """Distances count characters, not bytes (planted values are ASCII, so DuckDB's twin agrees)."""
+    w = PLANTED
+    return _round_p(resolve(w.rows(spark, sf_dir), w.columns, id_col=w.id_col, unit="char"))
+
+
+def q_resolve_ordered(spark, sf_dir):
+    w = PLANTED
+    out = resolve(w.rows(spark, sf_dir), w.columns, id_col=w.id_col, ordered=True)
+    return _round_p(out.withColumn("place", F.row_number().over(Window.partitionBy(CLUSTER_COL).orderBy(w.id_col))))
+
+
+def q_resolve_generated_id(spark, sf_dir):
+    """Without an id column: the partition into entities, each named by its smallest record."""
+    w = PLANTED
+    out = resolve(w.rows(spark, sf_dir), w.columns)
+    least = out.groupBy(CLUSTER_COL).agg(F.min(w.id_col).alias("entity"))
+    return _round_p(out.join(least, CLUSTER_COL).select(w.id_col, "entity", PROB_COL))
+
+
+def q_resolved_view(spark, sf_dir):
+    from .resolve import resolved_view
+
+    w = PLANTED
+    resolved_view(spark, "reunion_view", w.rows(spark, sf_dir), w.columns, id_col=w.id_col)
+    try:
+        return spark.sql("SELECT count(DISTINCT cluster_id) AS entities, count(*) AS records FROM reunion_view")
+    finally:
+        spark.catalog.dropTempView("reunion_view")
+
+
+QUERIES.update(
+    {
+        "resolve_within": Query(q_resolve_within, with_pipeline(REGION_SQL, "record_id", PLANTED.model, 0.5, RESOLVED_ROUNDED, within=["region"])),
+        "resolve_with_blocking": Query(q_resolve_with_blocking, with_pipeline(REGION_SQL, "record_id", COMPOSITE, 0.5, RESOLVED_ROUNDED)),
+        "resolve_odd_names": Query(q_resolve_odd_names, ODD_NAMES_SQL),
+        "resolve_salted": Query(q_resolve_salted, _planted_sql(RESOLVED_ROUNDED)),
+        "resolve_char_unit": Query(q_resolve_char_unit, _planted_sql(RESOLVED_ROUNDED)),
+        "resolve_ordered": Query(
+            q_resolve_ordered,
+            _planted_sql(f"SELECT * REPLACE ({rnd(PROB_COL)} AS {PROB_COL}), row_number() OVER (PARTITION BY cluster_id ORDER BY record_id) AS place FROM resolved"),
+        ),
+        "resolve_generated_id": Query(
+            q_resolve_generated_id,
+            _planted_sql(f"SELECT record_id, min(record_id) OVER (PARTITION BY cluster_id) AS entity, {rnd(PROB_COL)} AS {PROB_COL} FROM resolved"),
+        ),
+        "resolved_view": Query(q_resolved_view, _planted_sql("SELECT count(DISTINCT cluster_id) AS entities, count(*) AS records FROM resolved")),
+    }
+)

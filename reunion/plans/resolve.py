@@ -15,7 +15,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -32,16 +33,17 @@ from ..constants import (
     RESERVED_COLUMNS,
 )
 from ..errors import MatchError
-from ..functions.levels import match_probability_sql, q
+from ..functions.levels import match_probability_sql, q, unit_sql
 from ..functions.similarity import check_unit
 from ..model import Model
-from ..operators.blocking import DEFAULT_BLOCK_SPLIT, block_maxima, candidate_pairs, stack_rules
+from ..operators.blocking import DEFAULT_BLOCK_SPLIT, as_rules, block_maxima, candidate_pairs, rule_columns, stack_rules
 from ..operators.clusters import best_match_probability, dense_ids
 from ..operators.components import connected_components
 from ..operators.scoring import compare_pairs, link_pairs, prune_unreachable, score_pairs
 from ..session import ensure_checkpoint_dir, materialize, traced
 
 UID = "__reunion_uid"
+EMPTY = "resolve needs a non-empty input"
 
 
 def parse_columns(spec: str | Sequence[str] | None) -> list[str]:
@@ -59,16 +61,11 @@ def parse_columns(spec: str | Sequence[str] | None) -> list[str]:
 def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
     """Exact, case-sensitive presence test (Spark itself would resolve names case-insensitively)."""
     if not columns:
-        raise MatchError(
-            "no comparison columns supplied; pass columns='col1,col2,...' naming the fields to match records on"
-        )
+        raise MatchError("no comparison columns given: name the fields that tell records apart, as 'a,b' or a list")
     have = set(df.columns)
     missing = [c for c in columns if c not in have]
     if missing:
-        raise MatchError(
-            f"comparison column(s) not found in input relation: {', '.join(missing)}; "
-            f"relation has columns: {', '.join(df.columns)}"
-        )
+        raise MatchError(f"not found in the input: {', '.join(missing)} (it has {', '.join(df.columns)})")
 
 
 def check_inputs(df: DataFrame, columns: Sequence[str], threshold: float, id_col: str | None = None,
@@ -81,17 +78,17 @@ def check_inputs(df: DataFrame, columns: Sequence[str], threshold: float, id_col
         raise MatchError("resolve needs a batch DataFrame; score a stream with reunion.streaming.score_stream")
     ids_ok = True
     if id_col is not None and check_ids and id_col in df.columns:
-        per_id = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
+        per_id = df.groupBy(F.col(q(id_col)).alias("id")).agg(F.count(F.lit(1)).alias("n"))
         stats = per_id.agg(
             F.count(F.lit(1)).alias("ids"),
-            F.max(((F.col("n") > 1) | F.col(id_col).isNull()).cast("int")).alias("bad"),
+            F.max(((F.col("n") > 1) | F.col("id").isNull()).cast("int")).alias("bad"),
         ).collect()[0]
         empty = stats["ids"] == 0
         ids_ok = not stats["bad"]
     else:
         empty = df.isEmpty()
     if empty:
-        raise MatchError("match_resolve requires a non-empty input relation")
+        raise MatchError(EMPTY)
     t = float(threshold)
     if not 0.0 <= t <= 1.0:
         raise MatchError(f"threshold must be in [0, 1], got {threshold}")
@@ -102,28 +99,24 @@ def check_inputs(df: DataFrame, columns: Sequence[str], threshold: float, id_col
         raise MatchError(f"id column {id_col} must be unique and not NULL")
 
 
-def _free_name(df: DataFrame, base: str) -> str:
-    name, i = base, 0
-    while name in df.columns:
-        i += 1
-        name = f"{base}_{i}"
-    return name
+def positional(df: DataFrame) -> DataFrame:
+    """The columns renamed ``p0, p1, ...``, so that no name of the caller's meets one of ours."""
+    return df.toDF(*[f"p{i}" for i in range(len(df.columns))])
 
 
-def with_uid(df: DataFrame, id_col: str | None) -> tuple[DataFrame, str]:
-    """Give every row a unique, orderable id that stays fixed for the whole job.
+def with_uid(df: DataFrame, id_col: str | None) -> DataFrame:
+    """:func:`positional` columns plus ``uid``: unique, orderable, and fixed for the whole job.
 
-    With ``id_col`` the caller's column is used (checked unique by :func:`check_inputs`). Without it a
-    generated id follows input order; it is checkpointed so that recomputation after a
-    lost executor cannot renumber rows.
+    With ``id_col`` it is the caller's column (checked unique by :func:`check_inputs`). Without it a
+    generated id follows input order; the rows are checkpointed (which holds for every column type) so
+    that recomputation after a lost executor cannot renumber them.
     """
     if id_col is not None:
         if id_col not in df.columns:
             raise MatchError(f"id column not found in input relation: {id_col}")
-        return df, id_col
+        return positional(df).withColumn("uid", F.col(f"p{df.columns.index(id_col)}"))
     ensure_checkpoint_dir(df.sparkSession)
-    name = _free_name(df, UID)
-    return materialize(df.withColumn(name, F.monotonically_increasing_id()), "rows"), name
+    return positional(df).withColumn("uid", F.monotonically_increasing_id()).checkpoint()
 
 
 def self_pair_probability(model: Model) -> Column:
@@ -136,10 +129,6 @@ def _all_set(cols: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]) if cols else F.lit(True)
 
 
-def _any_set(cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in cols])
-
-
 def resolve_labels(
     slim: DataFrame,
     model: Model,
@@ -149,7 +138,6 @@ def resolve_labels(
     within: Sequence[str] = (),
     unit: str = "byte",
     block_split: int | None = DEFAULT_BLOCK_SPLIT,
-    edit_unit: str | None = None,
     extra_stats: DataFrame | None = None,
     on_stats=None,
     persisted: list | None = None,
@@ -160,7 +148,8 @@ def resolve_labels(
     handed to ``on_stats`` (in descending rule order) before any further work.
     """
     cols = model.columns
-    keys = list(dict.fromkeys([*cols, *within]))
+    rules = model.rules
+    keys = list(dict.fromkeys([*model.all_columns, *within]))
     t = float(threshold)
 
     profiles = (
@@ -170,23 +159,25 @@ def resolve_labels(
     )
     if persisted is not None:
         persisted.append(profiles)
-    stacked = stack_rules(profiles, cols, id_col="pid", within=within)
+    stacked = stack_rules(profiles, rules, id_col="pid", within=within)
     copies = profiles.agg(F.lit(-1).alias("rule"), F.max("n").cast("bigint").alias("largest"))
     if extra_stats is not None:
         copies = copies.unionByName(extra_stats)
-    found = block_maxima(stacked, len(cols), copies)
-    maxima, largest_profile, stats = found[: len(cols)], found[len(cols)], found[len(cols) + 1 :]
+    found = block_maxima(stacked, len(rules), copies)
+    maxima, largest_profile, stats = found[: len(rules)], found[len(rules)], found[len(rules) + 1 :]
     if on_stats is not None:
         on_stats(stats)
-    pairs = candidate_pairs(profiles, cols, id_col="pid", within=within, block_split=block_split, maxima=maxima)
-    pairs = prune_unreachable(pairs, model, t, unit=unit, edit_unit=edit_unit)
-    scored = score_pairs(compare_pairs(pairs, model, unit=unit, edit_unit=edit_unit), model)
+    pairs = candidate_pairs(profiles, rules, id_col="pid", within=within, carry=cols, block_split=block_split, maxima=maxima)
+    pairs = prune_unreachable(pairs, model, t, unit=unit)
+    scored = score_pairs(compare_pairs(pairs, model, unit=unit), model)
     links = materialize(link_pairs(scored, t).select("uid_l", "uid_r", PROB_COL), "links")
 
     comps = connected_components(links)
     best_inter = best_match_probability(links)
     p_self = self_pair_probability(model)
-    self_linked = (F.col("n") >= 2) & _any_set(cols) & _all_set(within) & (p_self >= F.lit(t))
+    # copies meet when some rule has all its values set
+    blocked = reduce(lambda a, b: a | b, [_all_set(r) for r in rules])
+    self_linked = (F.col("n") >= 2) & blocked & _all_set(within) & (p_self >= F.lit(t))
     prof = (
         profiles.select("pid", *keys, self_linked.alias("self_linked"), p_self.alias("p_self"))
         .join(comps.withColumnRenamed("node", "pid"), "pid", "left")
@@ -215,6 +206,33 @@ def resolve_labels(
     return labels
 
 
+def read_model(model: Model | str | dict | None, spark) -> Model | None:
+    """A model from its JSON, a dict, or a path that Spark can read."""
+    if isinstance(model, dict) or isinstance(model, str) and model.lstrip().startswith("{"):
+        return Model.from_json(model)
+    return Model.from_file(model, spark) if isinstance(model, str) else model
+
+
+def internal_model(model: Model, within: Sequence[str]) -> tuple[Model, dict[str, str], list[str]]:
+    """The model over names of our own, the map from the caller's names, and the ``within`` columns' names."""
+    names = {c: f"c{i}" for i, c in enumerate(dict.fromkeys([*model.all_columns, *within]))}
+    return model.renamed(names), names, [names[w] for w in within]
+
+
+def slim_rows(rows: DataFrame, columns: Sequence[str], model: Model, names: dict[str, str], unit: str) -> DataFrame:
+    """``uid`` and the values under our names, as strings.
+
+    Compared values are mapped to one character per UTF-8 byte here, once per record instead of
+    once per pair; equality and blocking are unchanged by the mapping.
+    """
+    compared = set(model.columns)
+    out = []
+    for c, name in names.items():
+        value = f"CAST(p{columns.index(c)} AS STRING)"
+        out.append(f"{unit_sql(value, unit) if c in compared else value} AS {name}")
+    return rows.selectExpr("uid", *out)
+
+
 def resolve(
     df: DataFrame,
     columns: str | Sequence[str] | None = None,
@@ -222,33 +240,39 @@ def resolve(
     threshold: float = DEFAULT_THRESHOLD,
     train: bool = False,
     prior: float = DEFAULT_PRIOR,
-    model: Model | str | None = None,
+    model: Model | str | dict | None = None,
     id_col: str | None = None,
     unit: str = "byte",
     within: Sequence[str] = (),
+    blocking: Sequence[str | Sequence[str]] = (),
     block_split: int | None = DEFAULT_BLOCK_SPLIT,
     check_ids: bool = True,
     ordered: bool = False,
+    train_options: dict | None = None,
+    on_model: Callable[[Model], None] | None = None,
 ) -> DataFrame:
     """Resolve entities of a whole relation.
 
-    Returns every input row unchanged (an input ``cluster_id`` / ``match_probability`` is
-    replaced) plus ``cluster_id`` (string; "0", "1", ... in order of each cluster's first
-    row) and ``match_probability`` (strongest kept pair touching the row; 1.0 for a
-    singleton). "First" means smallest ``id_col``, or input order when no id is given.
+    Returns every input row unchanged (input columns named like ``cluster_id`` or
+    ``match_probability`` in any letter case are replaced) plus ``cluster_id`` (string; "0", "1", ... in
+    order of each cluster's first row) and ``match_probability`` (strongest kept pair touching the row;
+    1.0 for a singleton). "First" means smallest ``id_col``, or input order when no id is given.
 
-    ``model`` (a :class:`Model`, its JSON, or a path to a JSON file) is used as-is and wins
-    over ``train``. ``ordered=True`` sorts the result into input order (a global sort).
-    ``within`` restricts every blocking rule to records equal on those columns.
+    ``model`` (a :class:`Model`, its JSON or dict, or the path of its JSON) is used as-is and wins
+    over ``train``. ``blocking`` are the rules that make candidate pairs (tuples of columns; default: the model's,
+    else each compared column). ``train_options`` (``max_pairs``, ``seed``, ``iterations``) go to training, and
+    ``on_model`` gets the model that is used, to be saved. ``ordered=True`` sorts the result into
+    input order (a global sort). ``within`` restricts every blocking rule to records equal on those columns.
     """
-    if isinstance(model, str):
-        model = Model.from_file(model) if not model.lstrip().startswith("{") else Model.from_json(model)
+    spark = df.sparkSession
+    model = read_model(model, spark)
     cols = parse_columns(columns)
     if not cols and model is not None:
         cols = model.columns
     check_unit(unit)
     within = list(within)
-    needed = [*cols, *(model.columns if model is not None else []), *within]
+    rules = as_rules(blocking)
+    needed = list(dict.fromkeys([*cols, *(model.all_columns if model is not None else []), *rule_columns(rules, within)]))
     try:
         t_ok = 0.0 <= float(threshold) <= 1.0
     except (TypeError, ValueError):
@@ -260,10 +284,10 @@ def resolve(
     )
     extra_stats = on_stats = None
     if fused:
-        per_id = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
+        per_id = df.groupBy(F.col(q(id_col)).alias("id")).agg(F.count(F.lit(1)).alias("n"))
         extra_stats = per_id.agg(
             F.count(F.lit(1)).cast("bigint").alias("ids"),
-            F.coalesce(F.max(((F.col("n") > 1) | F.col(id_col).isNull()).cast("bigint")), F.lit(0)).alias("bad"),
+            F.coalesce(F.max(((F.col("n") > 1) | F.col("id").isNull()).cast("bigint")), F.lit(0)).alias("bad"),
         ).selectExpr(
             "inline(array(named_struct('rule', -2, 'largest', ids), named_struct('rule', -3, 'largest', bad)))"
         )
@@ -271,60 +295,53 @@ def resolve(
         def on_stats(stats: list[int]) -> None:
             ids, bad = stats
             if ids == 0:
-                raise MatchError("match_resolve requires a non-empty input relation")
+                raise MatchError(EMPTY)
             if bad:
                 raise MatchError(f"id column {id_col} must be unique and not NULL")
 
     else:
         with traced("checks"):
             check_inputs(df, cols, threshold, id_col, check_ids)
-        if model is not None:
-            require_columns(df, model.columns)
-        require_columns(df, within) if within else None
+        require_columns(df, needed)
 
-    rows, uid = with_uid(df, id_col)
+    given = list(df.columns)
+    rows = with_uid(df, id_col)
     if model is None:
         model = Model.default(cols, prior)
         if train:
             from ..operators.training import train_model
 
-            model = train_model(rows, model, id_col=uid, unit=unit)
-    used = model.columns
-    # Edit-distance columns are mapped to one character per UTF-8 byte here, once per record,
-    # instead of once per pair; equality and blocking are unchanged by the mapping.
-    edit_bytes = unit == "byte"
-    values = [
-        f"decode(encode(CAST({q(c.column)} AS STRING), 'UTF-8'), 'ISO-8859-1') AS {q(c.column)}"
-        if edit_bytes and c.kind == "edit"
-        else f"CAST({q(c.column)} AS STRING) AS {q(c.column)}"
-        for c in model.comparisons
-    ]
-    slim = rows.selectExpr(f"{q(uid)} AS uid", *values, *[q(c) for c in within if c not in used])
-    slim = slim.persist(StorageLevel.MEMORY_AND_DISK)
-    persisted = [slim]
-    labels = resolve_labels(
-        slim, model, threshold, uid="uid", within=within, unit=unit, block_split=block_split,
-        edit_unit="char" if edit_bytes else None, extra_stats=extra_stats, on_stats=on_stats,
-        persisted=persisted,
-    )
-    # Deterministic from written or persisted inputs: persisting is enough (recomputed if lost).
-    labels = labels.persist(StorageLevel.MEMORY_AND_DISK)
-    ids = dense_ids(labels, "root", CLUSTER_COL)
-    # labels is cached now (dense_ids ran over it); the inputs it came from can go
-    for df_ in persisted:
-        df_.unpersist()
-    per_row = labels.join(ids, "root").select(
-        F.col("uid").alias(uid),
-        F.col(CLUSTER_COL).alias(CLUSTER_COL, metadata={"comment": CLUSTER_COMMENT}),
-        F.col("best").alias(PROB_COL, metadata={"comment": PROB_COMMENT}),
-    )
-    keep = [c for c in rows.columns if c not in RESERVED_COLUMNS and (id_col is not None or c != uid)]
-    passthrough = rows.select(*dict.fromkeys([*keep, uid]))
-    out = passthrough.join(per_row, uid, "left")
+            slim = slim_rows(rows, given, model, {c: c for c in model.columns}, unit)
+            model = train_model(slim, model, id_col="uid", unit="char", **(train_options or {}))
+    if rules:
+        model = replace(model, blocking=tuple(rules))
+    if on_model is not None:
+        on_model(model)
+    own, names, own_within = internal_model(model, within)
+    persisted = [slim_rows(rows, given, model, names, unit).persist(StorageLevel.MEMORY_AND_DISK)]
+    try:
+        # The values are one character per unit by now, so distances count characters.
+        labels = resolve_labels(
+            persisted[0], own, threshold, uid="uid", within=own_within, unit="char", block_split=block_split,
+            extra_stats=extra_stats, on_stats=on_stats, persisted=persisted,
+        )
+        # Written, as it is read twice and holds one row per record only.
+        labels = materialize(labels, "labels")
+    finally:
+        for df_ in persisted:
+            df_.unpersist()
+    per_row = labels.join(dense_ids(labels, "root", CLUSTER_COL), "root").selectExpr("uid", f"{CLUSTER_COL} AS cid", "best")
+    # every uid has a label, so the join is inner; coalesce tells Spark that neither column is ever NULL
+    out = rows.join(per_row, "uid")
     if ordered:
         # input order: by id_col, or by the generated id that follows the input
-        out = out.orderBy(uid)
-    return out.select(*keep, CLUSTER_COL, PROB_COL)
+        out = out.orderBy("uid")
+    keep = [i for i, c in enumerate(given) if c.lower() not in RESERVED_COLUMNS]
+    out = out.select(*[f"p{i}" for i in keep], F.coalesce("cid", F.lit("")).alias("cid"), F.coalesce("best", F.lit(1.0)).alias("best"))
+    out = out.toDF(*[given[i] for i in keep], CLUSTER_COL, PROB_COL)
+    for name, comment in ((CLUSTER_COL, CLUSTER_COMMENT), (PROB_COL, PROB_COMMENT)):
+        out = out.withMetadata(name, {"comment": comment})
+    return out
 
 
 def resolved_view(

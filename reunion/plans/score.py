@@ -15,66 +15,88 @@ from pyspark.sql import functions as F
 
 from ..constants import DEFAULT_THRESHOLD, PROB_COL
 from ..errors import MatchError
-from ..functions.levels import q
 from ..model import Model
-from ..operators.blocking import DEFAULT_BLOCK_SPLIT, HOT_KEY_BROADCAST_ROWS, block_maxima, stack_rules
-from ..operators.scoring import compare_pairs, link_pairs, score_pairs
+from ..operators.blocking import DEFAULT_BLOCK_SPLIT, agree_sql, block_maxima, rule_columns, stack_rules
+from ..operators.scoring import compare_pairs, link_pairs, prune_unreachable, score_pairs
+from .resolve import check_inputs, internal_model, positional, read_model, require_columns, slim_rows
 
 MATCH_ID = "match_id"
 
 
-def _stack(df: DataFrame, model: Model, id_col: str, within: Sequence[str]) -> DataFrame:
-    slim = df.selectExpr(
-        f"{q(id_col)} AS uid", *[f"CAST({q(c)} AS STRING) AS {q(c)}" for c in model.columns], *[q(w) for w in within]
-    )
-    return stack_rules(slim, model.columns, id_col="uid", within=within, carry=model.columns)
+def stack(df: DataFrame, model: Model, id_col: str, within: Sequence[str], unit: str) -> DataFrame:
+    """``(uid, c0.., rule, key)`` of a relation: values under our own names, mapped to the unit once per record."""
+    own, names, own_within = internal_model(model, within)
+    rows = positional(df).withColumn("uid", F.col(f"p{df.columns.index(id_col)}"))
+    slim = slim_rows(rows, df.columns, model, names, unit)
+    carry = list(dict.fromkeys([*own.columns, *rule_columns(own.rules, own_within)]))
+    return stack_rules(slim, own.rules, id_col="uid", within=own_within, carry=carry)
 
 
-def salt_known(known_stack: DataFrame, split: int | None, n_rules: int) -> tuple[DataFrame, DataFrame | None]:
-    """Spread hot blocks of the known side over buckets: (stack with ``_b``, hot keys with ``_s``).
+def hot_keys(stacked: DataFrame, split: int | None, n_rules: int, name: str) -> DataFrame | None:
+    """``(rule, key, name)``: buckets of the blocks with over ``split`` records, or None without any."""
+    if not split or max(block_maxima(stacked, n_rules) or [0]) <= split:
+        return None
+    sizes = stacked.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(split))
+    return sizes.select("rule", "key", F.ceil(F.col("_n") / F.lit(split)).cast("int").alias(name))
 
-    A known block above ``split`` records gets ``_s`` buckets; new records of that block are
-    copied once per bucket, so the block is joined by ``_s`` tasks. Cold blocks use bucket 0
-    and are not copied. The hot-key list is broadcast only up to a checked length.
-    """
-    if not split or max(block_maxima(known_stack, n_rules) or [0]) <= split:
-        return known_stack.withColumn("_b", F.lit(0)), None
-    hot = (
-        known_stack.groupBy("rule", "key")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > F.lit(split))
-        .select("rule", "key", F.ceil(F.col("_n") / F.lit(split)).cast("int").alias("_s"))
-    )
-    if hot.count() <= HOT_KEY_BROADCAST_ROWS:
-        hot = F.broadcast(hot)
-    tagged = (
-        known_stack.join(hot, ["rule", "key"], "left")
-        .withColumn("_b", F.expr("CAST(pmod(xxhash64(uid), coalesce(_s, 1)) AS INT)"))
-        .drop("_s")
-    )
-    return tagged, hot
-
-
-def score_pairs_between(
-    new_stack: DataFrame, known_stack: DataFrame, model: Model, hot: DataFrame | None = None
-) -> DataFrame:
-    """Candidate pairs (new, known) agreeing on some column, each pair once (first agreeing rule)."""
-    if hot is None:
-        new_stack = new_stack.withColumn("_b", F.lit(0))
+
+def salted(stacked: DataFrame, own: DataFrame | None, other: DataFrame | None, mine: str, theirs: str) -> DataFrame:
+    """Bucket the records of own hot blocks, and copy each once per bucket of the other side's hot blocks."""
+    out = stacked
+    if own is None:
+        out = out.withColumn(mine, F.lit(0))
     else:
-        new_stack = (
-            new_stack.join(hot, ["rule", "key"], "left")
-            .withColumn("_b", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_s"), F.lit(1)) - F.lit(1))))
-            .drop("_s")
-        )
-    cond = ["l.rule = r.rule", "l.key = r.key", "l._b = r._b"]
-    for j, c in enumerate(model.columns[:-1]):
-        cond.append(f"NOT (l.rule > {j} AND coalesce(l.{q(c)} = r.{q(c)}, false))")
-    joined = new_stack.alias("l").join(known_stack.alias("r"), F.expr(" AND ".join(cond)))
-    return joined.selectExpr(
-        "l.uid AS uid_l", "r.uid AS uid_r", "l.rule AS rule",
-        *[f"{side}.{q(c)} AS {q(c + '_' + side)}" for c in model.columns for side in ("l", "r")],
-    )
+        out = out.join(own.withColumnRenamed("_s", "_own"), ["rule", "key"], "left")
+        out = out.withColumn(mine, F.expr("CAST(pmod(xxhash64(uid), coalesce(_own, 1)) AS INT)")).drop("_own")
+    if other is None:
+        return out.withColumn(theirs, F.lit(0))
+    out = out.join(other.withColumnRenamed("_s", "_other"), ["rule", "key"], "left")
+    return out.withColumn(theirs, F.explode(F.expr("sequence(0, coalesce(_other, 1) - 1)"))).drop("_other")
+
+
+class KnownRecords:
+    """The known side, stacked, salted and laid out by join key, for one or many batches of new records.
+
+    Blocks of over ``block_split`` known records are spread over buckets; new records of such a
+    block are copied once per bucket. Hot blocks of the new side are spread the same way, the known
+    side being copied then.
+    """
+
+    def __init__(self, known_df: DataFrame, model: Model, known_id: str, within: Sequence[str], unit: str, block_split: int | None):
+        self.model, self.within, self.unit, self.split = model, list(within), unit, block_split
+        self.own, _, self.own_within = internal_model(model, within)
+        self.stack = stack(known_df, model, known_id, within, unit)
+        self.hot = hot_keys(self.stack, block_split, len(self.own.rules), "_s")
+        self.laid: DataFrame | None = None
+
+    def persist(self, partitions: int) -> KnownRecords:
+        """Keep the known side in the join's own partitioning, so that a batch need not shuffle it again."""
+        from pyspark import StorageLevel
+
+        side = salted(self.stack, self.hot, None, "_kb", "_nb")
+        self.laid = side.repartition(partitions, "rule", "key", "_kb", "_nb").persist(StorageLevel.MEMORY_AND_DISK)
+        if self.hot is not None:
+            self.hot = self.hot.persist(StorageLevel.MEMORY_AND_DISK)
+        return self
+
+    def unpersist(self) -> None:
+        for df in (self.laid, self.hot):
+            if df is not None:
+                df.unpersist()
+
+    def links(self, new_stack: DataFrame, threshold: float) -> DataFrame:
+        """``(uid_l, uid_r, match_probability)``: new and known records at or above the threshold, each pair once."""
+        if self.laid is not None:
+            known, new_hot = self.laid, None
+        else:
+            new_hot = hot_keys(new_stack, self.split, len(self.own.rules), "_s")
+            known = salted(self.stack, self.hot, new_hot, "_kb", "_nb")
+        new = salted(new_stack, new_hot, self.hot, "_nb", "_kb")
+        cond = [f"l.{k} = r.{k}" for k in ("rule", "key", "_kb", "_nb")] + agree_sql(self.own.rules, self.own_within)
+        joined = new.alias("l").join(known.alias("r"), F.expr(" AND ".join(cond)))
+        pairs = joined.selectExpr("l.uid AS uid_l", "r.uid AS uid_r", *[f"{x}.{c} AS {c}_{x}" for c in self.own.columns for x in ("l", "r")])
+        pairs = prune_unreachable(pairs, self.own, threshold, unit="char")
+        return link_pairs(score_pairs(compare_pairs(pairs, self.own, unit="char"), self.own), threshold)
 
 
 def best_matches(links: DataFrame) -> DataFrame:
@@ -85,8 +107,8 @@ def best_matches(links: DataFrame) -> DataFrame:
 
 def score_records(
     new_df: DataFrame,
-    known_df: DataFrame,
-    model: Model | str,
+    known_df: DataFrame | None,
+    model: Model | str | dict,
     *,
     new_id: str,
     known_id: str,
@@ -94,23 +116,27 @@ def score_records(
     unit: str = "byte",
     within: Sequence[str] = (),
     block_split: int | None = DEFAULT_BLOCK_SPLIT,
-    known_stack: DataFrame | None = None,
-    hot: DataFrame | None = None,
+    known: KnownRecords | None = None,
+    check_ids: bool = True,
 ) -> DataFrame:
-    """Every new row plus ``match_id`` (best known id, NULL if none) and ``match_probability``."""
-    if isinstance(model, str):
-        model = Model.from_json(model)
-    for df, name in ((new_df, "new"), (known_df, "known")):
-        missing = [c for c in [*model.columns, *within] if c not in df.columns]
-        if missing:
-            raise MatchError(f"comparison column(s) not found in {name} relation: {', '.join(missing)}")
-    if known_stack is None:
-        known_stack, hot = salt_known(_stack(known_df, model, known_id, within), block_split, len(model.columns))
-    pairs = score_pairs_between(_stack(new_df, model, new_id, within), known_stack, model, hot)
-    links = link_pairs(score_pairs(compare_pairs(pairs, model, unit=unit), model), threshold)
-    best = best_matches(links)
-    keep = [c for c in new_df.columns if c not in (MATCH_ID, PROB_COL)]
-    return (
-        new_df.join(best.withColumnRenamed("uid", new_id), new_id, "left")
-        .select(*keep, MATCH_ID, PROB_COL)
-    )
+    """Every new row plus ``match_id`` (best known id, NULL if none) and ``match_probability``.
+
+    The inputs get the checks of ``resolve``: not empty, threshold in [0, 1], columns there, ids
+    unique and set (``check_ids``). Columns of the new rows named like the two results are replaced.
+    """
+    model = read_model(model, new_df.sparkSession)
+    needed = [*model.all_columns, *within]
+    if known is None:
+        check_inputs(new_df, needed, threshold, new_id, check_ids)
+        check_inputs(known_df, needed, threshold, known_id, check_ids)
+        known = KnownRecords(known_df, model, known_id, within, unit, block_split)
+    else:
+        require_columns(new_df, needed)
+    best = best_matches(known.links(stack(new_df, model, new_id, within, unit), threshold))
+    given = list(new_df.columns)
+    if new_id not in given:
+        raise MatchError(f"id column not found in input relation: {new_id}")
+    rows = positional(new_df)
+    keep = [i for i, c in enumerate(given) if c.lower() not in (MATCH_ID, PROB_COL)]
+    out = rows.join(best, rows[f"p{given.index(new_id)}"] == best["uid"], "left").select(*[f"p{i}" for i in keep], MATCH_ID, PROB_COL)
+    return out.toDF(*[given[i] for i in keep], MATCH_ID, PROB_COL)

@@ -1,30 +1,58 @@
-"""Session helpers: the shared checkpoint folder and a session for tests and the bench."""
+"""Session helpers: the shared scratch folder, written intermediates, and a session for tests and the bench."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+#: Sub-folder of the warehouse used where no checkpoint folder is set.
+FALLBACK = "_reunion_scratch"
+
+_written: dict[str, list[str]] = {}  # session -> folders that it wrote and that are still there
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder (``spark.checkpoint.dir``).
+    """The session's shared scratch folder: ``spark.checkpoint.dir``, else a sub-folder of its warehouse.
 
-    On a cluster this must be a shared folder named by the cluster. Only a local-mode
-    session without one gets a private folder, as tests do.
+    On a cluster both are folders that all executors share; nothing is ever put in a
+    machine's own temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors (e.g. on HDFS or S3)")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="reunion-ckpt-"))
-    return sc.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{FALLBACK}"
+    sc.setCheckpointDir(base)
+    return sc.getCheckpointDir() or base
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _session_key(spark: SparkSession) -> str:
+    return str(spark._jsparkSession.sessionUUID())
+
+
+def written_folders(spark: SparkSession) -> list[str]:
+    """Folders of intermediate tables of this session that are still there."""
+    return list(_written.get(_session_key(spark), []))
+
+
+def release(spark: SparkSession, folders: list[str] | None = None) -> None:
+    """Delete intermediate tables of this session (all, or the given folders).
+
+    Results that still read them can't be computed afterwards, so call this once results are written or collected.
+    """
+    own = _written.get(_session_key(spark), [])
+    for path in list(own if folders is None else folders):
+        _delete(spark, path)
+        if path in own:
+            own.remove(path)
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "reunion") -> SparkSession:
@@ -49,22 +77,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def materialize(df, label: str = "stage"):
-    """Write ``df`` as parquet into the shared checkpoint folder and read it back.
+def write_table(df: DataFrame, label: str = "stage") -> tuple[DataFrame, str]:
+    """Write ``df`` as parquet into the shared scratch folder: the table read back, and its folder.
 
-    One pass (an eager RDD checkpoint computes its plan twice unless cached), the lineage
-    is cut, the files survive lost executors, and AQE plans the readers from real sizes.
+    One pass, the lineage is cut, the files survive lost executors, and AQE plans the
+    readers from real sizes.
     """
-    import time
-    import uuid
-
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/reunion-{label}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/reunion-{label}-{uuid.uuid4().hex}"
     with traced(label):
         df.write.mode("error").parquet(path)
-        out = spark.read.parquet(path)
-    return out
+    _written.setdefault(_session_key(spark), []).append(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+    """:func:`write_table` without the folder, which stays until :func:`release`."""
+    return write_table(df, label)[0]
 
 
 class traced:

@@ -3,7 +3,7 @@
 from .fixtures import (
     WORKLOADS,
     customers,
-    document_keys,
+    document_texts,
     part_attributes,
     planted_customers,
     sample_customers,
@@ -13,7 +13,7 @@ from .tables import read_table, register_tables
 __all__ = [
     "WORKLOADS",
     "customers",
-    "document_keys",
+    "document_texts",
     "part_attributes",
     "planted_customers",
     "read_table",

@@ -6,10 +6,13 @@ gives the same rows, used by the SQL cross-checks.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..model import Comparison, Model
 from .tables import read_table
 
 # --- fixed values: the demo relation and unit fixture ----------------------
@@ -103,26 +106,32 @@ UNION ALL SELECT k*3+2, f, concat(l, 'q'), CASE WHEN k % 14 = 0 THEN NULL ELSE s
           FROM b WHERE k % 7 = 0
 """
 
-# --- document keys (from documents) -------------------------------------------
+# --- documents (whole texts) ---------------------------------------------------
 
 
-def document_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Head and tail (40 characters each) and size of every document: near copies, non-ASCII text."""
+def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents with language, source and length: exact and near copies, non-ASCII text."""
     return read_table(spark, sf_dir, "documents").selectExpr(
-        "CAST(doc_id AS BIGINT) AS doc_id",
-        "substr(text, 1, 40) AS head",
-        "substr(text, greatest(length(text) - 39, 1)) AS tail",
-        "CAST(n_chars AS STRING) AS size",
+        "CAST(doc_id AS BIGINT) AS doc_id", "text", "lang", "source", "CAST(n_chars AS STRING) AS n_chars"
     )
 
 
-DOCUMENT_KEYS_SQL = """
-SELECT CAST(doc_id AS BIGINT) AS doc_id, substr(text, 1, 40) AS head,
-       substr(text, greatest(length(text) - 39, 1)) AS tail,
-       CAST(n_chars AS VARCHAR) AS size
-FROM documents
+DOCUMENT_TEXTS_SQL = """
+SELECT CAST(doc_id AS BIGINT) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents
 """
 
+# A model for them: whole texts by edit distance, pairs from equal texts, or equal length and language. Fixed values.
+DOCUMENT_MODEL = Model(
+    0.001,
+    (
+        Comparison("text", "edit", (1.0, 2.0), (0.02, 0.03, 0.05, 0.9), (0.9999, 0.00004, 0.00004, 0.00002)),
+        Comparison("lang", "edit", (1.0, 2.0), (0.02, 0.01, 0.01, 0.96), (0.5, 0.05, 0.05, 0.4)),
+        Comparison("source", "edit", (1.0, 2.0), (0.5, 0.1, 0.1, 0.3), (0.7, 0.15, 0.1, 0.05)),
+        Comparison("n_chars", "edit", (1.0, 2.0), (0.05, 0.1, 0.15, 0.7), (0.8, 0.1, 0.095, 0.005)),
+    ),
+    blocking=(("text",), ("n_chars", "lang")),
+)
+
 # --- part attributes (from part) ----------------------------------------------
 
 
@@ -137,6 +146,9 @@ PART_ATTRIBUTES_SQL = """
 SELECT CAST(p_partkey AS BIGINT) AS p_partkey, p_name AS name, p_brand, p_type FROM part
 """
 
+# Composite rules keep the candidate pairs of such columns few.
+PART_BLOCKING = (("name", "p_brand"), ("name", "p_type"), ("p_brand", "p_type"))
+
 # --- new customer records (from customer), to score against planted customers ----
 
 
@@ -160,9 +172,9 @@ SELECT CAST(c_custkey AS BIGINT) AS new_id,
 FROM customer
 """
 
-# Workloads: name -> (builder, duckdb sql, id column, comparison columns, extra columns)
+# Workloads: name -> (builder, duckdb sql, id column, model)
 WORKLOADS = {
-    "planted": (planted_customers, PLANTED_CUSTOMERS_SQL, "record_id", ["first_name", "last_name", "email"]),
-    "documents": (document_keys, DOCUMENT_KEYS_SQL, "doc_id", ["head", "tail", "size"]),
-    "parts": (part_attributes, PART_ATTRIBUTES_SQL, "p_partkey", ["name", "p_brand", "p_type"]),
+    "planted": (planted_customers, PLANTED_CUSTOMERS_SQL, "record_id", Model.default(["first_name", "last_name", "email"])),
+    "documents": (document_texts, DOCUMENT_TEXTS_SQL, "doc_id", DOCUMENT_MODEL),
+    "parts": (part_attributes, PART_ATTRIBUTES_SQL, "p_partkey", replace(Model.default(["name", "p_brand", "p_type"]), blocking=PART_BLOCKING)),
 }

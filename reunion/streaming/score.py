@@ -8,16 +8,17 @@ the query restart from where it stopped after a failure.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..constants import DEFAULT_THRESHOLD
 from ..model import Model
 from ..operators.blocking import DEFAULT_BLOCK_SPLIT
-from ..plans.score import _stack, salt_known, score_records
+from ..plans.resolve import check_inputs, read_model
+from ..plans.score import KnownRecords, score_records
 
 
 def score_stream(
@@ -38,21 +39,27 @@ def score_stream(
     """Start a streaming query writing scored micro-batches through ``sink(batch_df, epoch_id)``."""
     if not stream_df.isStreaming:
         raise ValueError("score_stream needs a streaming DataFrame; use score_records for a batch")
-    if isinstance(model, str):
-        model = Model.from_json(model)
-    known_stack, hot = salt_known(_stack(known_df, model, known_id, within), block_split, len(model.columns))
-    known_stack = known_stack.persist(StorageLevel.MEMORY_AND_DISK)
-    if hot is not None:
-        hot = hot.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = stream_df.sparkSession
+    model = read_model(model, spark)
+    check_inputs(known_df, [*model.all_columns, *within], threshold, known_id)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    known = KnownRecords(known_df, model, known_id, within, unit, block_split).persist(partitions)
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        scored = score_records(
-            batch, known_df, model, new_id=new_id, known_id=known_id, threshold=threshold, unit=unit,
-            within=within, known_stack=known_stack, hot=hot,
-        )
-        sink(scored, epoch_id)
+        sink(score_records(batch, None, model, new_id=new_id, known_id=known_id, threshold=threshold, unit=unit, within=within, known=known), epoch_id)
 
     writer = stream_df.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint_location)
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.start()
+    query = writer.start()
+    threading.Thread(target=_release, args=(query, known), daemon=True).start()
+    return query
+
+
+def _release(query: StreamingQuery, known: KnownRecords) -> None:
+    """Let go of the known side when the stream has ended, well or not."""
+    try:
+        query.awaitTermination()
+    except Exception:  # the caller sees the failure on the query itself
+        pass
+    known.unpersist()

@@ -36,28 +36,26 @@ def test_jaro_winkler_known_values():
 def test_levels_match_duckdb_on_documents(spark, duck):
     from tests.conftest import SF001
 
-    from reunion.sources.fixtures import DOCUMENT_KEYS_SQL, document_keys
+    from reunion.sources.fixtures import DOCUMENT_MODEL, DOCUMENT_TEXTS_SQL, document_texts
 
-    rows = document_keys(spark, SF001)
-    cols = ["head", "tail", "size"]
-    slim = rows.selectExpr("doc_id AS uid", *cols)
-    m = Model.default(cols)
+    m = DOCUMENT_MODEL
+    slim = document_texts(spark, SF001).withColumnRenamed("doc_id", "uid")
     got = {
-        (r["uid_l"], r["uid_r"]): (r["head_level"], r["tail_level"], r["size_level"])
-        for r in compare_pairs(candidate_pairs(slim, cols), m).collect()
+        (r["uid_l"], r["uid_r"]): tuple(r[f"{c}_level"] for c in m.columns)
+        for r in compare_pairs(candidate_pairs(slim, m.rules, carry=m.columns), m).collect()
     }
     con = duck(SF001)
+    pairs = ", ".join(f"levenshtein(l.{c}, r.{c}), l.{c} = r.{c}" for c in m.columns)
     sql = f"""
-    WITH d AS ({DOCUMENT_KEYS_SQL})
-    SELECT l.doc_id, r.doc_id, levenshtein(l.head, r.head), levenshtein(l.tail, r.tail), l.head = r.head, l.tail = r.tail,
-           levenshtein(l.size, r.size), l.size = r.size
-    FROM d l JOIN d r ON l.doc_id < r.doc_id AND (l.head = r.head OR l.tail = r.tail OR l.size = r.size)"""
+    WITH d AS ({DOCUMENT_TEXTS_SQL})
+    SELECT l.doc_id, r.doc_id, {pairs}
+    FROM d l JOIN d r ON l.doc_id < r.doc_id AND (l.text = r.text OR l.n_chars = r.n_chars AND l.lang = r.lang)"""
 
     def lvl(d, eq):
         return 3 if eq else 2 if d <= 1 else 1 if d <= 2 else 0
 
-    want = {(a, b): (lvl(h, he), lvl(t, te), lvl(s, se)) for a, b, h, t, he, te, s, se in con.execute(sql).fetchall()}
-    assert got == want
+    want = {(x[0], x[1]): tuple(lvl(d, eq) for d, eq in zip(x[2::2], x[3::2])) for x in con.execute(sql).fetchall()}
+    assert got == want and got
 
 
 def test_blocking_each_pair_once_and_null_never_blocks(spark):
