@@ -120,12 +120,11 @@ def nearest(
     candidate_block: int = CANDIDATE_BLOCK,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each query its k nearest rows of ``candidates`` other than itself."""
-    spark = queries.sparkSession
     qv = usable(queries, id_col, vector_col).dropDuplicates(["id", "vec"])
     copies = Window.partitionBy("vec").orderBy("id")
     cv = usable(candidates, id_col, vector_col).dropDuplicates(["id", "vec"]).withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1).drop("copy")
     n_q, n_c = queries.count(), candidates.count()
-    rows, cols = partitions_for(spark, n_q, query_block), partitions_for(spark, n_c, candidate_block)
+    rows, cols = partitions_for(n_q, query_block), partitions_for(n_c, candidate_block)
     deal = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(n)).cast("int")
     q = qv.withColumn("r", deal(rows, 1)).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(cols - 1))))
     c = cv.withColumn("c", deal(cols, 2)).withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))))

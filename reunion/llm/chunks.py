@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import picked, small_batches
 
 WINDOW = 32
 WORD_DIVISOR = 5
@@ -229,4 +229,4 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def substring_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, chunk counts, removed characters and spans, and the text that is left."""
-    return deduplicated(docs.select(F.col(id_col), F.col(text_col)), id_col, text_col)
+    return deduplicated(picked(docs, **{id_col: id_col, text_col: text_col}), id_col, text_col)

@@ -5,9 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,25 +15,6 @@ from ..session import ensure_checkpoint_dir
 #: Rows of one Arrow batch: bounds a Python worker's memory when some texts are very long.
 ARROW_ROWS = 1000
 
-#: White space of the word rule ``[^\x20\x09-\x0D]+``: exactly what ``bytes.split()`` cuts at.
-WORD_SPACE = b" \t\n\r\x0b\x0c"
-
-
-def q(name: str) -> str:
-    """A whole column name quoted for SQL text (dots and back-ticks included)."""
-    return "`" + name.replace("`", "``") + "`"
-
-
-def column(df: DataFrame, name: str) -> Column:
-    """The column of exactly this name; other columns may differ from it only in case."""
-    if name not in df.columns:
-        raise ValueError(f"column {name!r} not found among {df.columns}")
-    hits = [i for i, c in enumerate(df.columns) if c == name]
-    if len(hits) > 1:
-        raise ValueError(f"column {name!r} is there {len(hits)} times")
-    return df[q(name)]
-
-
 def picked(df: DataFrame, **names: str) -> DataFrame:
     """Only the named columns, under the operator's own names; extra columns never clash.
 
@@ -69,10 +49,6 @@ def texts(col: pa.Array) -> list[str]:
     return [t if t is not None else "" for t in col.to_pylist()]
 
 
-def binary_rows(rows: list[np.ndarray]) -> pa.Array:
-    return pa.array([r.tobytes() for r in rows], pa.binary())
-
-
 def worker_state(key: str, make: Callable[[], object]) -> object:
     """A value kept for the life of a Python worker (functions shipped by value get new globals for each task)."""
     import sys
@@ -98,12 +74,7 @@ class Scratch:
         df.write.option("compression", codec).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, label_index: int, label: str) -> None:
-        """Delete a table that nothing reads any longer."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{label_index}-{label}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
 
-def partitions_for(spark: SparkSession, size: float, each: float) -> int:
+def partitions_for(size: float, each: float) -> int:
     """How many groups of about ``each`` units hold ``size`` units; at least one."""
     return max(1, int(-(-size // each)))
