@@ -2,13 +2,15 @@
 
 T1  prior: pairs inside the blocks of the first column that has any, divided by the
     recall (0.7) and by all N(N-1)/2 pairs. One aggregate over all columns at once.
-T2  u: level frequencies among random pairs. Records are spread over hash buckets so
-    that about ``max_pairs`` pairs share a bucket; pairs come from an equi-join on the
-    bucket (no cross product), which is exact and the same on every run (seeded md5).
+T2  u: level frequencies among random pairs. Records are first thinned by a seeded hash, in the scan, to
+    about ``u_records`` (all of them, if fewer), then spread over hash buckets so that about
+    ``max_pairs`` pairs share a bucket; pairs come from an equi-join on the bucket (no cross
+    product). The sample is the same on every run, and only sampled records are shuffled.
 T3  m: expectation-maximisation, one pass per column blocked on that column, training the
-    *other* columns. Each pass reduces its blocked pairs to counts per level pattern with
-    one aggregate; the pattern table is bounded by the product of the level counts (not
-    by the data), so the EM iterations run on that small table.
+    *other* columns. Records with equal values are one profile, a pair of profiles weighs the
+    product of their counts, so copies cost no pairs. All passes share one written table of counts
+    per level pattern; an iteration is one aggregate over it, and only the parameters
+    (a few numbers per pass and level) reach the driver.
 T4  best effort: a step without data is skipped and reported, never an error.
 T5  levels never estimated keep their defaults; m and u are floored at 1e-12.
 """
@@ -23,17 +25,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import (
+    DEFAULT_PRIOR,
     EM_MAX_ITERATIONS,
     EM_TOLERANCE,
     NULL_LEVEL,
     PROBABILITY_FLOOR,
     TRAIN_PRIOR_RECALL,
     TRAIN_U_MAX_PAIRS,
+    TRAIN_U_RECORDS,
     TRAIN_U_SEED,
 )
-from ..functions.levels import q
+from ..functions.levels import q, sql_array, sql_double
 from ..model import Comparison, Model
-from ..session import traced
+from ..session import release, traced, write_table
 from .blocking import DEFAULT_BLOCK_SPLIT, candidate_pairs, stack_rules
 from .scoring import compare_pairs, level_col
 
@@ -80,6 +84,13 @@ def u_buckets(n_rows: int, max_pairs: int = TRAIN_U_MAX_PAIRS) -> int:
     return max(1, math.ceil(n_rows * (n_rows - 1) / 2 / max_pairs))
 
 
+def u_records(slim: DataFrame, n_rows: int, limit: int = TRAIN_U_RECORDS, seed: int = TRAIN_U_SEED) -> DataFrame:
+    """About ``limit`` of the ``n_rows`` records, chosen by a seeded md5 of the id; all of them if there are fewer."""
+    if n_rows <= limit:
+        return slim
+    return slim.where(f"pmod(CAST(conv(substr(md5(concat('{int(seed)}/', CAST(uid AS STRING))), 1, 15), 16, 10) AS BIGINT), {int(n_rows)}) < {int(limit)}")
+
+
 def u_sample_pairs(slim: DataFrame, buckets: int, seed: int = TRAIN_U_SEED) -> DataFrame:
     """Pairs ``uid_l < uid_r`` of records in the same seeded md5 bucket, with their values."""
     cols = [c for c in slim.columns if c != "uid"]
@@ -105,9 +116,10 @@ def level_frequencies(levels: DataFrame, model: Model) -> DataFrame:
 
 
 def estimate_u(slim: DataFrame, model: Model, *, n_rows: int, max_pairs: int = TRAIN_U_MAX_PAIRS,
-               seed: int = TRAIN_U_SEED, unit: str = "byte") -> dict[str, dict[int, float]]:
-    """u per column and observed level: share of the level among sampled pairs with both values set."""
-    pairs = u_sample_pairs(slim, u_buckets(n_rows, max_pairs), seed)
+               seed: int = TRAIN_U_SEED, records: int = TRAIN_U_RECORDS, unit: str = "byte") -> tuple[dict[str, dict[int, float]], int]:
+    """u per column and observed level (share of the level among sampled pairs with both values set), and the most pairs used."""
+    sampled = u_records(slim, n_rows, records, seed)
+    pairs = u_sample_pairs(sampled, u_buckets(min(n_rows, records), max_pairs), seed)
     with traced("train-u"):
         rows = level_frequencies(compare_pairs(pairs, model, unit=unit), model).collect()
     totals: dict[str, int] = {}
@@ -116,62 +128,86 @@ def estimate_u(slim: DataFrame, model: Model, *, n_rows: int, max_pairs: int = T
     out: dict[str, dict[int, float]] = {}
     for r in rows:
         out.setdefault(r["column"], {})[r["level"]] = r["n"] / totals[r["column"]]
-    return out
+    return out, max(totals.values(), default=0)
 
 
 # --- T3 ---------------------------------------------------------------------------
 
 
+def profiles_of(slim: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(uid, values..., weight)``: records of equal values as one, with their number."""
+    return slim.groupBy(*[q(c) for c in columns]).agg(F.min("uid").alias("uid"), F.count(F.lit(1)).alias("weight"))
+
+
 def em_patterns(
-    slim: DataFrame, model: Model, blocked: str, *, unit: str = "byte", block_split: int | None = DEFAULT_BLOCK_SPLIT
+    profiles: DataFrame, model: Model, blocked: str, *, unit: str = "byte", block_split: int | None = DEFAULT_BLOCK_SPLIT
 ) -> DataFrame:
-    """``(pattern levels of the other columns..., n)`` over all pairs agreeing on ``blocked``."""
+    """``(pattern levels of the other columns..., n)`` over all pairs of records agreeing on ``blocked``."""
     others = [c for c in model.columns if c != blocked]
     sub = Model(model.prior, tuple(model.comparison(c) for c in others))
     # all pairs agreeing on the blocked column (one rule, hot blocks salted)
-    pairs = candidate_pairs(slim, [blocked], id_col="uid", carry=others, block_split=block_split)
-    levels = compare_pairs(pairs, sub, unit=unit)
-    return levels.groupBy(*[level_col(c) for c in others]).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    pairs = candidate_pairs(profiles, [blocked], id_col="uid", carry=[*others, "weight"], block_split=block_split)
+    levels = compare_pairs(pairs, sub, unit=unit).withColumn("w", F.col("weight_l") * F.col("weight_r"))
+    # the records of one profile among themselves: equal wherever a value is set
+    exact = [f"CASE WHEN {q(c)} IS NULL THEN {NULL_LEVEL} ELSE {sub.comparison(c).exact_level} END AS {q(level_col(c))}" for c in others]
+    copies = profiles.where(f"weight > 1 AND {q(blocked)} IS NOT NULL").selectExpr(*exact, "weight * (weight - 1) div 2 AS w")
+    every = levels.select(*[q(level_col(c)) for c in others], "w").unionByName(copies)
+    return every.groupBy(*[q(level_col(c)) for c in others]).agg(F.sum("w").cast("bigint").alias("n"))
+
+
+def em_table(profiles: DataFrame, model: Model, *, unit: str = "byte") -> DataFrame:
+    """``(pass, l0, l1, ..., n)``: the patterns of all passes; the column that a pass is blocked on counts as NULL."""
+    parts = []
+    for k, c in enumerate(model.columns):
+        if len(model.columns) > 1:
+            levels = [f"{NULL_LEVEL if o == c else q(level_col(o))} AS l{j}" for j, o in enumerate(model.columns)]
+            parts.append(em_patterns(profiles, model, c, unit=unit).selectExpr(f"{k} AS pass", *levels, "n"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def run_em(
-    patterns: list[tuple[tuple[int, ...], int]],
+    patterns: DataFrame,
     comps: Sequence[Comparison],
-    lam: float,
+    starts: dict[int, float],
     *,
     max_iter: int = EM_MAX_ITERATIONS,
     tol: float = EM_TOLERANCE,
-) -> tuple[list[list[float]], float, int]:
-    """EM with u fixed over (levels, count) patterns. Returns (m per column, match rate, iterations)."""
-    m = [list(c.m) for c in comps]
-    u = [list(c.u) for c in comps]
-    it = 0
+) -> dict[int, tuple[list[list[float]], float, int, bool]]:
+    """EM with u fixed over ``(pass, l0.., n)`` patterns, all passes at once.
+
+    ``starts`` has the match rate that a pass begins with. Returns per pass m per column, the match
+    rate, the iterations and whether it converged. An iteration is one aggregate over the table.
+    """
+    state = {k: ([list(c.m) for c in comps], lam, 0, False) for k, lam in starts.items()}
+
+    def looked_up(j: int, values: dict[int, list[float]]) -> str:
+        rows = ", ".join(f"{k}, {sql_array([1.0, *v], 'double')}" for k, v in values.items())
+        return f"element_at(element_at(map({rows}), pass), l{j} + 2)"
+
     for it in range(1, max_iter + 1):
-        num = [[0.0] * c.n_levels for c in comps]
-        den = [0.0] * len(comps)
-        tot_w = 0.0
-        tot_pm = 0.0
-        for levels, w in patterns:
-            pm = lam
-            pu = 1.0 - lam
-            for j, lvl in enumerate(levels):
-                if lvl != NULL_LEVEL:
-                    pm *= m[j][lvl]
-                    pu *= u[j][lvl]
-            post = pm / (pm + pu) if pm + pu > 0 else 0.0
-            tot_w += w
-            tot_pm += w * post
-            for j, lvl in enumerate(levels):
-                if lvl != NULL_LEVEL:
-                    num[j][lvl] += w * post
-                    den[j] += w * post
-        new_lam = tot_pm / tot_w if tot_w else lam
-        new_m = [[(num[j][lv] / den[j]) if den[j] > 0 else m[j][lv] for lv in range(comps[j].n_levels)] for j in range(len(comps))]
-        change = max([abs(new_lam - lam)] + [abs(a - b) for j in range(len(comps)) for a, b in zip(new_m[j], m[j])])
-        m, lam = new_m, new_lam
-        if change < tol:
+        live = {k: s for k, s in state.items() if not s[3]}
+        if not live:
             break
-    return m, lam, it
+        rate = "element_at(map(" + ", ".join(f"{k}, {sql_double(s[1])}" for k, s in live.items()) + "), pass)"
+        pm = " * ".join([rate, *[looked_up(j, {k: s[0][j] for k, s in live.items()}) for j in range(len(comps))]])
+        pu = " * ".join([f"(1D - {rate})", *[looked_up(j, dict.fromkeys(live, list(c.u))) for j, c in enumerate(comps)]])
+        scored = patterns.where(f"pass IN ({', '.join(map(str, live))})").selectExpr("*", f"{pm} AS pm", f"{pu} AS pu")
+        scored = scored.selectExpr("*", "CASE WHEN pm + pu > 0 THEN n * (pm / (pm + pu)) ELSE 0D END AS hit")
+        sums = [f"sum(CASE WHEN l{j} = {lv} THEN hit ELSE 0D END) AS s{j}_{lv}" for j, c in enumerate(comps) for lv in range(c.n_levels)]
+        aggs = [F.expr(x) for x in ["sum(n) AS n", "sum(hit) AS hit", *sums]]
+        for r in scored.groupBy("pass").agg(*aggs).collect():  # one row per pass
+            m, lam, _, _ = state[r["pass"]]
+            new_lam = r["hit"] / r["n"] if r["n"] else lam
+            new_m = []
+            for j, c in enumerate(comps):
+                total = sum(r[f"s{j}_{lv}"] for lv in range(c.n_levels))
+                new_m.append([r[f"s{j}_{lv}"] / total if total > 0 else m[j][lv] for lv in range(c.n_levels)])
+            change = max([abs(new_lam - lam), *[abs(a - b) for x, y in zip(new_m, m) for a, b in zip(x, y)]])
+            state[r["pass"]] = (new_m, new_lam, it, change < tol)
+    return state
 
 
 def _median(xs: list[float]) -> float:
@@ -180,27 +216,23 @@ def _median(xs: list[float]) -> float:
     return s[n // 2] if n % 2 else (s[n // 2 - 1] + s[n // 2]) / 2
 
 
-def estimate_m(slim: DataFrame, model: Model, *, unit: str = "byte") -> tuple[dict[str, list[float]], list[str]]:
-    """m per column from EM passes blocked on each column in turn (median over passes)."""
-    found: dict[str, list[list[float]]] = {}
-    passes = []
-    for comp in model.comparisons:
-        others = [c for c in model.comparisons if c.column != comp.column]
-        if not others:
-            continue
-        with traced(f"train-em-{comp.column}"):
-            rows = em_patterns(slim, model, comp.column, unit=unit).collect()
-        if not rows:
-            continue
-        # sorted, so the floating-point sums do not depend on the order rows arrive in
-        patterns = sorted((tuple(int(r[level_col(c.column)]) for c in others), int(r["n"])) for r in rows)
-        odds = model.prior_odds * comp.factors[comp.exact_level]
-        m, _, _ = run_em(patterns, others, odds / (1.0 + odds))
-        for c, mm in zip(others, m):
-            found.setdefault(c.column, []).append(mm)
-        passes.append(comp.column)
-    out = {col: [_median([p[lv] for p in ms]) for lv in range(len(ms[0]))] for col, ms in found.items()}
-    return out, passes
+def estimate_m(slim: DataFrame, model: Model, *, iterations: int = EM_MAX_ITERATIONS, unit: str = "byte") -> tuple[dict[str, list[float]], list[str]]:
+    """m per column from EM passes blocked on each column in turn (median over passes), and what each pass did."""
+    if len(model.columns) < 2:
+        return {}, []
+    comps = model.comparisons
+    with traced("train-em"):
+        patterns, folder = write_table(em_table(profiles_of(slim, model.columns), model, unit=unit), "em-patterns")
+        present = {r["pass"] for r in patterns.select("pass").distinct().collect()}  # one row per column at most
+        odds = [model.prior_odds * c.factors[c.exact_level] for c in comps]
+        done = run_em(patterns, comps, {k: odds[k] / (1.0 + odds[k]) for k in sorted(present)}, max_iter=iterations)
+        release(slim.sparkSession, [folder])
+    out = {}
+    for j, c in enumerate(comps):
+        found = [m[j] for k, (m, _, _, _) in done.items() if k != j]
+        if found:
+            out[c.column] = [_median([m[lv] for m in found]) for lv in range(c.n_levels)]
+    return out, [f"{comps[k].column}:{it} iterations{'' if ok else ', not converged'}" for k, (_, _, it, ok) in sorted(done.items())]
 
 
 # --- whole training -----------------------------------------------------------------
@@ -210,9 +242,13 @@ def _floor(x: float) -> float:
     return min(max(float(x), PROBABILITY_FLOOR), 1.0)
 
 
-def train_model(rows: DataFrame, model: Model, *, id_col: str, unit: str = "byte",
-                max_pairs: int = TRAIN_U_MAX_PAIRS, seed: int = TRAIN_U_SEED) -> Model:
-    """Train prior, u and m of ``model`` on ``rows``; untrained parts keep their values."""
+def train_model(rows: DataFrame, model: Model, *, id_col: str, unit: str = "byte", max_pairs: int = TRAIN_U_MAX_PAIRS,
+                seed: int = TRAIN_U_SEED, u_records: int = TRAIN_U_RECORDS, iterations: int = EM_MAX_ITERATIONS) -> Model:
+    """Train prior, u and m of ``model`` on ``rows``; untrained parts keep their values.
+
+    ``max_pairs``, ``u_records`` and ``seed`` set the random pairs that u is counted on, ``iterations`` bounds
+    the EM. The result's ``trained`` says what was learned, from how many pairs, and whether EM converged.
+    """
     from pyspark import StorageLevel
 
     slim = _slim(rows, model.columns, id_col).persist(StorageLevel.MEMORY_AND_DISK)
@@ -223,7 +259,7 @@ def train_model(rows: DataFrame, model: Model, *, id_col: str, unit: str = "byte
         if prior is not None:
             model = model.with_prior(prior[0])
             trained.append(f"prior:{prior[1]}")
-        u = estimate_u(slim, model, n_rows=n_rows, max_pairs=max_pairs, seed=seed, unit=unit)
+        u, pairs = estimate_u(slim, model, n_rows=n_rows, max_pairs=max_pairs, seed=seed, records=u_records, unit=unit)
         comps = []
         for c in model.comparisons:
             cu = u.get(c.column)
@@ -232,7 +268,8 @@ def train_model(rows: DataFrame, model: Model, *, id_col: str, unit: str = "byte
                 trained.append(f"u:{c.column}")
             comps.append(replace(c, u=new_u))
         model = replace(model, comparisons=tuple(comps))
-        m, passes = estimate_m(slim, model, unit=unit)
+        trained.append(f"u-pairs:{pairs}")
+        m, passes = estimate_m(slim, model, iterations=iterations, unit=unit)
         comps = []
         for c in model.comparisons:
             if c.column in m:
@@ -244,3 +281,8 @@ def train_model(rows: DataFrame, model: Model, *, id_col: str, unit: str = "byte
         return replace(model, comparisons=tuple(comps), trained=tuple(trained))
     finally:
         slim.unpersist()
+
+
+def trained_model(df: DataFrame, columns: Sequence[str], *, id_col: str, prior: float = DEFAULT_PRIOR, unit: str = "byte", **options) -> Model:
+    """A model for ``columns`` trained on ``df``, to be saved and used by ``resolve`` and ``score_records``."""
+    return train_model(df, Model.default(list(columns), prior), id_col=id_col, unit=unit, **options)

@@ -349,7 +349,7 @@ QUERIES: dict[str, Query] = {
 
 # --- training ---------------------------------------------------------------------
 
-from ..constants import TRAIN_PRIOR_RECALL, TRAIN_U_MAX_PAIRS, TRAIN_U_SEED  # noqa: E402
+from ..constants import TRAIN_PRIOR_RECALL, TRAIN_U_MAX_PAIRS, TRAIN_U_RECORDS, TRAIN_U_SEED  # noqa: E402
 from ..operators import training as T  # noqa: E402
 
 
@@ -378,7 +378,8 @@ def _prior_sql(w: Workload) -> str:
 def q_train_u(spark, sf_dir):
     w = PLANTED
     slim = T._slim(w.rows(spark, sf_dir), w.columns, w.id_col)
-    pairs = T.u_sample_pairs(slim, T.u_buckets(slim.count()))
+    n = slim.count()
+    pairs = T.u_sample_pairs(T.u_records(slim, n), T.u_buckets(min(n, TRAIN_U_RECORDS)))
     freq = T.level_frequencies(compare_pairs(pairs, w.model), w.model)
     return freq.selectExpr(
         "column", "level", f"round(n / sum(n) OVER (PARTITION BY column), {RESULT_ROUND_DIGITS}) AS u"
@@ -412,7 +413,7 @@ def q_train_em_patterns(spark, sf_dir):
     slim = T._slim(w.rows(spark, sf_dir), w.columns, w.id_col)
     parts = []
     for c in w.columns:
-        pat = T.em_patterns(slim, w.model, c)
+        pat = T.em_patterns(T.profiles_of(slim, w.columns), w.model, c)
         parts.append(
             pat.selectExpr(
                 f"'{c}' AS blocked",
