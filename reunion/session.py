@@ -77,7 +77,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def write_table(df: DataFrame, label: str = "stage") -> tuple[DataFrame, str]:
+def write_table(df: DataFrame, label: str = "stage", codec: str = "snappy") -> tuple[DataFrame, str]:
     """Write ``df`` as parquet into the shared scratch folder: the table read back, and its folder.
 
     One pass, the lineage is cut, the files survive lost executors, and AQE plans the
@@ -86,7 +86,7 @@ def write_table(df: DataFrame, label: str = "stage") -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/reunion-{label}-{uuid.uuid4().hex}"
     with traced(label):
-        df.write.mode("error").parquet(path)
+        df.write.mode("error").option("compression", codec).parquet(path)
     _written.setdefault(_session_key(spark), []).append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
