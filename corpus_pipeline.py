@@ -16,6 +16,7 @@ from reunion.llm.dsir import Resampler
 from reunion.llm.packing import pack
 from reunion.llm.pii import redacted
 from reunion.llm.simhash import representatives
+from reunion.session import release, written_folders
 from reunion.sources.tables import read_table
 
 
@@ -63,9 +64,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``."""
+    """Apply the stages to ``documents``; what a stage wrote goes when the next one's output is written."""
     scratch = Scratch(spark)
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
+        earlier = set(written_folders(spark)) - set(scratch.folders)
+        before = list(scratch.folders)
         docs = scratch.write(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        mine = [f for f in written_folders(spark) if f not in earlier and f not in scratch.folders]
+        release(spark, mine + before)
+        scratch.folders = [f for f in scratch.folders if f not in before]
     return docs

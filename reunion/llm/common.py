@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, write_table
 
 #: Rows of one Arrow batch: bounds a Python worker's memory when some texts are very long.
 ARROW_ROWS = 1000
@@ -61,18 +60,19 @@ def worker_state(key: str, make: Callable[[], object]) -> object:
 
 
 class Scratch:
-    """Tables written under the session's shared checkpoint folder, to cut lineage and to be read more than once."""
+    """Tables written under the session's shared checkpoint folder, to cut lineage and to be read more than once.
+
+    ``reunion.session.release(spark)`` deletes them when results have been written.
+    """
 
     def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
-        self.n = 0
-
-    def write(self, df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
-        path = f"{self.base}/{self.n}-{label}"
-        self.n += 1
-        df.write.option("compression", codec).parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        ensure_checkpoint_dir(spark)
+        self.folders: list[str] = []
+
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        out, folder = write_table(df, label, "zstd")
+        self.folders.append(folder)
+        return out
 
 
 def partitions_for(size: float, each: float) -> int:

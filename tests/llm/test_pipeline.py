@@ -4,6 +4,7 @@ import pytest
 
 import corpus_pipeline
 from reunion.llm.common import Scratch
+from reunion.session import written_folders
 
 SF001 = "/root/testdata/sf0.001"
 
@@ -77,7 +78,9 @@ def test_packing(stages):
 
 
 def test_run_and_empty(spark):
+    before = set(written_folders(spark))
     assert corpus_pipeline.run(spark, SF001).count() > 0
+    assert len(set(written_folders(spark)) - before) == 1  # the result alone
     docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF001)
