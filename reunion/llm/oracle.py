@@ -1,3 +1,20 @@
-"""DuckDB twins of the operators that SQL can express on whole tables."""
+"""DuckDB twins of the operators that SQL can express on whole tables.
 
-SQL: dict[str, str] = {}
+The other queries are held against brute-force versions in ``tests/llm``.
+"""
+
+# Every query vector against every other, in double precision.
+NEAREST = """
+WITH e AS (
+  SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v) AS score
+  FROM e q JOIN e c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
+SQL: dict[str, str] = {"op2_nearest_neighbours": NEAREST}
