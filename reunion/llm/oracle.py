@@ -3,6 +3,8 @@
 The other queries are held against brute-force versions in ``tests/llm``.
 """
 
+from .secrets import BASE_RULES, MORE_RULES, Rule
+
 # Every query vector against every other, in double precision.
 NEAREST = """
 WITH e AS (
@@ -17,4 +19,36 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored QUALIFY rank <= 20
 """
 
-SQL: dict[str, str] = {"op2_nearest_neighbours": NEAREST}
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _matches(k: int, r: Rule) -> str:
+    """The texts cut at the rule's matches: every second piece is one."""
+    marked = f"regexp_replace(t, {_quoted(r.pattern)}, chr(1) || '\\0' || chr(1), 'g')"
+    return f"SELECT doc_id, {k} AS k, '{r.kind}' AS kind, string_split({marked}, chr(1)) AS a FROM d"
+
+
+def secrets_sql(base: tuple[Rule, ...] = BASE_RULES, more: tuple[Rule, ...] = MORE_RULES) -> str:
+    """All rules on every text, without an index."""
+    rules = base + more
+    size = " ".join(f"WHEN {k} THEN {f'length(regexp_extract(piece, {_quoted(r.pattern)}, {r.length_group}))' if r.length_group else 'length(piece)'} >= {r.min_chars}" for k, r in enumerate(rules))
+    written = "string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k)"
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in base)
+    zero = ", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in base)
+    return f"""
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), chr(1), chr(2)) AS t FROM documents),
+cut AS ({' UNION ALL '.join(_matches(k, r) for k, r in enumerate(rules))}),
+pieces AS (SELECT doc_id, k, kind, unnest(a) AS piece, generate_subscripts(a, 1) AS i FROM cut WHERE len(a) > 1),
+placed AS (SELECT *, CAST(sum(length(piece)) OVER (PARTITION BY doc_id, k ORDER BY i) AS BIGINT) AS e FROM pieces),
+hits AS (SELECT doc_id, k, kind, e - length(piece) AS s, e FROM placed WHERE i % 2 = 0 AND CASE k {size} END),
+found AS (
+  SELECT doc_id, {counts}, {written} FILTER (k < {len(base)}) AS base, {written} AS spans FROM hits GROUP BY doc_id)
+SELECT d.doc_id, {zero}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN found ON d.doc_id = found.doc_id
+"""
+
+
+SQL: dict[str, str] = {"op1_secret_scan": secrets_sql(), "op2_nearest_neighbours": NEAREST}
