@@ -89,10 +89,13 @@ def star_round(e: DataFrame) -> tuple[DataFrame, list[str]]:
     return small_star(large, low2), [f1, f2, f3]
 
 
-def connected_components(edges: DataFrame, src: str = "uid_l", dst: str = "uid_r", *, partition_edges: int = PARTITION_EDGES) -> DataFrame:
+def connected_components(
+    edges: DataFrame, src: str = "uid_l", dst: str = "uid_r", *, partition_edges: int = PARTITION_EDGES, count: int | None = None
+) -> DataFrame:
     """``(node, root)`` for every node on an edge; root = the smallest node of its component.
 
-    Nodes that are on no edge are not listed: they are their own component.
+    Nodes that are on no edge are not listed: they are their own component. ``count`` is the number of edges of a
+    table that is already written; without it the edges are written first.
     """
     ends = edges.select(F.least(src, dst).alias("b"), F.greatest(src, dst).alias("a")).where("a <> b")
     if dict(ends.dtypes)["a"] in ("tinyint", "smallint", "int", "bigint"):
@@ -106,7 +109,7 @@ def connected_components(edges: DataFrame, src: str = "uid_l", dst: str = "uid_r
         raw, folder = write_table(ends, "cc-ends")
         names = dense_ids(raw.selectExpr("a AS k").unionByName(raw.selectExpr("b AS k")), "k", "i").selectExpr("k", "CAST(i AS BIGINT) AS i")
         e = raw.join(names.selectExpr("k AS a", "i AS ia"), "a").join(names.selectExpr("k AS b", "i AS ib"), "b").selectExpr("ia AS a", "ib AS b")
-    stars = _star_forest(e, partition_edges)
+    stars = _star_forest(e, partition_edges, None if names is not None else count)
     found = stars.selectExpr("a AS node", "b AS root").unionByName(stars.selectExpr("b AS node", "b AS root").distinct())
     if names is not None:
         by = names.selectExpr("k AS kn", "i AS node"), names.selectExpr("k AS kr", "i AS root")
@@ -114,23 +117,25 @@ def connected_components(edges: DataFrame, src: str = "uid_l", dst: str = "uid_r
     return found.selectExpr(f"CAST(node AS {kind}) AS node", f"CAST(root AS {kind}) AS root")
 
 
-def _star_forest(e: DataFrame, partition_edges: int) -> DataFrame:
-    seen = Observation()
-    start, folder = write_table(e.observe(seen, F.count(F.lit(1)).alias("n")), "cc-edges")
-    count, state = int(seen.get["n"]), None
-    e, folders = start, []
+def _star_forest(e: DataFrame, partition_edges: int, count: int | None) -> DataFrame:
+    folders: list[str] = []
+    if count is None:
+        seen = Observation()
+        e, folder = write_table(e.observe(seen, F.count(F.lit(1)).alias("n")), "cc-edges")
+        count, folders = int(seen.get["n"]), [folder]
+    state = None
     while True:
         # n and sum identify the edge set from round to round
         seen = Observation()
         single = count <= partition_edges
-        nxt = contracted(e, count, partition_edges).distinct()
+        nxt = contracted(e, count, partition_edges)
+        nxt = nxt if single else nxt.distinct()  # partitions may find the same star
         nxt, new = write_table(nxt.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.expr("cast(xxhash64(a, b) AS decimal(38, 0))")).alias("h")), "cc-edges")
-        release(e.sparkSession, [folder, *folders])
-        e, folder, folders = nxt, new, []
+        release(e.sparkSession, folders)
+        e, folders = nxt, [new]
         now = (int(seen.get["n"]), seen.get["h"])
         if single or now == state:
             return e
         count, state = now[0], now
-        e, folders = star_round(e)
-        folders.append(folder)
-        folder = folders.pop(0)
+        e, read = star_round(e)
+        folders += read

@@ -20,7 +20,7 @@ from dataclasses import replace
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..constants import (
@@ -170,9 +170,10 @@ def resolve_labels(
     pairs = candidate_pairs(profiles, rules, id_col="pid", within=within, carry=cols, block_split=block_split, maxima=maxima)
     pairs = prune_unreachable(pairs, model, t, unit=unit)
     scored = score_pairs(compare_pairs(pairs, model, unit=unit), model)
-    links = materialize(link_pairs(scored, t).select("uid_l", "uid_r", PROB_COL), "links")
+    seen = Observation()
+    links = materialize(link_pairs(scored, t).select("uid_l", "uid_r", PROB_COL).observe(seen, F.count(F.lit(1)).alias("n")), "links")
 
-    comps = connected_components(links)
+    comps = connected_components(links, count=int(seen.get["n"]))
     best_inter = best_match_probability(links)
     p_self = self_pair_probability(model)
     # copies meet when some rule has all its values set
