@@ -48,6 +48,8 @@ SEED = 42
 SAMPLE = 20_000
 #: Fingerprints of a shard that the number of shards is chosen for.
 SHARD = 8_000
+#: Found pairs of a shard that are joined at a time.
+PAIRS = 1 << 20
 #: Members of a leaf of a shard's own tree.
 LEAF = 64
 
@@ -196,7 +198,6 @@ def _merge(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 def shard_forest(home: np.ndarray, visitors: np.ndarray, mask: int, radius: int, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Edges of a spanning forest of all links between members, and between visitors and members, of a shard."""
     every = np.concatenate([home, visitors])
-    n_home = len(home)
     parent = np.arange(len(every))
     tree = Tree.grow(home, mask, radius, max_bits, LEAF)
     at_home, leaf_home = tree.route(home, False)
@@ -207,6 +208,8 @@ def shard_forest(home: np.ndarray, visitors: np.ndarray, mask: int, radius: int,
     order = np.argsort(q_leaf, kind="stable")
     q_at, q_leaf = q_at[order], q_leaf[order]
     q_bounds = np.searchsorted(q_leaf, np.arange(tree.leaves + 1))
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    waiting = 0
     for k in range(tree.leaves):
         members, queries = at_home[bounds[k] : bounds[k + 1]], q_at[q_bounds[k] : q_bounds[k + 1]]
         if not len(members):
@@ -218,10 +221,15 @@ def shard_forest(home: np.ndarray, visitors: np.ndarray, mask: int, radius: int,
             a, b = qs[i], members[j]
             # a member is met by itself and by the other member again; one way is enough
             keep = a > b
-            _merge(parent, a[keep], b[keep])
-    roots = parent
-    linked = np.flatnonzero(roots != np.arange(len(every)))
-    return every[linked], every[roots[linked]]
+            found.append((a[keep], b[keep]))
+            waiting += len(found[-1][0])
+            if waiting > PAIRS:
+                _merge(parent, *map(np.concatenate, zip(*found)))
+                found, waiting = [], 0
+    if found:
+        _merge(parent, *map(np.concatenate, zip(*found)))
+    linked = np.flatnonzero(parent != np.arange(len(every)))
+    return every[linked], every[parent[linked]]
 
 
 def links(fps: DataFrame, n: int, max_bits: int = MAX_BITS, blocks: int = BLOCKS, sample: int = SAMPLE, shard: int = SHARD) -> DataFrame:
