@@ -182,13 +182,15 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     counts = counted(docs, id_col, text_col, lang_col, source_col)
     stats = scratch.write(counts.select("*", *[s.alias(c) for s, c in zip(statistics(), x)]), "stats")
     params = fit(stats.where("n_words > 0"), scratch)
-    own, lang, every = (params.where(f"level = {k}").drop("level") for k in range(3))
+    own, lang = (params.where(f"level = {k}").drop("level") for k in range(2))
     out = stats
-    for k, (p, keys) in enumerate(((own, ["lang", "source"]), (lang.drop("source"), ["lang"]), (every.drop("lang", "source"), []))):
-        p = p.withColumnsRenamed({"m": f"m{k}", "w": f"w{k}"})
-        # the table of all rows is one row
-        out = _joined(out, p, keys, "left") if keys else out.join(F.broadcast(p), F.lit(True), "left")
-    out = out.withColumn("m", F.coalesce("m0", "m1", "m2")).withColumn("w", F.coalesce("w0", "w1", "w2"))
+    for k, (p, keys) in enumerate(((own, ["lang", "source"]), (lang.drop("source"), ["lang"]))):
+        out = _joined(out, p.withColumnsRenamed({"m": f"m{k}", "w": f"w{k}"}), keys, "left")
+    # the estimate of all rows is one row; without any row there is none
+    every = params.where("level = 2").select("m", "w").collect()
+    none = F.lit(None).cast("array<double>")
+    m, w = (F.array(*map(F.lit, x)) for x in every[0]) if every else (none, none)
+    out = out.withColumn("m", F.coalesce("m0", "m1", m)).withColumn("w", F.coalesce("w0", "w1", w))
     out = out.withColumn("distance", _distance(x, "m", "w"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return out.select(F.col("id").alias(id_col), *_COUNTS, failed.alias("base_failed"), (~failed & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True))).alias("kept"), F.col("distance"))
