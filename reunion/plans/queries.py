@@ -184,12 +184,13 @@ def q_ordered_rows(spark, sf_dir):
 
 def q_clusters_differ(spark, sf_dir):
     """Whether the first record and the first one of another true entity than the least are in different clusters."""
-    r = PLANTED.resolved(spark, sf_dir)
-    least = r.agg(F.min("expected_entity").alias("least"))
-    first = F.min_by(CLUSTER_COL, "record_id")
-    # the one-row aggregate is a scalar
-    both = r.crossJoin(F.broadcast(least)).agg(first.alias("a"), F.min_by(F.when(F.col("expected_entity") != F.col("least"), F.col(CLUSTER_COL)), F.when(F.col("expected_entity") != F.col("least"), F.col("record_id"))).alias("b"))
-    return both.select((F.col("a") != F.col("b")).alias("clusters_differ"))
+    least = PLANTED.rows(spark, sf_dir).agg(F.min("expected_entity")).collect()[0][0]
+    other = F.col("expected_entity") != F.lit(least)
+    ends = PLANTED.resolved(spark, sf_dir).agg(
+        F.min_by(CLUSTER_COL, "record_id").alias("a"),
+        F.min_by(F.when(other, F.col(CLUSTER_COL)), F.when(other, F.col("record_id"))).alias("b"),
+    )
+    return ends.select((F.col("a") != F.col("b")).alias("clusters_differ"))
 
 
 SQL_CLUSTERS_DIFFER = """
