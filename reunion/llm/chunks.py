@@ -9,7 +9,7 @@ keeps its first occurrence, all others are duplicates. Runs of neighbouring dupl
 of at least ``MIN_WORDS`` words are cut out of the text; shorter ones (a common phrase, a licence
 line) stay.
 
-Documents are dealt into groups of bounded size by a hash of the id. A group asks for
+Documents are dealt into groups of bounded size by a hash of id and text. A group asks for
 each distinct digest once, in one packed array per digest bucket, and learns in one byte each whether
 it holds the owner. So a passage that a third of all texts share is one entry per group. The
 deal of the documents serves the question and the answer alike.
@@ -154,7 +154,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     n = docs.count()
     groups, buckets = max(1, n // GROUP_DOCS), max(32, n // BUCKET_DOCS)
     d = docs.toDF(*[f"_c{i}" for i in range(len(cols))])
-    d = d.withColumn("_g", F.pmod(F.xxhash64(F.col(f"_c{at_id}").cast("long")), F.lit(groups))).withColumn("_id", F.col(f"_c{at_id}").cast("long")).withColumn("_text", F.col(f"_c{at_text}"))
+    d = d.withColumn("_g", F.pmod(F.xxhash64(F.col(f"_c{at_id}").cast("long"), F.col(f"_c{at_text}")), F.lit(groups))).withColumn("_id", F.col(f"_c{at_id}").cast("long")).withColumn("_text", F.col(f"_c{at_text}"))
     d = d.drop(f"_c{at_text}")
 
     def ask(key: tuple, rows: pa.Table) -> pa.Table:
@@ -220,7 +220,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return table
 
     dealt = d.groupBy("_g")
-    asked = d.select("_g", "_id", "_text", *[f.name for f in kept_fields]).groupBy("_g").applyInArrow(ask, "_g long, bucket long, high binary, low binary, own binary")
+    # the same grouping as below, so that one shuffle serves both
+    asked = dealt.applyInArrow(ask, "_g long, bucket long, high binary, low binary, own binary")
     replies = asked.groupBy("bucket").applyInArrow(answer, "_g long, bucket long, mine binary")
     result = dealt.cogroup(replies.groupBy("_g")).applyInArrow(cut_out, schema)
     names = [F.col("_text" if i == at_text else f"_c{i}").alias(c) for i, c in enumerate(cols)]
