@@ -49,14 +49,18 @@ def texts(col: pa.Array) -> list[str]:
 
 
 def worker_state(key: str, make: Callable[[], object]) -> object:
-    """A value kept for the life of a Python worker (functions shipped by value get new globals for each task)."""
+    """A value kept in a Python worker from task to task (functions shipped by value get new globals for each task).
+
+    A worker keeps one value: that of the operator that ran last, so stages don't add up in its memory.
+    """
     import sys
     import types
 
     home = sys.modules.setdefault("_reunion_llm_worker", types.ModuleType("_reunion_llm_worker"))
-    if not hasattr(home, key):
-        setattr(home, key, make())
-    return getattr(home, key)
+    if getattr(home, "held", (None, None))[0] != key:
+        home.held = (None, None)  # let go of the other before the new one is made
+        home.held = (key, make())
+    return home.held[1]
 
 
 class Scratch:

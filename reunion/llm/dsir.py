@@ -37,7 +37,7 @@ FEATURES = 1 << 16
 SMOOTHING = 1.0
 SHARPNESS = 200.0
 #: Word hashes kept in a worker's memory before it starts anew.
-MEMORY = 1_000_000
+MEMORY = 500_000
 
 
 def _hashes() -> dict[bytes, int]:

@@ -38,7 +38,7 @@ ROUND_TOKENS = 4_000_000
 #: Tokens of one step group.
 STEP_TOKENS = 16 * 2048
 #: Segments kept in a worker's tokenizer memory before it starts anew.
-MEMORY = 1_000_000
+MEMORY = 600_000
 END = 1
 
 
