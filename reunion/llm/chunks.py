@@ -2,12 +2,13 @@
 
 A gear hash rolls over the UTF-8 bytes of a text; it depends on the last 32 bytes only, so cuts
 move with the content and an insertion changes the chunks around it alone. A chunk ends
-before white space where the hash is divisible by ``WORD_DIVISOR``, and (for texts without white space)
-at any character where its upper bits are divisible by ``ANY_DIVISOR``; chunks vary in length.
+before white space where the hash is divisible by ``WORD_DIVISOR``, and at any character where its
+upper bits are divisible by ``ANY_DIVISOR``, or by ``BARE_DIVISOR`` if the last 32 bytes hold no
+white space (Chinese, Japanese, Thai, base64); chunks vary in length.
 Chunks are deduplicated by 128-bit digests: the text of the smallest id that holds a chunk
 keeps its first occurrence, all others are duplicates. Runs of neighbouring duplicate chunks
-of at least ``MIN_WORDS`` words are cut out of the text; shorter ones (a common phrase, a licence
-line) stay.
+of at least ``MIN_WORDS`` words, or ``MIN_CHARS`` characters in stretches of 32 or more bytes without
+white space, are cut out of the text; shorter ones (a common phrase, a licence line) stay.
 
 Documents are dealt into groups of bounded size by a hash of id and text. A group asks for
 each distinct digest once, in one packed array per digest bucket, and learns in one byte each whether
@@ -33,7 +34,10 @@ from .common import picked, small_batches
 WINDOW = 32
 WORD_DIVISOR = 5
 ANY_DIVISOR = 256
+BARE_DIVISOR = 16
 MIN_WORDS = 15
+#: Characters that count as much as ``MIN_WORDS`` words, in stretches that white space does not part.
+MIN_CHARS = 100
 #: Documents of a group, and of which a digest bucket gets the chunks.
 GROUP_DOCS = 2_000
 BUCKET_DOCS = 10_000
@@ -69,10 +73,15 @@ def cut_points(data: bytes) -> np.ndarray:
         return np.zeros(0, np.int64)
     a = np.frombuffer(data, np.uint8)
     h = gear_hashes(a)[:-1] >> np.uint64(16)
-    after = a[1:]
-    space = (after == 32) | ((after >= 9) & (after <= 13))
+    white = (a == 32) | ((a >= 9) & (a <= 13))
+    after, space = a[1:], white[1:]
     letter = (after & 0xC0) != 0x80  # never inside a character
-    cut = (space & (h % np.uint64(WORD_DIVISOR) == 0)) | (letter & ((h >> np.uint64(8)) % np.uint64(ANY_DIVISOR) == 0))
+    upper = h >> np.uint64(8)
+    cut = (space & (h % np.uint64(WORD_DIVISOR) == 0)) | (letter & (upper % np.uint64(ANY_DIVISOR) == 0))
+    if n > WINDOW:
+        spaces = np.r_[0, np.cumsum(white)]
+        bare = np.flatnonzero(spaces[WINDOW:n] == spaces[: n - WINDOW]) + WINDOW - 1  # the last byte of windows without white space
+        cut[bare] |= letter[bare] & (upper[bare] % np.uint64(BARE_DIVISOR) == 0)
     return np.r_[np.flatnonzero(cut) + 1, n]
 
 
@@ -84,6 +93,20 @@ def word_starts(a: np.ndarray) -> np.ndarray:
     return np.r_[0, np.cumsum(starts)]
 
 
+def bare_chars(a: np.ndarray) -> np.ndarray:
+    """Running count of characters, in the bytes before each place, that are in stretches of ``WINDOW`` or more bytes without white space."""
+    white = (a == 32) | ((a >= 9) & (a <= 13))
+    edges = np.r_[-1, np.flatnonzero(white), len(a)]
+    size = np.diff(edges) - 1
+    long = size >= WINDOW
+    if not long.any():
+        return np.zeros(len(a) + 1, np.int64)
+    mark = np.zeros(len(a) + 1, np.int64)
+    mark[edges[:-1][long] + 1] += 1
+    mark[edges[1:][long]] -= 1
+    return np.r_[0, np.cumsum((np.cumsum(mark)[:-1] > 0) & ((a & 0xC0) != 0x80))]
+
+
 class Chunked:
     """The chunks of the texts of one group, as codes of its distinct digests."""
 
@@ -116,18 +139,19 @@ class Chunked:
         return order, b[order]
 
 
-def duplicate_spans(text: bytes, ends: np.ndarray, dup: np.ndarray, min_words: int) -> list[tuple[int, int]]:
-    """Byte spans of runs of duplicate chunks with at least ``min_words`` words."""
+def duplicate_spans(text: bytes, ends: np.ndarray, dup: np.ndarray, min_words: int, min_chars: int) -> list[tuple[int, int]]:
+    """Byte spans of runs of duplicate chunks with at least ``min_words`` words or ``min_chars`` characters in long stretches without white space."""
     if not dup.any():
         return []
-    words = word_starts(np.frombuffer(text, np.uint8))
+    a = np.frombuffer(text, np.uint8)
+    words, chars = word_starts(a), bare_chars(a)
     starts = np.r_[0, ends[:-1]]
     edge = np.flatnonzero(np.diff(np.r_[0, dup.astype(np.int8), 0]))
     out = []
     for x, y in zip(edge[::2].tolist(), edge[1::2].tolist()):
-        a, b = int(starts[x]), int(ends[y - 1])
-        if words[b] - words[a] >= min_words:
-            out.append((a, b))
+        s, e = int(starts[x]), int(ends[y - 1])
+        if words[e] - words[s] >= min_words or chars[e] - chars[s] >= min_chars:
+            out.append((s, e))
     return out
 
 
@@ -139,7 +163,7 @@ def _texts(table: pa.Table) -> list[bytes]:
     return [b if b is not None else b"" for b in table["_text"].cast(pa.binary()).to_pylist()]
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, report: bool = True) -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, report: bool = True, min_chars: int = MIN_CHARS) -> DataFrame:
     """The rows of ``docs`` with duplicate passages cut out of the text.
 
     ``report`` adds ``n_chunks``, ``n_duplicate_chunks``, ``removed_chars`` and ``removed``, the spans
@@ -197,7 +221,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             dup = ~(mine[codes] & (own[codes] == i))
             seen = np.ones(len(codes), bool)
             seen[np.unique(codes, return_index=True)[1]] = False  # later occurrences in the same text
-            found = duplicate_spans(t, ends, dup | seen, min_words)
+            found = duplicate_spans(t, ends, dup | seen, min_words, min_chars)
             removed, at, kept, text_spans = 0, 0, [], []
             chars = 0
             for a, b in found:

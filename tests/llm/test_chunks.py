@@ -98,3 +98,19 @@ def test_insertions_change_nearby_cuts_only(text, seed, inserted):
     shift, edge = len(b) - len(a), len((base[:at]).encode())
     assert {x + shift for x in cut_points(a) if x > edge + 40} == {x for x in cut_points(b) if x > edge + shift + 40}
     assert {x for x in cut_points(a) if x < edge} == {x for x in cut_points(b) if x < edge}
+
+
+def test_passages_without_white_space_go_once(spark):
+    """A passage that two texts share goes from the later one, and so does a whole copy, though neither has 15 words."""
+    rng = np.random.default_rng(5)
+    han = lambda n: "".join(map(chr, rng.integers(0x4E00, 0x9FA0, n)))
+    blob = lambda n: "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"), n))
+    for kind in (han, blob):
+        shared, short, copied = kind(400), kind(60), kind(500)
+        rows = [(1, kind(150) + shared + kind(150)), (2, kind(170) + shared + kind(130)), (3, copied), (4, copied)]
+        rows += [(5, f"{kind(200)} {short} {kind(200)}"), (6, f"{kind(200)} {short} {kind(200)}")]
+        out = {r["doc_id"]: r for r in substring_report(documents(spark, rows)).collect()}
+        assert [out[i]["removed"] for i in (1, 3, 5, 6)] == [""] * 4
+        assert out[4]["text"] == ""
+        assert shared[100:300] not in out[2]["text"] and 250 <= out[2]["removed_chars"] <= 400
+        assert rows[1][1][:170] == out[2]["text"][:170] and rows[1][1][-130:] == out[2]["text"][-130:]
