@@ -4,12 +4,14 @@ Two generative models over hashed word uni- and bigrams are counted from all doc
 target (documents that the labels call good and not toxic) and the raw corpus (all documents).
 A document's log importance weight is the log ratio of the two models over its n-grams.
 Documents are resampled without replacement by Gumbel top-k: weight plus Gumbel noise, which
-a hash of id and text draws, and the k largest are kept. k is the share of good documents among the
-labelled ones, times all documents. The k-th key is found exactly by counting the
+a hash of id and text draws, and the k largest are kept. k is the share of the target class (good and
+not toxic) among the labelled ones, times all documents. The k-th key is found exactly by counting the
 keys' bit prefixes, 16 bits a round, so nothing is sorted or gathered.
 
 The weight is per n-gram (an average times ``SHARPNESS``), as sums over texts of 1 to 20,000
-words would rank by length.
+words would rank by length. An average hides a few insults in a long text, so words that mark the labelled
+documents outside the target (``mark_odds``) count apart: each distinct one lowers the key
+by its log odds times ``SHARPNESS``, as if the text were made of it.
 
 Results for odd input: a null text counts as empty, and a text without words has weight zero; labels with
 null values or unknown ids are ignored, and a document labelled more than once is good only if
@@ -36,6 +38,12 @@ FEATURES = 1 << 16
 #: Pseudo-count of a bucket.
 SMOOTHING = 1.0
 SHARPNESS = 200.0
+#: Hash buckets of words that mark documents outside the target.
+MARKS = 1 << 18
+PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Such a word's least log-likelihood ratio against equal shares of both classes, and least log odds.
+EVIDENCE = 8.0
+LEAST_ODDS = 3.0
 #: Word hashes kept in a worker's memory before it starts anew.
 MEMORY = 500_000
 
@@ -92,22 +100,66 @@ def log_ratio(counts: np.ndarray) -> np.ndarray:
     return np.log(p[1] / p[1].sum()) - np.log(p[0] / p[0].sum())
 
 
-def weigh(docs: DataFrame, ratio: np.ndarray, text_at: int) -> DataFrame:
-    """``docs`` with a column ``_weight``; ``ratio`` has a fixed size, ``text_at`` is the text's place."""
-    sent = cloudpickle.dumps(ratio)
+def _mark_buckets(text: bytes, memory: dict[bytes, int]) -> np.ndarray:
+    """Buckets of a text's distinct words, without the punctuation around them."""
+    import xxhash
+
+    words = {w.strip(PUNCTUATION) for w in set(text.lower().split())}
+    for w in words.difference(memory):
+        memory[w] = xxhash.xxh64_intdigest(w)
+    return np.unique(np.fromiter(map(memory.__getitem__, words), np.uint64, len(words)) >> np.uint64(46)).astype(np.int64)
+
+
+def mark_odds(labelled: DataFrame) -> np.ndarray:
+    """Per word bucket the log odds of a document outside the target, 0 where they are weak; ``labelled`` has text and target."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = worker_state("dsir", _hashes)
+        counts = np.zeros((2, MARKS), np.int64)
+        n = np.zeros(2, np.int64)
+        for b in batches:
+            if len(memory) > MEMORY:
+                memory.clear()
+            for t, good in zip(utf8(b.column("text")), b.column("target").to_pylist()):
+                counts[int(good), _mark_buckets(t, memory)] += 1
+                n[int(good)] += 1
+        some = np.flatnonzero(counts.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, some]), pa.array(np.r_[n[0], counts[0][some]]), pa.array(np.r_[n[1], counts[1][some]])], ["bucket", "other", "good"])
+
+    total = map_batches(labelled, run, T._parse_datatype_string("bucket long, other long, good long")).groupBy("bucket").agg(F.sum("other").alias("other"), F.sum("good").alias("good"))
+    # MARKS + 1 rows at most; a bucket without documents outside the target marks nothing
+    rows = total.where("bucket < 0 or other > 0").toPandas()
+    out, whole = np.zeros(MARKS), rows[rows.bucket < 0]
+    if whole.empty or not whole.other.iloc[0] or not whole.good.iloc[0]:
+        return out
+    n, m = float(whole.other.iloc[0]), float(whole.good.iloc[0])
+    rows = rows[rows.bucket >= 0]
+    x, y = rows.other.to_numpy(float), rows.good.to_numpy(float)
+    odds = np.log(x / n) - np.log((y + 1) / (m + 1))
+    evidence = x * np.log(x / (x + y) * (n + m) / n) + y * np.log(np.maximum(y, 1e-300) / (x + y) * (n + m) / m)
+    strong = (odds >= LEAST_ODDS) & (evidence >= EVIDENCE)
+    out[rows.bucket.to_numpy()[strong]] = odds[strong]
+    return out
+
+
+def weigh(docs: DataFrame, ratio: np.ndarray, marks: np.ndarray, text_at: int) -> DataFrame:
+    """``docs`` with columns ``_weight`` and ``_marks``; ``ratio`` and ``marks`` have a fixed size, ``text_at`` is the text's place."""
+    sent = cloudpickle.dumps((ratio, marks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, memory = cloudpickle.loads(sent), worker_state("dsir", _hashes)
+        (own, odds), memory = cloudpickle.loads(sent), worker_state("dsir", _hashes)
+        any_marks = odds.any()
         for b in batches:
             if len(memory) > MEMORY:
                 memory.clear()
-            out = []
+            out, against = [], []
             for t in utf8(b.column(text_at)):
                 f = features(t, memory)
                 out.append(float(own[f].mean()) * SHARPNESS if len(f) else 0.0)
-            yield b.append_column("_weight", pa.array(out, pa.float64()))
+                against.append(float(odds[_mark_buckets(t, memory)].sum()) * SHARPNESS if any_marks else 0.0)
+            yield b.append_column("_weight", pa.array(out, pa.float64())).append_column("_marks", pa.array(against, pa.float64()))
 
-    return map_batches(docs, run, T.StructType([*docs.schema.fields, T.StructField("_weight", T.DoubleType())]))
+    return map_batches(docs, run, T.StructType([*docs.schema.fields, T.StructField("_weight", T.DoubleType()), T.StructField("_marks", T.DoubleType())]))
 
 
 def gumbel(*parts: Column) -> Column:
@@ -149,8 +201,9 @@ class Resampler:
         of_all = lambda cond: F.min(F.when(F.expr(cond), 1).otherwise(0)) == 1
         lab = self.scratch.write(lab.groupBy("label_id").agg(of_all("quality = 1 and toxic = 0").alias("target"), of_all("quality = 1").alias("good")), "labels")
         marked = d.join(lab, d["id"] == lab["label_id"], "left").select("id", "text", F.coalesce("target", F.lit(False)).alias("target"), "good")
-        share = marked.where("good is not null").agg(F.avg(F.col("good").cast("double"))).collect()[0][0]
+        share = marked.where("good is not null").agg(F.avg(F.col("target").cast("double"))).collect()[0][0]
         self.ratio = log_ratio(count_models(marked.select("text", "target")))
+        self.marks = mark_odds(marked.where("good is not null").select("text", "target"))
         self.keys = self.scratch.write(self._keyed(docs).select(F.col("_id").alias("id"), F.col("_weight").alias("weight"), F.col("_key").alias("key")), "keys")
         n = self.keys.count()
         k = n if share is None or not self.ratio.any() else int(np.ceil(share * n))
@@ -162,15 +215,15 @@ class Resampler:
         if cols.count(self.id_col) != 1 or cols.count(self.text_col) != 1:
             raise ValueError(f"columns {self.id_col!r} and {self.text_col!r} must be there once: {cols}")
         at_id, at_text = cols.index(self.id_col), cols.index(self.text_col)
-        d = weigh(docs.toDF(*[f"_c{i}" for i in range(len(cols))]), self.ratio, at_text)
+        d = weigh(docs.toDF(*[f"_c{i}" for i in range(len(cols))]), self.ratio, self.marks, at_text)
         noise = gumbel(F.lit(1), F.col(f"_c{at_id}").cast("string"), F.col(f"_c{at_text}"))
-        return d.withColumn("_id", F.col(f"_c{at_id}")).withColumn("_key", F.col("_weight") + noise)
+        return d.withColumn("_id", F.col(f"_c{at_id}")).withColumn("_key", F.col("_weight") - F.col("_marks") + noise)
 
     def _keeps(self, key: str) -> Column:
         return F.lit(False) if self.least is None else _ordered(key) >= F.lit(self.least)
 
     def verdicts(self) -> DataFrame:
-        """Per row: id, log importance ``weight``, Gumbel ``key`` and ``kept``."""
+        """Per row: id, log importance ``weight``, Gumbel ``key`` (less what marks count) and ``kept``."""
         return self.keys.select(F.col("id").alias(self.id_col), "weight", "key", self._keeps("key").alias("kept"))
 
     def kept(self, docs: DataFrame) -> DataFrame:

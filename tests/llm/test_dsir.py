@@ -10,6 +10,7 @@ from reunion.llm.dsir import FEATURES, SHARPNESS, Resampler, features, kth_large
 from .util import odd_documents, odd_texts, prose
 
 SF01 = "/root/testdata/sf0.01"
+SF1 = "/root/testdata/sf0.1"
 
 
 def label_frame(spark, rows):
@@ -50,6 +51,18 @@ def test_held_out_labels(spark):
     assert np.mean(good) > 0.95 and np.mean(bad) < 0.15
 
 
+def test_held_out_toxic_documents(spark):
+    """Toxic documents go, those of good quality too, and the clean ones stay."""
+    docs = spark.read.parquet(f"{SF1}/documents.parquet")
+    labels = spark.read.parquet(f"{SF1}/labels.parquet")
+    kept = {r["doc_id"]: r["kept"] for r in quality_classes(docs, labels.where("doc_id % 2 = 0")).collect()}
+    held = labels.where("doc_id % 2 = 1").collect()
+    clean = [kept[r["doc_id"]] for r in held if r["quality"] == 1 and r["toxic"] == 0]
+    toxic = [kept[r["doc_id"]] for r in held if r["quality"] == 1 and r["toxic"] == 1]
+    bad = [kept[r["doc_id"]] for r in held if r["quality"] == 0]
+    assert len(toxic) > 100 and np.mean(toxic) < 0.2 and np.mean(clean) > 0.95 and np.mean(bad) < 0.15
+
+
 def test_odd_rows(spark):
     labels = label_frame(spark, [(4, 1, 0), (15, 0, 0), (5, 1, 0), (5, 0, 1)])
     docs = odd_documents(spark)
