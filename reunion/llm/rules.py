@@ -41,8 +41,8 @@ MIN_GROUP = 200
 CUTOFF = 33.38
 #: E[x^2 | x within the core] falls short of the variance by this factor, for 4 dimensions and a core of 0.75.
 CONSISTENCY = 1.6
-#: Least standard deviation per statistic.
-FLOORS = (0.12, 0.04, 0.2, 0.15)
+#: Least standard deviation per statistic. An extreme share alone must be able to pass the cutoff: 1 / floor^2 is above it.
+FLOORS = (0.12, 0.04, 0.15, 0.15)
 P = len(FLOORS)
 SPREAD = 1.4826
 

@@ -58,3 +58,14 @@ def test_estimate_resists_outliers(spark):
     assert np.allclose(m["m"], 1.0, atol=0.05)
     w = np.array(m["w"]).reshape(4, 4)
     assert np.allclose(1 / np.diag(w), 0.01 + np.square(FLOORS), rtol=0.5)
+
+
+def test_repeated_lines_alone_reject(spark):
+    """Few short lines again and again, in changing order: hardly any 3-word window repeats, yet the text goes."""
+    rng = random.Random(4)
+    clean = [(i, prose(i, 100 + i % 50), "en", "big") for i in range(300)]
+    lines = [f"line{2 * k:04d} line{2 * k + 1:04d}" for k in range(150)]
+    again = [(1000 + i, "\n".join(rng.choice(lines) for _ in range(1200)), "en", "big") for i in range(3)]
+    got = {r["doc_id"]: r for r in quality_rules(spark.createDataFrame(clean + again, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(got[1000 + i]["base_failed"] or got[1000 + i]["kept"] for i in range(3))
+    assert sum(got[i]["kept"] for i in range(300)) >= 298
