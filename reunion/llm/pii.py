@@ -350,12 +350,28 @@ def seed_rows() -> list[tuple[str, list[tuple[int, int, int]]]]:
     return rows
 
 
+def train_lines(docs: DataFrame, text_col: str = "text", lines: int = TRAIN_LINES) -> list[str]:
+    """At most ``lines`` distinct lines of ``docs``, two thirds with pattern matches and one without: those of the smallest hashes.
+
+    So they are spread over the table and the same at any layout. Only lines whose hash is small enough
+    by the number of distinct ones are compared.
+    """
+    d = picked(docs, text=text_col).where("text is not null").select(F.explode(F.split("text", "\n")).alias("line")).where("length(line) between 1 and 2000")
+    d = d.withColumn("h", F.expr("shiftrightunsigned(xxhash64(line), 11)"))
+    match = F.col("line").rlike("[0-9]{4}|@")
+    kinds = ((match, lines * 2 // 3), (~match, lines - lines * 2 // 3))
+    n_distinct = d.agg(*[F.approx_count_distinct(F.when(kind, F.col("h"))) for kind, _ in kinds]).collect()[0]
+    some: list[str] = []
+    for (kind, limit), n in zip(kinds, n_distinct):
+        share = min(1.0, 4.0 * limit / max(n, 1))
+        few = d.where(F.col("h") < F.lit(int(share * (1 << 53)))).where(kind).select("h", "line").distinct()
+        some += [r["line"] for r in few.orderBy("h", "line").limit(limit).collect()]
+    return some
+
+
 def fit(docs: DataFrame, text_col: str = "text", lines: int = TRAIN_LINES) -> Field:
     """Train on the seeds and on at most ``lines`` lines of ``docs``, two thirds with pattern matches and one without."""
-    d = picked(docs, text=text_col).where("text is not null").select(F.explode(F.split("text", "\n")).alias("line")).where("length(line) between 1 and 2000")
-    digits = d.where(F.col("line").rlike("[0-9]{4}|@"))
-    some = [r["line"] for r in digits.limit(lines * 2 // 3).collect()]
-    some += [r["line"] for r in d.where(~F.col("line").rlike("[0-9]{4}|@")).limit(lines - lines * 2 // 3).collect()]
+    some = train_lines(docs, text_col, lines)
     return train(labelled(seed_rows() * 5 + [(t, base_spans(t)) for t in sorted(some)]))
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from reunion.llm.pii import KINDS, LABELS, Field, Words, base_spans, find, fit, labelled, luhn, personal_data, redact, redacted, seed_rows, train
 
@@ -102,3 +103,16 @@ def test_redaction(spark, field):
 def test_fit_on_a_table(spark):
     f = fit(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
     assert isinstance(f, Field) and f.emit.any()
+
+
+def test_training_lines_are_spread(spark):
+    """The lines come from all of the table, each once, and are the same at any layout."""
+    from reunion.llm.pii import train_lines
+
+    rows = [(f"source {i // 500} {prose(i, 5)} {'1234' if i % 2 else ''}{i:05d}" + "\ncommon line\ncommon 12345 line",) for i in range(2000)]
+    df = spark.createDataFrame(rows, "text string").coalesce(1)
+    got = train_lines(df, lines=120)
+    assert len(got) == len(set(got)) == 80 + 1  # without a number there is the common line only
+    per = [sum(x.startswith(f"source {k} ") for x in got) for k in range(4)]
+    assert min(per) >= 8
+    assert got == train_lines(df.repartition(5).orderBy(F.col("text").desc()), lines=120)
