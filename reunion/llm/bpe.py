@@ -37,15 +37,7 @@ MEMORY = 500_000
 class PairTable:
     """Hash table ``(left id, right id) -> rank of the joined token``, probed for whole arrays at a time."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        left, right, joined = [], [], []
-        for token, rank in ranks.items():
-            for i in range(1, len(token)):
-                a, b = ranks.get(token[:i]), ranks.get(token[i:])
-                if a is not None and b is not None:
-                    left.append(a)
-                    right.append(b)
-                    joined.append(rank)
+    def __init__(self, left: list[int], right: list[int], joined: list[int]):
         keys = (np.array(left, np.uint64) << np.uint64(32)) | np.array(right, np.uint64)
         values = np.array(joined, np.int32)
         self.bits = max(4, int(2 * max(len(keys), 1)).bit_length())
@@ -82,6 +74,19 @@ class PairTable:
         return out
 
 
+def byte_pairs(ranks: dict[bytes, int]) -> PairTable:
+    """The pairs of tokens that join to a token."""
+    left, right, joined = [], [], []
+    for token, rank in ranks.items():
+        for i in range(1, len(token)):
+            a, b = ranks.get(token[:i]), ranks.get(token[i:])
+            if a is not None and b is not None:
+                left.append(a)
+                right.append(b)
+                joined.append(rank)
+    return PairTable(left, right, joined)
+
+
 class BytePairs:
     """Encoder and decoder for a file of base64 tokens and ranks."""
 
@@ -91,7 +96,7 @@ class BytePairs:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.pattern = regex.compile(pattern)
-        self.pairs = PairTable(self.ranks)
+        self.pairs = byte_pairs(self.ranks)
         self.byte_id = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
         top = max(self.ranks.values()) + 1
         tokens = [b""] * top
