@@ -104,4 +104,34 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_report(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all ``documents`` with the commonest word one code point away, and the root of its chain."""
+    from .spelling import spelling_variants
+
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` encoded by SentencePiece, and decoded again."""
+    import public_tokenizers
+
+    from .pieces import round_trip
+
+    return round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives next below each of the 5 positives of every row of ``embeddings`` whose id is divisible by 100."""
+    from pyspark.sql import functions as F
+
+    from .rtree import hard_negatives
+
+    e = read_table(spark, sf_dir, "embeddings")
+    e = e.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(e.where(F.col("vec_id") % 100 == 0), e)
+
+
 ORACLE_SQL: dict[str, str] = oracle.SQL
