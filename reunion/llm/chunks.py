@@ -10,13 +10,14 @@ keeps its first occurrence, all others are duplicates. Runs of neighbouring dupl
 of at least ``MIN_WORDS`` words, or ``MIN_CHARS`` characters in stretches of 32 or more bytes without
 white space, are cut out of the text; shorter ones (a common phrase, a licence line) stay.
 
-Documents are dealt into groups of bounded size by a hash of id and text. A group asks for
-each distinct digest once, in one packed array per digest bucket, and learns in one byte each whether
-it holds the owner. So a passage that a third of all texts share is one entry per group. The
-deal of the documents serves the question and the answer alike.
-
-Results for odd input: null texts stay null, empty ones empty; ids must be integers, a null id comes
-last in the order; rows of one id are one document: what they share with each other is kept
+Documents are dealt into groups of bounded size (in documents and in bytes) by a hash of id and text. A
+group asks for each distinct digest once, in one packed array per digest bucket, and learns in one byte
+each whether it holds the owner. So a passage that a third of all texts share is one entry per group. Question
+and answer are matched by the order of the digests themselves, never by that of the rows, which a
+shuffle may bring in another order each time it is read. The deal of the documents serves both.
+
+Results for odd input: null texts stay null, empty ones empty; ids must be integers (others raise
+``ValueError``), a null id comes last in the order; rows of one id are one document: what they share with each other is kept
 in each; a text that is all duplicate becomes empty, its row stays; an empty table gives an
 empty result; extra columns are passed on, whatever their names.
 """
@@ -38,9 +39,10 @@ BARE_DIVISOR = 16
 MIN_WORDS = 15
 #: Characters that count as much as ``MIN_WORDS`` words, in stretches that white space does not part.
 MIN_CHARS = 100
-#: Documents of a group, and of which a digest bucket gets the chunks.
+#: Documents and text bytes of a group, and text bytes of which a digest bucket gets the chunks.
 GROUP_DOCS = 2_000
-BUCKET_DOCS = 10_000
+GROUP_BYTES = 6 << 20
+BUCKET_BYTES = 24 << 20
 _LAST = np.int64(2**63 - 1)
 
 
@@ -133,9 +135,12 @@ class Chunked:
         return own
 
     def order(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-        """Digests by bucket: their order, and the bucket of each place in it."""
+        """Digests by bucket and value: their order, and the bucket of each place in it.
+
+        It depends on the set of digests alone: another order of the rows gives the same sequence.
+        """
         b = (self.low % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(b, kind="stable")
+        order = np.lexsort((self.low, self.high, b))
         return order, b[order]
 
 
@@ -163,7 +168,7 @@ def _texts(table: pa.Table) -> list[bytes]:
     return [b if b is not None else b"" for b in table["_text"].cast(pa.binary()).to_pylist()]
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, report: bool = True, min_chars: int = MIN_CHARS) -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, report: bool = True, min_chars: int = MIN_CHARS, group_docs: int = GROUP_DOCS, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """The rows of ``docs`` with duplicate passages cut out of the text.
 
     ``report`` adds ``n_chunks``, ``n_duplicate_chunks``, ``removed_chars`` and ``removed``, the spans
@@ -175,12 +180,35 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             raise ValueError(f"column {c!r} must be there once, found {cols.count(c)} in {cols}")
     small_batches(docs.sparkSession)
     at_id, at_text = cols.index(id_col), cols.index(text_col)
-    n = docs.count()
-    groups, buckets = max(1, n // GROUP_DOCS), max(32, n // BUCKET_DOCS)
+    if not isinstance(docs.schema.fields[at_id].dataType, T.IntegralType):
+        raise ValueError(f"column {id_col!r} must hold integers, found {docs.schema.fields[at_id].dataType.simpleString()}")
     d = docs.toDF(*[f"_c{i}" for i in range(len(cols))])
+    n, size = d.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(f"_c{at_text}")), F.lit(0))).first()
+    groups, buckets = max(1, n // group_docs, size // group_bytes), max(32, size // BUCKET_BYTES)
     d = d.withColumn("_g", F.pmod(F.xxhash64(F.col(f"_c{at_id}").cast("long"), F.col(f"_c{at_text}")), F.lit(groups))).withColumn("_id", F.col(f"_c{at_id}").cast("long")).withColumn("_text", F.col(f"_c{at_text}"))
     d = d.drop(f"_c{at_text}")
 
+    kept_fields = [f for f in d.schema.fields if f.name.startswith("_c")]
+    text_type = docs.schema.fields[at_text].dataType
+    extra = [T.StructField("n_chunks", T.LongType()), T.StructField("n_duplicate_chunks", T.LongType()), T.StructField("removed_chars", T.LongType()), T.StructField("removed", T.StringType())]
+    schema = T.StructType([*kept_fields, T.StructField("_text", text_type), *extra])
+    ask, answer, cut_out = steps([f.name for f in kept_fields], buckets, min_words, min_chars)
+
+    dealt = d.groupBy("_g")
+    # the same grouping as below, so that one shuffle serves both
+    asked = dealt.applyInArrow(ask, "_g long, bucket long, high binary, low binary, own binary")
+    replies = asked.groupBy("bucket").applyInArrow(answer, "_g long, bucket long, mine binary")
+    result = dealt.cogroup(replies.groupBy("_g")).applyInArrow(cut_out, schema)
+    names = [F.col("_text" if i == at_text else f"_c{i}").alias(c) for i, c in enumerate(cols)]
+    return result.select(*names, *([f.name for f in extra] if report else []))
+
+
+def steps(passed: list[str], buckets: int, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS):
+    """The three steps: what a group asks of the digest buckets, a bucket's answer, and the group's texts with the answers.
+
+    ``passed`` are the columns of the rows that go through unchanged.
+    """
+
     def ask(key: tuple, rows: pa.Table) -> pa.Table:
         c = Chunked(_texts(rows))
         own = c.owners(_ids(rows))
@@ -203,11 +231,6 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         cuts = np.cumsum([0, *map(len, parts["low"])])
         return pa.table({"_g": asked["_g"], "bucket": asked["bucket"], "mine": pa.array([mine[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())})
 
-    kept_fields = [f for i, f in enumerate(d.schema.fields) if f.name.startswith("_c")]
-    text_type = docs.schema.fields[at_text].dataType
-    extra = [T.StructField("n_chunks", T.LongType()), T.StructField("n_duplicate_chunks", T.LongType()), T.StructField("removed_chars", T.LongType()), T.StructField("removed", T.StringType())]
-    schema = T.StructType([*kept_fields, T.StructField("_text", text_type), *extra])
-
     def cut_out(key: tuple, rows: pa.Table, replies: pa.Table) -> pa.Table:
         texts, ids = _texts(rows), _ids(rows)
         c = Chunked(texts)
@@ -238,18 +261,12 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             n_dup.append(int((dup | seen).sum()))
             n_removed.append(removed)
             spans.append(",".join(text_spans))
-        table = rows.select([f.name for f in kept_fields])
+        table = rows.select(passed)
         for name, values, kind in (("_text", out, pa.string()), ("n_chunks", n_chunks, pa.int64()), ("n_duplicate_chunks", n_dup, pa.int64()), ("removed_chars", n_removed, pa.int64()), ("removed", spans, pa.string())):
             table = table.append_column(name, pa.array(values, kind))
         return table
 
-    dealt = d.groupBy("_g")
-    # the same grouping as below, so that one shuffle serves both
-    asked = dealt.applyInArrow(ask, "_g long, bucket long, high binary, low binary, own binary")
-    replies = asked.groupBy("bucket").applyInArrow(answer, "_g long, bucket long, mine binary")
-    result = dealt.cogroup(replies.groupBy("_g")).applyInArrow(cut_out, schema)
-    names = [F.col("_text" if i == at_text else f"_c{i}").alias(c) for i, c in enumerate(cols)]
-    return result.select(*names, *([f.name for f in extra] if report else []))
+    return ask, answer, cut_out
 
 
 def substring_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,9 +1,12 @@
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from reunion.llm.chunks import GEAR, MIN_WORDS, cut_points, deduplicated, gear_hashes, substring_report
+from reunion.llm.chunks import GEAR, MIN_WORDS, cut_points, deduplicated, gear_hashes, steps, substring_report
 
 from .util import EXTRA, PASSAGE, documents, odd_documents, odd_texts, prose
 
@@ -114,3 +117,45 @@ def test_passages_without_white_space_go_once(spark):
         assert out[4]["text"] == ""
         assert shared[100:300] not in out[2]["text"] and 250 <= out[2]["removed_chars"] <= 400
         assert rows[1][1][:170] == out[2]["text"][:170] and rows[1][1][-130:] == out[2]["text"][-130:]
+
+
+def rows_of(df):
+    return sorted(((r["doc_id"], r["text"], r["n_chunks"], r["n_duplicate_chunks"], r["removed"]) for r in df.collect()), key=str)
+
+
+def test_answers_do_not_depend_on_the_order_of_rows():
+    """Question and answer over four groups, whose rows come in another order each time they are read."""
+    docs = [(i, f"{prose(i, 70)} {PASSAGE} {prose(900 + i, 50)}" if i % 3 else prose(i, 150)) for i in range(48)] + [(i, prose(i - 40, 150)) for i in range(50, 60)]
+    ask, answer, cut_out = steps([], buckets=7)
+    rng = np.random.default_rng(1)
+
+    def group(g):
+        mine = [d for d in docs if d[0] % 4 == g]
+        order = rng.permutation(len(mine))
+        return pa.table({"_id": pa.array([mine[k][0] for k in order], pa.int64()), "_text": pa.array([mine[k][1] for k in order], pa.string())})
+
+    asked = pa.concat_tables([ask((pa.scalar(g),), group(g)) for g in range(4)])
+    asked = asked.take(pa.array(rng.permutation(asked.num_rows)))
+    parts = [answer((), asked.filter(pa.compute.equal(asked["bucket"], b))) for b in set(asked["bucket"].to_pylist())]
+    replies = pa.concat_tables(parts)
+    replies = replies.take(pa.array(rng.permutation(replies.num_rows)))
+    got = {}
+    for g in range(4):
+        rows = group(g)
+        out = cut_out((pa.scalar(g),), rows, replies.filter(pa.compute.equal(replies["_g"], g)))
+        got |= dict(zip(rows["_id"].to_pylist(), zip(out["_text"].to_pylist(), out["removed"].to_pylist())))
+    assert got == {i: (text, spans) for i, text, _, _, spans in brute(docs)}
+    assert sum(spans != "" for _, spans in got.values()) > 30
+
+
+def test_many_groups(spark):
+    """Groups bounded by documents, or by the bytes of long texts, give what one group gives."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    want = brute([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert rows_of(deduplicated(docs.repartition(7), group_docs=9)) == want
+    assert rows_of(deduplicated(docs.repartition(5), group_bytes=20_000)) == want
+
+
+def test_ids_must_be_integers(spark):
+    with pytest.raises(ValueError, match="integers"):
+        deduplicated(spark.createDataFrame([("a", "text")], "doc_id string, text string"))
