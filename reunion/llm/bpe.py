@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding in padded numpy matrices.
 
-Texts are cut into pre-tokens; each distinct pre-token of a batch is merged once. Pre-tokens
-are bucketed by length, a bucket is a matrix of ids with one pre-token per row, and in each
+Texts are cut into pre-tokens; each distinct segment between spaces is learnt once and kept in a
+bounded memory (:mod:`.segments`), each distinct pre-token of the new ones is merged once. Pre-tokens are bucketed by length, a bucket is a matrix of ids with one pre-token per row, and in each
 round every row merges its leftmost pair of least rank. Ranks of pairs come from an
 open-addressing hash table over id pairs; finished rows leave the matrix, merged
 columns are compacted. A pre-token beyond the longest bucket is merged with a heap in the
@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,14 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import map_batches, picked, texts, worker_state
+from .common import map_batches, picked, worker_state
+from .segments import Memory, before_words
 
-BUCKETS = (4, 8, 16, 32, 64, 128, 256)
+BUCKETS = (4, 6, 8, 10, 12, 16, 24, 32, 64, 128, 256)
 NONE = np.int32(2**31 - 1)
 #: Rows of one matrix, which bounds its memory.
 ROWS = 1 << 15
-#: Segments kept in a worker's memory before it starts anew.
-MEMORY = 500_000
 
 
 class PairTable:
@@ -105,17 +105,27 @@ class BytePairs:
         self.size = np.array([len(t) for t in tokens], np.int64)
         self.start = np.cumsum(self.size) - self.size
         self.flat = np.frombuffer(b"".join(tokens), np.uint8)
-        self.memory: dict[str, bytes] = {}
-        self.written: dict[str, str] = {}
+        written = [f"{i} ".encode() for i in range(top)]
+        self.n_digits = np.fromiter(map(len, written), np.int64, top)
+        wide = int(self.n_digits.max())
+        self.digits = np.frombuffer(b"".join(w.ljust(wide, b"\0") for w in written), np.uint8).reshape(top, wide)
+        #: The bucket of each length; beyond the longest: 0.
+        self.bucket = [next(b for b in BUCKETS if n <= b) for n in range(BUCKETS[-1] + 1)] + [0]
+        kinds = pattern.split("|")
+        letters = kinds.index(r" ?\p{L}+") if r" ?\p{L}+" in kinds else 0
+        #: Tells ASCII letters behind at most one space: one pre-token, if only contractions come before in the pattern.
+        self.plain = re.compile(rb" ?[A-Za-z]+").fullmatch if letters and all(k.startswith("'") for k in kinds[:letters]) else None
+        self.memory = Memory(self._learn, before_words)
 
     # --- merging ---------------------------------------------------------------
 
-    def _matrix(self, words: list[bytes], width: int) -> list[np.ndarray]:
+    def _matrix(self, words: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pre-tokens one after the other, and how many each has."""
         n = len(words)
         sizes = np.fromiter(map(len, words), np.int64, n)
         m = np.full((n, width), -1, np.int32)
         m[np.arange(width) < sizes[:, None]] = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
-        out: list[np.ndarray] = [np.zeros(0, np.int32)] * n
+        final = np.full((n, width), -1, np.int32)
         rank = self.pairs.rank(m[:, :-1].ravel(), m[:, 1:].ravel()).reshape(n, width - 1)
         rows = np.arange(n)
         while len(rows):
@@ -123,9 +133,7 @@ class BytePairs:
             at = np.arange(len(rows))
             done = rank[at, j] == NONE
             if done.any():
-                for r in np.flatnonzero(done):
-                    row = m[r]
-                    out[rows[r]] = row[row >= 0]
+                final[rows[done], : m.shape[1]] = m[done]
                 m, rank, rows, j = m[~done], rank[~done], rows[~done], j[~done]
                 at = np.arange(len(rows))
                 if not len(rows):
@@ -143,7 +151,8 @@ class BytePairs:
                 ok = (side >= 0) & (side < rank.shape[1])
                 r, c = at[ok], side[ok]
                 rank[r, c] = self.pairs.rank(m[r, c], m[r, c + 1])
-        return out
+        held = final >= 0
+        return final[held], held.sum(axis=1)
 
     def _heap(self, word: bytes) -> np.ndarray:
         ids = self.byte_id[np.frombuffer(word, np.uint8)].tolist()
@@ -170,65 +179,74 @@ class BytePairs:
                         heapq.heappush(heap, (q, x, ids[x], ids[y]))
         return np.array([x for x, ok in zip(ids, alive) if ok], np.int32)
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of each pre-token."""
-        out: list[np.ndarray | None] = [None] * len(words)
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pre-tokens one after the other, and where each one's end."""
+        known = list(map(self.ranks.get, words))
         by: dict[int, list[int]] = {}
-        for i, w in enumerate(words):
-            whole = self.ranks.get(w)
-            if whole is not None:
-                out[i] = np.array([whole], np.int32)
-            elif len(w) > BUCKETS[-1]:
-                out[i] = self._heap(w)
-            else:
-                by.setdefault(next(b for b in BUCKETS if len(w) <= b), []).append(i)
-        for width, at in by.items():
-            for s in range(0, len(at), ROWS):
-                part = at[s : s + ROWS]
-                for i, ids in zip(part, self._matrix([words[i] for i in part], width)):
-                    out[i] = ids
-        return out
+        for i, (w, whole) in enumerate(zip(words, known)):
+            if whole is None:
+                by.setdefault(self.bucket[min(len(w), len(self.bucket) - 1)], []).append(i)
+        size = np.ones(len(words), np.int64)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        for width, every in by.items():
+            for s in range(0, len(every), ROWS):
+                at = np.array(every[s : s + ROWS])
+                if width:
+                    ids, size[at] = self._matrix([words[i] for i in at.tolist()], width)
+                else:
+                    each = [self._heap(words[i]) for i in at.tolist()]
+                    ids, size[at] = np.concatenate(each), list(map(len, each))
+                parts.append((at, ids))
+        ends = np.cumsum(size)
+        start = ends - size
+        flat = np.empty(int(ends[-1]) if len(ends) else 0, np.int32)
+        flat[start] = [-1 if x is None else x for x in known]
+        for at, ids in parts:
+            n = size[at]
+            flat[np.repeat(start[at] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
+        return flat, ends
 
     # --- texts -----------------------------------------------------------------
 
-    def _learn(self, segments: list[str]) -> None:
-        cut = [self.pattern.findall(s) for s in segments]
+    def _learn(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new segments one after the other, and where each one's end."""
+        cut = [[s] if self.plain is not None and self.plain(s) else [w.encode() for w in self.pattern.findall(s.decode())] for s in segments]
         words = list({w for c in cut for w in c})
-        ids = dict(zip(words, self.merge([w.encode() for w in words])))
-        for s, c in zip(segments, cut):
-            joined = np.concatenate([ids[w] for w in c]) if c else np.zeros(0, np.int32)
-            self.memory[s] = joined.astype("<u4").tobytes()
-            self.written[s] = " ".join(map(str, joined.tolist()))
-
-    def segments(self, text: str) -> list[str]:
-        """Parts that are encoded on their own: a text without doubled spaces is cut before each space."""
-        if "  " in text or not text:
-            return [text]
-        head, *tail = text.split(" ")
-        return [head, *[" " + x for x in tail]] if head else [" " + x for x in tail]
-
-    def encode_written(self, texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
-        """Ids of each text, and its ids written in decimal, joined by a space."""
-        if len(self.memory) > MEMORY:
-            self.memory, self.written = {}, {}
-        cut = [self.segments(t) for t in texts]
-        need = {s for c in cut for s in c}.difference(self.memory)
-        self._learn(list(need))
-        ids = [np.frombuffer(b"".join(map(self.memory.__getitem__, c)), "<u4") for c in cut]
-        return ids, [" ".join(filter(None, map(self.written.__getitem__, c))) for c in cut]
+        number = {w: i for i, w in enumerate(words)}
+        flat, ends = self.merge(words)
+        start, size = np.r_[0, ends[:-1]], np.diff(ends, prepend=0)
+        at = np.fromiter((number[w] for c in cut for w in c), np.int64)
+        count = size[at]
+        stop = np.cumsum(count)
+        ids = flat[np.repeat(start[at] - (stop - count), count) + np.arange(stop[-1] if len(stop) else 0)]
+        return ids, np.r_[0, stop][np.cumsum(list(map(len, cut)))]
+
+    def encode_column(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of the texts of a column and where each one's end, some texts at a time."""
+        return self.memory.encode(column)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return self.encode_written(texts)[0]
+        return [x for ids, ends in self.encode_column(pa.array(texts, pa.string())) for x in np.split(ids, ends[:-1])]
+
+    def written(self, ids: np.ndarray, ends: np.ndarray) -> list[memoryview]:
+        """The ids of each text in decimal, joined by a space."""
+        digits = self.digits[ids]
+        flat = memoryview(digits[digits > 0].tobytes())
+        stop = np.r_[0, np.cumsum(self.n_digits[ids])][np.r_[0, ends]].tolist()
+        return [flat[a : max(a, b - 1)] for a, b in zip(stop, stop[1:])]
+
+    def decoded(self, ids: np.ndarray, ends: np.ndarray) -> list[memoryview]:
+        """The bytes of each text; those of all ids are gathered at once."""
+        size = self.size[ids]
+        stop = np.cumsum(size)
+        flat = memoryview(self.flat[np.repeat(self.start[ids] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)].tobytes())
+        cuts = np.r_[0, stop][np.r_[0, ends]].tolist()
+        return [flat[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
-        """Bytes of each id array; all are gathered at once."""
+        """Bytes of each id array."""
         every = np.concatenate(ids).astype(np.int64) if ids else np.zeros(0, np.int64)
-        size = self.size[every]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        flat = self.flat[np.repeat(self.start[every] - (ends - size), size) + np.arange(total)].tobytes()
-        cuts = np.concatenate([[0], ends])[np.cumsum([0, *map(len, ids)])]
-        return [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        return [bytes(b) for b in self.decoded(every, np.cumsum(list(map(len, ids)), dtype=np.int64))]
 
 
 def _coder(path: str, pattern: str) -> BytePairs:
@@ -242,8 +260,8 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(path, pattern)
         for b in batches:
-            ids = coder.encode(texts(b.column("text")))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32()))], [id_col, "ids"])
+            ids = [x.astype(np.int32) for flat, ends in coder.encode_column(b.column("text")) for x in np.split(flat, ends[:-1])]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(ids, pa.list_(pa.int32()))], [id_col, "ids"])
 
     return map_batches(d, run, T.StructType([T.StructField(id_col, d.schema["id"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
@@ -269,13 +287,11 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(path, pattern)
         for b in batches:
-            every = texts(b.column("text"))
             n, written, decoded = [], [], []
-            for s in range(0, len(every), 100):
-                ids, lines = coder.encode_written(every[s : s + 100])
-                n += [len(x) for x in ids]
-                written += [hashlib.sha256(x.encode()).hexdigest() for x in lines]
-                decoded += [hashlib.sha256(x).hexdigest() for x in coder.decode(ids)]
+            for ids, ends in coder.encode_column(b.column("text")):
+                n += np.diff(ends, prepend=0).tolist()
+                written += [hashlib.sha256(x).hexdigest() for x in coder.written(ids, ends)]
+                decoded += [hashlib.sha256(x).hexdigest() for x in coder.decoded(ids, ends)]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int64()), pa.array(written, pa.string()), pa.array(decoded, pa.string())], [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     fields = [T.StructField(id_col, d.schema["id"].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]

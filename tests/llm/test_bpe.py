@@ -27,7 +27,7 @@ def reference():
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.text(st.characters(codec="utf-8") | st.sampled_from(" \n\tabs'1é"), max_size=80), max_size=4))
+@given(st.lists(st.text(st.characters(codec="utf-8") | st.sampled_from(" \n\tabs'1é\u3000\xa0\u2003\x1f\x85"), max_size=80), max_size=4))
 def test_ids_as_the_library(coder, reference, texts):
     got = coder.encode(texts)
     assert [x.tolist() for x in got] == [reference.encode_ordinary(t) for t in texts]
@@ -39,6 +39,8 @@ def test_ids_as_the_library(coder, reference, texts):
 def test_long_words(coder, reference, text):
     assert coder.encode([text])[0].tolist() == reference.encode_ordinary(text)
     assert coder._heap(text.encode()).tolist() == coder._matrix([text.encode()], len(text.encode()))[0].tolist()
+    many = [text, "a", text[:40], " b" + text, "", "  " * 300, text[:40]]
+    assert [x.tolist() for x in coder.encode(many)] == [reference.encode_ordinary(t) for t in many]
 
 
 def test_round_trip(spark, reference):
