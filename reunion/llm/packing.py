@@ -21,6 +21,7 @@ result; extra columns are ignored.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -31,25 +32,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .common import map_batches, picked, worker_state
+from .segments import Memory, before_words
 
 TIERS = (2048, 1024, 512, 256)
 #: Tokens gathered before a round of packing; bounds a task's memory.
 ROUND_TOKENS = 4_000_000
 #: Tokens of one step group.
 STEP_TOKENS = 16 * 2048
-#: Segments kept in a worker's tokenizer memory before it starts anew.
-MEMORY = 600_000
 END = 1
 
 
 class Encoder:
-    """Ids by the tokenizer file, with a memory of segments.
+    """Ids by the tokenizer file, with a memory of distinct segments (:mod:`.segments`).
 
-    A space after a character that is no white space always starts a new pre-token, so a
-    text without doubled spaces is cut at its spaces and each distinct segment is encoded once.
-    New segments are encoded together, as one text, and its ids are dealt back by their byte
-    lengths; segments that end in white space, heads of texts and texts with doubled spaces
-    are encoded on their own.
+    A space after a character that is no white space always starts a new pre-token, so texts are cut there.
+    New segments are encoded together, as one text, and its ids are dealt back by their byte lengths;
+    segments that end in white space, heads of texts and segments that hold a special token are encoded on their own.
     """
 
     def __init__(self, path: str):
@@ -59,45 +57,43 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         self.n_bytes = np.zeros(self.tok.get_vocab_size(), np.int64)
         for token, i in self.tok.get_vocab().items():  # byte-level: a character stands for a byte
             self.n_bytes[i] = len(token)
-        self.tails: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}
-
-    def _alone(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)]
-
-    def _learn(self, tails: list[str]) -> None:
-        together = [x for x in tails if x and not x[-1:].isspace()]
-        alone = [x for x in tails if not x or x[-1:].isspace()]
-        self.tails.update(zip(alone, self._alone([" " + x for x in alone])))
-        if together:
-            ids = np.array(self.tok.encode(" " + " ".join(together), add_special_tokens=False).ids, "<u4")
-            ends = np.cumsum(np.fromiter((len(x.encode()) + 1 for x in together), np.int64, len(together)))
-            at = (np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1) * 4
-            flat, start = ids.tobytes(), 0
-            for x, end in zip(together, at.tolist()):
-                self.tails[x] = flat[start:end]
-                start = end
+        added = self.tok.get_added_tokens_decoder().values()
+        if any(t.lstrip or t.rstrip or t.single_word or " " in t.content for t in added):
+            raise ValueError("special tokens that take in their surroundings")
+        self.special = re.compile("|".join(re.escape(t.content) for t in added).encode()) if added else re.compile(b"(?!)")
+        self.memory = Memory(self._learn, before_words)
+
+    def _learn(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new segments one after the other, and where each one's end."""
+        text = [s.decode() for s in segments]
+        joined = np.array([t[0] == " " and not t[-1].isspace() for t in text], bool)
+        if self.special.search(b"".join(segments)):
+            joined &= [self.special.search(s) is None for s in segments]
+        size = np.zeros(len(text), np.int64)
+        together, alone = np.flatnonzero(joined).tolist(), np.flatnonzero(~joined).tolist()
+        each = [np.array(e.ids, np.uint32) for e in self.tok.encode_batch([text[k] for k in alone], add_special_tokens=False)]
+        size[alone] = list(map(len, each))
+        ids = np.array(self.tok.encode("".join([text[k] for k in together]), add_special_tokens=False).ids if together else [], np.uint32)
+        stop = np.cumsum([len(segments[k]) for k in together])
+        cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), stop) + 1
+        size[together] = np.diff(cuts, prepend=0)
+        ends = np.cumsum(size)
+        flat = np.empty(int(ends[-1]), np.uint32)
+        flat[np.repeat(joined, size)] = ids
+        flat[np.repeat(~joined, size)] = np.concatenate(each) if each else []
+        return flat, ends
+
+    def encode_column(self, column: pa.Array) -> Iterator[list[np.ndarray]]:
+        """Ids of each text of a column and the end id, some texts at a time."""
+        for ids, ends in self.memory.encode(column):
+            yield np.split(np.insert(ids, ends, END), (ends + np.arange(1, len(ends) + 1))[:-1]) if len(ends) else []
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """uint32 ids of each text."""
-        if len(self.tails) + len(self.heads) > MEMORY:
-            self.tails, self.heads = {}, {}
-        parts = [None if "  " in t else t.split(" ") for t in texts]
-        need: set[str] = set()
-        for p in parts:
-            if p is not None:
-                need.update(p[1:])
-        self._learn(sorted(need.difference(self.tails)))
-        heads = list({p[0] for p in parts if p is not None}.difference(self.heads))
-        self.heads.update(zip(heads, self._alone(heads)))
-        doubled = [t for t, p in zip(texts, parts) if p is None]
-        rest, tails = iter(self._alone(doubled)), self.tails.__getitem__
-        out = [next(rest) if p is None else self.heads[p[0]] + b"".join(map(tails, p[1:])) for p in parts]
-        return [np.frombuffer(b, "<u4") for b in out]
+        """uint32 ids of each text, without the end id."""
+        return [x[:-1] for part in self.encode_column(pa.array(texts, pa.string())) for x in part]
 
 
 class Packer:
@@ -215,7 +211,7 @@ def pack(
             for doc, start, n in pieces:
                 key, ids = held[doc]
                 cut = ids[start : start + n]
-                rows.append((key, start, n, zlib.crc32(cut.astype("<u4").tobytes()), len(ids), base + counter, at, size, base + g[0]))
+                rows.append((key, start, n, zlib.crc32(cut), len(ids), base + counter, at, size, base + g[0]))
                 if with_ids:
                     pieces_ids.append(cut)
                 at += n
@@ -235,17 +231,16 @@ def pack(
         packer, number, waiting, id_arrow = Packer(emit, tiers), 0, 0, pa.int64()
         for batch in batches:
             id_arrow = batch.schema.field("id").type
-            keys, texts = batch.column("id").to_pylist(), batch.column("text").to_pylist()
-            for s in range(0, len(keys), 200):
-                for key, ids in zip(keys[s : s + 200], enc.encode([t or "" for t in texts[s : s + 200]])):
-                    ids = np.append(ids, np.uint32(END))
-                    held[number] = (key, ids)
+            keys = iter(batch.column("id").to_pylist())
+            for part in enc.encode_column(batch.column("text")):
+                for ids in part:
+                    held[number] = (next(keys), ids)
                     packer.add(number, len(ids))
                     number += 1
                     waiting += len(ids)
                 if waiting >= ROUND_TOKENS:
                     packer.pack()
-                    held = {doc: held[doc] for _, doc, _ in packer.pool}
+                    held = {doc: (held[doc][0], held[doc][1].copy()) for _, doc, _ in packer.pool}  # copies let go of the other texts' ids
                     waiting = 0
                 if len(rows) >= 20_000:
                     yield out()

@@ -5,7 +5,10 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from reunion.llm.packing import Packer, pack
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from reunion.llm.packing import Encoder, Packer, pack
 
 from .util import odd_documents, odd_texts
 
@@ -29,7 +32,6 @@ def check_sequences(rows):
 
 def test_pieces_and_ids(spark):
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
     rows = pack(odd_documents(spark), PATH, with_ids=True).collect()
     check_sequences(rows)
     pieces = defaultdict(list)
@@ -80,3 +82,13 @@ def test_packer_places_every_token():
                 at += k
             assert at == n
         assert all(sum(n for _, _, n in pieces) == size for size, pieces in seqs)
+
+
+ENCODER, TOKENIZER = Encoder(PATH), Tokenizer.from_file(PATH)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a", " the", "ing", " ", "  ", "\n", "\t", "é", "\u3000", "\xa0", "\x1f", "<|endoftext|>", " <|endoftext|>", "<|end", "'s", "9", "日本"]), max_size=15).map("".join), max_size=4))
+def test_ids_are_the_library_s(texts):
+    """Also where a special token stands in a text."""
+    assert [x.tolist() for x in ENCODER.encode(texts)] == [e.ids for e in TOKENIZER.encode_batch(texts, add_special_tokens=False)]
