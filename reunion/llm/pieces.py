@@ -2,7 +2,7 @@
 
 White space is written as ``▁`` and a text starts with one. No piece of a merge vocabulary holds a ``▁`` behind another
 character, so no merge crosses the start of a ``▁`` run: a text is cut there, and each distinct segment
-is merged once and kept in a bounded memory of the worker. A segment starts as its characters. Its agenda
+is merged once and kept in a bounded memory of the worker (:mod:`.segments`). A segment starts as its characters. Its agenda
 holds the adjacent pairs whose joined text is a piece, best score first and leftmost among
 equals; the first pair is joined, and the two pairs that the new symbol makes go on the agenda. The agendas of
 the new segments of some texts lie in one flat array and give up their first pair at the same time, so a
@@ -20,8 +20,6 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,20 +28,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .bpe import NONE, PairTable
-from .common import map_batches, picked, texts, worker_state
+from .common import map_batches, picked, worker_state
+from .segments import Memory, before_spaces
 
 SPACE = "▁"
-#: Segments kept in a worker's memory before it starts anew.
-MEMORY = 500_000
-#: Texts encoded together.
-STRIP = 100
-#: Characters of a segment from which on it has a heap.
+#: Segments of more characters have a heap.
 LONG = 64
 #: Ids of characters that are no piece start here, by code point.
 OTHER = 1 << 24
 #: Bits of a place in a text in an agenda entry; the rank of the score stands above them.
 PLACE = 40
-_SEGMENT = re.compile(f"{SPACE}({SPACE}*[^{SPACE}]*)")
 
 
 class Pieces:
@@ -85,7 +79,7 @@ class Pieces:
         self.order = np.full(len(spec.pieces) + 1, NONE, np.int32)  # rank of a piece's score; the last for no piece
         for p, i in self.ids.items():
             self.order[i] = self.rank[p]
-        self.memory: dict[str, bytes] = {}
+        self.memory = Memory(self._learn, before_spaces)
 
     def merged(self, segment: str) -> list[str]:
         """The symbols of a segment when its agenda is empty."""
@@ -188,55 +182,49 @@ class Pieces:
             for c in np.unique(code).tolist():
                 ids = [self.bytes[b] for b in chr(c).encode()]
                 symbol[start[other[code == c]][:, None] + np.arange(len(ids))] = ids
-        return symbol.astype("<u4"), np.searchsorted(owner, np.arange(len(segments)), side="right")
-
-    def _learn(self, keys: list[str]) -> None:
-        """Ids of new segments; a key is the segment without its first ``▁``."""
-        short, long = (keys, []) if self.bytes is not None else ([], keys)
-        if short and len(max(short, key=len)) >= LONG:
-            short, long = [k for k in keys if len(k) < LONG], [k for k in keys if len(k) >= LONG]
-        flat, ends = self._agendas([SPACE + k for k in short])
-        whole, at = flat.tobytes(), (ends * 4).tolist()
-        found = [whole[a:b] for a, b in zip([0, *at], at)]
-        found += [array("I", self._numbers(self.merged(SPACE + k))).tobytes() for k in long]
-        keys = short + long
+        return symbol.astype(np.uint32), np.searchsorted(owner, np.arange(len(segments)), side="right")
+
+    def _learn(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new segments one after the other, and where each one's end."""
+        marked = [s.decode().replace(" ", SPACE) for s in segments]
+        flat, ends = self._agendas([m if len(m) <= LONG and self.bytes is not None else "" for m in marked])
+        long = [(k, m) for k, m in enumerate(marked) if len(m) > LONG or self.bytes is None]
+        if long:
+            parts = np.split(flat, ends[:-1])
+            for k, m in long:
+                parts[k] = np.array(self._numbers(self.merged(m)), np.uint32)
+            flat, ends = np.concatenate(parts), np.cumsum(list(map(len, parts)))
         if self.check:
-            self._checked(keys, found)
-        self.memory.update(zip(keys, found))
+            self._checked(marked, flat, ends)
+        return flat, ends
 
-    def _checked(self, keys: list[str], found: list[bytes]) -> None:
+    def _checked(self, marked: list[str], flat: np.ndarray, ends: np.ndarray) -> None:
         """Raise if the library gives these segments other ids: at once, as a text of them all, then one by one to name it."""
-        marks = [(k, f) for k, f in zip(keys, found) if not k.strip(SPACE)]  # these would run into the next segment
-        if marks:
-            both = [(k, f) for k, f in zip(keys, found) if k.strip(SPACE)]
-            keys, found = [k for k, _ in both], [f for _, f in both]
-        if np.array(self.library.encode(" ".join(keys)) if keys else [], "<u4").tobytes() != b"".join(found):
-            marks += zip(keys, found)
-        for key, ours in marks:
-            theirs = array("I", self.library.encode(key)).tobytes()
-            if ours != theirs and key:  # the library gives an empty text no mark
-                raise RuntimeError(f"the agenda gives {array('I', ours).tolist()} for {key!r}, the library {array('I', theirs).tolist()}")
-
-    def segments(self, text: str) -> list[str]:
-        """The keys of a text's segments in order."""
-        if not text:
-            return []
-        if "  " in text or SPACE in text or text[0] == " ":
-            return _SEGMENT.findall(SPACE + text.replace(" ", SPACE))
-        return text.split(" ")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Begin id, ids and end id of each text, as little-endian unsigned 32-bit integers."""
-        if len(self.memory) > MEMORY:
-            self.memory = {}
-        cut = [self.segments(t) for t in texts]
-        self._learn(list(set().union(*cut).difference(self.memory)))
-        get, first, last = self.memory.__getitem__, array("I", [self.begin]).tobytes(), array("I", [self.end]).tobytes()
-        return [b"".join([first, *map(get, c), last]) for c in cut]
-
-    def decode(self, ids: list[bytes]) -> list[str]:
+        ours = np.split(flat, ends[:-1])
+        alone = [(m, x) for m, x in zip(marked, ours) if not m.strip(SPACE)]  # these would run into the next segment
+        if alone:
+            both = [(m, x) for m, x in zip(marked, ours) if m.strip(SPACE)]
+            marked, ours = [m for m, _ in both], [x for _, x in both]
+            flat = np.concatenate(ours) if ours else flat[:0]
+        if not np.array_equal(np.array(self.library.encode("".join(marked)[1:]) if marked else [], np.uint32), flat):
+            alone += zip(marked, ours)
+        for m, x in alone:
+            theirs = self.library.encode(m[1:])
+            if x.tolist() != theirs and m != SPACE:  # the library gives an empty text no mark
+                raise RuntimeError(f"the agenda gives {x.tolist()} for {m!r}, the library {theirs}")
+
+    def encode_column(self, column: pa.Array) -> Iterator[list[np.ndarray]]:
+        """Begin id, ids and end id of each text of a column, some texts at a time."""
+        for ids, ends in self.memory.encode(column, b" "):
+            ids = np.insert(ids, np.r_[0, np.repeat(ends, 2)[:-1]], np.tile(np.array([self.begin, self.end], np.uint32), len(ends))) if len(ends) else ids
+            yield np.split(ids, (ends + 2 * np.arange(1, len(ends) + 1))[:-1])
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [x for part in self.encode_column(pa.array(texts, pa.string())) for x in part]
+
+    def decode(self, ids: list[np.ndarray]) -> list[str]:
         """The library's text of each id array."""
-        return self.library.decode([np.frombuffer(b, "<u4").tolist() for b in ids], num_threads=1) if ids else []
+        return self.library.decode([x.tolist() for x in ids], num_threads=1) if ids else []
 
 
 def _coder(path: str) -> Pieces:
@@ -250,8 +238,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(path)
         for b in batches:
-            ids = coder.encode(texts(b.column("text")))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([np.frombuffer(x, "<i4") for x in ids], pa.list_(pa.int32()))], [id_col, "ids"])
+            ids = [x.astype(np.int32) for part in coder.encode_column(b.column("text")) for x in part]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(ids, pa.list_(pa.int32()))], [id_col, "ids"])
 
     return map_batches(d, run, T.StructType([T.StructField(id_col, d.schema["id"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
@@ -264,7 +252,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
         coder = _coder(path)
         for b in batches:
             ids = b.column("ids").to_pylist()
-            out = coder.decode([np.array(x or [], "<u4").tobytes() for x in ids])
+            out = coder.decode([np.array(x or [], np.int64) for x in ids])
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([None if x is None else t for x, t in zip(ids, out)], pa.string())], [id_col, "text"])
 
     return map_batches(d, run, T.StructType([T.StructField(id_col, d.schema["id"].dataType), T.StructField("text", T.StringType())]))
@@ -277,12 +265,10 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(path)
         for b in batches:
-            every = texts(b.column("text"))
             n, digests, decoded = [], [], []
-            for s in range(0, len(every), STRIP):
-                ids = coder.encode(every[s : s + STRIP])
-                n += [len(x) // 4 for x in ids]
-                digests += [hashlib.sha256(x).hexdigest() for x in ids]
+            for ids in coder.encode_column(b.column("text")):
+                n += map(len, ids)
+                digests += [hashlib.sha256(x.astype("<u4", copy=False)).hexdigest() for x in ids]
                 decoded += [hashlib.sha256(x.encode()).hexdigest() for x in coder.decode(ids)]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())], [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
