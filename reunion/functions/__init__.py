@@ -1,15 +1,13 @@
 """Column functions: string similarity, agreement levels, Fellegi-Sunter probabilities."""
 
-from .levels import level_expr, level_sql, match_probability_expr, match_probability_sql, odds_sql
-from .similarity import as_unit, jaro_winkler, jaro_winkler_udf, register_jaro_winkler
+from .levels import distance_sql, level_sql, match_probability_sql, odds_sql
+from .similarity import jaro_winkler, jaro_winkler_udf, register_jaro_winkler
 
 __all__ = [
-    "as_unit",
+    "distance_sql",
     "jaro_winkler",
     "jaro_winkler_udf",
-    "level_expr",
     "level_sql",
-    "match_probability_expr",
     "match_probability_sql",
     "odds_sql",
     "register_jaro_winkler",

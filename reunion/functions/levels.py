@@ -11,12 +11,9 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
-
 from ..constants import JW_BOOST_THRESHOLD, JW_PREFIX_MAX, JW_PREFIX_SCALE, JW_ROUND_DIGITS, NULL_LEVEL
 from ..model import Comparison, Model
-from .similarity import check_unit, register_jaro_winkler
+from .similarity import check_unit
 
 # Entries of a tabulated product of factors; longer products are looked up in several tables.
 TABLE_ENTRIES = 4096
@@ -59,6 +56,45 @@ def edit_band_table(comp: Comparison) -> tuple[int, list[int]]:
     return bound, table
 
 
+def _furthest_sql(k: int) -> str:
+    """Edit distance of ``z.l`` and ``z.r`` (``z.n``, ``z.m`` long) up to ``k``, else -1, by the furthest-reaching points.
+
+    A diagonal d holds the places i of the left and i + d of the right value. With e edits the furthest i on each diagonal
+    follows from those with e - 1; equal text behind it costs nothing and is passed in steps of halving size. So the work is some
+    k * k comparisons of text, where a table of distances has a cell per pair of characters.
+    """
+    none = -(1 << 30)
+
+    def passed(i: str, d: str) -> str:
+        there = f"a >= 0 AND a + w <= z.n AND a + ({d}) + w <= z.m"
+        return f"aggregate(z.steps, CAST({i} AS INT), (a, w) -> IF({there} AND substr(z.l, a + 1, w) = substr(z.r, a + ({d}) + 1, w), a + w, a))"
+
+    every = f"sequence(0, {2 * k})"
+    start = f"transform({every}, x -> IF(x = {k}, {passed('0', '0')}, {none}))"
+    best = f"greatest(element_at(s.f, x + 1) + 1, IF(x > 0, element_at(s.f, greatest(x, 1)), {none}), IF(x < {2 * k}, element_at(s.f, least(x + 2, {2 * k + 1})) + 1, {none}))"
+    following = f"transform({every}, x -> {passed(f'least({best}, z.n, z.m - x + {k})', f'x - {k}')})"
+
+    def state(f: str, edits: str) -> str:
+        return f"element_at(transform(array({f}), g -> named_struct('f', g, 'd', IF(element_at(g, z.m - z.n + {k + 1}) >= z.n, {edits}, -1))), 1)"
+
+    rounds = f"aggregate(sequence(1, {k}), {state(start, '0')}, (s, e) -> IF(s.d >= 0, s, {state(following, 'e')}), s -> s.d)" if k else f"{state(start, '0')}.d"
+    return f"IF(abs(z.n - z.m) > {k}, -1, {rounds})"
+
+
+#: Values of more characters are compared along diagonals, not cell by cell.
+LONG_VALUE = 256
+
+
+def distance_sql(left: str, right: str, k: int, unit: str = "byte") -> str:
+    """Edit distance of two values up to ``k``, else -1 (SQL text); long values cost about their length, not its square."""
+    a, b = unit_sql(left, unit), unit_sql(right, unit)
+    steps = "transform(reverse(sequence(0, CAST(floor(log2(greatest(y.n, y.m, 1))) AS INT))), b -> shiftleft(1, b))"
+    sized = f"transform(array(named_struct('l', {a}, 'r', {b})), v -> named_struct('l', v.l, 'r', v.r, 'n', length(v.l), 'm', length(v.r)))"
+    stepped = f"transform({sized}, y -> named_struct('l', y.l, 'r', y.r, 'n', y.n, 'm', y.m, 'steps', {steps}))"
+    long = f"element_at(transform({stepped}, z -> {_furthest_sql(k)}), 1)"
+    return f"(CASE WHEN greatest(length({left}), length({right})) <= {LONG_VALUE} THEN levenshtein({a}, {b}, {k}) WHEN {left} IS NULL OR {right} IS NULL THEN NULL ELSE {long} END)"
+
+
 def level_sql(comp: Comparison, left: str, right: str, unit: str = "byte", jw_function: str | None = None) -> str:
     """Agreement level: -1 NULL, exact = n-1, fuzzy bands, 0 otherwise (SQL text).
 
@@ -74,7 +110,7 @@ def level_sql(comp: Comparison, left: str, right: str, unit: str = "byte", jw_fu
         bands = " ".join(f"WHEN {jw} >= {sql_double(t)} THEN {lvl}" for t, lvl in comp.band_levels())
         return f"CAST({head} {bands} ELSE 0 END AS INT)"
     bound, table = edit_band_table(comp)
-    dist = f"levenshtein({unit_sql(left, unit)}, {unit_sql(right, unit)}, {bound})"
+    dist = distance_sql(left, right, bound, unit)
     return f"CAST({head} ELSE element_at({sql_array(table, 'int')}, {dist} + 2) END AS INT)"
 
 
@@ -94,12 +130,6 @@ def jw_bound_sql(left: str, right: str) -> str:
     return f"element_at({boosted}, 1)"
 
 
-def level_expr(comp: Comparison, left: str, right: str, unit: str = "byte", spark: SparkSession | None = None) -> Column:
-    """Level of two columns (given by name) as a Column."""
-    jw = register_jaro_winkler(spark or SparkSession.getActiveSession(), unit) if comp.kind == "name" else None
-    return F.expr(level_sql(comp, q(left), q(right), unit, jw))
-
-
 def factor_sql(comp: Comparison, level: str) -> str:
     """Bayes factor m/u of a level (SQL); 1.0 for the NULL level."""
     return f"element_at({sql_array([1.0, *comp.factors], 'double')}, {level} + 2)"
@@ -145,8 +175,8 @@ def match_probability_sql(model: Model, levels: list[str]) -> str:
     """Pair probability from level expressions; reads every level once.
 
     The first table holds prior odds times factors, further ones products of factors. With one
-    table it holds the probabilities themselves; with several, odds / (1 + odds) is written as
-    1 - 1 / (1 + odds) over a one-element array, so the odds are computed once.
+    table it holds the probabilities themselves; with several, the odds are computed once, over a one-element array,
+    and odds beyond a double's range give 1.
     """
     runs, at, parts = _tables(model), 0, []
     for k, comps in enumerate(runs):
@@ -156,13 +186,8 @@ def match_probability_sql(model: Model, levels: list[str]) -> str:
         at += len(comps)
         values = _products(comps, float(model.prior_odds) if k == 0 else 1.0)
         if len(runs) == 1:
-            values = [o / (1.0 + o) for o in values]
+            values = [1.0 if o == float("inf") else o / (1.0 + o) for o in values]
         parts.append(f"element_at({sql_array(values, 'double')}, {idx} + 1)")
     if len(parts) == 1:
         return parts[0]
-    return f"element_at(transform(array({' * '.join(parts)}), o -> o / (1.0D + o)), 1)"
-
-
-def match_probability_expr(model: Model, levels: list[str]) -> Column:
-    """Pair probability of level columns (given by name) as a Column."""
-    return F.expr(match_probability_sql(model, [q(c) for c in levels]))
+    return f"element_at(transform(array({' * '.join(parts)}), o -> CASE WHEN o = double('Infinity') THEN 1.0D ELSE o / (1.0D + o) END), 1)"

@@ -33,13 +33,6 @@ def check_unit(unit: str) -> str:
     return unit
 
 
-def as_unit(col: Column, unit: str) -> Column:
-    """Make Spark's character-based string functions see one character per UTF-8 byte."""
-    if check_unit(unit) == "byte":
-        return F.decode(F.encode(col, "UTF-8"), "ISO-8859-1")
-    return col
-
-
 def jaro_winkler(a: str | bytes, b: str | bytes) -> float:
     """Jaro-Winkler similarity of two sequences (str: characters, bytes: bytes).
 

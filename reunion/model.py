@@ -97,12 +97,15 @@ class Model:
     trained: tuple[str, ...] = field(default=())
     #: Blocking rules: pairs that agree on all columns of one of them are compared. Empty: each compared column.
     blocking: tuple[tuple[str, ...], ...] = field(default=())
+    #: Further rules ``(column, edits)``: pairs whose values are at most so many edits apart are compared too.
+    near: tuple[tuple[str, int], ...] = field(default=())
 
     def __post_init__(self) -> None:
         rules = tuple((r,) if isinstance(r, str) else tuple(r) for r in self.blocking)
         if any(not r for r in rules):
             raise ValueError("a blocking rule needs at least one column")
         object.__setattr__(self, "blocking", rules)
+        object.__setattr__(self, "near", tuple((str(c), int(k)) for c, k in self.near))
         if not 0.0 < self.prior < 1.0:
             raise ValueError(f"prior must be in (0, 1), got {self.prior}")
         names = [c.column for c in self.comparisons]
@@ -121,7 +124,7 @@ class Model:
     @property
     def all_columns(self) -> list[str]:
         """Compared columns, then further columns of the blocking rules."""
-        return list(dict.fromkeys([*self.columns, *[c for r in self.rules for c in r]]))
+        return list(dict.fromkeys([*self.columns, *[c for r in self.rules for c in r], *[c for c, _ in self.near]]))
 
     def renamed(self, names: dict[str, str]) -> Model:
         """The same model over other column names."""
@@ -129,6 +132,7 @@ class Model:
             self,
             comparisons=tuple(replace(c, column=names[c.column]) for c in self.comparisons),
             blocking=tuple(tuple(names[c] for c in r) for r in self.rules),
+            near=tuple((names[c], k) for c, k in self.near),
         )
 
     @property
@@ -156,7 +160,7 @@ class Model:
     def to_json(self) -> str:
         return json.dumps(
             {"prior": self.prior, "comparisons": [c.to_dict() for c in self.comparisons], "trained": list(self.trained),
-             "blocking": [list(r) for r in self.blocking]},
+             "blocking": [list(r) for r in self.blocking], "near": [list(r) for r in self.near]},
             sort_keys=True,
         )
 
@@ -168,6 +172,7 @@ class Model:
             tuple(Comparison.from_dict(c) for c in d["comparisons"]),
             tuple(d.get("trained", ())),
             tuple(tuple(r) for r in d.get("blocking", ())),
+            tuple((c, int(k)) for c, k in d.get("near", ())),
         )
 
     @classmethod
@@ -195,7 +200,7 @@ class Model:
     )
 
     def to_dataframe(self, spark: SparkSession) -> DataFrame:
-        """One row per (column, level), one at position -1 with the prior, and one per column of blocking rule k at position -2 - k."""
+        """One row per (column, level), one at position -1 with the prior, and one per column of blocking rule k at position -2 - k; near rules follow, with the edits as level."""
         rows = [(-1, None, None, None, None, None, None, self.prior)]
         for pos, c in enumerate(self.comparisons):
             bands = dict((lvl, t) for t, lvl in c.band_levels())
@@ -203,6 +208,7 @@ class Model:
                 rows.append((pos, c.column, c.kind, lvl, bands.get(lvl), c.m[lvl], c.u[lvl], None))
         for k, rule in enumerate(self.blocking):
             rows += [(-2 - k, c, "block", i, None, None, None, None) for i, c in enumerate(rule)]
+        rows += [(-2 - len(self.blocking) - k, c, "near", edits, None, None, None, None) for k, (c, edits) in enumerate(self.near)]
         return spark.createDataFrame(rows, self.TABLE_SCHEMA)
 
     @classmethod
@@ -224,6 +230,7 @@ class Model:
                     tuple(r["u"] for r in levels),
                 )
             )
-        blocks = sorted({r["position"] for r in rows if r["position"] <= -2}, reverse=True)
+        blocks = sorted({r["position"] for r in rows if r["kind"] == "block"}, reverse=True)
         rules = tuple(tuple(r["column"] for r in rows if r["position"] == p) for p in blocks)
-        return cls(prior, tuple(comps), blocking=rules)
+        near = sorted((r for r in rows if r["kind"] == "near"), key=lambda r: -r["position"])
+        return cls(prior, tuple(comps), blocking=rules, near=tuple((r["column"], r["level"]) for r in near))

@@ -34,6 +34,11 @@ def level_sql(comp: Comparison, left: str, right: str) -> str:
     return f"{head} {bands} ELSE 0 END"
 
 
+def within_sql(left: str, right: str, edits: int) -> str:
+    """Whether two values are at most ``edits`` apart; lengths decide first."""
+    return f"(CASE WHEN abs(strlen({left}) - strlen({right})) > {edits} THEN false WHEN {left} = {right} THEN true ELSE levenshtein({left}, {right}) <= {edits} END)"
+
+
 def factor_sql(comp: Comparison, level: str) -> str:
     whens = " ".join(f"WHEN {i} THEN {dbl(f)}" for i, f in enumerate(comp.factors))
     return f"(CASE {level} WHEN -1 THEN {dbl(1.0)} {whens} END)"
@@ -69,6 +74,12 @@ def pipeline_ctes(
         rules.append(
             f"SELECT l.uid AS uid_l, r.uid AS uid_r, {k} AS rule, {carry} FROM slim l JOIN slim r ON {' AND '.join(conds)}"
         )
+    for k, (column, edits) in enumerate(model.near):
+        conds = ["l.uid < r.uid", within_sql(f"l.{qi(column)}", f"r.{qi(column)}", edits)]
+        conds += [f"l.{qi(w)} = r.{qi(w)}" for w in within]
+        conds += [f"NOT coalesce({' AND '.join(f'l.{qi(e)} = r.{qi(e)}' for e in [*early, *within])}, false)" for early in model.rules]
+        conds += [f"NOT coalesce({within_sql(f'l.{qi(c)}', f'r.{qi(c)}', n)}, false)" for c, n in model.near[:k]]
+        rules.append(f"SELECT l.uid AS uid_l, r.uid AS uid_r, {len(model.rules) + k} AS rule, {carry} FROM slim l JOIN slim r ON {' AND '.join(conds)}")
     level_cols = ", ".join(
         f"{level_sql(comp, qi(comp.column + '_l'), qi(comp.column + '_r'))} AS {qi(comp.column + '_level')}"
         for comp in model.comparisons

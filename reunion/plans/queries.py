@@ -17,10 +17,11 @@ from ..model import Model
 from ..operators.blocking import block_stats, candidate_pairs
 from ..operators.clusters import best_match_probability
 from ..operators.components import connected_components
+from ..operators.near import near_pairs, near_value_pairs
 from ..operators.scoring import compare_pairs, link_pairs, score_pairs
 from ..sources.fixtures import PLANTED_CUSTOMERS_SQL as PLANTED_SOURCE_SQL
 from ..sources.fixtures import WORKLOADS
-from .oracle import qi, rnd, with_pipeline
+from .oracle import qi, rnd, with_pipeline, within_sql
 from .resolve import resolve
 
 
@@ -62,7 +63,11 @@ class Workload:
         return resolve(self.rows(spark, sf_dir), model=self.model, threshold=t, id_col=self.id_col)
 
     def pairs(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return candidate_pairs(self.slim(spark, sf_dir), self.model.rules, carry=self.columns)
+        slim = self.slim(spark, sf_dir)
+        pairs = candidate_pairs(slim, self.model.rules, carry=self.columns)
+        for more in near_pairs(slim, self.model.near, self.model.rules, carry=self.columns):
+            pairs = pairs.unionByName(more)
+        return pairs
 
     def sql(self, body: str, threshold: float | None = None, extra_ctes: str = "") -> str:
         t = self.threshold if threshold is None else threshold
@@ -71,6 +76,7 @@ class Workload:
 
 PLANTED = Workload("planted", 0.5)
 DOCUMENTS = Workload("documents", 0.5)
+EDITED = Workload("edited", 0.5)
 PARTS = Workload("parts", 0.99)
 
 
@@ -120,7 +126,19 @@ def q_name_levels(spark, sf_dir):
 
 
 def q_edit_levels(spark, sf_dir):
-    return _levels(DOCUMENTS, spark, sf_dir).select("uid_l", "uid_r", *[f"{c}_level" for c in DOCUMENTS.columns])
+    return _levels(EDITED, spark, sf_dir).select("uid_l", "uid_r", *[f"{c}_level" for c in EDITED.columns])
+
+
+def q_near_texts(spark, sf_dir):
+    """All pairs of different texts (``documents`` and edited copies) at most two edits of bytes apart, each text named by its smallest id."""
+    return near_value_pairs(EDITED.rows(spark, sf_dir), "text", 2, id_col=EDITED.id_col)
+
+
+SQL_NEAR_TEXTS = f"""
+WITH src AS ({EDITED.source_sql}), t AS (SELECT min(doc_id) AS id, text FROM src GROUP BY text)
+SELECT least(l.id, r.id) AS a, greatest(l.id, r.id) AS b, CAST(levenshtein(l.text, r.text) AS INTEGER) AS distance
+FROM t l JOIN t r ON l.id < r.id AND {within_sql('l.text', 'r.text', 2)}
+"""
 
 
 def q_scored_pairs(spark, sf_dir):
@@ -133,15 +151,15 @@ def _links(w: Workload, spark, sf_dir) -> DataFrame:
 
 
 def q_linked_pairs(spark, sf_dir):
-    return _round_p(_links(DOCUMENTS, spark, sf_dir))
+    return _round_p(_links(EDITED, spark, sf_dir))
 
 
 def q_connected_components(spark, sf_dir):
-    return connected_components(_links(DOCUMENTS, spark, sf_dir))
+    return connected_components(_links(EDITED, spark, sf_dir))
 
 
 def q_best_match_probability(spark, sf_dir):
-    return _round_p(best_match_probability(_links(DOCUMENTS, spark, sf_dir)), "best")
+    return _round_p(best_match_probability(_links(EDITED, spark, sf_dir)), "best")
 
 
 # --- resolved relation and the query shapes over it -------------------------------
@@ -290,12 +308,13 @@ QUERIES: dict[str, Query] = {
         q_name_levels, _planted_sql("SELECT uid_l, uid_r, first_name_level, last_name_level FROM levels")
     ),
     "edit_levels": Query(
-        q_edit_levels, DOCUMENTS.sql("SELECT uid_l, uid_r, text_level, lang_level, source_level, n_chars_level FROM levels")
+        q_edit_levels, EDITED.sql("SELECT uid_l, uid_r, text_level, lang_level, source_level, n_chars_level FROM levels")
     ),
+    "near_texts": Query(q_near_texts, SQL_NEAR_TEXTS),
     "scored_pairs": Query(q_scored_pairs, _planted_sql(f"SELECT uid_l, uid_r, {rnd(PROB_COL)} AS {PROB_COL} FROM scored")),
-    "linked_pairs": Query(q_linked_pairs, DOCUMENTS.sql(f"SELECT uid_l, uid_r, {rnd(PROB_COL)} AS {PROB_COL} FROM links")),
-    "connected_components": Query(q_connected_components, DOCUMENTS.sql("SELECT node, root FROM comp")),
-    "best_match_probability": Query(q_best_match_probability, DOCUMENTS.sql(f"SELECT uid, {rnd('best')} AS best FROM best")),
+    "linked_pairs": Query(q_linked_pairs, EDITED.sql(f"SELECT uid_l, uid_r, {rnd(PROB_COL)} AS {PROB_COL} FROM links")),
+    "connected_components": Query(q_connected_components, EDITED.sql("SELECT node, root FROM comp")),
+    "best_match_probability": Query(q_best_match_probability, EDITED.sql(f"SELECT uid, {rnd('best')} AS best FROM best")),
     "resolve_planted": Query(_resolved_out(PLANTED), _resolved_sql(PLANTED)),
     "resolve_documents": Query(_resolved_out(DOCUMENTS), _resolved_sql(DOCUMENTS)),
     "resolve_parts": Query(_resolved_out(PARTS), _resolved_sql(PARTS)),

@@ -39,6 +39,7 @@ from ..model import Model
 from ..operators.blocking import DEFAULT_BLOCK_SPLIT, as_rules, block_maxima, candidate_pairs, rule_columns, stack_rules
 from ..operators.clusters import best_match_probability, dense_ids
 from ..operators.components import connected_components
+from ..operators.near import near_pairs
 from ..operators.scoring import compare_pairs, link_pairs, prune_unreachable, score_pairs
 from ..session import ensure_checkpoint_dir, materialize, traced
 
@@ -168,6 +169,8 @@ def resolve_labels(
     if on_stats is not None:
         on_stats(stats)
     pairs = candidate_pairs(profiles, rules, id_col="pid", within=within, carry=cols, block_split=block_split, maxima=maxima)
+    for more in near_pairs(profiles, model.near, rules, id_col="pid", within=within, carry=cols, unit=unit, block_split=block_split):
+        pairs = pairs.unionByName(more)
     pairs = prune_unreachable(pairs, model, t, unit=unit)
     scored = score_pairs(compare_pairs(pairs, model, unit=unit), model)
     seen = Observation()
@@ -177,7 +180,7 @@ def resolve_labels(
     best_inter = best_match_probability(links)
     p_self = self_pair_probability(model)
     # copies meet when some rule has all its values set
-    blocked = reduce(lambda a, b: a | b, [_all_set(r) for r in rules])
+    blocked = reduce(lambda a, b: a | b, [_all_set(r) for r in [*rules, *[(c,) for c, _ in model.near]]])
     self_linked = (F.col("n") >= 2) & blocked & _all_set(within) & (p_self >= F.lit(t))
     prof = (
         profiles.select("pid", *keys, self_linked.alias("self_linked"), p_self.alias("p_self"))

@@ -64,6 +64,8 @@ class KnownRecords:
 
     def __init__(self, known_df: DataFrame, model: Model, known_id: str, within: Sequence[str], unit: str, block_split: int | None):
         self.model, self.within, self.unit, self.split = model, list(within), unit, block_split
+        if model.near:
+            raise MatchError("rules of near values are for resolve; score new records with blocking rules")
         self.own, _, self.own_within = internal_model(model, within)
         self.stack = stack(known_df, model, known_id, within, unit)
         self.hot = hot_keys(self.stack, block_split, len(self.own.rules), "_s")

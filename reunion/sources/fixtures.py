@@ -110,7 +110,7 @@ UNION ALL SELECT k*3+2, f, concat(l, 'q'), CASE WHEN k % 14 = 0 THEN NULL ELSE s
 
 
 def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole documents with language, source and length: exact and near copies, non-ASCII text."""
+    """Whole documents with language, source and length: exact copies and texts a few edits apart, non-ASCII text."""
     return read_table(spark, sf_dir, "documents").selectExpr(
         "CAST(doc_id AS BIGINT) AS doc_id", "text", "lang", "source", "CAST(n_chars AS STRING) AS n_chars"
     )
@@ -120,7 +120,36 @@ DOCUMENT_TEXTS_SQL = """
 SELECT CAST(doc_id AS BIGINT) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents
 """
 
-# A model for them: whole texts by edit distance, pairs from equal texts, or equal length and language. Fixed values.
+
+
+def edited_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents and, of those of up to 3,000 characters, copies a few edits away: a letter put into the middle of every third, two characters taken out
+    of every fifth (not next to each other), the first replaced and one added at the end of every seventh. Ids are four times the document's, and 1 to 3 more for the copies."""
+    d = document_texts(spark, sf_dir).where("text IS NOT NULL")
+    long = d.where("length(text) BETWEEN 6 AND 3000").withColumn("h", F.expr("length(text) div 2"))
+    copies = [
+        ("doc_id % 3 = 0", 1, "concat(substr(text, 1, h), 'q', substr(text, h + 1))"),
+        ("doc_id % 5 = 0", 2, "concat(substr(text, 2, h - 1), substr(text, h + 2))"),
+        ("doc_id % 7 = 0", 3, "concat('Z', substr(text, 2), '!')"),
+    ]
+    out = d.selectExpr("doc_id * 4 AS doc_id", "text", "lang", "source", "n_chars")
+    for which, k, text in copies:
+        made = long.where(which).selectExpr(f"doc_id * 4 + {k} AS doc_id", f"{text} AS text", "lang", "source")
+        out = out.unionByName(made.selectExpr("doc_id", "text", "lang", "source", "CAST(length(text) AS STRING) AS n_chars"))
+    return out
+
+
+EDITED_DOCUMENTS_SQL = f"""
+WITH d AS (SELECT *, CAST(length(text) // 2 AS INTEGER) AS h FROM ({DOCUMENT_TEXTS_SQL}) WHERE text IS NOT NULL),
+made AS (
+  SELECT doc_id * 4 + 1 AS doc_id, concat(substr(text, 1, h), 'q', substr(text, h + 1)) AS text, lang, source FROM d WHERE doc_id % 3 = 0 AND length(text) BETWEEN 6 AND 3000
+  UNION ALL SELECT doc_id * 4 + 2, concat(substr(text, 2, h - 1), substr(text, h + 2)), lang, source FROM d WHERE doc_id % 5 = 0 AND length(text) BETWEEN 6 AND 3000
+  UNION ALL SELECT doc_id * 4 + 3, concat('Z', substr(text, 2), '!'), lang, source FROM d WHERE doc_id % 7 = 0 AND length(text) BETWEEN 6 AND 3000)
+SELECT doc_id * 4 AS doc_id, text, lang, source, n_chars FROM d
+UNION ALL SELECT doc_id, text, lang, source, CAST(length(text) AS VARCHAR) FROM made
+"""
+
+# A model for them: whole texts by edit distance, pairs from texts that are equal or at most two edits apart. Fixed values.
 DOCUMENT_MODEL = Model(
     0.001,
     (
@@ -129,7 +158,8 @@ DOCUMENT_MODEL = Model(
         Comparison("source", "edit", (1.0, 2.0), (0.5, 0.1, 0.1, 0.3), (0.7, 0.15, 0.1, 0.05)),
         Comparison("n_chars", "edit", (1.0, 2.0), (0.05, 0.1, 0.15, 0.7), (0.8, 0.1, 0.095, 0.005)),
     ),
-    blocking=(("text",), ("n_chars", "lang")),
+    blocking=(("text",),),
+    near=(("text", 2),),
 )
 
 # --- part attributes (from part) ----------------------------------------------
@@ -176,5 +206,6 @@ FROM customer
 WORKLOADS = {
     "planted": (planted_customers, PLANTED_CUSTOMERS_SQL, "record_id", Model.default(["first_name", "last_name", "email"])),
     "documents": (document_texts, DOCUMENT_TEXTS_SQL, "doc_id", DOCUMENT_MODEL),
+    "edited": (edited_documents, EDITED_DOCUMENTS_SQL, "doc_id", DOCUMENT_MODEL),
     "parts": (part_attributes, PART_ATTRIBUTES_SQL, "p_partkey", replace(Model.default(["name", "p_brand", "p_type"]), blocking=PART_BLOCKING)),
 }
