@@ -44,7 +44,6 @@ DEFAULT_WEIGHT_EXACT = 10.0
 # Training.
 TRAIN_PRIOR_RECALL = 0.7
 TRAIN_U_MAX_PAIRS = 1_000_000
-TRAIN_U_RECORDS = 200_000
 TRAIN_U_SEED = 1
 EM_MAX_ITERATIONS = 25
 EM_TOLERANCE = 1e-4

@@ -31,7 +31,7 @@ from ..session import release, write_table
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Edges that one partition contracts.
-PARTITION_EDGES = 2_000_000
+PARTITION_EDGES = 250_000
 
 
 def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

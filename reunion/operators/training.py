@@ -2,10 +2,10 @@
 
 T1  prior: pairs inside the blocks of the first column that has any, divided by the
     recall (0.7) and by all N(N-1)/2 pairs. One aggregate over all columns at once.
-T2  u: level frequencies among random pairs. Records are first thinned by a seeded hash, in the scan, to
-    about ``u_records`` (all of them, if fewer), then spread over hash buckets so that about
+T2  u: level frequencies among random pairs. All records are spread over seeded hash buckets so that about
     ``max_pairs`` pairs share a bucket; pairs come from an equi-join on the bucket (no cross
-    product). The sample is the same on every run, and only sampled records are shuffled.
+    product). Records alone in their bucket make no pair: a first join of ids and buckets leaves those that
+    do, so only their values are shuffled. The sample is the same on every run.
 T3  m: expectation-maximisation, one pass per column blocked on that column, training the
     *other* columns. Records with equal values are one profile, a pair of profiles weighs the
     product of their counts, so copies cost no pairs. All passes share one written table of counts
@@ -32,7 +32,6 @@ from ..constants import (
     PROBABILITY_FLOOR,
     TRAIN_PRIOR_RECALL,
     TRAIN_U_MAX_PAIRS,
-    TRAIN_U_RECORDS,
     TRAIN_U_SEED,
 )
 from ..functions.levels import q, sql_array, sql_double
@@ -84,18 +83,14 @@ def u_buckets(n_rows: int, max_pairs: int = TRAIN_U_MAX_PAIRS) -> int:
     return max(1, math.ceil(n_rows * (n_rows - 1) / 2 / max_pairs))
 
 
-def u_records(slim: DataFrame, n_rows: int, limit: int = TRAIN_U_RECORDS, seed: int = TRAIN_U_SEED) -> DataFrame:
-    """About ``limit`` of the ``n_rows`` records, chosen by a seeded md5 of the id; all of them if there are fewer."""
-    if n_rows <= limit:
-        return slim
-    return slim.where(f"pmod(CAST(conv(substr(md5(concat('{int(seed)}/', CAST(uid AS STRING))), 1, 15), 16, 10) AS BIGINT), {int(n_rows)}) < {int(limit)}")
-
-
 def u_sample_pairs(slim: DataFrame, buckets: int, seed: int = TRAIN_U_SEED) -> DataFrame:
     """Pairs ``uid_l < uid_r`` of records in the same seeded md5 bucket, with their values."""
     cols = [c for c in slim.columns if c != "uid"]
     bucket = f"pmod(CAST(conv(substr(md5(concat('{int(seed)}:', CAST(uid AS STRING))), 1, 15), 16, 10) AS BIGINT), {int(buckets)})"
     tagged = slim.selectExpr("*", f"{bucket} AS _bucket")
+    if buckets > 1:  # most buckets of many hold one record: drop these before any value moves
+        shared = slim.selectExpr(f"{bucket} AS _bucket").groupBy("_bucket").count().where("count > 1").select("_bucket")
+        tagged = tagged.join(shared, "_bucket", "left_semi").select(*[q(c) for c in slim.columns], "_bucket")
     joined = tagged.alias("l").join(tagged.alias("r"), F.expr("l._bucket = r._bucket AND l.uid < r.uid"))
     return joined.selectExpr(
         "l.uid AS uid_l", "r.uid AS uid_r", *[f"{side}.{q(c)} AS {q(c + '_' + side)}" for c in cols for side in ("l", "r")]
@@ -116,10 +111,9 @@ def level_frequencies(levels: DataFrame, model: Model) -> DataFrame:
 
 
 def estimate_u(slim: DataFrame, model: Model, *, n_rows: int, max_pairs: int = TRAIN_U_MAX_PAIRS,
-               seed: int = TRAIN_U_SEED, records: int = TRAIN_U_RECORDS, unit: str = "byte") -> tuple[dict[str, dict[int, float]], int]:
+               seed: int = TRAIN_U_SEED, unit: str = "byte") -> tuple[dict[str, dict[int, float]], int]:
     """u per column and observed level (share of the level among sampled pairs with both values set), and the most pairs used."""
-    sampled = u_records(slim, n_rows, records, seed)
-    pairs = u_sample_pairs(sampled, u_buckets(min(n_rows, records), max_pairs), seed)
+    pairs = u_sample_pairs(slim, u_buckets(n_rows, max_pairs), seed)
     with traced("train-u"):
         rows = level_frequencies(compare_pairs(pairs, model, unit=unit), model).collect()
     totals: dict[str, int] = {}
@@ -243,10 +237,10 @@ def _floor(x: float) -> float:
 
 
 def train_model(rows: DataFrame, model: Model, *, id_col: str, unit: str = "byte", max_pairs: int = TRAIN_U_MAX_PAIRS,
-                seed: int = TRAIN_U_SEED, u_records: int = TRAIN_U_RECORDS, iterations: int = EM_MAX_ITERATIONS) -> Model:
+                seed: int = TRAIN_U_SEED, iterations: int = EM_MAX_ITERATIONS) -> Model:
     """Train prior, u and m of ``model`` on ``rows``; untrained parts keep their values.
 
-    ``max_pairs``, ``u_records`` and ``seed`` set the random pairs that u is counted on, ``iterations`` bounds
+    ``max_pairs`` and ``seed`` set the random pairs that u is counted on, ``iterations`` bounds
     the EM. The result's ``trained`` says what was learned, from how many pairs, and whether EM converged.
     """
     from pyspark import StorageLevel
@@ -259,7 +253,7 @@ def train_model(rows: DataFrame, model: Model, *, id_col: str, unit: str = "byte
         if prior is not None:
             model = model.with_prior(prior[0])
             trained.append(f"prior:{prior[1]}")
-        u, pairs = estimate_u(slim, model, n_rows=n_rows, max_pairs=max_pairs, seed=seed, records=u_records, unit=unit)
+        u, pairs = estimate_u(slim, model, n_rows=n_rows, max_pairs=max_pairs, seed=seed, unit=unit)
         comps = []
         for c in model.comparisons:
             cu = u.get(c.column)

@@ -369,7 +369,7 @@ QUERIES: dict[str, Query] = {
 
 # --- training ---------------------------------------------------------------------
 
-from ..constants import TRAIN_PRIOR_RECALL, TRAIN_U_MAX_PAIRS, TRAIN_U_RECORDS, TRAIN_U_SEED  # noqa: E402
+from ..constants import TRAIN_PRIOR_RECALL, TRAIN_U_MAX_PAIRS, TRAIN_U_SEED  # noqa: E402
 from ..operators import training as T  # noqa: E402
 
 
@@ -399,7 +399,7 @@ def q_train_u(spark, sf_dir):
     w = PLANTED
     slim = T._slim(w.rows(spark, sf_dir), w.columns, w.id_col)
     n = slim.count()
-    pairs = T.u_sample_pairs(T.u_records(slim, n), T.u_buckets(min(n, TRAIN_U_RECORDS)))
+    pairs = T.u_sample_pairs(slim, T.u_buckets(n))
     freq = T.level_frequencies(compare_pairs(pairs, w.model), w.model)
     return freq.selectExpr(
         "column", "level", f"round(n / sum(n) OVER (PARTITION BY column), {RESULT_ROUND_DIGITS}) AS u"
@@ -545,6 +545,34 @@ QUERIES["score_new_records"] = Query(
 )
 
 
+def q_score_stream(spark, sf_dir):
+    """The same scores from a stream over the customer files, written exactly once and read back."""
+    from ..sources.fixtures import as_new_customers
+    from ..sources.tables import stream_table
+    from ..session import scratch_folder
+    from ..streaming.score import score_stream_to
+
+    w = PLANTED
+    folder = scratch_folder(spark, "stream")
+    query = score_stream_to(
+        as_new_customers(stream_table(spark, sf_dir, "customer")), w.rows(spark, sf_dir), w.model, f"{folder}/out",
+        new_id="new_id", known_id=w.id_col, checkpoint_location=f"{folder}/checkpoint", trigger={"availableNow": True},
+    )
+    query.awaitTermination()
+    return _round_p(spark.read.parquet(f"{folder}/out").drop("batch"))
+
+
+QUERIES["score_stream"] = Query(q_score_stream, QUERIES["score_new_records"].sql)
+
+
+def q_components_rounds(spark, sf_dir):
+    """Components of the linked texts in partitions of 50 edges, so that star rounds run."""
+    return connected_components(_links(EDITED, spark, sf_dir), partition_edges=50)
+
+
+QUERIES["components_rounds"] = Query(q_components_rounds, QUERIES["connected_components"].sql)
+
+
 # --- SQL twins of trained results -------------------------------------------------
 
 from .oracle_training import training_ctes  # noqa: E402

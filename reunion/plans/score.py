@@ -88,10 +88,10 @@ class KnownRecords:
 
     def links(self, new_stack: DataFrame, threshold: float) -> DataFrame:
         """``(uid_l, uid_r, match_probability)``: new and known records at or above the threshold, each pair once."""
-        if self.laid is not None:
-            known, new_hot = self.laid, None
-        else:
-            new_hot = hot_keys(new_stack, self.split, len(self.own.rules), "_s")
+        new_hot = hot_keys(new_stack, self.split, len(self.own.rules), "_s")
+        if self.laid is not None and new_hot is None:
+            known = self.laid
+        else:  # hot blocks of the new side: the known side is copied over their buckets
             known = salted(self.stack, self.hot, new_hot, "_kb", "_nb")
         new = salted(new_stack, new_hot, self.hot, "_nb", "_kb")
         cond = [f"l.{k} = r.{k}" for k in ("rule", "key", "_kb", "_nb")] + agree_sql(self.own.rules, self.own_within)

@@ -15,8 +15,8 @@ _written: dict[str, list[str]] = {}  # session -> folders that it wrote and that
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's shared scratch folder: ``spark.checkpoint.dir``, else a sub-folder of its warehouse.
 
-    On a cluster both are folders that all executors share; nothing is ever put in a
-    machine's own temporary folder.
+    Both must be folders that all executors share: on a cluster (a master that isn't local) a warehouse in
+    the driver's own file system raises, unless the checkpoint folder is set.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -24,7 +24,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{FALLBACK}"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if not sc.master.startswith("local") and warehouse.split(":", 1)[0] in ("file", warehouse):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share; the warehouse {warehouse} may be the driver's own")
+        base = f"{warehouse.rstrip('/')}/{FALLBACK}"
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir() or base
 
@@ -77,6 +80,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """The path of a new folder in the shared scratch folder, deleted by :func:`release`."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/reunion-{label}-{uuid.uuid4().hex}"
+    _written.setdefault(_session_key(spark), []).append(path)
+    return path
+
+
 def write_table(df: DataFrame, label: str = "stage", codec: str = "snappy") -> tuple[DataFrame, str]:
     """Write ``df`` as parquet into the shared scratch folder: the table read back, and its folder.
 
@@ -84,10 +94,9 @@ def write_table(df: DataFrame, label: str = "stage", codec: str = "snappy") -> t
     readers from real sizes.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/reunion-{label}-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, label)
     with traced(label):
         df.write.mode("error").option("compression", codec).parquet(path)
-    _written.setdefault(_session_key(spark), []).append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -184,7 +184,12 @@ PART_BLOCKING = (("name", "p_brand"), ("name", "p_type"), ("p_brand", "p_type"))
 
 def new_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One new record per customer with a changed last letter of the first name (true entity kept)."""
-    return read_table(spark, sf_dir, "customer").selectExpr(
+    return as_new_customers(read_table(spark, sf_dir, "customer"))
+
+
+def as_new_customers(customer: DataFrame) -> DataFrame:
+    """:func:`new_customers` of any customer table, a stream too."""
+    return customer.selectExpr(
         "CAST(c_custkey AS BIGINT) AS new_id",
         "concat(substr(md5(concat('f', CAST(c_custkey AS STRING))), 1, 5), 'y') AS first_name",
         "substr(md5(concat('l', CAST(c_custkey % 997 AS STRING))), 1, 7) AS last_name",

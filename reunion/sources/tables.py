@@ -32,6 +32,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str, files: int = 1) -> DataFrame:
+    """The files of a table as a stream, ``files`` of them a batch."""
+    schema = read_table(spark, sf_dir, name).schema
+    # as a pattern, so that a table of one file will do as well as a folder
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(os.path.join(sf_dir, f"{name}.parque[t]"))
+
+
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Register tables as temp views under their own names, for SQL use."""
     for n in names:

@@ -1,5 +1,5 @@
 """Structured Streaming entry points."""
 
-from .score import score_stream
+from .score import score_stream, score_stream_to
 
-__all__ = ["score_stream"]
+__all__ = ["score_stream", "score_stream_to"]

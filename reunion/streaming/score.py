@@ -56,6 +56,21 @@ def score_stream(
     return query
 
 
+def score_stream_to(
+    stream_df: DataFrame, known_df: DataFrame, model: Model | str, path: str, *, new_id: str, known_id: str, checkpoint_location: str, **options
+) -> StreamingQuery:
+    """:func:`score_stream` into a Parquet table, each batch exactly once.
+
+    A batch has a folder of its own, ``batch=<epoch>``. A batch that is run again after a failure has the same rows
+    (the checkpoint fixes its files) and replaces its folder, so nothing is lost or doubled.
+    """
+
+    def sink(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={epoch_id}")
+
+    return score_stream(stream_df, known_df, model, new_id=new_id, known_id=known_id, sink=sink, checkpoint_location=checkpoint_location, **options)
+
+
 def _release(query: StreamingQuery, known: KnownRecords) -> None:
     """Let go of the known side when the stream has ended, well or not."""
     try:

@@ -111,3 +111,16 @@ def test_jaro_winkler_in_matrices(pairs):
                 assert np.isnan(x)
             else:
                 assert x == (jaro_winkler(a.encode(), b.encode()) if encode else jaro_winkler(a, b))
+
+
+def test_registered_rounds_run(spark, monkeypatch):
+    """The registered query takes several star rounds and gives what one partition gives."""
+    from reunion.operators import components
+    from reunion.plans.queries import QUERIES
+
+    rounds = []
+    star_round = components.star_round
+    monkeypatch.setattr(components, "star_round", lambda e: rounds.append(1) or star_round(e))
+    got = sorted(map(tuple, QUERIES["components_rounds"].spark(spark, "/root/testdata/sf0.01").collect()))
+    assert len(rounds) >= 2
+    assert got == sorted(map(tuple, QUERIES["connected_components"].spark(spark, "/root/testdata/sf0.01").collect()))

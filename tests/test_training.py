@@ -118,7 +118,7 @@ def test_copies_train_without_all_their_pairs(spark):
     same = sum(v.count(x) * (v.count(x) - 1) // 2 for v in by.values() for x in set(v))
     every = sum(len(v) * (len(v) - 1) // 2 for v in by.values())
     assert got[3] == same and sum(got.values()) == every
-    model = T.trained_model(df, ["name", "email"], id_col="uid", u_records=500, max_pairs=2000, iterations=3)
+    model = T.trained_model(df, ["name", "email"], id_col="uid", max_pairs=2000, iterations=3)
     assert any(t.startswith("u-pairs:") and 500 < int(t[8:]) < 6000 for t in model.trained)
     assert any("not converged" in t or "iterations" in t for t in model.trained)
 
