@@ -139,3 +139,19 @@ def _star_forest(e: DataFrame, partition_edges: int, count: int | None) -> DataF
         count, state = now[0], now
         e, read = star_round(e)
         folders += read
+
+
+def extend_components(kept: DataFrame, links: DataFrame, src: str = "uid_l", dst: str = "uid_r", *, partition_edges: int = PARTITION_EDGES) -> DataFrame:
+    """``(node, root)`` of kept components after new links: what ``connected_components`` of all links would give.
+
+    ``kept`` lists every node that was ever on a link, with the smallest node of its component. New links are moved to the roots
+    of their ends, and only these are connected: the old links are not read again, and a batch costs what it brings plus
+    one pass over the kept nodes.
+    """
+    by = kept.select("node", "root")
+    ends = links.select(F.col(src).alias("x"), F.col(dst).alias("y"))
+    ends = ends.join(by.selectExpr("node AS x", "root AS rx"), "x", "left").join(by.selectExpr("node AS y", "root AS ry"), "y", "left")
+    moved = ends.selectExpr("coalesce(rx, x) AS uid_l", "coalesce(ry, y) AS uid_r")
+    merged, _ = write_table(connected_components(moved, partition_edges=partition_edges), "cc-merged")
+    old = by.join(merged.selectExpr("node AS root", "root AS top"), "root", "left").selectExpr("node", "coalesce(top, root) AS root")
+    return old.unionByName(merged.join(by.select("node"), "node", "left_anti").select("node", "root"))

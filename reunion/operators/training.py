@@ -2,6 +2,8 @@
 
 T1  prior: pairs inside the blocks of the first column that has any, divided by the
     recall (0.7) and by all N(N-1)/2 pairs. One aggregate over all columns at once.
+    Or, for rules of several columns, the pairs of their union by inclusion and exclusion: one aggregate over the
+    sets of columns that rules share, no pair is made.
 T2  u: level frequencies among random pairs. All records are spread over seeded hash buckets so that about
     ``max_pairs`` pairs share a bucket; pairs come from an equi-join on the bucket (no cross
     product). Records alone in their bucket make no pair: a first join of ids and buckets leaves those that
@@ -20,6 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import replace
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +40,7 @@ from ..constants import (
 from ..functions.levels import q, sql_array, sql_double
 from ..model import Comparison, Model
 from ..session import release, traced, write_table
-from .blocking import DEFAULT_BLOCK_SPLIT, candidate_pairs, stack_rules
+from .blocking import DEFAULT_BLOCK_SPLIT, Rules, as_rules, candidate_pairs, rule_columns, stack_rules
 from .scoring import compare_pairs, level_col
 
 
@@ -61,6 +64,57 @@ def block_pair_counts(slim: DataFrame, columns: Sequence[str]) -> DataFrame:
     return per_rule.unionByName(total)
 
 
+#: Rules whose union is counted; a record has a row for each distinct set of columns that some of them make up.
+MAX_UNION_RULES = 8
+
+
+def signed_column_sets(rules: Rules) -> dict[tuple[str, ...], int]:
+    """Column sets and the factors with which their pair counts add up to the pairs of the rules' union.
+
+    Records agree on several rules when they agree on all their columns, so sets of rules with the same columns fall together.
+    """
+    rules = list(dict.fromkeys(tuple(sorted(set(r))) for r in as_rules(rules)))
+    if not rules or len(rules) > MAX_UNION_RULES:
+        raise ValueError(f"between 1 and {MAX_UNION_RULES} different rules, got {len(rules)}")
+    out: dict[tuple[str, ...], int] = {}
+    for k in range(1, len(rules) + 1):
+        for some in combinations(rules, k):
+            columns = tuple(sorted(set().union(*some)))
+            out[columns] = out.get(columns, 0) + (1 if k % 2 else -1)
+    return {c: n for c, n in out.items() if n}
+
+
+def union_pair_counts(slim: DataFrame, rules: Rules) -> DataFrame:
+    """``(records, pairs)``, decimals: records, and pairs of records that agree on all columns of at least one rule, each once.
+
+    A record without a value in a column agrees with none on it. Keys are 128 bits of hash; counts combine map-side, so a hot
+    key is a few rows.
+    """
+    sets = signed_column_sets(rules)
+    entries = []
+    for k, (columns, sign) in enumerate(sets.items()):
+        values = ", ".join(f"CAST({q(c)} AS STRING)" for c in columns)
+        both = f"named_struct('sign', {sign}, 'k1', xxhash64({k}, {values}), 'k2', xxhash64({values}, {k}, 'b'))"
+        entries.append(f"CASE WHEN {' AND '.join(f'{q(c)} IS NOT NULL' for c in columns)} THEN {both} END")
+    keyed = slim.selectExpr(f"explode(array({', '.join(entries)})) AS e").where("e IS NOT NULL").select("e.*")
+    n = "CAST(n AS DECIMAL(19, 0))"
+    per_key = keyed.groupBy("sign", "k1", "k2").agg(F.count(F.lit(1)).alias("n"))
+    pairs = per_key.selectExpr("CAST(0 AS DECIMAL(38, 0)) AS r", f"CAST(sign * {n} * ({n} - 1) / 2 AS DECIMAL(38, 0)) AS p")
+    records = slim.selectExpr("CAST(1 AS DECIMAL(38, 0)) AS r", "CAST(0 AS DECIMAL(38, 0)) AS p")
+    total = pairs.unionByName(records).agg(F.sum("r").alias("r"), F.sum("p").alias("p"))
+    return total.selectExpr("coalesce(r, 0) AS records", "coalesce(p, 0) AS pairs")
+
+
+def estimate_prior_of_rules(slim: DataFrame, rules: Rules, recall: float = TRAIN_PRIOR_RECALL) -> float | None:
+    """Prior from the pairs of the union of the rules, or None when they make no pair."""
+    with traced("train-prior-rules"):
+        found = union_pair_counts(slim, rules).collect()[0]
+    n, pairs = int(found["records"]), int(found["pairs"])
+    if not pairs:
+        return None
+    return min(max(pairs / recall / (n * (n - 1) / 2), PROBABILITY_FLOOR), 1.0 - PROBABILITY_FLOOR)
+
+
 def estimate_prior(slim: DataFrame, columns: Sequence[str], recall: float = TRAIN_PRIOR_RECALL) -> tuple[float, str] | None:
     """Prior and the column it came from, or None when no column has a pair."""
     with traced("train-prior"):
@@ -237,18 +291,23 @@ def _floor(x: float) -> float:
 
 
 def train_model(rows: DataFrame, model: Model, *, id_col: str, unit: str = "byte", max_pairs: int = TRAIN_U_MAX_PAIRS,
-                seed: int = TRAIN_U_SEED, iterations: int = EM_MAX_ITERATIONS) -> Model:
+                seed: int = TRAIN_U_SEED, iterations: int = EM_MAX_ITERATIONS, prior_rules: Rules = ()) -> Model:
     """Train prior, u and m of ``model`` on ``rows``; untrained parts keep their values.
 
     ``max_pairs`` and ``seed`` set the random pairs that u is counted on, ``iterations`` bounds
-    the EM. The result's ``trained`` says what was learned, from how many pairs, and whether EM converged.
+    the EM. With ``prior_rules`` the prior comes from the union of these rules (of columns of ``rows``), not from the
+    first column that has a pair. The result's ``trained`` says what was learned, from how many pairs, and whether EM converged.
     """
     from pyspark import StorageLevel
 
     slim = _slim(rows, model.columns, id_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         trained: list[str] = []
-        prior = estimate_prior(slim, model.columns)
+        if prior_rules:
+            of_rules = estimate_prior_of_rules(rows.select(*[q(c) for c in rule_columns(prior_rules)]), prior_rules)
+            prior = None if of_rules is None else (of_rules, "rules")
+        else:
+            prior = estimate_prior(slim, model.columns)
         n_rows = slim.count()
         if prior is not None:
             model = model.with_prior(prior[0])

@@ -694,3 +694,7 @@ QUERIES.update(
         "resolved_view": Query(q_resolved_view, _planted_sql("SELECT count(DISTINCT cluster_id) AS entities, count(*) AS records FROM resolved")),
     }
 )
+
+from .queries_links import LINK_QUERIES  # noqa: E402
+
+QUERIES.update(LINK_QUERIES)

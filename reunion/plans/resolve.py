@@ -130,6 +130,29 @@ def _all_set(cols: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]) if cols else F.lit(True)
 
 
+def profile_states(
+    profiles: DataFrame, comps: DataFrame, best: DataFrame, model: Model, threshold: float, within: Sequence[str], keep: Sequence[str]
+) -> DataFrame:
+    """``(pid, keep..., shared, proot, pbest)`` of profiles ``(pid, n, values...)``: whether the copies of a profile are one entity,
+    its component's root and its best probability (NULL without any link). ``comps`` is ``(node, root)``, ``best`` ``(uid, best)``."""
+    p_self = self_pair_probability(model)
+    # copies meet when some rule has all its values set
+    blocked = reduce(lambda a, b: a | b, [_all_set(r) for r in [*model.rules, *[(c,) for c, _ in model.near]]])
+    self_linked = (F.col("n") >= 2) & blocked & _all_set(within) & (p_self >= F.lit(threshold))
+    return (
+        profiles.select("pid", *keep, self_linked.alias("self_linked"), p_self.alias("p_self"))
+        .join(comps.withColumnRenamed("node", "pid"), "pid", "left")
+        .join(best.withColumnRenamed("uid", "pid"), "pid", "left")
+        .select(
+            "pid",
+            *keep,
+            (F.col("root").isNotNull() | F.col("self_linked")).alias("shared"),
+            F.coalesce(F.col("root"), F.col("pid")).alias("proot"),
+            F.greatest(F.col("best"), F.when(F.col("self_linked"), F.col("p_self"))).alias("pbest"),
+        )
+    )
+
+
 def resolve_labels(
     slim: DataFrame,
     model: Model,
@@ -177,23 +200,7 @@ def resolve_labels(
     links = materialize(link_pairs(scored, t).select("uid_l", "uid_r", PROB_COL).observe(seen, F.count(F.lit(1)).alias("n")), "links")
 
     comps = connected_components(links, count=int(seen.get["n"]))
-    best_inter = best_match_probability(links)
-    p_self = self_pair_probability(model)
-    # copies meet when some rule has all its values set
-    blocked = reduce(lambda a, b: a | b, [_all_set(r) for r in [*rules, *[(c,) for c, _ in model.near]]])
-    self_linked = (F.col("n") >= 2) & blocked & _all_set(within) & (p_self >= F.lit(t))
-    prof = (
-        profiles.select("pid", *keys, self_linked.alias("self_linked"), p_self.alias("p_self"))
-        .join(comps.withColumnRenamed("node", "pid"), "pid", "left")
-        .join(best_inter.withColumnRenamed("uid", "pid"), "pid", "left")
-        .select(
-            "pid",
-            *keys,
-            (F.col("root").isNotNull() | F.col("self_linked")).alias("shared"),
-            F.coalesce(F.col("root"), F.col("pid")).alias("proot"),
-            F.greatest(F.col("best"), F.when(F.col("self_linked"), F.col("p_self"))).alias("pbest"),
-        )
-    )
+    prof = profile_states(profiles, comps, best_match_probability(links), model, t, within, keys)
     if largest_profile <= 1:
         # no exact copies: every profile is one record and pid is its uid
         return prof.select(

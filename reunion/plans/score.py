@@ -17,6 +17,7 @@ from ..constants import DEFAULT_THRESHOLD, PROB_COL
 from ..errors import MatchError
 from ..model import Model
 from ..operators.blocking import DEFAULT_BLOCK_SPLIT, agree_sql, block_maxima, rule_columns, stack_rules
+from ..operators.matching import TASK_LINKS, one_to_one
 from ..operators.scoring import compare_pairs, link_pairs, prune_unreachable, score_pairs
 from .resolve import check_inputs, internal_model, positional, read_model, require_columns, slim_rows
 
@@ -107,6 +108,44 @@ def best_matches(links: DataFrame) -> DataFrame:
     return best.selectExpr("uid_l AS uid", f"b.id AS {MATCH_ID}", f"-b.np AS {PROB_COL}")
 
 
+def _joined(new_df: DataFrame, found: DataFrame, new_id: str) -> DataFrame:
+    """Every new row plus what was found for it; columns named like the two results are replaced."""
+    given = list(new_df.columns)
+    if new_id not in given:
+        raise MatchError(f"id column not found in input relation: {new_id}")
+    rows = positional(new_df)
+    keep = [i for i, c in enumerate(given) if c.lower() not in (MATCH_ID, PROB_COL)]
+    out = rows.join(found, rows[f"p{given.index(new_id)}"] == found["uid"], "left").select(*[f"p{i}" for i in keep], MATCH_ID, PROB_COL)
+    return out.toDF(*[given[i] for i in keep], MATCH_ID, PROB_COL)
+
+
+def match_records(
+    new_df: DataFrame,
+    known_df: DataFrame,
+    model: Model | str | dict,
+    *,
+    new_id: str,
+    known_id: str,
+    threshold: float = DEFAULT_THRESHOLD,
+    unit: str = "byte",
+    within: Sequence[str] = (),
+    block_split: int | None = DEFAULT_BLOCK_SPLIT,
+    check_ids: bool = True,
+    task_links: int = TASK_LINKS,
+) -> DataFrame:
+    """Like :func:`score_records`, but one to one: a known record is the match of one new record at most.
+
+    Links at or above the threshold are matched greedily, by probability, then new and known id.
+    """
+    model = read_model(model, new_df.sparkSession)
+    needed = [*model.all_columns, *within]
+    check_inputs(new_df, needed, threshold, new_id, check_ids)
+    check_inputs(known_df, needed, threshold, known_id, check_ids)
+    links = KnownRecords(known_df, model, known_id, within, unit, block_split).links(stack(new_df, model, new_id, within, unit), threshold)
+    found = one_to_one(links, task_links=task_links).selectExpr("uid_l AS uid", f"uid_r AS {MATCH_ID}", PROB_COL)
+    return _joined(new_df, found, new_id)
+
+
 def score_records(
     new_df: DataFrame,
     known_df: DataFrame | None,
@@ -135,10 +174,4 @@ def score_records(
     else:
         require_columns(new_df, needed)
     best = best_matches(known.links(stack(new_df, model, new_id, within, unit), threshold))
-    given = list(new_df.columns)
-    if new_id not in given:
-        raise MatchError(f"id column not found in input relation: {new_id}")
-    rows = positional(new_df)
-    keep = [i for i, c in enumerate(given) if c.lower() not in (MATCH_ID, PROB_COL)]
-    out = rows.join(best, rows[f"p{given.index(new_id)}"] == best["uid"], "left").select(*[f"p{i}" for i in keep], MATCH_ID, PROB_COL)
-    return out.toDF(*[given[i] for i in keep], MATCH_ID, PROB_COL)
+    return _joined(new_df, best, new_id)
