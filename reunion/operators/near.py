@@ -96,12 +96,16 @@ class NearValues:
         return self._digests.join(self.values.select("digest", "vid"), "digest").select("uid", "vid")
 
 
+def value_distances(near: NearValues, rows: DataFrame, id_col: str = "uid") -> DataFrame:
+    """``(a, b, distance)`` of the candidates that are within the edits; ``rows`` are those that ``near`` was made of."""
+    text = rows.selectExpr(f"{q(id_col)} AS uid", f"CAST({q(near.column)} AS STRING) AS t")
+    pairs = near.candidates.join(text.select(F.col("uid").alias("a"), F.col("t").alias("s")), "a").join(text.select(F.col("uid").alias("b"), "t"), "b")
+    return pairs.selectExpr("a", "b", f"{distance_sql('s', 't', near.edits, near.unit)} AS distance").where("distance >= 0")
+
+
 def near_value_pairs(rows: DataFrame, column: str, edits: int, *, id_col: str = "uid", unit: str = "byte", block_split: int | None = DEFAULT_BLOCK_SPLIT) -> DataFrame:
     """``(a, b, distance)``: all pairs of different values at most ``edits`` apart, each value named by its smallest id."""
-    near = NearValues(rows, column, edits, id_col=id_col, unit=unit, block_split=block_split)
-    text = rows.selectExpr(f"{q(id_col)} AS uid", f"CAST({q(column)} AS STRING) AS t")
-    pairs = near.candidates.join(text.select(F.col("uid").alias("a"), F.col("t").alias("s")), "a").join(text.select(F.col("uid").alias("b"), "t"), "b")
-    return pairs.selectExpr("a", "b", f"{distance_sql('s', 't', edits, unit)} AS distance").where("distance >= 0")
+    return value_distances(NearValues(rows, column, edits, id_col=id_col, unit=unit, block_split=block_split), rows, id_col)
 
 
 def near_pairs(

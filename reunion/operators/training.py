@@ -291,12 +291,13 @@ def _floor(x: float) -> float:
 
 
 def train_model(rows: DataFrame, model: Model, *, id_col: str, unit: str = "byte", max_pairs: int = TRAIN_U_MAX_PAIRS,
-                seed: int = TRAIN_U_SEED, iterations: int = EM_MAX_ITERATIONS, prior_rules: Rules = ()) -> Model:
+                seed: int = TRAIN_U_SEED, iterations: int = EM_MAX_ITERATIONS, prior_rules: Rules = (), exact: bool = False) -> Model:
     """Train prior, u and m of ``model`` on ``rows``; untrained parts keep their values.
 
     ``max_pairs`` and ``seed`` set the random pairs that u is counted on, ``iterations`` bounds
     the EM. With ``prior_rules`` the prior comes from the union of these rules (of columns of ``rows``), not from the
-    first column that has a pair. The result's ``trained`` says what was learned, from how many pairs, and whether EM converged.
+    first column that has a pair. With ``exact`` u of edit-distance columns is counted over all pairs
+    (``operators/exact.py``), only names are sampled. The result's ``trained`` says what was learned, from how many pairs, and whether EM converged.
     """
     from pyspark import StorageLevel
 
@@ -313,6 +314,12 @@ def train_model(rows: DataFrame, model: Model, *, id_col: str, unit: str = "byte
             model = model.with_prior(prior[0])
             trained.append(f"prior:{prior[1]}")
         u, pairs = estimate_u(slim, model, n_rows=n_rows, max_pairs=max_pairs, seed=seed, unit=unit)
+        if exact:
+            from .exact import exact_u
+
+            counted = exact_u(slim, model, unit=unit)
+            u.update(counted)
+            trained += [f"u-exact:{c}" for c in counted]
         comps = []
         for c in model.comparisons:
             cu = u.get(c.column)

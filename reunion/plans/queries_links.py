@@ -1,4 +1,4 @@
-"""Queries over kept and matched links: entities by batches, at several thresholds, one to one, and the prior of rules."""
+"""Queries over kept and matched links: entities by batches, at several thresholds, one to one, the prior of rules and u over all pairs."""
 
 from __future__ import annotations
 
@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from ..constants import CLUSTER_COL, PROB_COL, TRAIN_PRIOR_RECALL
 from ..operators import training as T
+from ..operators.exact import exact_level_counts
 from ..operators.spanning import entity_counts, maximum_spanning_forest
 from ..sources.fixtures import NEW_CUSTOMERS_SQL, new_customers
 from .incremental import ENTITY, KeptEntities
-from .oracle import dbl, qi, rnd, score_sql
-from .queries import COMPOSITE, PLANTED, PLANTED_SOURCE_SQL, REGION_SQL, Query, _links, _region, _round_p
+from .oracle import dbl, qi, rnd, score_sql, within_sql
+from .queries import COMPOSITE, EDITED, PLANTED, PLANTED_SOURCE_SQL, REGION_SQL, Query, _links, _region, _round_p
 from .score import match_records
 
 # --- records that arrive in batches ------------------------------------------------
@@ -89,9 +90,44 @@ c AS (SELECT (SELECT count(*) FROM s) AS records, (SELECT count(*) FROM u) AS pa
 SELECT records, pairs, round(CAST(pairs AS DOUBLE) / {dbl(TRAIN_PRIOR_RECALL)} / (records * (records - 1) / 2.0), 15) AS prior FROM c
 """
 
+# --- u over all pairs ------------------------------------------------------------------
+
+U_COLUMNS = [(PLANTED, "email"), *[(EDITED, c) for c in EDITED.columns]]
+
+
+def _comparison(w, column):
+    return next(c for c in w.model.comparisons if c.column == column)
+
+
+def q_train_u_exact(spark, sf_dir):
+    """u of the planted e-mails and of all columns of the edited documents, counted over all pairs of records."""
+    out = None
+    for w, column in U_COLUMNS:
+        counts = exact_level_counts(w.rows(spark, sf_dir), _comparison(w, column), id_col=w.id_col)
+        out = counts if out is None else out.unionByName(counts)
+    share = "CAST(pairs AS DOUBLE) / CAST(sum(pairs) OVER (PARTITION BY column) AS DOUBLE)"
+    return out.selectExpr("column", "level", "CAST(pairs AS BIGINT) AS pairs", f"round({share}, 12) AS u")
+
+
+def _u_exact_sql(w, column) -> str:
+    comp = _comparison(w, column)
+    bands = " ".join(f"WHEN d <= {int(t)} THEN {len(comp.thresholds) - i}" for i, t in enumerate(comp.thresholds))
+    return f"""SELECT '{column}' AS "column", level, pairs, round(CAST(pairs AS DOUBLE) / sum(pairs) OVER (), 12) AS u FROM (
+  WITH v AS (SELECT CAST({qi(column)} AS VARCHAR) AS t, count(*) AS n FROM ({w.source_sql}) WHERE {qi(column)} IS NOT NULL GROUP BY 1),
+  near AS (SELECT CASE {bands} END AS level, CAST(sum(w) AS BIGINT) AS n FROM (
+    SELECT levenshtein(l.t, r.t) AS d, l.n * r.n AS w FROM v l JOIN v r ON l.t < r.t AND {within_sql('l.t', 'r.t', int(max(comp.thresholds)))}) GROUP BY 1),
+  known AS (SELECT level, n FROM near UNION ALL SELECT {comp.exact_level}, CAST(sum(n * (n - 1)) // 2 AS BIGINT) FROM v),
+  whole AS (SELECT CAST(sum(n) AS BIGINT) AS n FROM v)
+  SELECT CAST(k AS INTEGER) AS level, CAST(CASE WHEN k = 0 THEN n * (n - 1) // 2 - (SELECT sum(n) FROM known) ELSE coalesce((SELECT sum(n) FROM known WHERE level = k), 0) END AS BIGINT) AS pairs
+  FROM whole, range(0, {comp.n_levels}) AS g(k))"""
+
+
+SQL_U_EXACT = "\nUNION ALL\n".join(_u_exact_sql(w, column) for w, column in U_COLUMNS)
+
 LINK_QUERIES = {
     "resolve_incremental": Query(q_resolve_incremental, SQL_INCREMENTAL),
     "entities_by_threshold": Query(q_entities_by_threshold, SQL_BY_THRESHOLD),
     "match_one_to_one": Query(q_match_one_to_one, SQL_ONE_TO_ONE),
+    "train_u_exact": Query(q_train_u_exact, SQL_U_EXACT),
     "train_prior_rules": Query(q_train_prior_rules, SQL_PRIOR_RULES),
 }
