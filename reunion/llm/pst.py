@@ -1,211 +1,78 @@
-"""Language-model scores by a probabilistic suffix tree.
-
-A text is read as its words (A-Z lowered, cut at ASCII white space) joined by one space and
-closed by an end symbol; each such byte string stands for one word sequence, so the
-product of its symbols' probabilities is the probability of the text.
-
-Training counts all byte n-grams of the training texts, in the tasks first and then by
-a shuffle. A context (up to ``DEPTH`` bytes before a symbol) is considered when it makes up at
-least ``P_MIN`` of all positions, which bounds the tree at DEPTH / P_MIN nodes whatever the
-corpus. It is retained when its next-symbol distribution diverges from that of its parent
-(the context without its oldest byte): count times Kullback-Leibler divergence at least
-``DIVERGENCE``; the suffixes of a retained context are retained too. A node's distribution is
-smoothed towards its parent's with the weight of its distinct symbols; the root's adds one to each
-of 256 symbols. A symbol is scored in the longest retained suffix of what precedes it.
-
-Base scores need the corpus count of every word of every text. Texts are read in chunks of
-bounded size; a chunk asks for its distinct words only, in one packed array per bucket of the
-word hash, and gets their counts back in the same order. So a frequent word is one entry
-per chunk and never one row per text, and no table of all words is sent to any task. Words are told
-apart by 64-bit hashes.
+"""Language-model scores by a probabilistic suffix tree over words.
+
+A text is its words (A-Z lowered, cut at ASCII white space) and one end symbol. A context is the word
+before a symbol, or the two words before it; a start mark stands before the first word. The longest retained
+suffix of what precedes a symbol is the state that scores it.
+
+A context seen at least ``LEAST`` times in the training texts is considered; this is a fixed count and no share, so
+the tree grows with the corpus. It is retained when its next-symbol distribution diverges from its parent's
+(the context without its oldest word): count times Kullback-Leibler divergence is at least ``DIVERGENCE`` nats
+for each distinct next symbol (sparse counts alone make a divergence of about half a nat for each). The tree is grown from the
+root, so a context of two words is considered only below a retained one. A node's distribution is smoothed
+towards its parent's with the weight of its distinct symbols; the root's adds one to each word and to one
+symbol for all unknown words, as the base score does.
+
+Nothing of the tree is sent to all tasks or to the driver. Texts are read in chunks of bounded size. A chunk asks
+for its distinct words, pairs and triples of words only, packed in one array per bucket of the key's hash; a bucket adds
+up what the chunks hold of each key and answers in the order asked. So a hot word or context is one
+entry per chunk. There are three rounds: counts of words and pairs; counts of triples under contexts seen often
+enough, and distinct symbols and divergences of one-word contexts; the same of two-word contexts. Distinct symbols and divergence
+are sums over positions (1/n and a log ratio for each of the n times that a symbol follows), so no task ever
+holds all the symbols of a context. Words are told apart by 64-bit hashes, pairs and triples by 64-bit hashes of these.
 
 Results for odd input: a null text counts as empty (its end symbol is its only token); a null id
 counts as the empty string for the split; repeated rows each count and keep their row; without
-training texts every probability is the smoothed prior; an empty table gives an empty result;
-extra columns are ignored.
+training texts the only probability is that of an unknown word, 1, so all scores are zero; an empty table
+gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext, cloudpickle
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, map_batches, picked, utf8
+from .common import Scratch, map_batches, partitions_for, picked, utf8
 
-DEPTH = 5
-P_MIN = 1e-5
-DIVERGENCE = 30.0
-#: The end symbol: a byte that no word holds and that separates none in the joined string.
+LEAST = 8
+DIVERGENCE = 1.0
+#: The end symbol: a byte that no word holds.
 END = b"\n"
-#: n-grams that a task adds up before it hands them on.
-GRAMS = 2_000_000
 #: Bytes of text of one chunk.
 CHUNK = 12_000_000
+#: Entries of one bucket, about.
+ENTRIES = 2_000_000
 
+#: What is asked: counts of words, of pairs and of triples, and sums over the positions after one and two words.
+WORDS, PAIRS, TRIPLES, AFTER_ONE, AFTER_TWO = range(5)
+_ASKED = "chunk long, kind int, bucket int, keys binary, vals binary"
+_REPLY = "chunk long, kind int, bucket int, sums binary, known long, total long"
+_ROWS = "chunk long, pos long, held boolean, seq binary, words binary"
 
-def joined(text: bytes) -> tuple[list[bytes], bytes]:
-    words = text.lower().split()
-    return words, b" ".join(words) + END
 
+def _packed(a: np.ndarray) -> bytes:
+    """An array as bytes, all first bytes first: small numbers then compress well."""
+    return np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes()
 
-# --- training ----------------------------------------------------------------------
 
+def _unpacked(x: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
-def grams_of(lines: list[bytes], depth: int) -> np.ndarray:
-    """Each symbol with the ``depth`` bytes before it, packed in an integer; a text is preceded by end symbols."""
-    pad = END * depth
-    a = np.frombuffer(pad + pad.join(lines), np.uint8).astype(np.uint64)
-    g = np.zeros(len(a) - depth, np.uint64)
-    for k in range(depth + 1):
-        g = (g << np.uint64(8)) | a[k : len(a) - depth + k]
-    keep = np.ones(len(g), bool)  # the padding between two texts is context only
-    for s in np.cumsum([len(x) + depth for x in lines[:-1]]).tolist():
-        keep[s - depth : s] = False
-    return g[keep]
 
-
-def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.concatenate([k for k, _ in parts])
-    counts = np.concatenate([c for _, c in parts])
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
-
-
-def count_grams(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """``(gram, n)`` over the column ``text``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
-        for b in batches:
-            lines = [joined(t)[1] for t in utf8(b.column("text"))]
-            at = 0
-            while at < len(lines):  # a few megabytes at a time
-                to, size = at, 0
-                while to < len(lines) and (to == at or size + len(lines[to]) < 4_000_000):
-                    size += len(lines[to])
-                    to += 1
-                parts.append(np.unique(grams_of(lines[at:to], depth), return_counts=True))
-                at = to
-                if sum(len(k) for k, _ in parts) > GRAMS:
-                    parts = [_added(parts)]
-                    if len(parts[0][0]) > GRAMS // 2:
-                        yield _gram_batch(*parts.pop())
-        if parts:
-            yield _gram_batch(*_added(parts))
-
-    return map_batches(texts, run, T.StructType([T.StructField("gram", T.LongType()), T.StructField("n", T.LongType())])).groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def _gram_batch(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], ["gram", "n"])
-
-
-def grow(grams: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, divergence: float = DIVERGENCE) -> list[pd.DataFrame]:
-    """The tree by depth: tables ``(ctx, sym, n)`` of the retained contexts' counts, a bounded number of them."""
-    total = grams.agg(F.sum("n")).collect()[0][0] or 0
-    levels = F.explode(F.sequence(F.lit(0), F.lit(depth)))
-    cells = grams.select(levels.alias("k"), "gram", "n").select(
-        "k",
-        F.when(F.col("k") == 0, F.lit(0).cast("long")).otherwise(F.expr("shiftrightunsigned(gram, 8) & (shiftleft(1L, 8 * k) - 1)")).alias("ctx"),
-        F.expr("cast(gram & 255 as int)").alias("sym"),
-        "n",
-    )
-    cells = cells.groupBy("k", "ctx", "sym").agg(F.sum("n").alias("n"))
-    common = cells.groupBy("k", "ctx").agg(F.sum("n").alias("m")).where(F.col("m") >= max(1.0, p_min * total)).select("k", "ctx")
-    # at most (depth + 1) / p_min contexts: small enough to send to every task and to the driver
-    kept = cells.join(F.broadcast(common), ["k", "ctx"]).toPandas()
-    return retained([kept[kept.k == k][["ctx", "sym", "n"]] for k in range(depth + 1)], divergence)
-
-
-def retained(levels: list[pd.DataFrame], divergence: float) -> list[pd.DataFrame]:
-    """The contexts whose distributions diverge from their parents', and the suffixes of these."""
-    depth, out = len(levels) - 1, [levels[0]]
-    chosen: list[set[int]] = [set() for _ in range(depth + 1)]
-    for k in range(1, depth + 1):
-        own, up = levels[k], levels[k - 1]
-        if own.empty:
-            continue
-        own = own.assign(parent=own.ctx & ((1 << (8 * (k - 1))) - 1), m=own.groupby("ctx").n.transform("sum"))
-        up = up.assign(pm=up.groupby("ctx").n.transform("sum")).rename(columns={"ctx": "parent", "n": "pn"})
-        both = own.merge(up, on=["parent", "sym"])
-        gain = both.n * np.log((both.n / both.m) / (both.pn / both.pm))
-        score = gain.groupby(both.ctx).sum()
-        chosen[k] = set(score.index[score >= divergence].tolist())
-    for k in range(depth, 1, -1):  # the suffixes of a retained context
-        chosen[k - 1] |= {c & ((1 << (8 * (k - 1))) - 1) for c in chosen[k]}
-    for k in range(1, depth + 1):
-        t = levels[k]
-        out.append(t[t.ctx.isin(chosen[k])])
-    return out
-
-
-class SuffixTree:
-    """The tree as arrays: per node the smoothed log10 distribution, and the child for each older byte.
-
-    Columns are the bytes seen in training and a last one for any other byte (the probability of one such byte).
-    """
-
-    def __init__(self, tables: list[pd.DataFrame], depth: int):
-        self.depth = depth
-        nodes: dict[tuple[int, int], int] = {(0, 0): 0}
-        for k in range(1, depth + 1):
-            for c in sorted(tables[k].ctx.unique().tolist()) if len(tables) > k else []:
-                nodes[(k, c)] = len(nodes)
-        root = tables[0]
-        counts = np.bincount(root.sym.to_numpy(np.int64), weights=root.n.to_numpy(float), minlength=256) if len(root) else np.zeros(256)
-        seen = np.flatnonzero(counts)
-        self.column = np.full(256, len(seen), np.int64)
-        self.column[seen] = np.arange(len(seen))
-        self.child = np.full((len(nodes), len(seen) + 1), -1, np.int32)
-        p = np.zeros((len(nodes), len(seen) + 1))
-        p[0] = np.r_[counts[seen] + 1, 1.0] / (counts.sum() + 256)
-        for k in range(1, depth + 1):
-            t = tables[k] if len(tables) > k else None
-            if t is None or t.empty:
-                continue
-            ctxs = sorted(t.ctx.unique().tolist())
-            place = {c: i for i, c in enumerate(ctxs)}
-            rows = np.zeros((len(ctxs), len(seen) + 1))
-            rows[t.ctx.map(place).to_numpy(), self.column[t.sym.to_numpy(np.int64)]] = t.n.to_numpy(float)
-            own = np.array([nodes[(k, c)] for c in ctxs])
-            up = np.array([nodes[(k - 1, c & ((1 << (8 * (k - 1))) - 1))] for c in ctxs])
-            distinct = (rows > 0).sum(axis=1)
-            p[own] = (rows + distinct[:, None] * p[up]) / (rows.sum(axis=1) + distinct)[:, None]
-            self.child[up, self.column[[(c >> (8 * (k - 1))) & 255 for c in ctxs]]] = own
-        self.logp = np.log10(p)
-
-    def score(self, lines: list[bytes]) -> np.ndarray:
-        """log10 probability of each line (words joined, end symbol included)."""
-        if not lines:
-            return np.zeros(0)
-        d, pad = self.depth, END * self.depth
-        a = self.column[np.frombuffer(pad + pad.join(lines), np.uint8)]
-        out = np.empty(len(a) - d)
-        for s in range(0, len(out), 1 << 20):
-            at = np.arange(s, min(s + (1 << 20), len(out))) + d
-            state = np.zeros(len(at), np.int32)
-            live = np.arange(len(at))
-            for k in range(1, d + 1):
-                nxt = self.child[state[live], a[at[live] - k]]
-                ok = nxt >= 0
-                live = live[ok]
-                state[live] = nxt[ok]
-            out[s : s + len(at)] = self.logp[state, a[at]]
-        sizes = np.array([len(x) for x in lines])
-        starts = np.cumsum(np.r_[0, sizes[:-1] + d])
-        return np.array([out[x : x + n].sum() for x, n in zip(starts.tolist(), sizes.tolist())])
-
-
-# --- scoring -----------------------------------------------------------------------
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """64-bit hashes of pairs of 64-bit hashes."""
+    with np.errstate(over="ignore"):
+        x = (a ^ (a >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + b
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
 def held_out(id_col: Column) -> Column:
@@ -213,138 +80,240 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
 
-_ROWS = "chunk long, pos long, held boolean, n_tokens long, score double, codes binary, times binary, bucket int, hashes binary, trained binary"
-
-
-def _read_chunks(docs: DataFrame, tree: bytes, buckets: int, depth: int) -> DataFrame:
-    """Rows for texts (bucket null) and for what a chunk asks (one per bucket)."""
+def _read_chunks(docs: DataFrame) -> DataFrame:
+    """A row per text, its words as numbers, and a row per chunk (``pos`` null) with the hash of each number's word."""
     id_type = docs.schema["id"].dataType
     schema = T.StructType([T.StructField("id", id_type), *T._parse_datatype_string(_ROWS).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        model = SuffixTree(cloudpickle.loads(tree), depth)
         names = [f.name for f in schema.fields]
-        base, number = TaskContext.get().partitionId() << 32, 0
+        base, number, pos, size = TaskContext.get().partitionId() << 32, 0, 0, 0
+        index: dict[bytes, int] = {}
         id_arrow = None
 
-        index: dict[bytes, int] = {}
-        ids: list = []
-        held: list[bool] = []
-        tokens: list[int] = []
-        scores: list[float] = []
-        codes: list[np.ndarray] = []
-        times: list[np.ndarray] = []
-        size = 0
-
-        def close() -> Iterator[pa.RecordBatch]:
-            nonlocal index, number, size
-            if not ids:
-                return
+        def close() -> pa.RecordBatch:
             h = np.fromiter((xxhash.xxh64_intdigest(w) for w in index), np.uint64, len(index))
-            bucket = (h % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            place = np.empty(len(order), np.uint32)
-            place[order] = np.arange(len(order), dtype=np.uint32)
-            trained = np.zeros(len(order), np.int64)
-            for c, t, x in zip(codes, times, held):
-                if not x:
-                    trained[c] += t
-            chunk = base + number
-            n = len(ids)
-            none = lambda m, kind: pa.nulls(m, kind)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, id_arrow), pa.array([chunk] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array(held), pa.array(tokens, pa.int64()), pa.array(scores, pa.float64()),
-                 pa.array([place[c].tobytes() for c in codes], pa.binary()), pa.array([t.astype(np.uint32).tobytes() for t in times], pa.binary()), none(n, pa.int32()), none(n, pa.binary()), none(n, pa.binary())],
-                names,
-            )
-            h, bucket, trained = h[order], bucket[order], trained[order]
-            b, first = np.unique(bucket, return_index=True)
-            ends = np.r_[first[1:], len(bucket)]
-            m = len(b)
-            yield pa.RecordBatch.from_arrays(
-                [none(m, id_arrow), pa.array([chunk] * m, pa.int64()), none(m, pa.int64()), none(m, pa.bool_()), none(m, pa.int64()), none(m, pa.float64()), none(m, pa.binary()), none(m, pa.binary()),
-                 pa.array(b.astype(np.int32)), pa.array([h[x:y].tobytes() for x, y in zip(first, ends)], pa.binary()), pa.array([trained[x:y].tobytes() for x, y in zip(first, ends)], pa.binary())],
-                names,
-            )
-            number += 1
-            index, size = {}, 0
-            for x in (ids, held, tokens, scores, codes, times):
-                x.clear()
+            none = lambda kind: pa.nulls(1, kind)
+            return pa.RecordBatch.from_arrays([none(id_arrow), pa.array([base + number], pa.int64()), none(pa.int64()), none(pa.bool_()), none(pa.binary()), pa.array([h.tobytes()], pa.binary())], names)
 
         for b in batches:
             id_arrow = b.schema.field("id").type
-            keys, out = b.column("id").to_pylist(), b.column("held").to_pylist()
-            every = utf8(b.column("text"))
-            for s in range(0, len(keys), 100):
-                lines = []
-                for key, x, t in zip(keys[s : s + 100], out[s : s + 100], every[s : s + 100]):
-                    words, line = joined(t)
+            every, n = utf8(b.column("text")), b.num_rows
+            at = 0
+            while at < n:
+                seqs, first = [], at
+                while at < n and size < CHUNK:
+                    words = every[at].lower().split()
                     words.append(END)
-                    lines.append(line)
-                    c, n = np.unique(np.fromiter((index.setdefault(w, len(index)) for w in words), np.int64, len(words)), return_counts=True)
-                    ids.append(key)
-                    held.append(x)
-                    tokens.append(len(words))
-                    codes.append(c)
-                    times.append(n)
-                    size += len(t)
-                scores.extend(model.score(lines).tolist())
+                    seqs.append(_packed(np.fromiter((index.setdefault(w, len(index)) for w in words), np.uint32, len(words))))
+                    size += len(every[at]) + 1
+                    at += 1
+                m = at - first
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("id").slice(first, m), pa.array([base + number] * m, pa.int64()), pa.array(range(pos, pos + m), pa.int64()), b.column("held").slice(first, m).cast(pa.bool_()), pa.array(seqs, pa.binary()), pa.nulls(m, pa.binary())],
+                    names,
+                )
+                pos += m
                 if size >= CHUNK:
-                    yield from close()
-        yield from close()
+                    yield close()
+                    index, size, pos, number = {}, 0, 0, number + 1
+        if size:
+            yield close()
 
     return map_batches(docs, run, schema)
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, p_min: float = P_MIN, divergence: float = DIVERGENCE) -> DataFrame:
+class Chunk:
+    """The positions of a chunk's texts: symbol, pair and triple of each, and what the replies so far tell."""
+
+    def __init__(self, rows: pa.Table, buckets: int):
+        texts = rows.filter(pc.is_valid(rows["pos"])).sort_by("pos")
+        self.chunk, self.buckets = texts["chunk"][0].as_py(), buckets
+        self.texts = texts
+        seqs = [_unpacked(x.as_buffer(), np.uint32) for x in texts["seq"]]
+        self.sizes = np.array([len(x) for x in seqs])
+        self.sym = np.concatenate(seqs).astype(np.int64)
+        given = rows.filter(pc.is_valid(rows["words"]))
+        h = np.frombuffer(given["words"][0].as_py(), np.uint64)
+        self.hashes = np.r_[h, np.uint64(0)]  # the last number is the start mark
+        self.start = len(h)
+        firsts = np.cumsum(np.r_[0, self.sizes[:-1]])
+        self.before = np.r_[0, self.sym[:-1]]
+        self.before[firsts] = self.start
+        self.train = np.repeat(~np.array(texts["held"].to_pylist(), bool), self.sizes)
+        self.first = np.zeros(len(self.sym), bool)
+        self.first[firsts] = True
+        wide = np.int64(len(self.hashes))
+        cells, self.pair = np.unique(self.before * wide + self.sym, return_inverse=True)
+        self.pair_before, self.pair_sym = cells // wide, cells % wide
+        self.pair_keys = _mixed(self.hashes[self.pair_before], self.hashes[self.pair_sym])
+        answers = rows.filter(pc.is_valid(rows["bucket"])).sort_by([("kind", "ascending"), ("bucket", "ascending")])
+        kinds = np.array(answers["kind"].to_pylist(), np.int64)
+        self.sums = {int(k): np.concatenate([_unpacked(x.as_buffer(), np.float64) for x in answers["sums"].filter(pa.array(kinds == k))]) for k in np.unique(kinds)}
+
+    # keys are dealt to buckets; their order within one is that of the numbers, on both ways
+
+    def _order(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        bucket = ((keys >> np.uint64(20)) % np.uint64(self.buckets)).astype(np.int64)
+        return np.argsort(bucket, kind="stable"), bucket
+
+    def ask(self, kind: int, keys: np.ndarray, *vals: np.ndarray) -> list[tuple]:
+        order, bucket = self._order(keys)
+        bucket, keys = bucket[order], keys[order]
+        vals = [v[order].astype(np.float64) for v in vals]
+        b, first = np.unique(bucket, return_index=True)
+        return [(self.chunk, kind, int(k), keys[x:y].tobytes(), _packed(np.stack([v[x:y] for v in vals], axis=1).ravel())) for k, x, y in zip(b, first, np.r_[first[1:], len(bucket)])]
+
+    def told(self, kind: int, keys: np.ndarray, width: int = 1) -> np.ndarray:
+        order, _ = self._order(keys)
+        out = np.zeros((len(keys), width))
+        if len(keys):
+            out[order] = self.sums[kind].reshape(-1, width)
+        return out[:, 0] if width == 1 else out
+
+    # the three rounds
+
+    def counts(self) -> list[tuple]:
+        words = np.bincount(self.sym, weights=self.train, minlength=self.start)
+        return self.ask(WORDS, self.hashes[:-1], words) + self.ask(PAIRS, self.pair_keys, np.bincount(self.pair, weights=self.train, minlength=len(self.pair_keys)))
+
+    def read_counts(self, model: dict) -> None:
+        """Counts of words, pairs and contexts, and the triples whose context is seen often enough."""
+        self.model = model
+        self.n1 = self.told(WORDS, self.hashes[:-1])
+        self.n2 = self.told(PAIRS, self.pair_keys)
+        # a word is followed once each time it is seen, the start mark once a text, so once an end symbol
+        self.seen = np.r_[self.n1, self.n1[self.sym[-1]]]
+        self.one = np.flatnonzero(self.seen >= model["least"])
+        context = np.r_[0, self.pair[:-1]]
+        self.at = np.flatnonzero(~self.first & (self.n2[context] >= model["least"]))
+        context = context[self.at]
+        self.two, self.context = np.unique(context, return_inverse=True)  # pairs that are contexts here
+        wide = np.int64(len(self.hashes))
+        cells, self.triple = np.unique(self.context * wide + self.sym[self.at], return_inverse=True)
+        self.triple_context, triple_sym = cells // wide, cells % wide
+        self.triple_keys = _mixed(~self.pair_keys[self.two[self.triple_context]], self.hashes[triple_sym])
+        self.triple_pair = np.zeros(len(cells), np.int64)
+        self.triple_pair[self.triple] = self.pair[self.at]
+
+    def after_one(self) -> list[tuple]:
+        t = np.bincount(self.pair, weights=self.train, minlength=len(self.pair_keys))
+        on = np.flatnonzero((t > 0) & (self.seen[self.pair_before] >= self.model["least"]))
+        t, n, y, s = t[on], self.n2[on], self.pair_before[on], self.pair_sym[on]
+        gain = np.log(n / self.seen[y]) - np.log(self.n1[s] / self.model["total"])
+        sums = [np.bincount(y, weights=t * w, minlength=len(self.seen))[self.one] for w in (1 / n, gain)]
+        return self.ask(AFTER_ONE, self.hashes[self.one], *sums) + self.ask(TRIPLES, self.triple_keys, np.bincount(self.triple, weights=self.train[self.at], minlength=len(self.triple_keys)))
+
+    def _kept(self, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        distinct = np.rint(sums[:, 0])
+        return distinct, (distinct > 0) & (sums[:, 1] >= self.model["divergence"] * distinct)
+
+    def read_after_one(self) -> None:
+        self.n3 = self.told(TRIPLES, self.triple_keys)
+        self.distinct, self.kept = np.zeros(len(self.seen)), np.zeros(len(self.seen), bool)
+        self.distinct[self.one], self.kept[self.one] = self._kept(self.told(AFTER_ONE, self.hashes[self.one], 2))
+        self.below = np.flatnonzero(self.kept[self.pair_sym[self.two]])  # two-word contexts whose parent is retained
+
+    def after_two(self) -> list[tuple]:
+        t = np.bincount(self.triple, weights=self.train[self.at], minlength=len(self.triple_keys))
+        on = np.flatnonzero(t > 0)
+        t, n, c, p = t[on], self.n3[on], self.triple_context[on], self.triple_pair[on]
+        gain = np.log(n / self.n2[self.two[c]]) - np.log(self.n2[p] / self.seen[self.pair_before[p]])
+        sums = [np.bincount(c, weights=t * w, minlength=len(self.two))[self.below] for w in (1 / n, gain)]
+        return self.ask(AFTER_TWO, self.pair_keys[self.two[self.below]], *sums)
+
+    def scores(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per text: known tokens, base score and the tree's score."""
+        distinct, kept = np.zeros(len(self.two)), np.zeros(len(self.two), bool)
+        if len(self.below):
+            distinct[self.below], kept[self.below] = self._kept(self.told(AFTER_TWO, self.pair_keys[self.two[self.below]], 2))
+        root = (self.n1 + 1) / (self.model["total"] + self.model["known"] + 1)
+        y, s = self.pair_before, self.pair_sym
+        pairs = np.where(self.kept[y], (self.n2 + self.distinct[y] * root[s]) / np.maximum(self.seen[y] + self.distinct[y], 1), root[s])
+        c, p = self.triple_context, self.triple_pair
+        triples = np.where(kept[c], (self.n3 + distinct[c] * pairs[p]) / np.maximum(self.n2[self.two[c]] + distinct[c], 1), pairs[p])
+        out = np.log10(pairs)[self.pair]
+        out[self.at] = np.log10(triples)[self.triple]
+        firsts = np.cumsum(np.r_[0, self.sizes[:-1]])
+        add = lambda x: np.add.reduceat(x, firsts)
+        return add((self.n1 > 0)[self.sym].astype(np.int64)), add(np.log10(root)[self.sym]), add(out)
+
+
+def _summed(asked: pa.Table) -> pa.Table:
+    """What the chunks hold of each key, added up, in the order in which each chunk asked."""
+    asked = asked.sort_by("chunk")  # sums of fractions shouldn't depend on the order of arrival
+    keys = [np.frombuffer(x.as_buffer(), np.uint64) for x in asked["keys"]]
+    width = 2 if asked["kind"][0].as_py() in (AFTER_ONE, AFTER_TWO) else 1
+    vals = np.concatenate([_unpacked(x.as_buffer(), np.float64) for x in asked["vals"]]).reshape(-1, width)
+    found, at = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = np.stack([np.bincount(at, weights=vals[:, j], minlength=len(found)) for j in range(width)], axis=1)
+    cuts, n = np.cumsum([0, *map(len, keys)]), len(keys)
+    reply = sums[at]
+    return pa.table({
+        "chunk": asked["chunk"], "kind": asked["kind"], "bucket": asked["bucket"],
+        "sums": pa.array([_packed(reply[a:b].ravel()) for a, b in zip(cuts, cuts[1:])], pa.binary()),
+        "known": pa.array([int((sums[:, 0] > 0).sum()), *[0] * (n - 1)], pa.int64()), "total": pa.array([int(sums[:, 0].sum()), *[0] * (n - 1)], pa.int64()),
+    })
+
+
+def _by_chunk(rows: DataFrame, replies: list[DataFrame], fn: Callable[[pa.Table], pa.Table], schema: T.StructType | str) -> DataFrame:
+    """``fn`` over each chunk's rows and the replies to it."""
+    for r in replies:
+        rows = rows.unionByName(r.select("chunk", "kind", "bucket", "sums"), allowMissingColumns=True)
+    if not replies:
+        rows = rows.select("*", F.lit(None).cast("int").alias("kind"), F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("sums"))
+    return rows.groupBy("chunk").applyInArrow(fn, schema)
+
+
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, divergence: float = DIVERGENCE) -> DataFrame:
     """Per row: id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
+    if least < 1:
+        raise ValueError("a context must be seen at least once")
+    scratch = Scratch(docs.sparkSession)
     d = picked(docs, id=id_col, text=text_col).withColumn("held", held_out(F.col("id")))
-    grams = scratch.write(count_grams(d.where(~F.col("held")).select("text"), depth), "grams")
-    tree = cloudpickle.dumps(grow(grams, depth, p_min, divergence))
-    buckets = max(32, d.count() // 20_000)
-    rows = scratch.write(_read_chunks(d, tree, buckets, depth), "chunks")
-
-    def counted(_: tuple, asked: pa.Table) -> pa.Table:
-        hashes = [np.frombuffer(x, np.uint64) for x in asked["hashes"].to_pylist()]
-        trained = np.concatenate([np.frombuffer(x, np.int64) for x in asked["trained"].to_pylist()])
-        words, at = np.unique(np.concatenate(hashes), return_inverse=True)
-        c = np.zeros(len(words), np.int64)
-        np.add.at(c, at, trained)
-        reply = c[at]
-        cuts = np.cumsum([0, *map(len, hashes)])
-        n = len(hashes)
-        return pa.table({
-            "chunk": asked["chunk"], "bucket": asked["bucket"],
-            "counts": pa.array([reply[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
-            "known": pa.array([int((c > 0).sum()), *[0] * (n - 1)], pa.int64()), "total": pa.array([int(c.sum()), *[0] * (n - 1)], pa.int64()),
-        })
-
-    replies = scratch.write(rows.where("bucket is not null").select("chunk", "bucket", "hashes", "trained").groupBy("bucket").applyInArrow(counted, "chunk long, bucket int, counts binary, known long, total long"), "replies")
-    v, n_train = replies.agg(F.coalesce(F.sum("known"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).collect()[0]
     id_type = d.schema["id"].dataType
-    whole = np.log10(float(n_train + v + 1))
+    rows = scratch.write(_read_chunks(d), "chunks")
+    tokens = rows.agg(F.coalesce(F.sum(F.length("seq")), F.lit(0))).collect()[0][0] // 4
+    buckets = max(32, partitions_for(tokens, ENTRIES))
+
+    def asks(step: Callable[[Chunk], list[tuple]]) -> Callable[[pa.Table], pa.Table]:
+        def run(group: pa.Table) -> pa.Table:
+            out = step(Chunk(group, buckets))
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+            return pa.table([pa.array(x, k) for x, k in zip(zip(*out) if out else [[]] * 5, kinds)], names=["chunk", "kind", "bucket", "keys", "vals"])
+
+        return run
+
+    def answered(replies: list[DataFrame], step: Callable[[Chunk], list[tuple]], label: str) -> DataFrame:
+        return scratch.write(_by_chunk(rows, replies, asks(step), _ASKED).groupBy("kind", "bucket").applyInArrow(_summed, _REPLY), label)
+
+    counts = answered([], Chunk.counts, "counts")
+    known, total = counts.where(F.col("kind") == WORDS).agg(F.coalesce(F.sum("known"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).collect()[0]
+    model = {"least": least, "divergence": divergence, "known": known, "total": total}
+
+    def second(c: Chunk) -> list[tuple]:
+        c.read_counts(model)
+        return c.after_one()
+
+    def third(c: Chunk) -> list[tuple]:
+        c.read_counts(model)
+        c.read_after_one()
+        return c.after_two()
+
+    one = answered([counts], second, "after-one")
+    two = answered([counts, one], third, "after-two")
 
     def scored(group: pa.Table) -> pa.Table:
-        bucket = group["bucket"]
-        texts = group.filter(bucket.is_null())
-        parts = group.filter(bucket.is_valid()).sort_by("bucket")["counts"].to_pylist()
-        c = np.concatenate([np.frombuffer(x, np.int64) for x in parts])
-        log = np.log10(c + 1.0)
-        base, known = [], []
-        for x, t in zip(texts["codes"].to_pylist(), texts["times"].to_pylist()):
-            at, n = np.frombuffer(x, np.uint32), np.frombuffer(t, np.uint32).astype(np.int64)
-            base.append(float((n * log[at]).sum() - n.sum() * whole))
-            known.append(int(n[c[at] > 0].sum()))
+        c = Chunk(group, buckets)
+        c.read_counts(model)
+        c.read_after_one()
+        n_known, base, score = c.scores()
         return pa.table({
-            id_col: texts["id"], "held_out": texts["held"], "n_tokens": texts["n_tokens"], "n_known": pa.array(known, pa.int64()),
-            "train_tokens": pa.array([int(n_train)] * texts.num_rows, pa.int64()), "base_score": pa.array(base, pa.float64()), "score": texts["score"],
+            id_col: c.texts["id"], "held_out": c.texts["held"], "n_tokens": pa.array(c.sizes, pa.int64()), "n_known": pa.array(n_known, pa.int64()),
+            "train_tokens": pa.array([int(total)] * len(c.sizes), pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(score, pa.float64()),
         })
 
-    asked = rows.where("bucket is null").select("chunk", "id", "held", "n_tokens", "score", "codes", "times", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("counts"))
-    given = replies.select("chunk", F.lit(None).cast(id_type).alias("id"), F.lit(None).cast("boolean").alias("held"), F.lit(None).cast("long").alias("n_tokens"), F.lit(None).cast("double").alias("score"), F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("binary").alias("times"), "bucket", "counts")
     fields = [T.StructField(id_col, id_type), *T._parse_datatype_string("held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double").fields]
-    return asked.unionByName(given).groupBy("chunk").applyInArrow(scored, T.StructType(fields))
+    return _by_chunk(rows, [counts, one, two], scored, T.StructType(fields))
