@@ -13,6 +13,8 @@ from ..session import ensure_checkpoint_dir, write_table
 
 #: Rows of one Arrow batch: bounds a Python worker's memory when some texts are very long.
 ARROW_ROWS = 1000
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def picked(df: DataFrame, **names: str) -> DataFrame:
     """Only the named columns, under the operator's own names; extra columns never clash.
@@ -78,6 +80,16 @@ class Scratch:
         self.folders.append(folder)
         return out
 
+    def write_and_clear(self, df: DataFrame, label: str) -> DataFrame:
+        """Like :meth:`write`; the shuffle files behind the table go as soon as it is written, not when the driver collects garbage."""
+        conf = df.sparkSession.conf
+        before = conf.get(SHUFFLE_CLEANUP)
+        conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            return self.write(df, label)
+        finally:
+            conf.set(SHUFFLE_CLEANUP, before)
+
 
 def partitions_for(size: float, each: float) -> int:
     """How many groups of about ``each`` units hold ``size`` units; at least one."""

@@ -153,24 +153,20 @@ class Chunk:
         kinds = np.array(answers["kind"].to_pylist(), np.int64)
         self.sums = {int(k): np.concatenate([_unpacked(x.as_buffer(), np.float64) for x in answers["sums"].filter(pa.array(kinds == k))]) for k in np.unique(kinds)}
 
-    # keys are dealt to buckets; their order within one is that of the numbers, on both ways
-
-    def _order(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        bucket = ((keys >> np.uint64(20)) % np.uint64(self.buckets)).astype(np.int64)
-        return np.argsort(bucket, kind="stable"), bucket
+    # a bucket is a range of keys; both ways they are sorted, so that their high bytes compress
 
     def ask(self, kind: int, keys: np.ndarray, *vals: np.ndarray) -> list[tuple]:
-        order, bucket = self._order(keys)
-        bucket, keys = bucket[order], keys[order]
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        bucket = ((keys >> np.uint64(32)) * np.uint64(self.buckets)) >> np.uint64(32)
         vals = [v[order].astype(np.float64) for v in vals]
         b, first = np.unique(bucket, return_index=True)
-        return [(self.chunk, kind, int(k), keys[x:y].tobytes(), _packed(np.stack([v[x:y] for v in vals], axis=1).ravel())) for k, x, y in zip(b, first, np.r_[first[1:], len(bucket)])]
+        return [(self.chunk, kind, int(k), _packed(keys[x:y]), _packed(np.stack([v[x:y] for v in vals], axis=1).ravel())) for k, x, y in zip(b, first, np.r_[first[1:], len(bucket)])]
 
     def told(self, kind: int, keys: np.ndarray, width: int = 1) -> np.ndarray:
-        order, _ = self._order(keys)
         out = np.zeros((len(keys), width))
         if len(keys):
-            out[order] = self.sums[kind].reshape(-1, width)
+            out[np.argsort(keys, kind="stable")] = self.sums[kind].reshape(-1, width)
         return out[:, 0] if width == 1 else out
 
     # the three rounds
@@ -244,7 +240,7 @@ class Chunk:
 def _summed(asked: pa.Table) -> pa.Table:
     """What the chunks hold of each key, added up, in the order in which each chunk asked."""
     asked = asked.sort_by("chunk")  # sums of fractions shouldn't depend on the order of arrival
-    keys = [np.frombuffer(x.as_buffer(), np.uint64) for x in asked["keys"]]
+    keys = [_unpacked(x.as_buffer(), np.uint64) for x in asked["keys"]]
     width = 2 if asked["kind"][0].as_py() in (AFTER_ONE, AFTER_TWO) else 1
     vals = np.concatenate([_unpacked(x.as_buffer(), np.float64) for x in asked["vals"]]).reshape(-1, width)
     found, at = np.unique(np.concatenate(keys), return_inverse=True)
@@ -287,7 +283,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         return run
 
     def answered(replies: list[DataFrame], step: Callable[[Chunk], list[tuple]], label: str) -> DataFrame:
-        return scratch.write(_by_chunk(rows, replies, asks(step), _ASKED).groupBy("kind", "bucket").applyInArrow(_summed, _REPLY), label)
+        return scratch.write_and_clear(_by_chunk(rows, replies, asks(step), _ASKED).groupBy("kind", "bucket").applyInArrow(_summed, _REPLY), label)
 
     counts = answered([], Chunk.counts, "counts")
     known, total = counts.where(F.col("kind") == WORDS).agg(F.coalesce(F.sum("known"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).collect()[0]
