@@ -66,6 +66,11 @@ def _unpacked(x: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
+def _sent(kind: int) -> type:
+    """The type of the numbers that a chunk sends: counts, or a chunk's part of the sums after a context."""
+    return np.float32 if kind in (AFTER_ONE, AFTER_TWO) else np.int64
+
+
 def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """64-bit hashes of pairs of 64-bit hashes."""
     with np.errstate(over="ignore"):
@@ -151,7 +156,7 @@ class Chunk:
         self.pair_keys = _mixed(self.hashes[self.pair_before], self.hashes[self.pair_sym])
         answers = rows.filter(pc.is_valid(rows["bucket"])).sort_by([("kind", "ascending"), ("bucket", "ascending")])
         kinds = np.array(answers["kind"].to_pylist(), np.int64)
-        self.sums = {int(k): np.concatenate([_unpacked(x.as_buffer(), np.float64) for x in answers["sums"].filter(pa.array(kinds == k))]) for k in np.unique(kinds)}
+        self.sums = {int(k): np.concatenate([_unpacked(x.as_buffer(), np.int64) for x in answers["sums"].filter(pa.array(kinds == k))]) for k in np.unique(kinds)}
 
     # a bucket is a range of keys; both ways they are sorted, so that their high bytes compress
 
@@ -159,15 +164,15 @@ class Chunk:
         order = np.argsort(keys, kind="stable")
         keys = keys[order]
         bucket = ((keys >> np.uint64(32)) * np.uint64(self.buckets)) >> np.uint64(32)
-        vals = [v[order].astype(np.float64) for v in vals]
+        vals = [v[order].astype(_sent(kind)) for v in vals]
         b, first = np.unique(bucket, return_index=True)
-        return [(self.chunk, kind, int(k), _packed(keys[x:y]), _packed(np.stack([v[x:y] for v in vals], axis=1).ravel())) for k, x, y in zip(b, first, np.r_[first[1:], len(bucket)])]
+        return [(self.chunk, kind, int(k), _packed(keys[x:y]), b"".join(_packed(v[x:y]) for v in vals)) for k, x, y in zip(b, first, np.r_[first[1:], len(bucket)])]
 
-    def told(self, kind: int, keys: np.ndarray, width: int = 1) -> np.ndarray:
-        out = np.zeros((len(keys), width))
+    def told(self, kind: int, keys: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(keys))
         if len(keys):
-            out[np.argsort(keys, kind="stable")] = self.sums[kind].reshape(-1, width)
-        return out[:, 0] if width == 1 else out
+            out[np.argsort(keys, kind="stable")] = self.sums[kind]
+        return out
 
     # the three rounds
 
@@ -202,15 +207,11 @@ class Chunk:
         sums = [np.bincount(y, weights=t * w, minlength=len(self.seen))[self.one] for w in (1 / n, gain)]
         return self.ask(AFTER_ONE, self.hashes[self.one], *sums) + self.ask(TRIPLES, self.triple_keys, np.bincount(self.triple, weights=self.train[self.at], minlength=len(self.triple_keys)))
 
-    def _kept(self, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        distinct = np.rint(sums[:, 0])
-        return distinct, (distinct > 0) & (sums[:, 1] >= self.model["divergence"] * distinct)
-
     def read_after_one(self) -> None:
         self.n3 = self.told(TRIPLES, self.triple_keys)
-        self.distinct, self.kept = np.zeros(len(self.seen)), np.zeros(len(self.seen), bool)
-        self.distinct[self.one], self.kept[self.one] = self._kept(self.told(AFTER_ONE, self.hashes[self.one], 2))
-        self.below = np.flatnonzero(self.kept[self.pair_sym[self.two]])  # two-word contexts whose parent is retained
+        self.distinct = np.zeros(len(self.seen))  # 0 for a context that is not retained
+        self.distinct[self.one] = self.told(AFTER_ONE, self.hashes[self.one])
+        self.below = np.flatnonzero(self.distinct[self.pair_sym[self.two]])  # two-word contexts whose parent is retained
 
     def after_two(self) -> list[tuple]:
         t = np.bincount(self.triple, weights=self.train[self.at], minlength=len(self.triple_keys))
@@ -222,14 +223,13 @@ class Chunk:
 
     def scores(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text: known tokens, base score and the tree's score."""
-        distinct, kept = np.zeros(len(self.two)), np.zeros(len(self.two), bool)
-        if len(self.below):
-            distinct[self.below], kept[self.below] = self._kept(self.told(AFTER_TWO, self.pair_keys[self.two[self.below]], 2))
+        distinct = np.zeros(len(self.two))
+        distinct[self.below] = self.told(AFTER_TWO, self.pair_keys[self.two[self.below]])
         root = (self.n1 + 1) / (self.model["total"] + self.model["known"] + 1)
         y, s = self.pair_before, self.pair_sym
-        pairs = np.where(self.kept[y], (self.n2 + self.distinct[y] * root[s]) / np.maximum(self.seen[y] + self.distinct[y], 1), root[s])
+        pairs = np.where(self.distinct[y] > 0, (self.n2 + self.distinct[y] * root[s]) / np.maximum(self.seen[y] + self.distinct[y], 1), root[s])
         c, p = self.triple_context, self.triple_pair
-        triples = np.where(kept[c], (self.n3 + distinct[c] * pairs[p]) / np.maximum(self.n2[self.two[c]] + distinct[c], 1), pairs[p])
+        triples = np.where(distinct[c] > 0, (self.n3 + distinct[c] * pairs[p]) / np.maximum(self.n2[self.two[c]] + distinct[c], 1), pairs[p])
         out = np.log10(pairs)[self.pair]
         out[self.at] = np.log10(triples)[self.triple]
         firsts = np.cumsum(np.r_[0, self.sizes[:-1]])
@@ -237,20 +237,28 @@ class Chunk:
         return add((self.n1 > 0)[self.sym].astype(np.int64)), add(np.log10(root)[self.sym]), add(out)
 
 
-def _summed(asked: pa.Table) -> pa.Table:
-    """What the chunks hold of each key, added up, in the order in which each chunk asked."""
+def _summed(asked: pa.Table, divergence: float) -> pa.Table:
+    """What the chunks hold of each key, added up, in the order in which each chunk asked.
+
+    After contexts the answer is the number of distinct symbols, 0 for a context that is not retained.
+    """
     asked = asked.sort_by("chunk")  # sums of fractions shouldn't depend on the order of arrival
     keys = [_unpacked(x.as_buffer(), np.uint64) for x in asked["keys"]]
-    width = 2 if asked["kind"][0].as_py() in (AFTER_ONE, AFTER_TWO) else 1
-    vals = np.concatenate([_unpacked(x.as_buffer(), np.float64) for x in asked["vals"]]).reshape(-1, width)
+    kind = asked["kind"][0].as_py()
     found, at = np.unique(np.concatenate(keys), return_inverse=True)
-    sums = np.stack([np.bincount(at, weights=vals[:, j], minlength=len(found)) for j in range(width)], axis=1)
-    cuts, n = np.cumsum([0, *map(len, keys)]), len(keys)
+    vals, n = [x.as_py() for x in asked["vals"]], len(keys)
+    total = lambda parts: np.bincount(at, weights=np.concatenate([_unpacked(x, _sent(kind)) for x in parts]), minlength=len(found))
+    if kind in (AFTER_ONE, AFTER_TWO):
+        distinct, gain = np.rint(total([v[: len(v) // 2] for v in vals])), total([v[len(v) // 2 :] for v in vals])
+        sums = np.where(gain >= divergence * distinct, distinct, 0).astype(np.int64)
+    else:
+        sums = total(vals).astype(np.int64)
+    cuts = np.cumsum([0, *map(len, keys)])
     reply = sums[at]
     return pa.table({
         "chunk": asked["chunk"], "kind": asked["kind"], "bucket": asked["bucket"],
-        "sums": pa.array([_packed(reply[a:b].ravel()) for a, b in zip(cuts, cuts[1:])], pa.binary()),
-        "known": pa.array([int((sums[:, 0] > 0).sum()), *[0] * (n - 1)], pa.int64()), "total": pa.array([int(sums[:, 0].sum()), *[0] * (n - 1)], pa.int64()),
+        "sums": pa.array([_packed(reply[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
+        "known": pa.array([int((sums > 0).sum()), *[0] * (n - 1)], pa.int64()), "total": pa.array([int(sums.sum()), *[0] * (n - 1)], pa.int64()),
     })
 
 
@@ -283,7 +291,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         return run
 
     def answered(replies: list[DataFrame], step: Callable[[Chunk], list[tuple]], label: str) -> DataFrame:
-        return scratch.write_and_clear(_by_chunk(rows, replies, asks(step), _ASKED).groupBy("kind", "bucket").applyInArrow(_summed, _REPLY), label)
+        return scratch.write_and_clear(_by_chunk(rows, replies, asks(step), _ASKED).groupBy("kind", "bucket").applyInArrow(lambda asked: _summed(asked, divergence), _REPLY), label)
 
     counts = answered([], Chunk.counts, "counts")
     known, total = counts.where(F.col("kind") == WORDS).agg(F.coalesce(F.sum("known"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).collect()[0]
