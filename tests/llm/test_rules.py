@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 
-from reunion.llm.rules import FLOORS, count_text, quality_rules, repeated_words
+from reunion.llm.rules import CONSISTENCY, CORE, CUTOFF, FLOORS, MIN_GROUP, SPREAD, STEPS, count_text, quality_rules, repeated_words
 
 from .util import odd_documents, odd_texts, prose
 
@@ -69,3 +69,56 @@ def test_repeated_lines_alone_reject(spark):
     got = {r["doc_id"]: r for r in quality_rules(spark.createDataFrame(clean + again, "doc_id long, text string, lang string, source string")).collect()}
     assert not any(got[1000 + i]["base_failed"] or got[1000 + i]["kept"] for i in range(3))
     assert sum(got[i]["kept"] for i in range(300)) >= 298
+
+
+def plain_verdicts(rows):
+    """``{id: (distance, kept)}`` by a plain concentration from medians, group by group, for rows (id, text, lang, source)."""
+    counts = {i: brute(t) for i, t, _, _ in rows}
+    vectors = {}
+    for i, t, _, _ in rows:
+        n, chars, symbols, lines, repeats = counts[i]
+        vectors[i] = np.array([np.log((chars + 1) / max(n, 1)), np.sqrt(symbols / max(chars, 1)), np.sqrt(lines / ((t or "").count("\n") + 1)), np.sqrt(repeats / max(n, 1))])
+
+    def at(values, q):  # the smallest value with at least that share of the values up to it
+        return np.sort(values, axis=0)[max(int(np.ceil(q * len(values))) - 1, 0)]
+
+    def distances(x, m, w):
+        return np.einsum("ni,ij,nj->n", x - m, w, x - m)
+
+    def estimate(members):
+        x = np.array([vectors[i] for i in members])
+        spread = np.maximum((at(x, 0.75) - at(x, 0.25)) / 2 * SPREAD, FLOORS)
+        m, w = at(x, 0.5), np.diag(1 / np.square(spread))
+        for _ in range(STEPS):
+            d = distances(x, m, w)
+            core = x[d <= at(d, CORE)]
+            m, cov = core.mean(axis=0), np.cov(core.T, bias=True)
+            w = np.linalg.inv(CONSISTENCY * cov + np.diag(np.square(FLOORS)))
+        return m, w
+
+    groups = [{}, {}, {}]
+    for i, _, lang, source in rows:
+        if counts[i][0]:
+            for k, key in enumerate([(lang, source), lang, None]):
+                groups[k].setdefault(key, []).append(i)
+    found = [{key: estimate(ids) for key, ids in g.items() if k == 2 or len(ids) >= MIN_GROUP} for k, g in enumerate(groups)]
+    out = {}
+    for i, _, lang, source in rows:
+        m, w = found[0].get((lang, source)) or found[1].get(lang) or found[2][None]
+        d = distances(vectors[i][None], m, w)[0]
+        n, repeats = counts[i][0], counts[i][4]
+        out[i] = d, n >= 50 and 100 * repeats <= 50 * n and d <= CUTOFF
+    return out
+
+
+def test_verdicts_against_plain_estimates(spark):
+    """Distances and verdicts of whole given documents equal those of a plain numpy version; groups stay below the sketch's exact size."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "lang", "source").collect()]
+    want = plain_verdicts(rows)
+    got = {r["doc_id"]: r for r in quality_rules(docs).collect()}
+    assert len(got) == len(rows) == len(want)
+    d = np.array([[got[i]["distance"], want[i][0]] for i in want])
+    assert np.allclose(d[:, 0], d[:, 1], rtol=1e-6, atol=1e-9)
+    assert all(got[i]["kept"] == want[i][1] for i in want if abs(want[i][0] - CUTOFF) > 1e-6)
+    assert {w[1] for w in want.values()} == {True, False}
