@@ -2,10 +2,12 @@ import math
 from collections import Counter
 
 import numpy as np
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from reunion.llm.dsir import FEATURES, SHARPNESS, Resampler, features, kth_largest, quality_classes
+from reunion.llm.dsir import EVIDENCE, FEATURES, LEAST_ODDS, PUNCTUATION, SHARPNESS, Resampler, features, gumbel, kth_largest, quality_classes
 
 from .util import odd_documents, odd_texts, prose
 
@@ -83,3 +85,45 @@ def test_kth_largest(spark, values, k):
     df = spark.createDataFrame([(v,) for v in values], "order long")
     got = kth_largest(df, "order", k)
     assert got == (sorted(values, reverse=True)[k - 1] if k <= len(values) else None)
+
+
+def plain_marks(rows, target):
+    """Log odds of word buckets that mark labelled texts outside the target, from the definition; ``target`` has the labelled ids."""
+    with_word, size = [Counter(), Counter()], [0, 0]
+    for i, t in rows:
+        if i in target:
+            size[target[i]] += 1
+            with_word[target[i]].update(word_buckets(t))
+    n, m = size
+    out = {}
+    for b, x in with_word[0].items():
+        y = with_word[1][b]
+        odds = math.log(x / n) - math.log((y + 1) / (m + 1))
+        evidence = x * math.log(x / (x + y) * (n + m) / n) + (y * math.log(y / (x + y) * (n + m) / m) if y else 0.0)
+        if odds >= LEAST_ODDS and evidence >= EVIDENCE:
+            out[b] = odds
+    return out
+
+
+def word_buckets(t):
+    return {xxhash.xxh64_intdigest(w.strip(PUNCTUATION)) >> 46 for w in t.encode().lower().split()}
+
+
+def test_keys_and_number_kept(spark):
+    """Key = weight - marks + noise for every document, and exactly the k largest keys are kept."""
+    bad = "wretched"
+    rows = [(i, prose(i, 60 + i % 9) + (f" {bad}!" if i % 4 == 0 else "")) for i in range(120)]
+    labels = [(i, 1, int(i % 4 == 0)) for i in range(80)]
+    target = {i: int(not x) for i, _, x in labels}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in quality_classes(docs, label_frame(spark, labels)).collect()}
+    noise = {r["doc_id"]: r["g"] for r in docs.select("doc_id", gumbel(F.lit(1), F.col("doc_id").cast("string"), F.col("text")).alias("g")).collect()}
+    marks = plain_marks(rows, target)
+    assert set(marks) >= word_buckets(bad)
+    for i, t in rows:
+        against = SHARPNESS * sum(marks.get(b, 0.0) for b in word_buckets(t))
+        assert math.isclose(got[i]["key"], got[i]["weight"] - against + noise[i], rel_tol=1e-9, abs_tol=1e-9)
+    k = math.ceil(sum(target.values()) / len(target) * len(rows))
+    order = sorted(got, key=lambda i: -got[i]["key"])
+    assert {i for i in got if got[i]["kept"]} == set(order[:k])
+    assert not any(got[i]["kept"] for i in got if i % 4 == 0)
