@@ -116,3 +116,51 @@ def test_training_lines_are_spread(spark):
     per = [sum(x.startswith(f"source {k} ") for x in got) for k in range(4)]
     assert min(per) >= 8
     assert got == train_lines(df.repartition(5).orderBy(F.col("text").desc()), lines=120)
+
+
+def plain_spans(field, text):
+    """All spans of one whole text: the patterns', and those of a decode line by line and word by word."""
+    base = plain(text)
+    data = text.encode()
+    w = Words([data])
+    scores = field.scores(w.features)
+    cuts = np.flatnonzero(w.new).tolist()
+    added = []
+    for s, e in zip(cuts, [*cuts[1:], len(scores)]):
+        best, back = [field.first[y] + scores[s, y] for y in range(LABELS)], []
+        for k in range(s + 1, e):
+            from_ = [max(range(LABELS), key=lambda x: best[x] + field.step[x, y]) for y in range(LABELS)]
+            best = [best[from_[y]] + field.step[from_[y], y] + scores[k, y] for y in range(LABELS)]
+            back.append(from_)
+        labels = [max(range(LABELS), key=lambda y: best[y])]
+        for from_ in reversed(back):
+            labels.insert(0, from_[labels[0]])
+        k = 0
+        while k < e - s:
+            last = k
+            while labels[k] >= 3 and last + 1 < e - s and labels[last + 1] == labels[k]:  # a card or phone of several words
+                last += 1
+            if labels[k]:
+                a, b = int(w.start[s + k]), int(w.end[s + last])
+                edge = b".,;:!?<>()[]{}\"'"
+                while a < b and data[a : a + 1] in [bytes([c]) for c in edge]:
+                    a += 1
+                while b > a and data[b - 1 : b] in [bytes([c]) for c in edge]:
+                    b -= 1
+                x, y = len(data[:a].decode()), len(data[:b].decode())
+                if x < y and not any(p < y and q > x for p, _, q in base):
+                    added.append((x, labels[k] - 1, y))
+            k = last + 1
+    return base, sorted(base + added)
+
+
+def test_whole_documents_against_a_plain_decode(spark, field):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r["doc_id"], r["text"] or "") for r in docs.select("doc_id", "text").collect()] + [(-1, PII.replace("@", " at ")), (-2, "call 555-4827 or (632) 555 4827 now")]
+    got = {r["doc_id"]: r for r in personal_data(spark.createDataFrame(rows, "doc_id long, text string"), field=field).collect()}
+    more = 0
+    for i, t in rows:
+        base, spans = plain_spans(field, t)
+        assert got[i]["spans"] == ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans), i
+        more += len(spans) - len(base)
+    assert more == sum(r["n_added"] for r in got.values()) > 0
