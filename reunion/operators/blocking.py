@@ -95,19 +95,25 @@ def block_maxima(stacked: DataFrame, n_rules: int, extra: DataFrame | None = Non
     return out + [tail[k] for k in sorted(tail, reverse=True)]
 
 
+#: Buckets that a block is dealt into at most, unless a bucket would hold more than the default number of records. A record is
+#: copied once per bucket, so a small ``block_split`` must not make as many as there are records in a block.
+MAX_BUCKETS = 4
+
+
+def tiles_of(sized: DataFrame, split: int) -> DataFrame:
+    """Add ``_b`` (bucket) and one row per bucket pair ``(_lo, _hi)`` to records with the size ``_n`` of their block."""
+    buckets = f"CAST(least(ceil(_n / {split}), greatest({MAX_BUCKETS}, ceil(_n / {DEFAULT_BLOCK_SPLIT}))) AS INT)"
+    tagged = sized.withColumn("_s", F.expr(f"IF(_n > {split}, {buckets}, 1)"))
+    tagged = tagged.withColumn("_b", F.pmod(F.xxhash64(F.col("uid")), F.col("_s")).cast("int"))
+    tagged = tagged.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_s") - F.lit(1))))
+    return tagged.select("*", F.least("_b", "_j").alias("_lo"), F.greatest("_b", "_j").alias("_hi")).drop("_j", "_s", "_n")
+
+
 def _salt(stacked: DataFrame, split: int) -> DataFrame:
     """Add ``_b`` (bucket) and one row per bucket pair ``(_lo, _hi)``; cold blocks keep one copy."""
-    hot = (
-        stacked.groupBy("rule", "key")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > F.lit(split))
-        .select("rule", "key", F.ceil(F.col("_n") / F.lit(split)).cast("int").alias("_s"))
-    )
+    hot = stacked.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(split))
     # broadcast or shuffled as its size in bytes decides (AQE)
-    tagged = stacked.join(hot, ["rule", "key"], "left").withColumn("_s", F.coalesce(F.col("_s"), F.lit(1)))
-    tagged = tagged.withColumn("_b", F.pmod(F.xxhash64(F.col("uid")), F.col("_s")).cast("int"))
-    tagged = tagged.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_s") - F.lit(1))))
-    return tagged.select("*", F.least("_b", "_j").alias("_lo"), F.greatest("_b", "_j").alias("_hi")).drop("_j", "_s")
+    return tiles_of(stacked.join(hot, ["rule", "key"], "left").withColumn("_n", F.coalesce(F.col("_n"), F.lit(1))), split)
 
 
 def candidate_pairs(
@@ -129,12 +135,17 @@ def candidate_pairs(
     carry = list(rule_columns(rules) if carry is None else carry)
     needed = list(dict.fromkeys([*rule_columns(rules, within), *carry]))
     stacked = stack_rules(slim, rules, id_col=id_col, within=within, carry=needed)
-    keys = ["rule", "key"]
-    cond = []
     if block_split and maxima is None:
         maxima = block_maxima(stacked, len(rules))
-    if block_split and max(maxima or [0]) > block_split:
-        stacked = _salt(stacked, block_split)
+    return joined_pairs(stacked, rules, within, carry, block_split if block_split and max(maxima or [0]) > block_split else None)
+
+
+def joined_pairs(stacked: DataFrame, rules: Rules, within: Sequence[str], carry: Sequence[str], salt: int | None) -> DataFrame:
+    """The pairs of :func:`stack_rules` rows, blocks of over ``salt`` records spread over several tasks."""
+    keys = ["rule", "key"]
+    cond = []
+    if salt:
+        stacked = _salt(stacked, salt)
         keys += ["_lo", "_hi"]
         cond.append("(l._lo = l._hi OR l._b <> r._b)")
     cond = [f"l.{k} = r.{k}" for k in keys] + ["l.uid < r.uid"] + cond + agree_sql(rules, within)

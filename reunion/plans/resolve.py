@@ -36,9 +36,10 @@ from ..errors import MatchError
 from ..functions.levels import match_probability_sql, q, unit_sql
 from ..functions.similarity import check_unit
 from ..model import Model
-from ..operators.blocking import DEFAULT_BLOCK_SPLIT, as_rules, block_maxima, candidate_pairs, rule_columns, stack_rules
+from ..operators.blocking import DEFAULT_BLOCK_SPLIT, as_rules, block_maxima, rule_columns, stack_rules
 from ..operators.clusters import best_match_probability, dense_ids
 from ..operators.components import connected_components
+from ..operators.dense import reachable_pairs
 from ..operators.near import near_pairs
 from ..operators.scoring import compare_pairs, link_pairs, prune_unreachable, score_pairs
 from ..session import ensure_checkpoint_dir, materialize, traced
@@ -191,7 +192,9 @@ def resolve_labels(
     maxima, largest_profile, stats = found[: len(rules)], found[len(rules)], found[len(rules) + 1 :]
     if on_stats is not None:
         on_stats(stats)
-    pairs = candidate_pairs(profiles, rules, id_col="pid", within=within, carry=cols, block_split=block_split, maxima=maxima)
+    pairs = reachable_pairs(
+        profiles, rules, model, t, id_col="pid", within=within, carry=cols, unit=unit, block_split=block_split, maxima=maxima
+    )
     for more in near_pairs(profiles, model.near, rules, id_col="pid", within=within, carry=cols, unit=unit, block_split=block_split):
         pairs = pairs.unionByName(more)
     pairs = prune_unreachable(pairs, model, t, unit=unit)
