@@ -10,7 +10,7 @@ T2  u: level frequencies among random pairs. All records are spread over seeded
     do, so only their values are shuffled. The sample is the same on every run.
 T3  m: expectation-maximisation, one pass per column blocked on that column, training the
     *other* columns. Records with equal values are one profile, a pair of profiles weighs the
-    product of their counts, so copies cost no pairs. All passes share one written table of counts
+    product of their counts, so copies cost no pairs, and large blocks are counted in matrices (``dense``). All passes share one written table of counts
     per level pattern; an iteration is one aggregate over it, and only the parameters
     (a few numbers per pass and level) reach the driver.
 T4  best effort: a step without data is skipped and reported, never an error.
@@ -40,7 +40,8 @@ from ..constants import (
 from ..functions.levels import q, sql_array, sql_double
 from ..model import Comparison, Model
 from ..session import release, traced, write_table
-from .blocking import DEFAULT_BLOCK_SPLIT, Rules, as_rules, candidate_pairs, rule_columns, stack_rules
+from .blocking import DEFAULT_BLOCK_SPLIT, Rules, as_rules, block_maxima, candidate_pairs, rule_columns, stack_rules
+from .dense import DENSE_BLOCK, level_counts
 from .scoring import compare_pairs, level_col
 
 
@@ -193,13 +194,20 @@ def em_patterns(
     """``(pattern levels of the other columns..., n)`` over all pairs of records agreeing on ``blocked``."""
     others = [c for c in model.columns if c != blocked]
     sub = Model(model.prior, tuple(model.comparison(c) for c in others))
-    # all pairs agreeing on the blocked column (one rule, hot blocks salted)
-    pairs = candidate_pairs(profiles, [blocked], id_col="uid", carry=[*others, "weight"], block_split=block_split)
+    # all pairs agreeing on the blocked column: large blocks in matrices, the others as pairs (one rule, hot blocks salted)
+    counted = None
+    maxima = block_maxima(stack_rules(profiles, [blocked], id_col="uid"), 1)
+    rest = profiles
+    if maxima[0] > DENSE_BLOCK:
+        counted, rest = level_counts(profiles, blocked, sub, id_col="uid", weight="weight", unit=unit, block_split=block_split)
+    pairs = candidate_pairs(rest, [blocked], id_col="uid", carry=[*others, "weight"], block_split=block_split, maxima=maxima)
     levels = compare_pairs(pairs, sub, unit=unit).withColumn("w", F.col("weight_l") * F.col("weight_r"))
     # the records of one profile among themselves: equal wherever a value is set
     exact = [f"CASE WHEN {q(c)} IS NULL THEN {NULL_LEVEL} ELSE {sub.comparison(c).exact_level} END AS {q(level_col(c))}" for c in others]
     copies = profiles.where(f"weight > 1 AND {q(blocked)} IS NOT NULL").selectExpr(*exact, "weight * (weight - 1) div 2 AS w")
     every = levels.select(*[q(level_col(c)) for c in others], "w").unionByName(copies)
+    if counted is not None:
+        every = every.unionByName(counted)
     return every.groupBy(*[q(level_col(c)) for c in others]).agg(F.sum("w").cast("bigint").alias("n"))
 
 
