@@ -3,8 +3,8 @@
 Alternating large-star and small-star (Kiveris, Lattanzi, Mirrokni, Rastogi, Vassilvitskii:
 "Connected Components in MapReduce and Beyond", SoCC 2014), with a contraction before each round:
 the edges are dealt into partitions of bounded size by a hash of both ends, and each
-partition replaces its edges by the stars of their components. Edges that fit one partition are
-done with that.
+partition replaces its edges by the stars of their components. A task contracts several small partitions one after
+the other. Edges that fit one partition are done with that.
 
 A round writes its two tables of least neighbours (one row per node) and joins the edges with them.
 Both sides of these joins are plain shuffles of written tables, so AQE splits the partition of a
@@ -54,16 +54,21 @@ def contracted(edges: DataFrame, count: int, partition_edges: int = PARTITION_ED
     """Edges ``(a, b)`` with a > b (long): each partition's edges replaced by the stars of their components."""
 
     def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = [], []
-        for batch in batches:
-            a.append(batch.column(0).to_numpy(zero_copy_only=False))
-            b.append(batch.column(1).to_numpy(zero_copy_only=False))
-        if a:
-            x, y = _stars(np.concatenate(a), np.concatenate(b))
+        parts = [[batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)] for batch in batches]
+        if parts:
+            a, b, deal = (np.concatenate(p) for p in zip(*parts))
+            order = np.argsort(deal, kind="stable")
+            a, b, deal = a[order], b[order], deal[order]
+            # the partitions dealt to this task, one after the other
+            ends = [*np.flatnonzero(deal[1:] != deal[:-1]) + 1, len(deal)]
+            found = [_stars(a[s:e], b[s:e]) for s, e in zip([0, *ends], ends) if e > s]
+            x, y = (np.concatenate(f) for f in zip(*found)) if found else (a, b)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
 
     n = max(1, -(-count // partition_edges))
-    return edges.select("a", "b").repartition(n, "a", "b").mapInArrow(contract, "a long, b long")
+    dealt = edges.selectExpr("a", "b", f"pmod(xxhash64(a, b), {n}L) AS deal")
+    tasks = min(n, max(int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-count // PARTITION_EDGES)))
+    return dealt.repartition(tasks, "deal").mapInArrow(contract, "a long, b long")
 
 
 def _neighbours(e: DataFrame) -> DataFrame:

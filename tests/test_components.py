@@ -124,3 +124,14 @@ def test_registered_rounds_run(spark, monkeypatch):
     got = sorted(map(tuple, QUERIES["components_rounds"].spark(spark, "/root/testdata/sf0.01").collect()))
     assert len(rounds) >= 2
     assert got == sorted(map(tuple, QUERIES["connected_components"].spark(spark, "/root/testdata/sf0.01").collect()))
+
+
+def test_small_partitions_share_tasks(spark):
+    """Partitions of few edges are many; they are contracted by few tasks, each partition by itself."""
+    from reunion.operators.components import contracted
+
+    edges = spark.range(4000).selectExpr("id + 1 AS a", "id AS b")
+    out = contracted(edges, 4000, 5)
+    assert out.rdd.getNumPartitions() <= 8
+    assert out.count() > 3000  # one partition of all would be a single star, too, but with one root
+    assert out.select("b").distinct().count() > 400
