@@ -1,6 +1,7 @@
 """Candidate pairs whose values are at most k edits apart: a segment inverted index, exact.
 
-A value of length L is cut into k + 1 even segments. k edits can't touch them all, so of two values at most k edits
+A value of length L is cut into k + 1 segments (even ones, or for short values where a sample of that length shows that even ones
+would be shared by many). k edits can't touch them all, so of two values at most k edits
 apart the shorter one's segments leave one that stands unchanged in the longer one, and not far from
 its own place: for a length difference d it is moved by at most ``(k - d) // 2`` to the left and
 ``(k + d) // 2`` to the right. So every value goes into the index by the hashes of its k + 1 segments (with
@@ -17,6 +18,7 @@ Values of fewer than k + 1 characters have empty segments, which meet all values
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -27,21 +29,71 @@ from ..session import traced, write_table
 from .blocking import DEFAULT_BLOCK_SPLIT, as_rules
 
 
-def _segment(length: str, i: str, k: int) -> tuple[str, str]:
-    """Start (from 0) and size of segment ``i`` of a value of that length (SQL); the last ones take the remainder."""
+#: Values of up to this many characters are cut where a sample of those of their length has the fewest equal segments.
+CUT_LENGTH = 64
+_CUT_SAMPLE = 300  # sampled values of a length
+_CUT_LEAST = 30  # fewer: even segments
+
+
+def _best_starts(values: list[str], k: int) -> list[int]:
+    """Starts of ``k + 1`` segments of values of one length with the least sum of shares of equal pairs."""
+    n, pairs = len(values[0]), len(values) * (len(values) - 1)
+
+    def cost(s: int, e: int) -> float:
+        # a sample doesn't show rare equality, so short segments cost at least what sixteen letters would give
+        return sum(c * (c - 1) for c in Counter(v[s:e] for v in values).values()) / pairs + 16.0 ** (s - e)
+
+    costs = {(s, e): cost(s, e) for s in range(n) for e in range(s + 1, n + 1)}
+    best = {e: (costs[0, e], [0]) for e in range(1, n + 1)}
+    for _ in range(k):
+        best = {e: min((best[s][0] + costs[s, e], [*best[s][1], s]) for s in best if s < e) for e in range(min(best) + 1, n + 1)}
+    base, even = n // (k + 1), k + 1 - n % (k + 1)
+    starts = [i * base + max(0, i - even) for i in range(k + 1)]
+    return best[n][1] if 2 * best[n][0] < sum(costs[s, e] for s, e in zip(starts, [*starts[1:], n])) else starts
+
+
+def segment_starts(values: DataFrame, k: int) -> dict[int, list[int]]:
+    """Starts of the segments by length, where even ones would be shared by many values; ``values`` has ``v`` and its length ``n``.
+
+    Every choice finds all near pairs, so a bounded sample (by a hash of the value) is enough: the number of values of a length, then some of each.
+    """
+    short = values.where(f"n BETWEEN {2 * (k + 1)} AND {CUT_LENGTH}")
+    with traced("near-lengths"):
+        many = {r["n"]: r["many"] for r in short.groupBy("n").agg(F.count(F.lit(1)).alias("many")).collect()}
+    if not many:
+        return {}
+    every = ", ".join(f"{n}L, {-(-m // _CUT_SAMPLE)}L" for n, m in many.items())
+    some = short.where(f"pmod(xxhash64(v), element_at(map({every}), n)) = 0").select("n", "v").distinct()
+    per_length = some.groupBy("n").agg(F.slice(F.sort_array(F.collect_set("v")), 1, 2 * _CUT_SAMPLE).alias("vs"))
+    with traced("near-starts"):
+        return {r["n"]: _best_starts(r["vs"], k) for r in per_length.collect() if len(r["vs"]) >= _CUT_LEAST}
+
+
+def _segment(length: str, i: str, k: int, starts: dict[int, list[int]]) -> tuple[str, str]:
+    """Start (from 0) and size of segment ``i`` of a value of that length (SQL); of even ones the last take the remainder."""
     base, even = f"({length} div {k + 1})", f"({k + 1} - {length} % {k + 1})"
-    return f"({i} * {base} + greatest(0, {i} - {even}))", f"({base} + IF({i} >= {even}, 1, 0))"
+    start, size = f"({i} * {base} + greatest(0, {i} - {even}))", f"({base} + IF({i} >= {even}, 1, 0))"
+    if not starts:
+        return start, size
+    of = f"element_at(map({', '.join(f'{n}L, array({_longs([*s, n])})' for n, s in starts.items())}), CAST({length} AS BIGINT))"
+    own, end = f"element_at({of}, CAST({i} AS INT) + 1)", f"element_at({of}, CAST({i} AS INT) + 2)"
+    return f"coalesce({own}, {start})", f"coalesce({end} - {own}, {size})"
+
+
+def _longs(values: Sequence[int]) -> str:
+    return ", ".join(f"{v}L" for v in values)
 
 
-def segment_keys_sql(value: str, k: int) -> tuple[str, str]:
+def segment_keys_sql(value: str, k: int, starts: dict[int, list[int]] | None = None) -> tuple[str, str]:
     """The hashes a value is indexed by, and those it asks for (SQL arrays). ``value`` is a column name, ``n`` its length."""
+    starts = starts or {}
 
     def key(length: str, start: str, size: str) -> str:
         return f"xxhash64({length}, i, substr({value}, CAST({start} AS INT) + 1, CAST({size} AS INT)))"
 
-    start, size = _segment("n", "i", k)
+    start, size = _segment("n", "i", k, starts)
     indexed = f"transform(sequence(0, {k}), i -> {key('n', start, size)})"
-    start, size = _segment("m", "i", k)
+    start, size = _segment("m", "i", k, starts)
     low, high = f"greatest(0, {start} - ({k} - n + m) div 2)", f"least(n - {size}, {start} + ({k} + n - m) div 2)"
     window = f"CASE WHEN {high} < {low} THEN CAST(array() AS ARRAY<BIGINT>) ELSE transform(sequence({low}, {high}), p -> {key('m', 'p', size)}) END"
     asked = f"flatten(transform(sequence(greatest(0L, n - {k}), n), m -> flatten(transform(sequence(0, {k}), i -> {window}))))"
@@ -79,7 +131,7 @@ class NearValues:
         # 128 bits: values are told apart by it, never shuffled
         self._digests = value.selectExpr("uid", "unhex(md5(t)) AS digest")
         mapped = value.selectExpr("uid", "unhex(md5(t)) AS digest", f"{unit_sql('t', unit)} AS v").selectExpr("uid", "digest", "v", "CAST(length(v) AS BIGINT) AS n")
-        indexed, asked = segment_keys_sql("v", edits)
+        indexed, asked = segment_keys_sql("v", edits, segment_starts(mapped, edits))
         keyed = mapped.selectExpr("uid", "digest", "n", f"{indexed} AS indexed", f"{asked} AS asked")
         distinct = keyed.groupBy("digest").agg(F.min("uid").alias("vid"), F.count(F.lit(1)).alias("holders"), F.first("n").alias("n"), F.first("indexed").alias("indexed"), F.first("asked").alias("asked"))
         self.values, self.folder = write_table(distinct, "near-values")

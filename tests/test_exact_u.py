@@ -74,3 +74,20 @@ def test_ordered_results_come_in_input_order(spark):
     assert [r["id"] for r in resolve(df, ["name"], id_col="id", ordered=True).collect()] == sorted(ids)
     one = spark.createDataFrame([(i, f"n{i % 2}") for i in ids], "id long, name string").coalesce(1)
     assert [r["id"] for r in resolve(one, ["name"], ordered=True).collect()] == ids  # without an id: as read
+
+
+def test_a_common_ending_makes_few_candidates(spark):
+    """Values that share most of their text are cut where they differ: few candidates, all near pairs."""
+    import random
+
+    from reunion.operators.near import NearValues, near_value_pairs
+
+    rng = random.Random(4)
+    heads = ["".join(rng.choices("0123456789abcdef", k=8)) for _ in range(600)]
+    heads += [h[:3] + "z" + h[4:] for h in heads[:40]] + [h[1:] for h in heads[40:80]] + [h[:5] + "yy" + h[5:] for h in heads[80:120]]
+    df = spark.createDataFrame([(i, h + "@building.example") for i, h in enumerate(heads)], "uid bigint, t string")
+    got = sorted((r["a"], r["b"], r["distance"]) for r in near_value_pairs(df, "t", 2).collect())
+    sql = "SELECT l.uid AS a, r.uid AS b, levenshtein(l.t, r.t) AS distance FROM v l JOIN v r ON l.uid < r.uid WHERE levenshtein(l.t, r.t) <= 2"
+    df.createOrReplaceTempView("v")
+    assert got == sorted(map(tuple, spark.sql(sql).collect()))
+    assert NearValues(df, "t", 2).candidates.count() < len(heads) * (len(heads) - 1) // 2 // 20
