@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from ..constants import CLUSTER_COL, PROB_COL, RESULT_ROUND_DIGITS
 from ..model import Model
-from ..operators.blocking import block_stats, candidate_pairs
+from ..operators.blocking import block_maxima, block_stats, candidate_pairs, stack_rules
 from ..operators.clusters import best_match_probability
 from ..operators.components import connected_components
+from ..operators.dense import reachable_pairs
 from ..operators.near import near_pairs, near_value_pairs
 from ..operators.scoring import compare_pairs, link_pairs, score_pairs
 from ..sources.fixtures import PLANTED_CUSTOMERS_SQL as PLANTED_SOURCE_SQL
@@ -62,8 +63,12 @@ class Workload:
         t = self.threshold if threshold is None else threshold
         return resolve(self.rows(spark, sf_dir), model=self.model, threshold=t, id_col=self.id_col)
 
-    def pairs(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+    def pairs(self, spark: SparkSession, sf_dir: str, threshold: float | None = None) -> DataFrame:
+        """All candidate pairs, or those of large blocks only that may reach a threshold."""
         slim = self.slim(spark, sf_dir)
+        if threshold is not None and not self.model.near:
+            maxima = block_maxima(stack_rules(slim, self.model.rules, id_col="uid"), len(self.model.rules))
+            return reachable_pairs(slim, self.model.rules, self.model, threshold, carry=self.columns, maxima=maxima)
         pairs = candidate_pairs(slim, self.model.rules, carry=self.columns)
         for more in near_pairs(slim, self.model.near, self.model.rules, carry=self.columns):
             pairs = pairs.unionByName(more)
@@ -117,8 +122,8 @@ FROM (SELECT {qi(c)}, count(*) AS n FROM slim WHERE {qi(c)} IS NOT NULL GROUP BY
 )
 
 
-def _levels(w: Workload, spark, sf_dir) -> DataFrame:
-    return compare_pairs(w.pairs(spark, sf_dir), w.model)
+def _levels(w: Workload, spark, sf_dir, threshold: float | None = None) -> DataFrame:
+    return compare_pairs(w.pairs(spark, sf_dir, threshold), w.model)
 
 
 def q_name_levels(spark, sf_dir):
@@ -147,7 +152,7 @@ def q_scored_pairs(spark, sf_dir):
 
 
 def _links(w: Workload, spark, sf_dir) -> DataFrame:
-    return link_pairs(score_pairs(_levels(w, spark, sf_dir), w.model), w.threshold).select("uid_l", "uid_r", PROB_COL)
+    return link_pairs(score_pairs(_levels(w, spark, sf_dir, w.threshold), w.model), w.threshold).select("uid_l", "uid_r", PROB_COL)
 
 
 def q_linked_pairs(spark, sf_dir):
