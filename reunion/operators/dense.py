@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -186,6 +186,12 @@ def _reach(columns: dict[str, _Values], bounds: Sequence[Bound], base: float, li
         yield np.minimum(p, r), np.maximum(p, r)
 
 
+def _dealt(tiles: DataFrame) -> GroupedData:
+    """Tiles as groups, dealt over all shuffle partitions: their work grows with the pairs, not the bytes, so AQE must not put partitions together by bytes."""
+    keys = ["rule", "key", "_lo", "_hi"]
+    return tiles.repartition(int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys).groupBy(*keys)
+
+
 def _large(stacked: DataFrame, columns: Sequence[str], least: int) -> DataFrame:
     """``(rule, key, _n)`` of the blocks of over ``least`` records without a long value."""
     longest = F.greatest(F.lit(0), *[F.coalesce(F.length(q(c)), F.lit(0)) for c in columns])
@@ -239,7 +245,7 @@ def reachable_pairs(
         + [T.StructField(f"{c}_{s}", kinds[c]) for c in needed for s in ("l", "r")]
     )
     tiles = tiles_of(stacked.join(large, ["rule", "key"]), block_split or DEFAULT_BLOCK_SPLIT).select("uid", *[q(c) for c in needed], "rule", "key", "_b", "_lo", "_hi")
-    found = tiles.groupBy("rule", "key", "_lo", "_hi").applyInArrow(search, schema)
+    found = _dealt(tiles).applyInArrow(search, schema)
 
     def same(rule: Sequence[str]) -> str:
         return " AND ".join(f"{q(c + '_l')} = {q(c + '_r')}" for c in dict.fromkeys([*rule, *within]))
@@ -365,4 +371,4 @@ def level_counts(
 
     schema = T.StructType([*[T.StructField(f"{c}_level", T.IntegerType()) for c in others], T.StructField("w", T.LongType())])
     tiles = tiles_of(stacked.join(large, ["rule", "key"]), block_split or DEFAULT_BLOCK_SPLIT).select("uid", *[q(c) for c in dict.fromkeys([*others, weight])], "rule", "key", "_b", "_lo", "_hi")
-    return tiles.groupBy("rule", "key", "_lo", "_hi").applyInArrow(count, schema), small
+    return _dealt(tiles).applyInArrow(count, schema), small

@@ -79,6 +79,13 @@ def test_large_blocks_leave_few_pairs(spark):
     assert few.count() < 600 * 599 // 2 // 20
 
 
+def test_large_blocks_are_spread_over_the_shuffle_partitions(spark):
+    rows = [(i, f"ann{i // 40}", f"s{i % 40}", f"m{i // 80}@x.example") for i in range(1600)]
+    df = spark.createDataFrame(rows, "uid bigint, first_name string, last_name string, email string")
+    few = reachable_pairs(df, ["last_name"], MODELS["default"], 0.5, carry=COLUMNS, maxima=[40], dense_block=3)
+    assert few.select(F.spark_partition_id().alias("p")).distinct().count() >= 4
+
+
 def test_a_small_split_copies_no_record_for_every_other(spark):
     df = spark.createDataFrame([(i, "same") for i in range(400)], "uid bigint, s string")
     stacked = stack_rules(df, ["s"], id_col="uid")
