@@ -57,6 +57,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.tok.model._resize_cache(0)  # the memory gives it each segment once
         self.n_bytes = np.zeros(self.tok.get_vocab_size(), np.int64)
         for token, i in self.tok.get_vocab().items():  # byte-level: a character stands for a byte
             self.n_bytes[i] = len(token)
@@ -68,17 +69,22 @@ class Encoder:
 
     def _learn(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of new segments one after the other, and where each one's end."""
-        text = [s.decode() for s in segments]
-        joined = np.array([t[0] == " " and not t[-1].isspace() for t in text], bool)
-        if self.special.search(b"".join(segments)):
+        n, whole = len(segments), b"".join(segments)
+        length = np.fromiter(map(len, segments), np.int64, n)
+        data, stop = np.frombuffer(whole, np.uint8), np.cumsum(length)
+        first, last = data[stop - length], data[stop - 1]
+        joined = (first == 32) & (last > 32) & (last < 128)
+        for k in np.flatnonzero((first == 32) & ~joined).tolist():  # a control character or one of several bytes at the end
+            joined[k] = not segments[k].decode()[-1].isspace()
+        if self.special.search(whole):
             joined &= [self.special.search(s) is None for s in segments]
-        size = np.zeros(len(text), np.int64)
-        together, alone = np.flatnonzero(joined).tolist(), np.flatnonzero(~joined).tolist()
-        each = [np.array(e.ids, np.uint32) for e in self.tok.encode_batch([text[k] for k in alone], add_special_tokens=False)]
+        size = np.zeros(n, np.int64)
+        together, alone = np.flatnonzero(joined), np.flatnonzero(~joined).tolist()
+        each = [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast([segments[k].decode() for k in alone], add_special_tokens=False)]
         size[alone] = list(map(len, each))
-        ids = np.array(self.tok.encode("".join([text[k] for k in together]), add_special_tokens=False).ids if together else [], np.uint32)
-        stop = np.cumsum([len(segments[k]) for k in together])
-        cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), stop) + 1
+        text = (b"".join([segments[k] for k in together.tolist()]) if alone else whole).decode()
+        ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum(length[together])) + 1
         size[together] = np.diff(cuts, prepend=0)
         ends = np.cumsum(size)
         flat = np.empty(int(ends[-1]), np.uint32)

@@ -92,3 +92,22 @@ ENCODER, TOKENIZER = Encoder(PATH), Tokenizer.from_file(PATH)
 def test_ids_are_the_library_s(texts):
     """Also where a special token stands in a text."""
     assert [x.tolist() for x in ENCODER.encode(texts)] == [e.ids for e in TOKENIZER.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_new_segments_are_learnt_in_two_calls():
+    """Without offsets, in one text for those between spaces and one call for the rest, and no segment twice."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain, enc, calls = Tokenizer.from_file(path), Encoder(path), []
+
+    class Library:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            calls.append(list(texts))
+            return plain.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    enc.tok = Library()
+    texts = ["One two  three\n", " two d\u00e9j\u00e0 vu\u00a0 two\x00 x\x1f y", "two <|endoftext|> three", "", None]
+    got = enc.encode(texts)
+    assert [x.tolist() for x in got] == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(calls) == 2 and len(calls[1]) == 1
+    enc.encode(texts)
+    assert len(calls) == 2
