@@ -1,11 +1,14 @@
-"""Cluster-level stages: best probability per record and stable cluster ids."""
+"""Cluster-level stages: copies as one profile, best probability per record and stable cluster ids."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import PROB_COL
+from ..functions.levels import q
 from ..session import ensure_checkpoint_dir, materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the record number in the low 33 bits
@@ -19,6 +22,32 @@ def best_match_probability(links: DataFrame, src: str = "uid_l", dst: str = "uid
     return ends.groupBy("uid").agg(F.max("p").alias("best"))
 
 
+def copy_profiles(slim: DataFrame, keys: Sequence[str], id_col: str = "uid") -> tuple[DataFrame, DataFrame]:
+    """Records of equal values as one profile: ``(pid, lo, hi, <keys...>)`` with the least and the largest id of its records, and the
+    members ``(uid, pid, lo, hi)``. Ids may repeat; records without one are left out."""
+    # 128 bits tell the values apart, so that members move without them
+    digest = f"unhex(md5(concat({', '.join(f"coalesce(md5(CAST({q(c)} AS STRING)), '-')" for c in keys)})))"
+    rows = slim.where(F.col(q(id_col)).isNotNull()).selectExpr(f"{q(id_col)} AS uid", f"{digest} AS digest", *[q(c) for c in keys])
+    grouped = rows.groupBy("digest", *[q(c) for c in keys]).agg(F.min("uid").alias("lo"), F.max("uid").alias("hi"))
+    profiles = materialize(grouped.withColumn("pid", F.monotonically_increasing_id()), "profiles")
+    members = rows.select("uid", "digest").join(profiles.select("digest", "pid", "lo", "hi"), "digest").select("uid", "pid", "lo", "hi")
+    return profiles.drop("digest"), members
+
+
+def member_links(links: DataFrame, profiles: DataFrame, members: DataFrame, self_probability: Column, threshold: float) -> DataFrame:
+    """Links of records that give the components and the best probabilities that all links of the records would give.
+
+    Of a link of two profiles every member gets the one to the other's first record (to its last, where that is the member itself), and
+    every member of a profile whose copies are linked the one to its own first: as many as members, not as pairs of them.
+    """
+    ends = links.selectExpr("uid_l AS pid", "uid_r AS other", PROB_COL).unionByName(links.selectExpr("uid_r AS pid", "uid_l AS other", PROB_COL))
+    to = ends.join(profiles.selectExpr("pid AS other", "lo", "hi"), "other").select("pid", "lo", "hi", PROB_COL)
+    own = profiles.withColumn(PROB_COL, self_probability).where((F.col("lo") < F.col("hi")) & (F.col(PROB_COL) >= F.lit(float(threshold))))
+    to = to.unionByName(own.select("pid", "lo", "hi", PROB_COL))
+    met = members.select("uid", "pid").join(to, "pid").selectExpr("uid", "IF(uid = lo, hi, lo) AS met", PROB_COL).where("uid <> met")
+    return met.selectExpr("least(uid, met) AS uid_l", "greatest(uid, met) AS uid_r", PROB_COL)
+
+
 def dense_ids(keys: DataFrame, col: str, out: str = "cluster_id", *, num_partitions: int | None = None) -> DataFrame:
     """``(col, out)``: ``out`` is the 0-based dense rank of ``col`` as a string ("0", "1", ...).
 

@@ -15,15 +15,16 @@ from pyspark.sql import functions as F
 from ..constants import CLUSTER_COL, PROB_COL, RESULT_ROUND_DIGITS
 from ..model import Model
 from ..operators.blocking import block_maxima, block_stats, candidate_pairs, stack_rules
-from ..operators.clusters import best_match_probability
+from ..operators.clusters import best_match_probability, copy_profiles, member_links
 from ..operators.components import connected_components
 from ..operators.dense import reachable_pairs
 from ..operators.near import near_pairs, near_value_pairs
 from ..operators.scoring import compare_pairs, link_pairs, score_pairs
+from ..session import materialize
 from ..sources.fixtures import PLANTED_CUSTOMERS_SQL as PLANTED_SOURCE_SQL
 from ..sources.fixtures import WORKLOADS
 from .oracle import qi, rnd, with_pipeline, within_sql
-from .resolve import resolve
+from .resolve import copies_probability, resolve
 
 
 @dataclass(frozen=True)
@@ -63,9 +64,8 @@ class Workload:
         t = self.threshold if threshold is None else threshold
         return resolve(self.rows(spark, sf_dir), model=self.model, threshold=t, id_col=self.id_col)
 
-    def pairs(self, spark: SparkSession, sf_dir: str, threshold: float | None = None) -> DataFrame:
+    def pairs(self, slim: DataFrame, threshold: float | None = None) -> DataFrame:
         """All candidate pairs, or those of large blocks only that may reach a threshold."""
-        slim = self.slim(spark, sf_dir)
         if threshold is not None and not self.model.near:
             maxima = block_maxima(stack_rules(slim, self.model.rules, id_col="uid"), len(self.model.rules))
             return reachable_pairs(slim, self.model.rules, self.model, threshold, carry=self.columns, maxima=maxima)
@@ -122,16 +122,16 @@ FROM (SELECT {qi(c)}, count(*) AS n FROM slim WHERE {qi(c)} IS NOT NULL GROUP BY
 )
 
 
-def _levels(w: Workload, spark, sf_dir, threshold: float | None = None) -> DataFrame:
-    return compare_pairs(w.pairs(spark, sf_dir, threshold), w.model)
+def _levels(w: Workload, slim: DataFrame, threshold: float | None = None) -> DataFrame:
+    return compare_pairs(w.pairs(slim, threshold), w.model)
 
 
 def q_name_levels(spark, sf_dir):
-    return _levels(PLANTED, spark, sf_dir).select("uid_l", "uid_r", "first_name_level", "last_name_level")
+    return _levels(PLANTED, PLANTED.slim(spark, sf_dir)).select("uid_l", "uid_r", "first_name_level", "last_name_level")
 
 
 def q_edit_levels(spark, sf_dir):
-    return _levels(EDITED, spark, sf_dir).select("uid_l", "uid_r", *[f"{c}_level" for c in EDITED.columns])
+    return _levels(EDITED, EDITED.slim(spark, sf_dir)).select("uid_l", "uid_r", *[f"{c}_level" for c in EDITED.columns])
 
 
 def q_near_texts(spark, sf_dir):
@@ -148,23 +148,30 @@ FROM t l JOIN t r ON l.id < r.id AND {within_sql('l.text', 'r.text', 2)}
 
 def q_scored_pairs(spark, sf_dir):
     w = PLANTED
-    return _round_p(score_pairs(_levels(w, spark, sf_dir), w.model).select("uid_l", "uid_r", PROB_COL))
+    return _round_p(score_pairs(_levels(w, w.slim(spark, sf_dir)), w.model).select("uid_l", "uid_r", PROB_COL))
 
 
-def _links(w: Workload, spark, sf_dir) -> DataFrame:
-    return link_pairs(score_pairs(_levels(w, spark, sf_dir, w.threshold), w.model), w.threshold).select("uid_l", "uid_r", PROB_COL)
+def _links(w: Workload, slim: DataFrame) -> DataFrame:
+    return link_pairs(score_pairs(_levels(w, slim, w.threshold), w.model), w.threshold).select("uid_l", "uid_r", PROB_COL)
+
+
+def _member_links(w: Workload, spark, sf_dir) -> DataFrame:
+    """Links enough for components and best probabilities: pairs are those of profiles, copies are not made into pairs."""
+    profiles, members = copy_profiles(w.slim(spark, sf_dir), w.model.all_columns)
+    links = materialize(_links(w, profiles.drop("lo", "hi").withColumnRenamed("pid", "uid")), "links")
+    return member_links(links, profiles, members, copies_probability(w.model), w.threshold)
 
 
 def q_linked_pairs(spark, sf_dir):
-    return _round_p(_links(EDITED, spark, sf_dir))
+    return _round_p(_links(EDITED, EDITED.slim(spark, sf_dir)))
 
 
 def q_connected_components(spark, sf_dir):
-    return connected_components(_links(EDITED, spark, sf_dir))
+    return connected_components(_member_links(EDITED, spark, sf_dir))
 
 
 def q_best_match_probability(spark, sf_dir):
-    return _round_p(best_match_probability(_links(EDITED, spark, sf_dir)), "best")
+    return _round_p(best_match_probability(_member_links(EDITED, spark, sf_dir)), "best")
 
 
 # --- resolved relation and the query shapes over it -------------------------------
@@ -572,7 +579,7 @@ QUERIES["score_stream"] = Query(q_score_stream, QUERIES["score_new_records"].sql
 
 def q_components_rounds(spark, sf_dir):
     """Components of the linked texts in partitions of 50 edges, so that star rounds run."""
-    return connected_components(_links(EDITED, spark, sf_dir), partition_edges=50)
+    return connected_components(_member_links(EDITED, spark, sf_dir), partition_edges=50)
 
 
 QUERIES["components_rounds"] = Query(q_components_rounds, QUERIES["connected_components"].sql)

@@ -131,15 +131,19 @@ def _all_set(cols: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]) if cols else F.lit(True)
 
 
+def copies_probability(model: Model, within: Sequence[str] = ()) -> Column:
+    """:func:`self_pair_probability` of copies that meet: some rule has all its values set; else NULL."""
+    blocked = reduce(lambda a, b: a | b, [_all_set(r) for r in [*model.rules, *[(c,) for c, _ in model.near]]])
+    return F.when(blocked & _all_set(within), self_pair_probability(model))
+
+
 def profile_states(
     profiles: DataFrame, comps: DataFrame, best: DataFrame, model: Model, threshold: float, within: Sequence[str], keep: Sequence[str]
 ) -> DataFrame:
     """``(pid, keep..., shared, proot, pbest)`` of profiles ``(pid, n, values...)``: whether the copies of a profile are one entity,
     its component's root and its best probability (NULL without any link). ``comps`` is ``(node, root)``, ``best`` ``(uid, best)``."""
     p_self = self_pair_probability(model)
-    # copies meet when some rule has all its values set
-    blocked = reduce(lambda a, b: a | b, [_all_set(r) for r in [*model.rules, *[(c,) for c, _ in model.near]]])
-    self_linked = (F.col("n") >= 2) & blocked & _all_set(within) & (p_self >= F.lit(threshold))
+    self_linked = (F.col("n") >= 2) & F.coalesce(copies_probability(model, within) >= F.lit(threshold), F.lit(False))
     return (
         profiles.select("pid", *keep, self_linked.alias("self_linked"), p_self.alias("p_self"))
         .join(comps.withColumnRenamed("node", "pid"), "pid", "left")
