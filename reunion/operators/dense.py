@@ -7,6 +7,7 @@ Jaro-Winkler from above. Still every pair of a block, but some nanoseconds each:
 
 - ``reachable_pairs`` gives those that the bounds leave a probability at or above the threshold, for the exact comparison; no link is lost.
 - ``level_counts`` gives the number of pairs of every level pattern; levels that the bounds leave open are computed exactly.
+- ``pair_levels`` gives every pair with its levels.
 
 Blocks with values of over ``LONG_VALUE`` characters go the way of the small ones, by a join.
 """
@@ -16,7 +17,7 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from ..functions.levels import LONG_VALUE, edit_band_table, q
 from ..functions.similarity import _CELLS, _codes, _padded, _scores
 from ..model import Comparison, Model
 from .blocking import DEFAULT_BLOCK_SPLIT, Rules, as_rules, candidate_pairs, joined_pairs, rule_columns, stack_rules, tiles_of
-from .scoring import PRUNE_MARGIN
+from .scoring import PRUNE_MARGIN, compare_pairs, level_col
 
 # The matrices are made in Python workers, which need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -255,7 +256,7 @@ def reachable_pairs(
     return small.unionByName(found.where(" AND ".join(cond)).select(*small.columns))
 
 
-# --- counts of level patterns -----------------------------------------------------------
+# --- levels -----------------------------------------------------------
 
 
 def _edit_distances(a: np.ndarray, la: np.ndarray, b: np.ndarray, lb: np.ndarray, k: int) -> np.ndarray:
@@ -287,7 +288,26 @@ def _edit_distances(a: np.ndarray, la: np.ndarray, b: np.ndarray, lb: np.ndarray
     return out
 
 
-def _exact_levels(v: _Values, comp: Comparison, p: np.ndarray, r: np.ndarray) -> np.ndarray:
+@dataclass(frozen=True)
+class Bands:
+    """What a task needs of a comparison: plain values, as its worker may not have the package."""
+
+    column: str
+    kind: str
+    exact_level: int
+    n_levels: int
+    names: tuple[tuple[float, int], ...]  # Jaro-Winkler bands
+    edits: tuple[int, tuple[int, ...]]  # widest distance and the level of each
+    widest: float  # the measure that any level above the lowest needs
+
+
+def bands_of(comp: Comparison) -> Bands:
+    bound, table = edit_band_table(comp) if comp.kind != "name" else (0, [])
+    names = tuple(comp.band_levels()) if comp.kind == "name" else ()
+    return Bands(comp.column, comp.kind, comp.exact_level, comp.n_levels, names, (bound, tuple(table)), min(own for own, _, _ in _steps(comp)))
+
+
+def _exact_levels(v: _Values, comp: Bands, p: np.ndarray, r: np.ndarray) -> np.ndarray:
     """Levels of pairs of set values, as ``level_sql`` gives them."""
     out = np.zeros(len(p), np.int8)
     longest = np.maximum(v.size[p], v.size[r])
@@ -305,10 +325,10 @@ def _exact_levels(v: _Values, comp: Comparison, p: np.ndarray, r: np.ndarray) ->
             with np.errstate(all="ignore"):
                 jw = np.round(np.where((la > 0) & (lb > 0), _scores(a, la, b, lb), 0.0), JW_ROUND_DIGITS)
             level = np.zeros(len(at), np.int8)
-            for t, lvl in reversed(comp.band_levels()):
+            for t, lvl in reversed(comp.names):
                 level[jw >= t] = lvl
         else:
-            bound, table = edit_band_table(comp)
+            bound, table = comp.edits
             level = np.array([*table[1:], 0], np.int8)[_edit_distances(a, la, b, lb, bound)]
         level[equal] = comp.exact_level
         out[at] = level
@@ -316,6 +336,96 @@ def _exact_levels(v: _Values, comp: Comparison, p: np.ndarray, r: np.ndarray) ->
     return out
 
 
+def _tile_levels(v: _Values, comp: Bands, x: np.ndarray, y: np.ndarray, mask: np.ndarray | None) -> np.ndarray:
+    """Levels of all pairs of two runs of records (of those of a mask, if given)."""
+    may = v.measure(comp.kind, x, y) >= comp.widest
+    if v.empty.any():
+        may |= v.empty[x][:, None] & v.empty[y][None, :]
+    if mask is not None:
+        may &= mask
+    level = np.zeros(may.shape, np.int32)
+    if v.null.any():
+        null = v.null[x][:, None] | v.null[y][None, :]
+        may &= ~null
+        level[null] = NULL_LEVEL
+    at = np.flatnonzero(may)
+    if len(at):
+        i, j = np.divmod(at, len(y))
+        level.ravel()[at] = _exact_levels(v, comp, x[i], y[j])
+    return level
+
+
+def _alike(values: pa.Array) -> np.ndarray:
+    """Numbers of the values, equal for equal ones; -1 for NULL."""
+    return pc.fill_null(values.dictionary_encode().indices, -1).to_numpy(zero_copy_only=False)
+
+
+def pair_levels(
+    slim: DataFrame, rules: Rules, model: Model, *, id_col: str = "uid", within: Sequence[str] = (), columns: Sequence[str] | None = None,
+    unit: str = "byte", block_split: int | None = DEFAULT_BLOCK_SPLIT, maxima: Sequence[int], dense_block: int | None = None,
+) -> DataFrame:
+    """``(uid_l, uid_r, rule, <c>_level...)`` of every pair of ``candidate_pairs``, for all of the model's columns or the named ones."""
+    rules, within = as_rules(rules), list(within)
+    few = replace(model, comparisons=tuple(c for c in model.comparisons if columns is None or c.column in columns))
+    comps = [bands_of(c) for c in few.comparisons]
+    dense_block = DENSE_BLOCK if dense_block is None else dense_block
+    carry = [c.column for c in comps]
+    wanted = ["uid_l", "uid_r", "rule", *[level_col(c) for c in carry]]
+    if max(maxima or [0]) <= dense_block:
+        pairs = candidate_pairs(slim, rules, id_col=id_col, within=within, carry=carry, block_split=block_split, maxima=maxima)
+        return compare_pairs(pairs, few, unit=unit).select(*[q(c) for c in wanted])
+    needed = list(dict.fromkeys([*rule_columns(rules, within), *carry]))
+    stacked = stack_rules(slim, rules, id_col=id_col, within=within, carry=needed)
+    large = _large(stacked, needed, dense_block)
+    salt = block_split if max(maxima) > (block_split or 0) else None
+    small = compare_pairs(joined_pairs(stacked.join(large, ["rule", "key"], "left_anti"), rules, within, carry, salt), few, unit=unit)
+    keyed, encode = rule_columns(rules, within), unit == "byte"
+
+    def compare(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rule, lo, hi = key[0].as_py(), key[2].as_py(), key[3].as_py()
+        own = list(dict.fromkeys([*rules[rule], *within]))
+        table = _whole(batches)
+        alike = {c: _alike(table.column(c).combine_chunks()) for c in keyed}
+        told = [alike[c] for c in own if (alike[c] != alike[c][0]).any()]  # values whose hashes collide
+        values = {c.column: _Values(table.column(c.column).to_pylist(), encode) for c in comps if c.column not in own}
+        uid = table.column("uid").combine_chunks()
+        ids = _alike(uid)
+        repeated = len(np.unique(ids)) < len(ids) or (ids < 0).any()
+        for x, y, keep in _tile_pairs(table.column("_b").to_numpy(), lo, hi):
+            if keep is None:
+                keep = np.ones((len(x), len(y)), bool)
+            if repeated:
+                keep &= (ids[x][:, None] != ids[y][None, :]) & (ids[x][:, None] >= 0) & (ids[y][None, :] >= 0)
+            for v in told:
+                keep &= v[x][:, None] == v[y][None, :]
+            for early in rules[:rule]:
+                agree = np.ones(keep.shape, bool)
+                for v in (alike[c] for c in dict.fromkeys([*early, *within])):
+                    agree &= (v[x][:, None] == v[y][None, :]) & (v[x] >= 0)[:, None]
+                keep &= ~agree
+            at = np.flatnonzero(keep)
+            i, j = np.divmod(at, len(y))
+            p, r = x[i], y[j]
+            if lo != hi:
+                p, r = np.minimum(p, r), np.maximum(p, r)
+            levels = [
+                _tile_levels(values[c.column], c, x, y, keep).ravel()[at] if c.column in values else np.full(len(at), c.exact_level, np.int32)
+                for c in comps
+            ]
+            for s in range(0, len(at), _EMIT):
+                part = slice(s, s + _EMIT)
+                ends = [uid.take(pa.array(side[part])) for side in (p, r)]
+                yield pa.RecordBatch.from_arrays([*ends, pa.array(np.full(len(ends[0]), rule, np.int32)), *[pa.array(v[part]) for v in levels]], wanted)
+
+    kind = stacked.schema["uid"].dataType
+    schema = T.StructType(
+        [T.StructField("uid_l", kind), T.StructField("uid_r", kind), T.StructField("rule", T.IntegerType())]
+        + [T.StructField(level_col(c), T.IntegerType()) for c in carry]
+    )
+    tiles = tiles_of(stacked.join(large, ["rule", "key"]), block_split or DEFAULT_BLOCK_SPLIT).select("uid", *[q(c) for c in needed], "rule", "key", "_b", "_lo", "_hi")
+    return small.select(*[q(c) for c in wanted]).unionByName(_dealt(tiles).applyInArrow(compare, schema))
+
+
 def level_counts(
     slim: DataFrame, blocked: str, model: Model, *, id_col: str, weight: str, unit: str = "byte",
     block_split: int | None = DEFAULT_BLOCK_SPLIT, dense_block: int | None = None,
@@ -328,8 +438,7 @@ def level_counts(
     stacked = slim.where(f"{q(blocked)} IS NOT NULL").selectExpr(f"{q(id_col)} AS uid", *[q(c) for c in needed], "0 AS rule", f"{q(blocked)} AS key")
     large = _large(stacked, [blocked, *others], dense_block)
     small = slim.join(large.selectExpr(f"key AS {q(blocked)}"), blocked, "left_anti")
-    comps = model.comparisons
-    widest = {c.column: min(own for own, _, _ in _steps(c)) for c in comps}
+    comps = [bands_of(c) for c in model.comparisons]
     base = [c.n_levels + 1 for c in comps]
     size, encode = math.prod(base), unit == "byte"
 
@@ -343,7 +452,7 @@ def level_counts(
             code = np.zeros((len(x), len(y)), np.int64)
             for c, wide in zip(comps, base):
                 v = columns[c.column]
-                may = v.measure(c.kind, x, y) >= widest[c.column]
+                may = v.measure(c.kind, x, y) >= c.widest
                 if v.empty.any():
                     may |= v.empty[x][:, None] & v.empty[y][None, :]
                 null = v.null[x][:, None] | v.null[y][None, :]

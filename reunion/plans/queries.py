@@ -17,7 +17,7 @@ from ..model import Model
 from ..operators.blocking import block_maxima, block_stats, candidate_pairs, stack_rules
 from ..operators.clusters import best_match_probability, copy_profiles, member_links
 from ..operators.components import connected_components
-from ..operators.dense import reachable_pairs
+from ..operators.dense import pair_levels, reachable_pairs
 from ..operators.near import near_pairs, near_value_pairs
 from ..operators.scoring import compare_pairs, link_pairs, score_pairs
 from ..session import materialize
@@ -122,12 +122,19 @@ FROM (SELECT {qi(c)}, count(*) AS n FROM slim WHERE {qi(c)} IS NOT NULL GROUP BY
 )
 
 
+def _every_level(w: Workload, slim: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """All pairs of the blocks with their levels, those of large blocks from matrices."""
+    maxima = block_maxima(stack_rules(slim, w.model.rules, id_col="uid"), len(w.model.rules))
+    return pair_levels(slim, w.model.rules, w.model, columns=columns, maxima=maxima)
+
+
 def _levels(w: Workload, slim: DataFrame, threshold: float | None = None) -> DataFrame:
     return compare_pairs(w.pairs(slim, threshold), w.model)
 
 
 def q_name_levels(spark, sf_dir):
-    return _levels(PLANTED, PLANTED.slim(spark, sf_dir)).select("uid_l", "uid_r", "first_name_level", "last_name_level")
+    levels = _every_level(PLANTED, PLANTED.slim(spark, sf_dir), ["first_name", "last_name"])
+    return levels.select("uid_l", "uid_r", "first_name_level", "last_name_level")
 
 
 def q_edit_levels(spark, sf_dir):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from reunion.model import Comparison, Model
 from reunion.operators import training
 from reunion.operators.blocking import _salt, block_maxima, candidate_pairs, stack_rules
-from reunion.operators.dense import reachable_pairs
+from reunion.operators.dense import pair_levels, reachable_pairs
 from reunion.operators.scoring import compare_pairs, link_pairs, score_pairs
 
 COLUMNS = ["first_name", "last_name", "email"]
@@ -106,3 +106,35 @@ def test_pattern_counts(spark, monkeypatch, name, unit):
     monkeypatch.setattr("reunion.operators.dense.DENSE_BLOCK", 3)
     for c in COLUMNS:
         assert counts(c, 15) == plain[c]
+
+
+@pytest.mark.parametrize("name, split, unit", [("default", None, "byte"), ("odd", 20, "char"), ("odd", 20, "byte")])
+def test_all_pairs_with_their_levels(spark, name, split, unit):
+    model = MODELS[name]
+    rows = _records(120, 9)
+    rows += rows[:5] + [(rows[0][0], "cab", "x", "aab@"), (None, "cab", "x", "aab@"), (5001, "", "y", ""), (5002, "", "y", "a")]  # repeated ids, none at all
+    df = spark.createDataFrame(rows, "uid bigint, first_name string, last_name string, email string")
+    rules = [("first_name", "email"), "last_name"]
+    maxima = block_maxima(stack_rules(df, rules, id_col="uid"), 2)
+    want = compare_pairs(candidate_pairs(df, rules, carry=COLUMNS, block_split=None), model, unit=unit)
+    got = pair_levels(df, rules, model, unit=unit, block_split=split, maxima=maxima, dense_block=3)
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    two = pair_levels(df, rules, model, columns=["first_name", "email"], unit=unit, block_split=split, maxima=maxima, dense_block=3)
+    assert sorted(map(tuple, two.collect())) == sorted(map(tuple, want.select(two.columns).collect()))
+
+
+def test_large_blocks_are_not_joined(spark, tmp_path, monkeypatch):
+    """The pairs of large blocks come from matrices, a row of the join for none of them."""
+    from reunion.operators import dense
+    from reunion.plans.queries import PLANTED, q_name_levels
+
+    spark.range(0, 600).selectExpr("id * 997 + 5 AS c_custkey", "'BUILDING' AS c_mktsegment").write.parquet(str(tmp_path / "customer.parquet"))
+    joined = []
+    real = dense.joined_pairs
+    monkeypatch.setattr(dense, "joined_pairs", lambda *a, **k: joined.append(real(*a, **k)) or joined[-1])
+    pairs = candidate_pairs(PLANTED.slim(spark, str(tmp_path)), COLUMNS, carry=COLUMNS)
+    want = compare_pairs(pairs, PLANTED.model)
+    names = ["uid_l", "uid_r", "first_name_level", "last_name_level"]
+    assert sorted(map(tuple, q_name_levels(spark, str(tmp_path)).collect())) == sorted(map(tuple, want.select(names).collect()))
+    assert len(joined) == 1 and all(j.count() < 10_000 for j in joined) and pairs.count() > 200_000
