@@ -171,8 +171,8 @@ def _products(comps: list[Comparison], start: float) -> list[float]:
     return out
 
 
-def match_probability_sql(model: Model, levels: list[str]) -> str:
-    """Pair probability from level expressions; reads every level once.
+def match_probability_sql(model: Model, levels: list[str], digits: int | None = None) -> str:
+    """Pair probability from level expressions, rounded if digits are given; reads every level once.
 
     The first table holds prior odds times factors, further ones products of factors. With one
     table it holds the probabilities themselves; with several, the odds are computed once, over a one-element array,
@@ -187,7 +187,11 @@ def match_probability_sql(model: Model, levels: list[str]) -> str:
         values = _products(comps, float(model.prior_odds) if k == 0 else 1.0)
         if len(runs) == 1:
             values = [1.0 if o == float("inf") else o / (1.0 + o) for o in values]
+            if digits is not None:  # Spark rounds the constants once, not every pair
+                rounded = ", ".join(f"round({sql_double(v)}, {digits})" for v in values)
+                return f"element_at(array({rounded}), {idx} + 1)"
         parts.append(f"element_at({sql_array(values, 'double')}, {idx} + 1)")
     if len(parts) == 1:
         return parts[0]
-    return f"element_at(transform(array({' * '.join(parts)}), o -> CASE WHEN o = double('Infinity') THEN 1.0D ELSE o / (1.0D + o) END), 1)"
+    prob = f"element_at(transform(array({' * '.join(parts)}), o -> CASE WHEN o = double('Infinity') THEN 1.0D ELSE o / (1.0D + o) END), 1)"
+    return prob if digits is None else f"round({prob}, {digits})"

@@ -36,9 +36,9 @@ def compare_pairs(
     return pairs.selectExpr(*keep, *levels)
 
 
-def score_pairs(levels: DataFrame, model: Model) -> DataFrame:
-    """Add ``match_probability`` from the level columns (prior odds times factors, in column order)."""
-    prob = match_probability_sql(model, [q(level_col(c)) for c in model.columns])
+def score_pairs(levels: DataFrame, model: Model, digits: int | None = None) -> DataFrame:
+    """Add ``match_probability`` from the level columns (prior odds times factors, in column order), rounded if digits are given."""
+    prob = match_probability_sql(model, [q(level_col(c)) for c in model.columns], digits)
     return levels.selectExpr("*", f"{prob} AS {PROB_COL}")
 
 

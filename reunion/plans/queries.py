@@ -155,7 +155,8 @@ FROM t l JOIN t r ON l.id < r.id AND {within_sql('l.text', 'r.text', 2)}
 
 def q_scored_pairs(spark, sf_dir):
     w = PLANTED
-    return _round_p(score_pairs(_levels(w, w.slim(spark, sf_dir)), w.model).select("uid_l", "uid_r", PROB_COL))
+    scored = score_pairs(_every_level(w, w.slim(spark, sf_dir)), w.model, digits=RESULT_ROUND_DIGITS)
+    return scored.select("uid_l", "uid_r", PROB_COL)
 
 
 def _links(w: Workload, slim: DataFrame) -> DataFrame:

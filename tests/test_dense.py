@@ -127,14 +127,26 @@ def test_all_pairs_with_their_levels(spark, name, split, unit):
 def test_large_blocks_are_not_joined(spark, tmp_path, monkeypatch):
     """The pairs of large blocks come from matrices, a row of the join for none of them."""
     from reunion.operators import dense
-    from reunion.plans.queries import PLANTED, q_name_levels
+    from reunion.plans.queries import PLANTED, q_name_levels, q_scored_pairs
 
     spark.range(0, 600).selectExpr("id * 997 + 5 AS c_custkey", "'BUILDING' AS c_mktsegment").write.parquet(str(tmp_path / "customer.parquet"))
     joined = []
     real = dense.joined_pairs
     monkeypatch.setattr(dense, "joined_pairs", lambda *a, **k: joined.append(real(*a, **k)) or joined[-1])
     pairs = candidate_pairs(PLANTED.slim(spark, str(tmp_path)), COLUMNS, carry=COLUMNS)
-    want = compare_pairs(pairs, PLANTED.model)
+    want = score_pairs(compare_pairs(pairs, PLANTED.model), PLANTED.model)
     names = ["uid_l", "uid_r", "first_name_level", "last_name_level"]
     assert sorted(map(tuple, q_name_levels(spark, str(tmp_path)).collect())) == sorted(map(tuple, want.select(names).collect()))
-    assert len(joined) == 1 and all(j.count() < 10_000 for j in joined) and pairs.count() > 200_000
+    scored = want.select("uid_l", "uid_r", F.round("match_probability", 9))
+    assert sorted(map(tuple, q_scored_pairs(spark, str(tmp_path)).collect())) == sorted(map(tuple, scored.collect()))
+    assert len(joined) == 2 and all(j.count() < 10_000 for j in joined) and pairs.count() > 200_000
+
+
+def test_rounded_probabilities(spark):
+    from reunion.functions.levels import match_probability_sql
+
+    for model in MODELS.values():
+        levels = spark.createDataFrame([(a, b, c) for a in range(-1, 5) for b in range(-1, 3) for c in range(-1, 4) if a < model.comparisons[0].n_levels], "first_name_level int, last_name_level int, email_level int")
+        got = score_pairs(levels, model, digits=9).select("match_probability")
+        assert got.collect() == score_pairs(levels, model).select(F.round("match_probability", 9).alias("match_probability")).collect()
+        assert "round" in match_probability_sql(model, ["a", "b", "c"], 9)
