@@ -7,7 +7,8 @@ Jaro-Winkler from above. Still every pair of a block, but some nanoseconds each:
 
 - ``reachable_pairs`` gives those that the bounds leave a probability at or above the threshold, for the exact comparison; no link is lost.
 - ``level_counts`` gives the number of pairs of every level pattern; levels that the bounds leave open are computed exactly.
-- ``pair_levels`` gives every pair with its levels.
+- ``pair_levels`` gives every pair with its levels. A task returns a row per record and run of records, with lists of the others' ids and levels,
+  which Spark explodes: a pair costs an element of a list, not a row of the worker's.
 
 Blocks with values of over ``LONG_VALUE`` characters go the way of the small ones, by a join.
 """
@@ -18,6 +19,7 @@ import math
 import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -110,6 +112,14 @@ class _Values:
         self.length = self.size.astype(np.float32)
         self.inverse = np.divide(1.0, self.length, out=np.zeros(n, np.float32), where=self.size > 0)
 
+    @cached_property
+    def across(self) -> np.ndarray:
+        """The i-th symbols of all values, -1 beyond their ends."""
+        kind = np.int16 if self.flat.dtype == np.uint8 else np.int32
+        out = np.full((int(self.size.max(initial=0)), len(self.size)), -1, kind)
+        out[np.arange(len(self.flat)) - np.repeat(self.start, self.size), np.repeat(np.arange(len(self.size)), self.size)] = self.flat
+        return out
+
     def measure(self, kind: str, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Of all pairs of two runs of records: ``m / |a| + m / |b|`` of m shared symbols (names), or m less the longer length."""
         both = self.shared[x] @ self.shared[y].T
@@ -307,6 +317,42 @@ def bands_of(comp: Comparison) -> Bands:
     return Bands(comp.column, comp.kind, comp.exact_level, comp.n_levels, names, (bound, tuple(table)), min(own for own, _, _ in _steps(comp)))
 
 
+def _hopeful(v: _Values, comp: Bands, p: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Whether pairs may be above the lowest level, by the symbols of the left value that the right one has too, no further away than a match may be."""
+    la, lb = v.size[p], v.size[r]
+    longest = np.maximum(la, lb)
+    wide = int(longest.max(initial=0))
+    reach = np.maximum(longest // 2 - 1, 0) if comp.kind == "name" else np.full(len(p), comp.edits[0])
+    most, least = int(reach.max(initial=0)), int(reach.min(initial=wide))
+    a, b = (v.across[:wide].take(side, axis=1) for side in (p, r))
+    hits = np.zeros(len(p), np.int16)
+    for i in range(wide):
+        hit = np.zeros(len(p), bool)
+        for j in range(max(0, i - most), min(wide, i + most + 1)):
+            same = a[i] == b[j]
+            if abs(i - j) > least:
+                same &= reach >= abs(i - j)
+            hit |= same
+        hits += hit & (la > i)
+    if comp.kind == "name":
+        with np.errstate(all="ignore"):
+            return (la == 0) | (lb == 0) | (hits / la + hits / lb >= comp.widest)
+    return hits - longest >= comp.widest
+
+
+def _tails(v: _Values, p: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Number of symbols at the end that pairs of values have in common."""
+    least = np.minimum(v.size[p], v.size[r])
+    a, b = v.start[p] + v.size[p] - 1, v.start[r] + v.size[r] - 1
+    out = np.zeros(len(p), np.int64)
+    at = np.flatnonzero(least > 0)
+    while len(at):
+        at = at[v.flat[a[at] - out[at]] == v.flat[b[at] - out[at]]]
+        out[at] += 1
+        at = at[out[at] < least[at]]
+    return out
+
+
 def _exact_levels(v: _Values, comp: Bands, p: np.ndarray, r: np.ndarray) -> np.ndarray:
     """Levels of pairs of set values, as ``level_sql`` gives them."""
     out = np.zeros(len(p), np.int8)
@@ -316,8 +362,14 @@ def _exact_levels(v: _Values, comp: Bands, p: np.ndarray, r: np.ndarray) -> np.n
     while s < len(order):
         limit = max(2 * int(longest[order[s]]), 8)
         e = max(s + 1, min(int(np.searchsorted(longest[order], limit, "right")), s + max(1, _CELLS // limit)))
-        at = order[s:e]
+        at, s = order[s:e], e
+        at = at[_hopeful(v, comp, p[at], r[at])]
+        if not len(at):
+            continue
         la, lb = v.size[p[at]], v.size[r[at]]
+        if comp.kind != "name":  # an equal end changes no edit distance
+            tail = _tails(v, p[at], r[at])
+            la, lb = la - tail, lb - tail
         a, b = _padded(v.flat, v.start[p[at]], la, -1), _padded(v.flat, v.start[r[at]], lb, -2)
         wide = min(a.shape[1], b.shape[1])
         equal = (la == lb) & ((a[:, :wide] == b[:, :wide]) | (np.arange(wide) >= la[:, None])).all(axis=1)
@@ -332,27 +384,35 @@ def _exact_levels(v: _Values, comp: Bands, p: np.ndarray, r: np.ndarray) -> np.n
             level = np.array([*table[1:], 0], np.int8)[_edit_distances(a, la, b, lb, bound)]
         level[equal] = comp.exact_level
         out[at] = level
-        s = e
     return out
 
 
-def _tile_levels(v: _Values, comp: Bands, x: np.ndarray, y: np.ndarray, mask: np.ndarray | None) -> np.ndarray:
-    """Levels of all pairs of two runs of records (of those of a mask, if given)."""
+def _tile_levels(v: _Values, comp: Bands, x: np.ndarray, y: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """Of a mask's pairs of two runs of records: flat places and levels of those that may be above the lowest, and where a value is not set (None: nowhere)."""
     may = v.measure(comp.kind, x, y) >= comp.widest
     if v.empty.any():
         may |= v.empty[x][:, None] & v.empty[y][None, :]
-    if mask is not None:
-        may &= mask
-    level = np.zeros(may.shape, np.int32)
+    may &= mask
+    null = None
     if v.null.any():
         null = v.null[x][:, None] | v.null[y][None, :]
         may &= ~null
-        level[null] = NULL_LEVEL
     at = np.flatnonzero(may)
-    if len(at):
-        i, j = np.divmod(at, len(y))
-        level.ravel()[at] = _exact_levels(v, comp, x[i], y[j])
-    return level
+    i, j = np.divmod(at, len(y))
+    return at, _exact_levels(v, comp, x[i], y[j]), null
+
+
+def _packed(sizes: Sequence[int]) -> list[tuple[int, int, int]]:
+    """For columns of so many levels: the number that holds the level and one more, its first bit there, and its mask (15 bits a number, the very first one left free)."""
+    out: list[tuple[int, int, int]] = []
+    number, bit = 0, 1
+    for n in sizes:
+        wide = n.bit_length()
+        if bit + wide > 15 and bit:
+            number, bit = number + 1, 0
+        out.append((number, bit, (1 << wide) - 1))
+        bit += wide
+    return out
 
 
 def _alike(values: pa.Array) -> np.ndarray:
@@ -380,6 +440,9 @@ def pair_levels(
     salt = block_split if max(maxima) > (block_split or 0) else None
     small = compare_pairs(joined_pairs(stacked.join(large, ["rule", "key"], "left_anti"), rules, within, carry, salt), few, unit=unit)
     keyed, encode = rule_columns(rules, within), unit == "byte"
+    places = _packed([c.n_levels for c in comps])
+    numbers = places[-1][0] + 1 if places else 1
+    lowest = [sum(1 << bit for at, bit, _ in places if at == k) for k in range(numbers)]
 
     def compare(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rule, lo, hi = key[0].as_py(), key[2].as_py(), key[3].as_py()
@@ -401,29 +464,52 @@ def pair_levels(
             for early in rules[:rule]:
                 agree = np.ones(keep.shape, bool)
                 for v in (alike[c] for c in dict.fromkeys([*early, *within])):
-                    agree &= (v[x][:, None] == v[y][None, :]) & (v[x] >= 0)[:, None]
+                    agree &= np.where(v[x] < 0, -2, v[x])[:, None] == v[y][None, :]
                 keep &= ~agree
-            at = np.flatnonzero(keep)
-            i, j = np.divmod(at, len(y))
-            p, r = x[i], y[j]
-            if lo != hi:
-                p, r = np.minimum(p, r), np.maximum(p, r)
-            levels = [
-                _tile_levels(values[c.column], c, x, y, keep).ravel()[at] if c.column in values else np.full(len(at), c.exact_level, np.int32)
-                for c in comps
-            ]
-            for s in range(0, len(at), _EMIT):
-                part = slice(s, s + _EMIT)
-                ends = [uid.take(pa.array(side[part])) for side in (p, r)]
-                yield pa.RecordBatch.from_arrays([*ends, pa.array(np.full(len(ends[0]), rule, np.int32)), *[pa.array(v[part]) for v in levels]], wanted)
+            codes = [np.full(keep.shape, n, np.int16) for n in lowest]
+            for c, (k, bit, _) in zip(comps, places):
+                if c.column in values:
+                    at, level, null = _tile_levels(values[c.column], c, x, y, keep)
+                    codes[k].ravel()[at] += level.astype(np.int16) << bit
+                    if null is not None:
+                        codes[k][null] += np.int16(NULL_LEVEL << bit)
+                else:
+                    codes[k] += np.int16(c.exact_level << bit)
+            codes[0] |= x[:, None] < y[None, :]  # the record is the left one
+            # every record with the others of the run, which beyond its meeting with itself are mostly all of them
+            cuts = [0, len(x), len(y)] if x[0] == y[0] else [0, len(y)]
+            for start, end in zip(cuts, cuts[1:]):
+                theirs = uid.take(pa.array(y[start:end]))
+                step = max(1, _EMIT // max(1, end - start))
+                for s in range(0, len(x), step):
+                    part = keep[s : s + step, start:end]
+                    cells = [n[s : s + step, start:end] for n in codes]
+                    count = part.sum(axis=1)
+                    rows = np.flatnonzero(count)
+                    if not len(rows):
+                        continue
+                    if part.all():
+                        others, cells = pa.concat_arrays([theirs] * len(part)), [n.ravel() for n in cells]
+                    else:
+                        others, cells = theirs.take(pa.array(np.broadcast_to(np.arange(end - start), part.shape)[part])), [n[part] for n in cells]
+                    ends = pa.array(np.concatenate([[0], np.cumsum(count[rows])]).astype(np.int32))
+                    lists = [pa.ListArray.from_arrays(ends, v, type=pa.list_(pa.field("element", v.type, nullable=False))) for v in (others, *map(pa.array, cells))]
+                    yield pa.RecordBatch.from_arrays([uid.take(pa.array(x[s + rows])), pa.array(np.full(len(rows), rule, np.int32)), *lists], names)
 
     kind = stacked.schema["uid"].dataType
+    names = ["_one", "rule", "_others", *[f"_codes{k}" for k in range(numbers)]]
     schema = T.StructType(
-        [T.StructField("uid_l", kind), T.StructField("uid_r", kind), T.StructField("rule", T.IntegerType())]
-        + [T.StructField(level_col(c), T.IntegerType()) for c in carry]
+        [T.StructField("_one", kind), T.StructField("rule", T.IntegerType()), T.StructField("_others", T.ArrayType(kind, False))]
+        + [T.StructField(f"_codes{k}", T.ArrayType(T.ShortType(), False)) for k in range(numbers)]
     )
     tiles = tiles_of(stacked.join(large, ["rule", "key"]), block_split or DEFAULT_BLOCK_SPLIT).select("uid", *[q(c) for c in needed], "rule", "key", "_b", "_lo", "_hi")
-    return small.select(*[q(c) for c in wanted]).unionByName(_dealt(tiles).applyInArrow(compare, schema))
+    # pairs of small blocks as lists of one: the explosion after the union is then one step with what reads the pairs
+    held = [" | ".join(["1" if k == 0 else "0", *[f"shiftleft({q(level_col(c))} + 1, {bit})" for c, (at, bit, _) in zip(carry, places) if at == k]]) for k in range(numbers)]
+    single = small.selectExpr("uid_l AS _one", "rule", "array(uid_r) AS _others", *[f"array(CAST({v} AS SMALLINT)) AS _codes{k}" for k, v in enumerate(held)])
+    every = single.unionByName(_dealt(tiles).applyInArrow(compare, schema)).selectExpr("*", "posexplode(_others) AS (_at, _other)")
+    levels = [f"(shiftright(CAST(get(_codes{k}, _at) AS INT), {bit}) & {mask}) - 1 AS {q(level_col(c))}" for c, (k, bit, mask) in zip(carry, places)]
+    left = "get(_codes0, _at) % 2 = 1"
+    return every.selectExpr(f"IF({left}, _one, _other) AS uid_l", f"IF({left}, _other, _one) AS uid_r", "rule", *levels)
 
 
 def level_counts(

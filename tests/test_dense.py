@@ -150,3 +150,54 @@ def test_rounded_probabilities(spark):
         got = score_pairs(levels, model, digits=9).select("match_probability")
         assert got.collect() == score_pairs(levels, model).select(F.round("match_probability", 9).alias("match_probability")).collect()
         assert "round" in match_probability_sql(model, ["a", "b", "c"], 9)
+
+
+def test_pairs_of_large_blocks_are_lists_until_the_last_step(spark):
+    """A task returns a row per record and run of records; Spark makes the pairs of them in the step that reads them."""
+    df = spark.createDataFrame([(i, f"n{i}", "same", f"m{i}@x") for i in range(500)], "uid bigint, first_name string, last_name string, email string")
+    pairs = pair_levels(df, COLUMNS, MODELS["default"], maxima=[1, 500, 1])
+    assert pairs.count() == 500 * 499 // 2
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate posexplode") < plan.index("Union") < plan.index("FlatMapGroupsInArrow")
+
+
+@pytest.mark.parametrize("encode", [True, False])
+def test_few_pairs_are_compared_symbol_by_symbol(monkeypatch, encode):
+    import numpy as np
+
+    from reunion.functions.similarity import jaro_winkler
+    from reunion.operators import dense
+
+    rng = random.Random(7)
+    values = ["".join(rng.choices("0123456789abcdef", k=6)) for _ in range(150)]
+    values += ["", "é", "€a", values[0], values[1][::-1], values[2] + "z", values[3][:4], "x" * 40 + values[4], values[5] + "@example"]
+    values += [v + "@example" for v in values[:40]] + [v[1:] + "q@example" for v in values[:9]]
+    p, r = np.triu_indices(len(values), 1)
+    cells = []
+    real = dense._scores, dense._edit_distances
+    monkeypatch.setattr(dense, "_scores", lambda a, *rest: cells.append(len(a)) or real[0](a, *rest))
+    monkeypatch.setattr(dense, "_edit_distances", lambda a, *rest: cells.append(len(a)) or real[1](a, *rest))
+
+    def levenshtein(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    for comp in (MODELS["default"].comparisons[0], MODELS["default"].comparisons[2], MODELS["odd"].comparisons[2]):
+        bands = dense.bands_of(comp)
+        got = dense._exact_levels(dense._Values(values, encode), bands, p, r)
+        coded = [v.encode() if encode else v for v in values]
+        for a, b, level in zip(p, r, got):
+            if coded[a] == coded[b]:
+                want = comp.exact_level
+            elif comp.kind == "name":
+                want = next((lvl for t, lvl in comp.band_levels() if round(jaro_winkler(coded[a], coded[b]), 12) >= t), 0)
+            else:
+                d = levenshtein(coded[a], coded[b])
+                want = next((lvl for t, lvl in comp.band_levels() if d <= t), 0)
+            assert level == want, (coded[a], coded[b])
+    assert sum(cells) < 3 * len(p) // 4
