@@ -11,7 +11,7 @@ from ..operators.spanning import entity_counts, maximum_spanning_forest
 from ..sources.fixtures import NEW_CUSTOMERS_SQL, new_customers
 from .incremental import ENTITY, KeptEntities
 from .oracle import dbl, qi, rnd, score_sql, within_sql
-from .queries import COMPOSITE, EDITED, PLANTED, PLANTED_SOURCE_SQL, REGION_SQL, Query, _links, _region, _round_p
+from .queries import COMPOSITE, EDITED, PLANTED, PLANTED_SOURCE_SQL, REGION_SQL, Query, _member_links, _region, _round_p
 from .score import match_records
 
 # --- records that arrive in batches ------------------------------------------------
@@ -39,7 +39,7 @@ THRESHOLDS = (0.5, 0.8, 0.9, 0.99, 0.999)
 def q_entities_by_threshold(spark, sf_dir):
     """Entities at five thresholds from the maximum spanning forest of the links at the lowest (in partitions of 2,000 edges)."""
     w = PLANTED
-    forest = maximum_spanning_forest(_links(w, spark, sf_dir), partition_edges=2000)
+    forest = maximum_spanning_forest(_member_links(w, spark, sf_dir), partition_edges=2000)
     return entity_counts(forest, w.rows(spark, sf_dir), THRESHOLDS)
 
 

@@ -17,6 +17,8 @@ from reunion.operators.matching import one_to_one
 from reunion.operators.spanning import entity_counts, forest_edges, maximum_spanning_forest
 from reunion.operators.training import estimate_prior_of_rules, signed_column_sets, train_model, union_pair_counts
 from reunion.plans.incremental import KeptEntities
+from reunion.plans.queries import PLANTED
+from reunion.plans.queries_links import THRESHOLDS, q_entities_by_threshold
 from reunion.plans.score import match_records
 
 from test_components import union_find  # noqa: E402
@@ -75,6 +77,14 @@ def test_forest_over_rounds_and_counts(spark):
     assert got == sorted((f"k{a:05d}", f"k{b:05d}", p) for a, b, p in want)
 
 
+def test_entities_at_every_threshold(spark, tmp_path):
+    rows = [(k, "BUILDING" if k % 3 else None) for k in range(1, 71)] + [(997 + k, "MACHINERY") for k in range(1, 30)]
+    spark.createDataFrame(rows, "c_custkey long, c_mktsegment string").write.parquet(str(tmp_path / "customer.parquet"))
+    got = {r["threshold"]: r["entities"] for r in q_entities_by_threshold(spark, str(tmp_path)).collect()}
+    want = {t: PLANTED.resolved(spark, str(tmp_path), t).select("cluster_id").distinct().count() for t in THRESHOLDS}
+    assert got == want and len(set(want.values())) > 1
+
+
 def test_forest_of_no_links(spark):
     none = spark.createDataFrame([], "uid_l long, uid_r long, match_probability double")
     forest = maximum_spanning_forest(none)
