@@ -6,6 +6,7 @@ records in matrices: the symbols that two values share, repeats counted, are a m
 Jaro-Winkler from above. Still every pair of a block, but some nanoseconds each:
 
 - ``reachable_pairs`` gives those that the bounds leave a probability at or above the threshold, for the exact comparison; no link is lost.
+  ``reachable_between`` does so for two relations, a block's pairs being those of its records of the one with those of the other.
 - ``level_counts`` gives the number of pairs of every level pattern; levels that the bounds leave open are computed exactly.
 - ``pair_levels`` gives every pair with its levels. A task returns a row per record and run of records, with lists of the others' ids and levels,
   which Spark explodes: a pair costs an element of a list, not a row of the worker's.
@@ -33,7 +34,7 @@ from ..constants import JW_BOOST_THRESHOLD, JW_PREFIX_MAX, JW_PREFIX_SCALE, JW_R
 from ..functions.levels import LONG_VALUE, edit_band_table, q
 from ..functions.similarity import _CELLS, _codes, _padded, _scores
 from ..model import Comparison, Model
-from .blocking import DEFAULT_BLOCK_SPLIT, Rules, as_rules, candidate_pairs, joined_pairs, rule_columns, stack_rules, tiles_of
+from .blocking import DEFAULT_BLOCK_SPLIT, MAX_BUCKETS, Rules, as_rules, candidate_pairs, joined_pairs, rule_columns, stack_rules, tiles_of
 from .scoring import PRUNE_MARGIN, compare_pairs, level_col
 
 # The matrices are made in Python workers, which need not have this package installed.
@@ -203,13 +204,41 @@ def _dealt(tiles: DataFrame) -> GroupedData:
     return tiles.repartition(int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys).groupBy(*keys)
 
 
+def _longest(columns: Sequence[str]):
+    return F.greatest(F.lit(0), *[F.coalesce(F.length(q(c)), F.lit(0)) for c in columns])
+
+
 def _large(stacked: DataFrame, columns: Sequence[str], least: int) -> DataFrame:
     """``(rule, key, _n)`` of the blocks of over ``least`` records without a long value."""
-    longest = F.greatest(F.lit(0), *[F.coalesce(F.length(q(c)), F.lit(0)) for c in columns])
-    sizes = stacked.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("_n"), F.max(longest).alias("_long"))
+    sizes = stacked.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("_n"), F.max(_longest(columns)).alias("_long"))
     return sizes.where((F.col("_n") > least) & (F.col("_long") <= LONG_VALUE)).select("rule", "key", "_n")
 
 
+def _plans(rules: Sequence[Sequence[str]], within: Sequence[str], model: Model, threshold: float) -> list[tuple[float, float, list[Bound]]]:
+    """Per rule: what its equal columns give, the limit of the sum, and the bounds of the other columns."""
+    base = math.log2(model.prior_odds)
+    below = float(threshold) - PRUNE_MARGIN
+    bounds = {c.column: bound_of(c) for c in model.comparisons}
+    plans = []
+    for rule in rules:
+        fixed = [c for c in model.comparisons if c.column in {*rule, *within}]
+        start = base + sum(math.log2(c.factors[c.exact_level]) for c in fixed if c.factors[c.exact_level] > 0)
+        open_ = [b for b in bounds.values() if b.column not in {*rule, *within}]
+        size = abs(start) + sum(abs(b.least) + abs(b.most) for b in open_)
+        plans.append((start, math.log2(below / (1.0 - below)) - 1e-3 - 1e-6 * size if below > 0 else -math.inf, open_))
+    return plans
+
+
+def _agreeing(rules: Sequence[Sequence[str]], within: Sequence[str]) -> list[str]:
+    """Conditions on pairs as ``agree_sql`` has them for joins: the rule's values are equal, and no earlier rule agrees."""
+
+    def same(rule: Sequence[str]) -> str:
+        return " AND ".join(f"{q(c + '_l')} = {q(c + '_r')}" for c in dict.fromkeys([*rule, *within]))
+
+    cond = [f"(rule <> {k} OR ({same(r)}))" for k, r in enumerate(rules)]
+    return cond + [f"NOT (rule > {j} AND coalesce({same(r)}, false))" for j, r in enumerate(rules[:-1])]
+
+
 def reachable_pairs(
     slim: DataFrame, rules: Rules, model: Model, threshold: float, *, id_col: str = "uid", within: Sequence[str] = (), carry: Sequence[str],
     unit: str = "byte", block_split: int | None = DEFAULT_BLOCK_SPLIT, maxima: Sequence[int], dense_block: int | None = None,
@@ -224,16 +253,7 @@ def reachable_pairs(
     large = _large(stacked, needed, dense_block)
     small = joined_pairs(stacked.join(large, ["rule", "key"], "left_anti"), rules, within, carry, block_split if max(maxima) > (block_split or 0) else None)
 
-    base = math.log2(model.prior_odds)
-    below = float(threshold) - PRUNE_MARGIN
-    bounds = {c.column: bound_of(c) for c in model.comparisons}
-    plans = []  # per rule: what its equal columns give, and the bounds of the others
-    for rule in rules:
-        fixed = [c for c in model.comparisons if c.column in {*rule, *within}]
-        start = base + sum(math.log2(c.factors[c.exact_level]) for c in fixed if c.factors[c.exact_level] > 0)
-        open_ = [b for b in bounds.values() if b.column not in {*rule, *within}]
-        size = abs(start) + sum(abs(b.least) + abs(b.most) for b in open_)
-        plans.append((start, math.log2(below / (1.0 - below)) - 1e-3 - 1e-6 * size if below > 0 else -math.inf, open_))
+    plans = _plans(rules, within, model, threshold)
     encode = unit == "byte"
 
     def search(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,14 +278,69 @@ def reachable_pairs(
     tiles = tiles_of(stacked.join(large, ["rule", "key"]), block_split or DEFAULT_BLOCK_SPLIT).select("uid", *[q(c) for c in needed], "rule", "key", "_b", "_lo", "_hi")
     found = _dealt(tiles).applyInArrow(search, schema)
 
-    def same(rule: Sequence[str]) -> str:
-        return " AND ".join(f"{q(c + '_l')} = {q(c + '_r')}" for c in dict.fromkeys([*rule, *within]))
-
-    cond = ["uid_l < uid_r", *[f"(rule <> {k} OR ({same(r)}))" for k, r in enumerate(rules)]]
-    cond += [f"NOT (rule > {j} AND coalesce({same(r)}, false))" for j, r in enumerate(rules[:-1])]
+    cond = ["uid_l < uid_r", *_agreeing(rules, within)]
     return small.unionByName(found.where(" AND ".join(cond)).select(*small.columns))
 
 
+def large_between(left: DataFrame, right: DataFrame, dense_block: int | None = None) -> DataFrame:
+    """``(rule, key, _nl, _nr)`` of the blocks of two stacks (:func:`block_sizes`) with as many pairs as a block of over ``dense_block`` records, none with a long value."""
+    dense_block = DENSE_BLOCK if dense_block is None else dense_block
+    both = left.withColumnsRenamed({"_n": "_nl", "_long": "_ll"}).join(right.withColumnsRenamed({"_n": "_nr", "_long": "_lr"}), ["rule", "key"])
+    return both.where(f"_nl * _nr > {pairs_of(dense_block)} AND greatest(_ll, _lr) <= {LONG_VALUE}").select("rule", "key", "_nl", "_nr")
+
+
+def pairs_of(records: int) -> int:
+    return records * (records - 1) // 2
+
+
+def block_sizes(stacked: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(rule, key, _n, _long)``: records and longest value of the blocks of several records (one record has but as many pairs as the other relation)."""
+    return stacked.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("_n"), F.max(_longest(columns)).alias("_long")).where("_n > 1")
+
+
+def reachable_between(
+    left: DataFrame, right: DataFrame, large: DataFrame, rules: Rules, model: Model, threshold: float, *, within: Sequence[str] = (),
+    unit: str = "byte", block_split: int | None = DEFAULT_BLOCK_SPLIT,
+) -> DataFrame:
+    """Pairs of two stacks in the ``large`` blocks (:func:`large_between`) that may reach the threshold, each under its first rule: ids and ``<c>_l``, ``<c>_r``."""
+    rules, within = as_rules(rules), list(within)
+    needed = list(dict.fromkeys([*rule_columns(rules, within), *model.columns]))
+    plans, encode = _plans(rules, within, model, threshold), unit == "byte"
+    split = block_split or DEFAULT_BLOCK_SPLIT
+
+    def search(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rule = key[0].as_py()
+        start, limit, open_ = plans[rule]
+        table = pa.Table.from_batches(list(batches)).combine_chunks()
+        table = table.take(pc.sort_indices(table, sort_keys=[("_b", "ascending")])).combine_chunks()  # the left ones first
+        columns = {b.column: _Values(table.column(b.column).to_pylist(), encode) for b in open_}
+        sides = [table.column(c).combine_chunks() for c in needed]
+        ids = [table.column(c).combine_chunks() for c in ("uid_l", "uid_r")]
+        names = ["uid_l", "uid_r", "rule", *[f"{c}_{s}" for c in needed for s in ("l", "r")]]
+        for p, r in _reach(columns, open_, start, limit, table.column("_b").to_numpy(), 0, 1):
+            for at in range(0, len(p), _EMIT):
+                i, j = pa.array(p[at : at + _EMIT]), pa.array(r[at : at + _EMIT])
+                out = [ids[0].take(i), ids[1].take(j), pa.array(np.full(len(i), rule, np.int32))]
+                yield pa.RecordBatch.from_arrays([*out, *[s.take(k) for s in sides for k in (i, j)]], names)
+
+    kinds = {"uid_l": left.schema["uid"].dataType, "uid_r": right.schema["uid"].dataType}
+    text = {f.name: f.dataType for f in left.schema.fields}
+    schema = T.StructType(
+        [*[T.StructField(c, k) for c, k in kinds.items()], T.StructField("rule", T.IntegerType())]
+        + [T.StructField(f"{c}_{s}", text[c]) for c in needed for s in ("l", "r")]
+    )
+
+    def tiled(side: DataFrame, mine: str, other: str, b: int) -> DataFrame:
+        """Records of one side, dealt into its buckets, one row for each bucket of the other side."""
+        own, theirs = (f"CAST(least(ceil({n} / {split}), greatest({MAX_BUCKETS}, ceil({n} / {DEFAULT_BLOCK_SPLIT}))) AS INT)" for n in (mine, other))
+        rows = side.join(large, ["rule", "key"]).withColumn("_x", F.expr(f"CAST(pmod(xxhash64(uid), {own}) AS INT)")).withColumn("_y", F.explode(F.expr(f"sequence(0, {theirs} - 1)")))
+        uid = [F.col("uid").alias(c) if k == b else F.lit(None).cast(kinds[c]).alias(c) for k, c in enumerate(kinds)]
+        return rows.select(*uid, *[q(c) for c in needed], "rule", "key", F.lit(b).alias("_b"), F.col("_y" if b else "_x").alias("_lo"), F.col("_x" if b else "_y").alias("_hi"))
+
+    found = _dealt(tiled(left, "_nl", "_nr", 0).unionByName(tiled(right, "_nr", "_nl", 1))).applyInArrow(search, schema)
+    return found.where(" AND ".join(_agreeing(rules, within))).select("uid_l", "uid_r", *[q(f"{c}_{s}") for c in model.columns for s in ("l", "r")])
+
+
 # --- levels -----------------------------------------------------------
 
 

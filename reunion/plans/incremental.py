@@ -19,9 +19,10 @@ from ..constants import DEFAULT_THRESHOLD, PROB_COL
 from ..errors import MatchError
 from ..functions.similarity import check_unit
 from ..model import Model
-from ..operators.blocking import DEFAULT_BLOCK_SPLIT, candidate_pairs
+from ..operators.blocking import DEFAULT_BLOCK_SPLIT, block_maxima, stack_rules
 from ..operators.clusters import best_match_probability
 from ..operators.components import connected_components, extend_components
+from ..operators.dense import reachable_pairs
 from ..operators.scoring import compare_pairs, link_pairs, prune_unreachable, score_pairs
 from ..session import release, write_table
 from .resolve import check_inputs, internal_model, positional, profile_states, read_model, require_columns, slim_rows
@@ -60,7 +61,11 @@ class KeptEntities:
 
     def _links(self, fresh: DataFrame) -> DataFrame:
         """Links of new profiles among themselves and with the kept ones."""
-        pairs = candidate_pairs(fresh, self.own.rules, id_col="pid", within=self.within, carry=self.own.columns, block_split=self.block_split)
+        maxima = block_maxima(stack_rules(fresh, self.own.rules, id_col="pid", within=self.within), len(self.own.rules))
+        pairs = reachable_pairs(
+            fresh, self.own.rules, self.own, self.threshold, id_col="pid", within=self.within, carry=self.own.columns, unit="char",
+            block_split=self.block_split, maxima=maxima,
+        )
         pairs = prune_unreachable(pairs, self.own, self.threshold, unit="char")
         links = link_pairs(score_pairs(compare_pairs(pairs, self.own, unit="char"), self.own), self.threshold).select("uid_l", "uid_r", PROB_COL)
         if not self.tables:

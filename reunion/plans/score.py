@@ -17,8 +17,10 @@ from ..constants import DEFAULT_THRESHOLD, PROB_COL
 from ..errors import MatchError
 from ..model import Model
 from ..operators.blocking import DEFAULT_BLOCK_SPLIT, agree_sql, block_maxima, rule_columns, stack_rules
+from ..operators.dense import DENSE_BLOCK, block_sizes, large_between, pairs_of, reachable_between
 from ..operators.matching import TASK_LINKS, one_to_one
 from ..operators.scoring import compare_pairs, link_pairs, prune_unreachable, score_pairs
+from ..session import materialize
 from .resolve import check_inputs, internal_model, positional, read_model, require_columns, slim_rows
 
 MATCH_ID = "match_id"
@@ -33,9 +35,9 @@ def stack(df: DataFrame, model: Model, id_col: str, within: Sequence[str], unit:
     return stack_rules(slim, own.rules, id_col="uid", within=own_within, carry=carry)
 
 
-def hot_keys(stacked: DataFrame, split: int | None, n_rules: int, name: str) -> DataFrame | None:
-    """``(rule, key, name)``: buckets of the blocks with over ``split`` records, or None without any."""
-    if not split or max(block_maxima(stacked, n_rules) or [0]) <= split:
+def hot_keys(stacked: DataFrame, split: int | None, maxima: Sequence[int], name: str) -> DataFrame | None:
+    """``(rule, key, name)``: buckets of the blocks with over ``split`` records, or None without any (by the largest block of every rule)."""
+    if not split or max(maxima or [0]) <= split:
         return None
     sizes = stacked.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(split))
     return sizes.select("rule", "key", F.ceil(F.col("_n") / F.lit(split)).cast("int").alias(name))
@@ -60,7 +62,7 @@ class KnownRecords:
 
     Blocks of over ``block_split`` known records are spread over buckets; new records of such a
     block are copied once per bucket. Hot blocks of the new side are spread the same way, the known
-    side being copied then.
+    side being copied then. Blocks with many pairs are compared in matrices (``operators/dense.py``).
     """
 
     def __init__(self, known_df: DataFrame, model: Model, known_id: str, within: Sequence[str], unit: str, block_split: int | None):
@@ -69,8 +71,10 @@ class KnownRecords:
             raise MatchError("rules of near values are for resolve; score new records with blocking rules")
         self.own, _, self.own_within = internal_model(model, within)
         self.stack = stack(known_df, model, known_id, within, unit)
-        self.hot = hot_keys(self.stack, block_split, len(self.own.rules), "_s")
+        self.maxima = block_maxima(self.stack, len(self.own.rules))
+        self.hot = hot_keys(self.stack, block_split, self.maxima, "_s")
         self.laid: DataFrame | None = None
+        self.sizes = block_sizes(self.stack, self._values())
 
     def persist(self, partitions: int) -> KnownRecords:
         """Keep the known side in the join's own partitioning, so that a batch need not shuffle it again."""
@@ -78,18 +82,33 @@ class KnownRecords:
 
         side = salted(self.stack, self.hot, None, "_kb", "_nb")
         self.laid = side.repartition(partitions, "rule", "key", "_kb", "_nb").persist(StorageLevel.MEMORY_AND_DISK)
+        self.sizes = self.sizes.persist(StorageLevel.MEMORY_AND_DISK)
         if self.hot is not None:
             self.hot = self.hot.persist(StorageLevel.MEMORY_AND_DISK)
         return self
 
     def unpersist(self) -> None:
-        for df in (self.laid, self.hot):
+        for df in (self.laid, self.sizes, self.hot):
             if df is not None:
                 df.unpersist()
 
+    def _values(self) -> list[str]:
+        return list(dict.fromkeys([*self.own.columns, *rule_columns(self.own.rules, self.own_within)]))
+
+    def _reachable(self, new_stack: DataFrame, maxima: Sequence[int], threshold: float) -> tuple[DataFrame, DataFrame | None]:
+        """The new records without those of blocks with many pairs, and the pairs of these that may reach the threshold."""
+        if threshold <= 0.0 or max([n * k for n, k in zip(maxima, self.maxima)] or [0]) <= pairs_of(DENSE_BLOCK):
+            return new_stack, None
+        large = materialize(large_between(block_sizes(new_stack, self._values()), self.sizes), "large-blocks")
+        known = self.stack if self.laid is None else self.laid.drop("_kb", "_nb")
+        pairs = reachable_between(new_stack, known, large, self.own.rules, self.own, threshold, within=self.own_within, unit="char", block_split=self.split)
+        return new_stack.join(large, ["rule", "key"], "left_anti"), pairs
+
     def links(self, new_stack: DataFrame, threshold: float) -> DataFrame:
         """``(uid_l, uid_r, match_probability)``: new and known records at or above the threshold, each pair once."""
-        new_hot = hot_keys(new_stack, self.split, len(self.own.rules), "_s")
+        maxima = block_maxima(new_stack, len(self.own.rules))
+        new_stack, reachable = self._reachable(new_stack, maxima, threshold)
+        new_hot = hot_keys(new_stack, self.split, maxima, "_s")
         if self.laid is not None and new_hot is None:
             known = self.laid
         else:  # hot blocks of the new side: the known side is copied over their buckets
@@ -98,6 +117,8 @@ class KnownRecords:
         cond = [f"l.{k} = r.{k}" for k in ("rule", "key", "_kb", "_nb")] + agree_sql(self.own.rules, self.own_within)
         joined = new.alias("l").join(known.alias("r"), F.expr(" AND ".join(cond)))
         pairs = joined.selectExpr("l.uid AS uid_l", "r.uid AS uid_r", *[f"{x}.{c} AS {c}_{x}" for c in self.own.columns for x in ("l", "r")])
+        if reachable is not None:
+            pairs = pairs.unionByName(reachable)
         pairs = prune_unreachable(pairs, self.own, threshold, unit="char")
         return link_pairs(score_pairs(compare_pairs(pairs, self.own, unit="char"), self.own), threshold)
 
