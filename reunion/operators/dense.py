@@ -44,6 +44,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 DENSE_BLOCK = 100
 
 _ROWS, _COLS = 256, 2048  # pairs of one matrix
+_RUN = 512  # records of a side of a matrix of bounds, which stays in a core's cache
+_LENGTHS = 32  # lengths of values that a product of matrices tells apart
 _SYMBOLS = 128  # symbols told apart; others fall together, which keeps the bounds
 _REPEATS = 4  # repeats of a symbol that are counted one by one
 _EMIT = 50_000  # pairs of one batch of results
@@ -108,8 +110,16 @@ class _Values:
         count = np.bincount(rows * wide + at % wide, minlength=n * wide).reshape(n, wide)
         # what two counts share is at most the product beyond the repeats counted one by one
         parts = [count >= k for k in range(1, _REPEATS + 1)] + [np.maximum(count - _REPEATS, 0)]
-        whole = np.concatenate(parts, axis=1).astype(np.float32)
-        self.shared = np.ascontiguousarray(whole[:, whole.any(axis=0)])
+        # what is equal in all records is one number, and columns that are the same in all are one with a weight
+        alike: dict[bytes, list[int]] = {}
+        whole = np.concatenate(parts, axis=1).T.astype(np.uint16)
+        for k in np.flatnonzero(whole.any(axis=1)):
+            alike.setdefault(whole[k].tobytes(), []).append(k)
+        first, self.weight = [k[0] for k in alike.values()], np.array([len(k) for k in alike.values()], np.float32)
+        self.shared = np.ascontiguousarray(whole[first].T.astype(np.float32))
+        set_ = np.flatnonzero(~self.null)
+        self.fixed = np.zeros(len(first), bool) if not len(set_) else (self.shared[set_] == self.shared[set_[0]]).all(axis=0)
+        self.always = float((self.weight * self.shared[set_[0]] ** 2)[self.fixed].sum()) if len(set_) else 0.0
         self.length = self.size.astype(np.float32)
         self.inverse = np.divide(1.0, self.length, out=np.zeros(n, np.float32), where=self.size > 0)
 
@@ -121,13 +131,37 @@ class _Values:
         out[np.arange(len(self.flat)) - np.repeat(self.start, self.size), np.repeat(np.arange(len(self.size)), self.size)] = self.flat
         return out
 
+    @cached_property
+    def names(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two matrices whose product is the number of shared symbols (of set values)."""
+        right = self.shared[:, ~self.fixed]
+        left = right * self.weight[~self.fixed]
+        n = len(right)
+        return np.column_stack([left, np.full(n, self.always, np.float32)]), np.column_stack([right, np.ones(n, np.float32)])
+
+    @cached_property
+    def edits(self) -> tuple[np.ndarray, np.ndarray] | None:
+        """Two matrices whose product is the number of shared symbols less the longer length (of set values); None for many lengths.
+
+        The longer length is the sum less the shorter, and that the sum of the steps between lengths that both reach.
+        """
+        steps = np.unique(self.length)
+        if len(steps) > _LENGTHS:
+            return None
+        left, right = self.names
+        reached = (self.length[:, None] >= steps[1:]).astype(np.float32)
+        left = np.column_stack([left[:, :-1], left[:, -1] + steps[0] - self.length, np.ones(len(left), np.float32), reached * np.diff(steps)])
+        return left, np.column_stack([right, -self.length, reached])
+
     def measure(self, kind: str, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Of all pairs of two runs of records: ``m / |a| + m / |b|`` of m shared symbols (names), or m less the longer length."""
-        both = self.shared[x] @ self.shared[y].T
+        if kind != "name" and self.edits is not None:
+            return self.edits[0][x] @ self.edits[1][y].T
+        both = self.names[0][x] @ self.names[1][y].T
         if kind == "name":
-            both *= self.inverse[x][:, None] + self.inverse[y][None, :]
+            both *= np.add.outer(self.inverse[x], self.inverse[y])
         else:
-            both -= np.maximum(self.length[x][:, None], self.length[y][None, :])
+            both -= np.maximum.outer(self.length[x], self.length[y])
         return both
 
     def prefix(self) -> np.ndarray:
@@ -154,50 +188,119 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> pa.Table:
     return table.take(pc.sort_indices(table, sort_keys=[("uid", "ascending")])).combine_chunks()
 
 
+def _met(bounds: Sequence[Bound], start: float, limit: float):
+    """When the sum of the bounds may reach the limit: True, False, or a list of (the first column's step met, the same for the other columns)."""
+    if start + sum(c.least for c in bounds) >= limit:
+        return True
+    if start + sum(c.most for c in bounds) < limit:
+        return False
+    here, others = bounds[0], bounds[1:]
+    ways, part = [], here.least
+    for k in range(len(here.steps) + 1):
+        if k:
+            part += here.steps[k - 1][2]
+        rest = _met(others, start + part, limit)
+        # a step is met only with those before, so it matters where it asks less of the others
+        if rest is not False and (not ways or ways[-1][1] != rest):
+            ways.append((k, rest))
+        if rest is True:
+            break
+    return ways
+
+
+def _may(ways, met, column: int = 0) -> np.ndarray | None:
+    """The pairs (None: all) of which ``_met`` is true; ``met(c, k)`` is the mask of step k of the c-th column."""
+    if ways is True:
+        return None
+    out = None
+    for k, rest in ways:
+        more = _may(rest, met, column + 1)
+        own = None if k == 0 else met(column, k - 1)
+        one = more if own is None else own if more is None else own & more
+        if one is None:
+            return None
+        out = one if out is None else out | one
+    return out
+
+
 def _reach(columns: dict[str, _Values], bounds: Sequence[Bound], base: float, limit: float, b: np.ndarray, lo: int, hi: int):
     """Places of the pairs of a tile that may reach the limit."""
     prefixes = {c.column: columns[c.column].prefix() for c in bounds if c.kind == "name"}
-    for x, y, mask in _tile_pairs(b, lo, hi):
-        total = np.full((len(x), len(y)), base, np.float32)
-        parts = []
-        for c in bounds:
-            v = columns[c.column]
-            measure = v.measure(c.kind, x, y)
-            part = np.full(measure.shape, c.least, np.float32)
-            for own, _, gain in c.steps:
-                part += (measure >= own) * np.float32(gain)
-            if c.kind == "name" and v.empty.any():  # nothing is known of these
-                part[v.empty[x], :] = c.most
-                part[:, v.empty[y]] = c.most
-            part[v.null[x], :] = 0.0
-            part[:, v.null[y]] = 0.0
-            parts.append((measure, part))
-            total += part
-        may = total >= limit
+    unset = np.zeros(len(b), np.int64)  # the columns without a value: they add nothing to a pair's sum
+    for k, c in enumerate(bounds):
+        unset |= columns[c.column].null.astype(np.int64) << k
+    trees: dict[int, tuple] = {}
+    for x, y, mask in _runs(b, unset, lo, hi):
+        none = int(unset[x[0]] | unset[y[0]])
+        if none not in trees:
+            some = [c for k, c in enumerate(bounds) if not none >> k & 1]
+            trees[none] = some, _met(some, base, limit)
+        some, ways = trees[none]
+        if ways is False:
+            continue
+        measures: dict[int, np.ndarray] = {}
+
+        def measure(k: int) -> np.ndarray:
+            if k not in measures:
+                v = columns[some[k].column]
+                measures[k] = v.measure(some[k].kind, x, y)
+                if some[k].kind == "name" and v.empty.any():  # nothing is known of these
+                    measures[k][v.empty[x], :] = np.inf
+                    measures[k][:, v.empty[y]] = np.inf
+            return measures[k]
+
+        masks: dict[tuple[int, int], np.ndarray] = {}
+
+        def met(k: int, step: int) -> np.ndarray:
+            if (k, step) not in masks:
+                masks[k, step] = measure(k) >= np.float32(some[k].steps[step][0])
+            return masks[k, step]
+
+        may = _may(ways, met)
+        if may is None:
+            may = np.ones((len(x), len(y)), bool)
         if mask is not None:
-            may &= mask
-        i, j = np.nonzero(may)
-        if not len(i):
+            may = may & mask
+        at = np.flatnonzero(may)
+        if not len(at):
             continue
-        sums = total[i, j]
-        for c, (measure, part) in zip(bounds, parts):
-            if c.kind != "name":
-                continue
-            v, first = columns[c.column], prefixes[c.column]
-            m = measure[i, j]
-            same = np.cumprod(first[x[i]] == first[y[j]], axis=1).sum(axis=1)
-            jaro = (m + 1.0) / 3.0
-            jw = np.where(jaro > JW_BOOST_THRESHOLD - 1e-6, jaro + same * JW_PREFIX_SCALE * (1.0 - jaro), jaro)
-            finer = np.full(len(i), c.least, np.float32)
-            for own, band, gain in c.steps:
-                finer += ((m >= own) & (jw >= band - _SLACK)) * np.float32(gain)
-            known = ~(v.null[x[i]] | v.null[y[j]] | v.empty[x[i]] | v.empty[y[j]])
-            sums = np.where(known, sums - part[i, j] + finer, sums)
+        i, j = np.divmod(at, len(y))
+        sums = np.full(len(at), base, np.float32)
+        for k, c in enumerate(some):
+            m = measure(k).ravel()[at]
+            if c.kind == "name":
+                first, v = prefixes[c.column], columns[c.column]
+                same = np.cumprod(first[x[i]] == first[y[j]], axis=1).sum(axis=1)
+                jaro = (np.minimum(m, 2.0) + 1.0) / 3.0
+                jw = np.where(jaro > JW_BOOST_THRESHOLD - 1e-6, jaro + same * JW_PREFIX_SCALE * (1.0 - jaro), jaro)
+                part = np.full(len(at), c.least, np.float32)
+                for own, band, gain in c.steps:
+                    part += ((m >= own) & (jw >= band - _SLACK)) * np.float32(gain)
+                part[np.isinf(m)] = c.most
+            else:
+                part = np.full(len(at), c.least, np.float32)
+                for own, _, gain in c.steps:
+                    part += (m >= own) * np.float32(gain)
+            sums += part
         kept = sums >= limit
         p, r = x[i[kept]], y[j[kept]]
         yield np.minimum(p, r), np.maximum(p, r)
 
 
+def _runs(b: np.ndarray, kind: np.ndarray, lo: int, hi: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+    """Runs of places of one kind each whose pairs make up a tile, and a mask where a run meets itself."""
+    left = [np.flatnonzero((b == lo) & (kind == k)) for k in np.unique(kind)]
+    right = left if lo == hi else [np.flatnonzero((b == hi) & (kind == k)) for k in np.unique(kind)]
+    for g, xs in enumerate(left):
+        for h in range(g if lo == hi else 0, len(right)):
+            itself = lo == hi and g == h
+            for s in range(0, len(xs), _RUN):
+                x = xs[s : s + _RUN]
+                for e in range(s if itself else 0, len(right[h]), _RUN):
+                    y = right[h][e : e + _RUN]
+                    yield x, y, x[:, None] < y[None, :] if itself and e == s else None
+
+
 def _dealt(tiles: DataFrame) -> GroupedData:
     """Tiles as groups, dealt over all shuffle partitions: their work grows with the pairs, not the bytes, so AQE must not put partitions together by bytes."""
     keys = ["rule", "key", "_lo", "_hi"]
