@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..model import Comparison, Model
-from ..session import release, traced
+from ..session import release, traced, write_table
 from .blocking import DEFAULT_BLOCK_SPLIT
 from .near import NearValues, value_distances
 
@@ -41,8 +41,14 @@ def _counted(rows: DataFrame, comp: Comparison, id_col: str, unit: str, block_sp
 
 
 def exact_level_counts(rows: DataFrame, comp: Comparison, *, id_col: str = "uid", unit: str = "byte", block_split: int | None = DEFAULT_BLOCK_SPLIT) -> DataFrame:
-    """``(column, level, pairs)`` of every level of an edit-distance column over all pairs of records with a value, as decimals."""
-    return _counted(rows, comp, id_col, unit, block_split)[0]
+    """``(column, level, pairs)`` of every level of an edit-distance column over all pairs of records with a value, as decimals.
+
+    The counts are written, so that the tables and shuffle files behind them go before another column is counted.
+    """
+    counts, folder = _counted(rows, comp, id_col, unit, block_split)
+    out, _ = write_table(counts, "exact-levels", clear=True)
+    release(rows.sparkSession, [folder])
+    return out
 
 
 def exact_u(slim: DataFrame, model: Model, *, unit: str = "byte", block_split: int | None = DEFAULT_BLOCK_SPLIT) -> dict[str, dict[int, float]]:

@@ -9,7 +9,8 @@ L and the segment's number), and asks for the hashes of its substrings in those
 its own length down to k less. Equal hashes are candidates, an edit distance bounded by k decides.
 
 Everything is built-in expressions. Equal values are one value (by digest), named by its smallest id, so
-copies cost one entry; index and questions carry ids and 64-bit hashes, never the values, which are fetched for
+copies cost one entry; index and questions carry ids and 64-bit hashes, and of values of up to ``SHORT_VALUE`` characters the values, so that
+pairs of these are told by their distance where they meet and none that is too far moves on. Longer ones are fetched for
 candidates only. Hot segments (a passage that many values of one length share) are tiled: their index rows and
 questions are dealt into blocks, each pair of blocks is a key of its own.
 
@@ -29,6 +30,9 @@ from ..session import traced, write_table
 from .blocking import DEFAULT_BLOCK_SPLIT, as_rules
 
 
+#: Values of up to this many characters go along with their segments: many of them may share one by chance.
+SHORT_VALUE = 64
+
 #: Values of up to this many characters are cut where a sample of those of their length has the fewest equal segments.
 CUT_LENGTH = 64
 _CUT_SAMPLE = 300  # sampled values of a length
@@ -117,10 +121,27 @@ def _tiled(index: DataFrame, asked: DataFrame, split: int | None) -> tuple[DataF
     return sides[0], sides[1], ["key", "x", "y"]
 
 
+_BINS = 37  # bins of symbols: digits and letters a to y have one each
+
+
+def _symbols_sql(value: str) -> str:
+    """A struct of two numbers whose bits are the bins of symbols that a value has, and has twice (SQL)."""
+    bit = f"shiftleft(1L, CAST(pmod(ascii(substr({value}, i, 1)), {_BINS}) AS INT))"
+    none = "named_struct('x', 0L, 'y', 0L)"
+    each = f"aggregate(sequence(1, CAST(length({value}) AS INT)), {none}, (s, i) -> named_struct('x', s.x | {bit}, 'y', s.y | (s.x & {bit})))"
+    return f"IF(length({value}) = 0, {none}, {each})"
+
+
+def _near_sql(edits: int) -> str:
+    """Whether two short values may be, and are, within the edits: an edit takes one symbol away and brings one. Long ones are not known here."""
+    lost = [f"bit_count({a}.has.x & ~{b}.has.x) + bit_count({a}.has.y & ~{b}.has.y) <= {edits}" for a, b in ("lr", "rl")]
+    return f"(l.v IS NULL OR r.v IS NULL OR ({' AND '.join(lost)} AND levenshtein(l.v, r.v, {edits}) >= 0))"
+
+
 class NearValues:
     """Values of one column and the pairs of them that may be within ``edits``: ``members(uid, vid)`` and ``candidates(a, b)``.
 
-    ``vid`` is the smallest id that holds the value; candidates are pairs ``a < b`` of those.
+    ``vid`` is the smallest id that holds the value; candidates are pairs ``a < b`` of those (of short values only those that are within).
     """
 
     def __init__(self, rows: DataFrame, column: str, edits: int, *, id_col: str = "uid", unit: str = "byte", block_split: int | None = DEFAULT_BLOCK_SPLIT):
@@ -132,14 +153,18 @@ class NearValues:
         self._digests = value.selectExpr("uid", "unhex(md5(t)) AS digest")
         mapped = value.selectExpr("uid", "unhex(md5(t)) AS digest", f"{unit_sql('t', unit)} AS v").selectExpr("uid", "digest", "v", "CAST(length(v) AS BIGINT) AS n")
         indexed, asked = segment_keys_sql("v", edits, segment_starts(mapped, edits))
-        keyed = mapped.selectExpr("uid", "digest", "n", f"{indexed} AS indexed", f"{asked} AS asked")
-        distinct = keyed.groupBy("digest").agg(F.min("uid").alias("vid"), F.count(F.lit(1)).alias("holders"), F.first("n").alias("n"), F.first("indexed").alias("indexed"), F.first("asked").alias("asked"))
+        keyed = mapped.selectExpr("uid", "digest", "n", f"IF(n <= {SHORT_VALUE}, v, NULL) AS v", f"{indexed} AS indexed", f"{asked} AS asked")
+        distinct = keyed.groupBy("digest").agg(F.min("uid").alias("vid"), F.count(F.lit(1)).alias("holders"), *[F.first(c).alias(c) for c in ("n", "v", "indexed", "asked")])
+        distinct = distinct.selectExpr("*", f"CASE WHEN v IS NOT NULL THEN {_symbols_sql('v')} END AS has")
         self.values, self.folder = write_table(distinct, "near-values")
-        index = self.values.select("vid", "n", F.explode("indexed").alias("key"))
-        question = self.values.select(F.col("vid"), F.col("n"), F.explode("asked").alias("key"))
+        index = self.values.select("vid", "n", "v", "has", F.explode("indexed").alias("key"))
+        question = self.values.select("vid", "n", "v", "has", F.explode("asked").alias("key"))
         left, right, keys = _tiled(index, question, block_split)
+        # dealt over all shuffle partitions: the work is in the pairs that meet, not in the bytes that AQE would go by
+        tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
         # the longer value asks; of two equally long ones that of the larger id
-        meet = [f"l.{k} = r.{k}" for k in keys] + ["(l.n < r.n OR l.vid < r.vid)", "l.vid <> r.vid"]
+        meet = [f"l.{k} = r.{k}" for k in keys] + ["(l.n < r.n OR l.vid < r.vid)", "l.vid <> r.vid", _near_sql(edits)]
         joined = left.alias("l").join(right.alias("r"), F.expr(" AND ".join(meet)))
         self.candidates = joined.select(F.least("l.vid", "r.vid").alias("a"), F.greatest("l.vid", "r.vid").alias("b")).distinct()
 

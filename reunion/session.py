@@ -6,6 +6,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Setting under which a query's shuffle files go when it has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Sub-folder of the warehouse used where no checkpoint folder is set.
 FALLBACK = "_reunion_scratch"
 
@@ -87,16 +90,24 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     return path
 
 
-def write_table(df: DataFrame, label: str = "stage", codec: str = "snappy") -> tuple[DataFrame, str]:
+def write_table(df: DataFrame, label: str = "stage", codec: str = "snappy", clear: bool = False) -> tuple[DataFrame, str]:
     """Write ``df`` as parquet into the shared scratch folder: the table read back, and its folder.
 
     One pass, the lineage is cut, the files survive lost executors, and AQE plans the
-    readers from real sizes.
+    readers from real sizes. With ``clear`` the shuffle files behind the table go as soon as it is written, not when the
+    driver collects garbage.
     """
     spark = df.sparkSession
     path = scratch_folder(spark, label)
-    with traced(label):
-        df.write.mode("error").option("compression", codec).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    if clear:
+        spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        with traced(label):
+            df.write.mode("error").option("compression", codec).parquet(path)
+    finally:
+        if clear:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -91,3 +91,21 @@ def test_a_common_ending_makes_few_candidates(spark):
     df.createOrReplaceTempView("v")
     assert got == sorted(map(tuple, spark.sql(sql).collect()))
     assert NearValues(df, "t", 2).candidates.count() < len(heads) * (len(heads) - 1) // 2 // 20
+
+
+def test_short_values_that_share_a_segment_are_no_candidates(spark):
+    from reunion.operators.near import NearValues, near_value_pairs
+    from reunion.session import written_folders
+
+    rng = random.Random(8)
+    values = sorted({"abc" + "".join(rng.choice("0123456789abcdeé") for _ in range(rng.choice([5, 6]))) + "@x.example" for _ in range(200)})
+    values += ["", "a", "ab", "é", "aaaa", "aaaaaa", "bbbb", values[0] + "q", values[0][1:], "z" * 70, "z" * 69 + "y", "z" * 64, "z" * 65]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "uid long, t string")
+    want = {(i, j) for i in range(len(values)) for j in range(i + 1, len(values)) if _lev(values[i].encode(), values[j].encode()) <= 2}
+    assert {(r.a, r.b) for r in near_value_pairs(df, "t", 2).collect()} == want
+    short = {(r.a, r.b) for r in NearValues(df, "t", 2).candidates.collect() if max(len(values[r.a].encode()), len(values[r.b].encode())) <= 64}
+    assert short == {(a, b) for a, b in want if max(len(values[a].encode()), len(values[b].encode())) <= 64}
+    before = written_folders(spark)
+    counts = exact_level_counts(df.withColumnRenamed("t", "v"), EDIT)
+    assert not [f for f in written_folders(spark) if f not in before and "near-values" in f]  # gone before the next column
+    assert sum(int(r["pairs"]) for r in counts.collect()) == len(values) * (len(values) - 1) // 2
