@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -48,6 +49,33 @@ def member_links(links: DataFrame, profiles: DataFrame, members: DataFrame, self
     return met.selectExpr("least(uid, met) AS uid_l", "greatest(uid, met) AS uid_r", PROB_COL)
 
 
+#: Records of a profile that stand in one row when pairs of profiles become pairs of records.
+MEMBER_RUN = 1024
+
+
+def member_pairs(pairs: DataFrame, members: DataFrame, often: str = "c", run: int = MEMBER_RUN) -> DataFrame:
+    """Pairs of profiles ``(uid_l, uid_r, <more...>)`` as all pairs ``uid_l < uid_r`` of their members, with the other columns.
+
+    A pair of a profile with itself gives those of its own members. Members move as runs of ids, every two runs of a pair as a row dealt
+    over all shuffle partitions, which Spark explodes: neither the values nor a row per pair are shuffled. ``often`` is how many
+    times a record that comes ``c`` times in a profile is met (SQL, of the pairs' columns too).
+    """
+    more = [c for c in pairs.columns if c not in ("uid_l", "uid_r")]
+    records = members.groupBy("pid", "uid").agg(F.count(F.lit(1)).alias("c"))
+    sizes = records.groupBy("pid").agg(F.ceil(F.count(F.lit(1)) / F.lit(run)).alias("runs"))
+    dealt = records.join(sizes, "pid").withColumn("run", F.pmod(F.xxhash64("uid"), "runs"))
+    runs = materialize(dealt.groupBy("pid", "run").agg(F.collect_list(F.struct("uid", "c")).alias("ids")), "members")
+    left, right = (runs.selectExpr(f"pid AS uid_{s}", f"run AS run_{s}", f"ids AS ids_{s}") for s in ("l", "r"))
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = pairs.join(left, "uid_l").join(right, "uid_r").repartition(tasks, "uid_l", "uid_r", "run_l", "run_r")
+    times = re.sub(r"\bc\b", "e.c", often)
+    ids = [f"flatten(transform(ids_{s}, e -> array_repeat(e.uid, CAST({times} AS INT)))) AS ids_{s}" for s in ("l", "r")]
+    kept = [q(c) for c in more]
+    each = met.selectExpr("uid_l = uid_r AS own", *ids, *kept).selectExpr("own", "explode(ids_l) AS x", "ids_r", *kept)
+    each = each.selectExpr("own", "x", "explode(ids_r) AS y", *kept).where("x < y OR (x > y AND NOT own)")
+    return each.selectExpr("least(x, y) AS uid_l", "greatest(x, y) AS uid_r", *kept)
+
+
 def dense_ids(keys: DataFrame, col: str, out: str = "cluster_id", *, num_partitions: int | None = None) -> DataFrame:
     """``(col, out)``: ``out`` is the 0-based dense rank of ``col`` as a string ("0", "1", ...).
 

@@ -12,14 +12,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..constants import CLUSTER_COL, PROB_COL, RESULT_ROUND_DIGITS
+from ..constants import CLUSTER_COL, NULL_LEVEL, PROB_COL, RESULT_ROUND_DIGITS
+from ..functions.levels import q
 from ..model import Model
 from ..operators.blocking import block_maxima, block_stats, candidate_pairs, stack_rules
-from ..operators.clusters import best_match_probability, copy_profiles, member_links
+from ..operators.clusters import best_match_probability, copy_profiles, member_links, member_pairs
 from ..operators.components import connected_components
 from ..operators.dense import pair_levels, reachable_pairs
 from ..operators.near import near_pairs, near_value_pairs
-from ..operators.scoring import compare_pairs, link_pairs, score_pairs
+from ..operators.scoring import compare_pairs, level_col, link_pairs, score_pairs
 from ..session import materialize
 from ..sources.fixtures import PLANTED_CUSTOMERS_SQL as PLANTED_SOURCE_SQL
 from ..sources.fixtures import WORKLOADS
@@ -137,6 +138,23 @@ def q_name_levels(spark, sf_dir):
     return levels.select("uid_l", "uid_r", "first_name_level", "last_name_level")
 
 
+def _copy_levels(w: Workload, profiles: DataFrame) -> DataFrame:
+    """The levels of copies ``(uid_l = uid_r = pid, rule, <levels...>)`` for profiles that hold several records which meet by a rule."""
+    rules = [*w.model.rules, *[(c,) for c, _ in w.model.near]]
+    first = " ".join(f"WHEN {' AND '.join(f'{q(c)} IS NOT NULL' for c in r)} THEN {k}" for k, r in enumerate(rules))
+    levels = [f"IF({q(c.column)} IS NULL, {NULL_LEVEL}, {c.exact_level}) AS {q(level_col(c.column))}" for c in w.model.comparisons]
+    return profiles.where("lo < hi").selectExpr("pid AS uid_l", "pid AS uid_r", f"CASE {first} END AS rule", *levels).where("rule IS NOT NULL")
+
+
+def _record_pairs(w: Workload, slim: DataFrame, of_levels: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``of_levels`` of the pairs of profiles (with their levels), for all pairs of records: values are compared once for all copies."""
+    profiles, members = copy_profiles(slim, w.model.all_columns)
+    levels = _levels(w, profiles.drop("lo", "hi").withColumnRenamed("pid", "uid")).unionByName(_copy_levels(w, profiles))
+    pairs = materialize(of_levels(levels), "profile-pairs")
+    # a record that comes c times is met c times by equal values; near pairs are joined with their records twice
+    return member_pairs(pairs, members, often=f"IF(rule < {len(w.model.rules)}, c, c * c)").drop("rule")
+
+
 def q_edit_levels(spark, sf_dir):
     return _levels(EDITED, EDITED.slim(spark, sf_dir)).select("uid_l", "uid_r", *[f"{c}_level" for c in EDITED.columns])
 
@@ -171,7 +189,10 @@ def _member_links(w: Workload, spark, sf_dir) -> DataFrame:
 
 
 def q_linked_pairs(spark, sf_dir):
-    return _round_p(_links(EDITED, EDITED.slim(spark, sf_dir)))
+    def links(levels: DataFrame) -> DataFrame:
+        return link_pairs(score_pairs(levels, EDITED.model), EDITED.threshold).select("uid_l", "uid_r", "rule", PROB_COL)
+
+    return _round_p(_record_pairs(EDITED, EDITED.slim(spark, sf_dir), links))
 
 
 def q_connected_components(spark, sf_dir):
