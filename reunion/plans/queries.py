@@ -156,7 +156,8 @@ def _record_pairs(w: Workload, slim: DataFrame, of_levels: Callable[[DataFrame],
 
 
 def q_edit_levels(spark, sf_dir):
-    return _levels(EDITED, EDITED.slim(spark, sf_dir)).select("uid_l", "uid_r", *[f"{c}_level" for c in EDITED.columns])
+    pairs = _record_pairs(EDITED, EDITED.slim(spark, sf_dir), lambda levels: levels)
+    return pairs.select("uid_l", "uid_r", *[f"{c}_level" for c in EDITED.columns])
 
 
 def q_near_texts(spark, sf_dir):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from reunion.constants import PROB_COL
 from reunion.operators.clusters import best_match_probability, copy_profiles, member_links, member_pairs
 from reunion.operators.components import connected_components
-from reunion.plans.queries import EDITED, _levels, _links, _member_links, _record_pairs, q_linked_pairs
+from reunion.plans.queries import EDITED, _levels, _links, _member_links, _record_pairs, q_edit_levels, q_linked_pairs
 from reunion.plans.resolve import copies_probability
 
 
@@ -91,7 +91,7 @@ def test_member_pairs_of_several_runs(spark):
 def test_record_pairs_carry_no_values(spark, tmp_path):
     docs = spark.range(1, 301).selectExpr("id AS doc_id", "concat('the same short text ', id div 100) AS text", "'en' AS lang", "'web' AS source", "22 AS n_chars")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
-    for query in (q_linked_pairs,):
+    for query in (q_edit_levels, q_linked_pairs):
         pairs = query(spark, str(tmp_path))
         plan = pairs._jdf.queryExecution().optimizedPlan().toString()
         assert "levenshtein" not in plan and "text#" not in plan  # pairs of records are made from ids alone
